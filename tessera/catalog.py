@@ -9,7 +9,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.plans import layers, spark_job
+from pyspark.sql import functions as F
+
+from tessera.functions.exprs import investment_score_basic, round_half_up
+from tessera.operators import clean, scd2
+from tessera.plans import etl, layers, marts, spark_job, star
+from tessera.schema import ADAPTER_ORDER_COLUMNS, STANDARDISED_COLUMNS
 from tessera.sources.adapter import raw_transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,3 +50,259 @@ def q_stg_transactions(spark, sf_dir):
 @register("spark_city_summary")
 def q_spark_city_summary(spark, sf_dir):
     return spark_job.spark_city_summary(_housing(spark, sf_dir))
+
+
+def _etl(spark, sf_dir):
+    return etl.etl_clean(_raw(spark, sf_dir, with_order=True))
+
+
+def _fact(spark, sf_dir):
+    return star.fact_transactions(_etl(spark, sf_dir))
+
+
+@register("spark_yearly_trend")
+def q_spark_yearly_trend(spark, sf_dir):
+    return spark_job.spark_yearly_trend(_housing(spark, sf_dir))
+
+
+@register("district_top5")
+def q_district_top5(spark, sf_dir):
+    return spark_job.district_top5(_housing(spark, sf_dir))
+
+
+@register("spark_features")
+def q_spark_features(spark, sf_dir):
+    return _housing(spark, sf_dir)
+
+
+@register("city_summary_basic")
+def q_city_summary_basic(spark, sf_dir):
+    return spark_job.city_summary_basic(_raw(spark, sf_dir))
+
+
+# ── ETL steps ─────────────────────────────────────────────────────────────────
+@register("parse_dates")
+def q_parse_dates(spark, sf_dir):
+    return clean.parse_dates(_raw(spark, sf_dir)).select("Transaction_ID", "Date")
+
+
+@register("time_features")
+def q_time_features(spark, sf_dir):
+    return (clean.add_time_features(clean.parse_dates(_raw(spark, sf_dir)))
+            .select("Transaction_ID", "Date", "year", "month", "quarter", "day_of_week", "year_month"))
+
+
+@register("drop_null_critical")
+def q_drop_null_critical(spark, sf_dir):
+    return clean.drop_null_critical(clean.parse_dates(_raw(spark, sf_dir, with_order=True)))
+
+
+@register("dedup_keep_first")
+def q_dedup_keep_first(spark, sf_dir):
+    d = clean.drop_null_critical(clean.parse_dates(_raw(spark, sf_dir, with_order=True)))
+    return clean.dedup_keep_first(d, "Transaction_ID", ADAPTER_ORDER_COLUMNS)
+
+
+@register("filter_positive")
+def q_filter_positive(spark, sf_dir):
+    return etl.deduplicated(_raw(spark, sf_dir, with_order=True))
+
+
+@register("outlier_bounds")
+def q_outlier_bounds(spark, sf_dir):
+    b = clean.outlier_bounds(etl.deduplicated(_raw(spark, sf_dir, with_order=True)))
+    return b.select(round_half_up("lower", 4).alias("lower"), round_half_up("upper", 4).alias("upper"))
+
+
+@register("outlier_clip")
+def q_outlier_clip(spark, sf_dir):
+    c = clean.outlier_clip(etl.deduplicated(_raw(spark, sf_dir, with_order=True)))
+    return c.select("Transaction_ID", round_half_up("Transaction_Value", 4).alias("Transaction_Value"))
+
+
+@register("high_demand_median")
+def q_high_demand_median(spark, sf_dir):
+    return _etl(spark, sf_dir).select("Transaction_ID", "Demand_Score", "is_high_demand")
+
+
+@register("price_per_sqm")
+def q_price_per_sqm(spark, sf_dir):
+    return _etl(spark, sf_dir).select("Transaction_ID", "price_per_sqm")
+
+
+@register("value_band_right_closed")
+def q_value_band_right_closed(spark, sf_dir):
+    return _etl(spark, sf_dir).select("Transaction_ID", "value_band")
+
+
+@register("value_band_left_closed")
+def q_value_band_left_closed(spark, sf_dir):
+    return _stg(spark, sf_dir).select("transaction_id", "transaction_value_sar", "value_band")
+
+
+@register("demand_supply_ratio")
+def q_demand_supply_ratio(spark, sf_dir):
+    return _etl(spark, sf_dir).select("Transaction_ID", "demand_supply_ratio")
+
+
+@register("standardise_strings")
+def q_standardise_strings(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    return clean.standardise_strings(raw).select("Transaction_ID", *STANDARDISED_COLUMNS)
+
+
+@register("surrogate_keys")
+def q_surrogate_keys(spark, sf_dir):
+    return _etl(spark, sf_dir).select("City", "District", "city_key", "district_key").distinct()
+
+
+@register("etl_clean")
+def q_etl_clean(spark, sf_dir):
+    e = _etl(spark, sf_dir)
+    return e.withColumn("Transaction_Value", round_half_up("Transaction_Value", 4))
+
+
+@register("etl_row_accounting")
+def q_etl_row_accounting(spark, sf_dir):
+    return etl.etl_row_accounting(_raw(spark, sf_dir, with_order=True))
+
+
+# ── star schema ───────────────────────────────────────────────────────────────
+@register("fact_transactions")
+def q_fact_transactions(spark, sf_dir):
+    return _fact(spark, sf_dir).withColumn("Transaction_Value", round_half_up("Transaction_Value", 4))
+
+
+@register("fact_star_keyed")
+def q_fact_star_keyed(spark, sf_dir):
+    f = star.fact_star_keyed(_etl(spark, sf_dir))
+    return f.select("Transaction_ID", "date_key", "city_key", "district_key", "property_type_key", "purpose_key")
+
+
+@register("dim_city")
+def q_dim_city(spark, sf_dir):
+    return star.dim_city(_etl(spark, sf_dir))
+
+
+@register("dim_district")
+def q_dim_district(spark, sf_dir):
+    return star.dim_district(_etl(spark, sf_dir))
+
+
+@register("dim_date")
+def q_dim_date(spark, sf_dir):
+    return star.dim_date(_etl(spark, sf_dir))
+
+
+@register("dim_property_type")
+def q_dim_property_type(spark, sf_dir):
+    return star.dim_property_type(_etl(spark, sf_dir))
+
+
+@register("dim_purpose")
+def q_dim_purpose(spark, sf_dir):
+    return star.dim_purpose(_etl(spark, sf_dir))
+
+
+# ── marts ─────────────────────────────────────────────────────────────────────
+def _mart(name):
+    def q(spark, sf_dir):
+        return marts.MARTS[name](_etl(spark, sf_dir))
+    q.__name__ = f"q_{name}"
+    return q
+
+
+for _m in marts.MARTS:
+    register(_m)(_mart(_m))
+
+
+@register("register_marts")
+def q_register_marts(spark, sf_dir):
+    return marts.register_marts(_etl(spark, sf_dir))
+
+
+@register("yearly_mean_value")
+def q_yearly_mean_value(spark, sf_dir):
+    return marts.yearly_mean_value(_etl(spark, sf_dir))
+
+
+@register("price_by_property_type")
+def q_price_by_property_type(spark, sf_dir):
+    return marts.price_by_property_type(_etl(spark, sf_dir))
+
+
+@register("city_txn_ranking")
+def q_city_txn_ranking(spark, sf_dir):
+    return marts.city_txn_ranking(_etl(spark, sf_dir))
+
+
+@register("scd2_yearly_snapshots")
+def q_scd2_yearly_snapshots(spark, sf_dir):
+    return scd2.yearly_snapshots(_etl(spark, sf_dir))
+
+
+@register("scd2_change_history")
+def q_scd2_change_history(spark, sf_dir):
+    return scd2.change_history(scd2.yearly_snapshots(_etl(spark, sf_dir)))
+
+
+@register("assert_scd2_valid")
+def q_assert_scd2_valid(spark, sf_dir):
+    snaps = scd2.yearly_snapshots(_etl(spark, sf_dir))
+    return scd2.invalid_intervals(snaps).unionByName(
+        scd2.invalid_intervals(scd2.change_history(snaps)).withColumn("year", F.year("effective_date")),
+        allowMissingColumns=True)
+
+
+# ── layered models ────────────────────────────────────────────────────────────
+@register("city_stats")
+def q_city_stats(spark, sf_dir):
+    return layers.city_stats(_stg(spark, sf_dir))
+
+
+@register("district_stats")
+def q_district_stats(spark, sf_dir):
+    return layers.district_stats(_stg(spark, sf_dir))
+
+
+@register("int_transactions_enriched")
+def q_int_transactions_enriched(spark, sf_dir):
+    return layers.int_transactions_enriched(_stg(spark, sf_dir))
+
+
+@register("pct_above_city_avg")
+def q_pct_above_city_avg(spark, sf_dir):
+    return layers.int_transactions_enriched(_stg(spark, sf_dir)).select(
+        "transaction_id", "city", "transaction_value_sar", "pct_above_city_avg")
+
+
+@register("risk_score")
+def q_risk_score(spark, sf_dir):
+    return layers.with_scores(_stg(spark, sf_dir)).select("transaction_id", "risk_score")
+
+
+@register("investment_score")
+def q_investment_score(spark, sf_dir):
+    return layers.with_scores(_stg(spark, sf_dir)).select("transaction_id", "investment_score")
+
+
+@register("investment_score_basic")
+def q_investment_score_basic(spark, sf_dir):
+    s = _stg(spark, sf_dir)
+    return s.select("transaction_id", investment_score_basic("demand_score", "vacancy_rate", "interest_rate")
+                    .alias("investment_score_basic"))
+
+
+@register("mart_city_performance")
+def q_mart_city_performance(spark, sf_dir):
+    return layers.mart_city_performance(_stg(spark, sf_dir))
+
+
+@register("high_demand_share")
+def q_high_demand_share(spark, sf_dir):
+    return layers.high_demand_share(_stg(spark, sf_dir))
+
+
+@register("assert_no_negative_prices")
+def q_assert_no_negative_prices(spark, sf_dir):
+    return layers.assert_no_negative_prices(_stg(spark, sf_dir))

@@ -30,7 +30,7 @@ def estimated_row_bytes(df: DataFrame) -> int:
     width = 16
     for f in df.schema.fields:
         name = f.dataType.typeName()
-        width += 32 if name in ("string", "binary") else max(8, f.dataType.defaultSize())
+        width += 32 if name in ("string", "binary") else 64 if name in ("array", "map", "struct") else 8
     return width
 
 

@@ -142,6 +142,89 @@ HOUSING = f"""housing AS (
 )"""
 
 
+
+PARSED = "parsed AS (SELECT * REPLACE (TRY_CAST(Date AS DATE) AS Date) FROM raw)"
+NN = """nn AS (SELECT * FROM parsed WHERE Transaction_ID IS NOT NULL AND Date IS NOT NULL AND City IS NOT NULL
+  AND Property_Type IS NOT NULL AND Transaction_Value IS NOT NULL AND NOT isnan(Transaction_Value))"""
+DD = """dd AS (SELECT * FROM nn QUALIFY row_number() OVER (PARTITION BY Transaction_ID
+  ORDER BY l_partkey, l_suppkey, l_extendedprice) = 1)"""
+POS = "pos AS (SELECT * FROM dd WHERE Transaction_Value > 0 AND Area_sqm > 0)"
+ST = f"""st AS (SELECT quantile_cont(Transaction_Value, {CLIP_LOW}) AS lo, quantile_cont(Transaction_Value, {CLIP_HIGH}) AS hi,
+  quantile_cont(Demand_Score, 0.5) AS med FROM pos)"""
+CLIPPED = """clipped AS (SELECT pos.* REPLACE (CASE WHEN Transaction_Value IS NULL THEN NULL
+  ELSE least(greatest(Transaction_Value, st.lo), st.hi) END AS Transaction_Value), st.med FROM pos, st)"""
+
+
+def _std(c):
+    return TITLE(STRIP(c))
+
+
+ETL = f"""etl AS (
+  SELECT Transaction_ID, Date, {_std('City')} AS City, {_std('District')} AS District,
+    {_std('Property_Type')} AS Property_Type, Transaction_Value, Area_sqm, Number_of_Units, Contract_Duration,
+    {_std('Purpose')} AS Purpose, Demand_Score, Supply_Score, Interest_Rate, Infrastructure_Distance_KM,
+    Population_Migration_Inflow, Vacancy_Rate,
+    CAST(year(Date) AS INTEGER) AS year, CAST(month(Date) AS INTEGER) AS month,
+    CAST(quarter(Date) AS INTEGER) AS quarter, CAST(isodow(Date) - 1 AS INTEGER) AS day_of_week,
+    strftime(Date, '%Y-%m') AS year_month,
+    {R(RATIO('Transaction_Value', 'Area_sqm'), 2)} AS price_per_sqm,
+    {BAND_RIGHT('Transaction_Value')} AS value_band,
+    {R(RATIO('Demand_Score', 'Supply_Score'), 4)} AS demand_supply_ratio,
+    coalesce(Demand_Score > med, false) AS is_high_demand,
+    {MD5MOD(_std('City'))} AS city_key, {MD5MOD(_std('District'))} AS district_key
+  FROM clipped
+)"""
+ETL_CHAIN = (RAW, PARSED, NN, DD, POS, ST, CLIPPED, ETL)
+FACT_COLS = ("Transaction_ID, Date, city_key, district_key, Property_Type, Transaction_Value, Area_sqm, "
+             "price_per_sqm, Number_of_Units, Contract_Duration, Purpose, Demand_Score, Supply_Score, "
+             "Interest_Rate, Infrastructure_Distance_KM, Population_Migration_Inflow, Vacancy_Rate, "
+             "demand_supply_ratio, value_band, is_high_demand, year, month, quarter, year_month")
+FACT = f"fact AS (SELECT {FACT_COLS} FROM etl)"
+DIM_CITY = "dim_city AS (SELECT DISTINCT city_key, City AS city_name FROM etl)"
+DIM_DISTRICT = ("dim_district AS (SELECT DISTINCT district_key, District AS district_name, city_key, "
+                "City AS city_name FROM etl)")
+STAR = ETL_CHAIN + (FACT, DIM_CITY, DIM_DISTRICT)
+SCORES = f"""scored AS (SELECT *,
+  {R('interest_rate * 100 + vacancy_rate * 50 - demand_score * 5 + infra_distance_km * CAST(0.1 AS DOUBLE)', 2)} AS risk_score,
+  {R('demand_score * 15 + (1 - vacancy_rate) * 10 - interest_rate * 50 + demand_supply_ratio * 5', 2)} AS investment_score
+  FROM stg)"""
+SNAP = f"""snap AS (
+  SELECT f.city_key, c.city_name, f.year,
+    {R('avg(f.price_per_sqm)', 2)} AS avg_price_per_sqm,
+    {R('avg(f.Demand_Score)', 4)} AS avg_demand_score,
+    {R('avg(f.Vacancy_Rate)', 4)} AS avg_vacancy_rate,
+    make_date(f.year, 1, 1) AS effective_date, make_date(f.year, 12, 31) AS expiry_date,
+    CAST(CASE WHEN f.year = (SELECT max(year) FROM fact) THEN 1 ELSE 0 END AS INTEGER) AS is_current,
+    md5(CAST(f.city_key AS VARCHAR) || '_' || CAST(f.year AS VARCHAR) || '_'
+        || CAST(CAST({R('avg(f.price_per_sqm)', 2)} AS DECIMAL(28,2)) AS VARCHAR)) AS record_hash
+  FROM fact f LEFT JOIN dim_city c ON f.city_key = c.city_key
+  GROUP BY f.city_key, c.city_name, f.year
+)"""
+
+
+def DEC_TXT(x, n):
+    return f"CAST(CAST({R(x, n)} AS DECIMAL(28,{n})) AS VARCHAR)"
+
+
+HIST = f"""hist AS (
+  SELECT *, lag(h) OVER (PARTITION BY city_key, city_name ORDER BY year) AS prev_h FROM (
+    SELECT city_key, city_name, year, avg_price_per_sqm, avg_demand_score, avg_vacancy_rate, effective_date,
+      md5(concat_ws('|', CAST(city_key AS VARCHAR), coalesce(city_name, ''),
+        coalesce({DEC_TXT('avg_price_per_sqm', 2)}, ''), coalesce({DEC_TXT('avg_demand_score', 4)}, ''),
+        coalesce({DEC_TXT('avg_vacancy_rate', 4)}, ''))) AS h
+    FROM snap)
+),
+versions AS (
+  SELECT city_key, city_name, avg_price_per_sqm, avg_demand_score, avg_vacancy_rate, effective_date,
+    coalesce(lead(effective_date) OVER (PARTITION BY city_key, city_name ORDER BY year) - INTERVAL 1 DAY,
+             DATE '9999-12-31')::DATE AS expiry_date,
+    CAST(CASE WHEN lead(effective_date) OVER (PARTITION BY city_key, city_name ORDER BY year) IS NULL
+         THEN 1 ELSE 0 END AS INTEGER) AS is_current,
+    h AS record_hash
+  FROM hist WHERE prev_h IS NULL OR prev_h <> h
+)"""
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -161,4 +244,196 @@ SELECT City,
   {R('avg(Vacancy_Rate) * 100', 2)} AS avg_vacancy_pct
 FROM housing GROUP BY City ORDER BY total_transactions DESC"""
 
+    q["spark_yearly_trend"] = with_(RAW, HOUSING) + f"""
+SELECT year, CAST(count(*) AS BIGINT) AS transactions,
+  {R('avg(Transaction_Value)', 0)} AS avg_value,
+  {R('avg(Demand_Score)', 3)} AS avg_demand,
+  {R('avg(Interest_Rate) * 100', 2)} AS avg_interest_pct
+FROM housing GROUP BY year ORDER BY year"""
+
+    q["district_top5"] = with_(RAW, HOUSING) + f"""
+SELECT * FROM (
+  SELECT *, CAST(rank() OVER (PARTITION BY City ORDER BY avg_price_sqm DESC NULLS LAST) AS INTEGER) AS rank_in_city
+  FROM (SELECT City, District, CAST(count(*) AS BIGINT) AS txn_count,
+          {R('avg(Transaction_Value)', 0)} AS avg_value, {R('avg(price_per_sqm)', 2)} AS avg_price_sqm
+        FROM housing GROUP BY City, District))
+WHERE rank_in_city <= 5 ORDER BY City, rank_in_city"""
+
+    q["spark_features"] = with_(RAW, HOUSING) + f"SELECT {RAW_COLS}, year, month, quarter, price_per_sqm, " \
+        "demand_supply_ratio, is_high_demand, value_band FROM housing"
+
+    q["city_summary_basic"] = with_(RAW) + f"""
+SELECT City, CAST(count(Transaction_ID) AS BIGINT) AS transactions,
+  {R('avg(Transaction_Value)', 0)} AS avg_value,
+  {R('avg(' + RATIO('Transaction_Value', 'Area_sqm') + ')', 0)} AS avg_price_sqm
+FROM raw GROUP BY City"""
+
+    q["parse_dates"] = with_(RAW, PARSED) + "SELECT Transaction_ID, Date FROM parsed"
+    q["time_features"] = with_(RAW, PARSED) + """
+SELECT Transaction_ID, Date, CAST(year(Date) AS INTEGER) AS year, CAST(month(Date) AS INTEGER) AS month,
+  CAST(quarter(Date) AS INTEGER) AS quarter, CAST(isodow(Date) - 1 AS INTEGER) AS day_of_week,
+  strftime(Date, '%Y-%m') AS year_month FROM parsed"""
+    q["drop_null_critical"] = with_(RAW, PARSED, NN) + "SELECT * FROM nn"
+    q["dedup_keep_first"] = with_(RAW, PARSED, NN, DD) + "SELECT * FROM dd"
+    q["filter_positive"] = with_(RAW, PARSED, NN, DD, POS) + "SELECT * FROM pos"
+    q["outlier_bounds"] = with_(RAW, PARSED, NN, DD, POS, ST) + \
+        f"SELECT {R('lo', 4)} AS lower, {R('hi', 4)} AS upper FROM st"
+    q["outlier_clip"] = with_(RAW, PARSED, NN, DD, POS, ST, CLIPPED) + \
+        f"SELECT Transaction_ID, {R('Transaction_Value', 4)} AS Transaction_Value FROM clipped"
+    q["high_demand_median"] = with_(*ETL_CHAIN) + "SELECT Transaction_ID, Demand_Score, is_high_demand FROM etl"
+    q["price_per_sqm"] = with_(*ETL_CHAIN) + "SELECT Transaction_ID, price_per_sqm FROM etl"
+    q["value_band_right_closed"] = with_(*ETL_CHAIN) + "SELECT Transaction_ID, value_band FROM etl"
+    q["value_band_left_closed"] = with_(RAW, STG) + "SELECT transaction_id, transaction_value_sar, value_band FROM stg"
+    q["demand_supply_ratio"] = with_(*ETL_CHAIN) + "SELECT Transaction_ID, demand_supply_ratio FROM etl"
+    q["standardise_strings"] = with_(RAW) + \
+        f"SELECT Transaction_ID, {_std('City')} AS City, {_std('District')} AS District, " \
+        f"{_std('Property_Type')} AS Property_Type, {_std('Purpose')} AS Purpose FROM raw"
+    q["surrogate_keys"] = with_(*ETL_CHAIN) + "SELECT DISTINCT City, District, city_key, district_key FROM etl"
+    q["etl_clean"] = with_(*ETL_CHAIN) + \
+        f"SELECT * EXCLUDE (Transaction_Value), {R('Transaction_Value', 4)} AS Transaction_Value FROM etl"
+    q["etl_row_accounting"] = with_(RAW, PARSED, NN, DD, POS) + """,
+c AS (SELECT (SELECT count(*) FROM raw) AS a, (SELECT count(*) FROM nn) AS b,
+             (SELECT count(*) FROM dd) AS d, (SELECT count(*) FROM pos) AS e)
+SELECT * , rows_in - rows_out AS rows_dropped FROM (
+  SELECT 1 AS step_order, 'drop_null_critical' AS step, CAST(a AS BIGINT) AS rows_in, CAST(b AS BIGINT) AS rows_out FROM c
+  UNION ALL SELECT 2, 'dedup_transaction_id', b, d FROM c
+  UNION ALL SELECT 3, 'filter_positive', d, e FROM c
+  UNION ALL SELECT 4, 'total', a, e FROM c)""".replace("WITH ", "WITH ", 1)
+
+    q["fact_transactions"] = with_(*STAR) + \
+        f"SELECT * EXCLUDE (Transaction_Value), {R('Transaction_Value', 4)} AS Transaction_Value FROM fact"
+    q["fact_star_keyed"] = with_(*ETL_CHAIN) + f"""
+SELECT Transaction_ID, CAST(year(Date) * 10000 + month(Date) * 100 + day(Date) AS INTEGER) AS date_key,
+  city_key, district_key, {MD5MOD('Property_Type')} AS property_type_key, {MD5MOD('Purpose')} AS purpose_key
+FROM etl"""
+    q["dim_city"] = with_(*STAR) + \
+        "SELECT city_key, city_name, CAST(NULL AS VARCHAR) AS region, 1 AS is_major_city FROM dim_city"
+    q["dim_district"] = with_(*STAR) + "SELECT * FROM dim_district"
+    q["dim_date"] = with_(*ETL_CHAIN) + """
+SELECT CAST(year(Date) * 10000 + month(Date) * 100 + day(Date) AS INTEGER) AS date_key, Date, year, quarter, month,
+  monthname(Date) AS month_name, day_of_week, dayname(Date) AS day_name,
+  CAST(CASE WHEN day_of_week IN (5, 6) THEN 1 ELSE 0 END AS INTEGER) AS is_weekend, year_month
+FROM (SELECT DISTINCT Date, year, month, quarter, day_of_week, year_month FROM etl)"""
+    q["dim_property_type"] = with_(*ETL_CHAIN) + f"""
+SELECT {MD5MOD('Property_Type')} AS property_type_key, Property_Type AS property_type_name,
+  CAST(NULL AS VARCHAR) AS category, min(Area_sqm) AS typical_area_min, max(Area_sqm) AS typical_area_max
+FROM etl GROUP BY Property_Type"""
+    q["dim_purpose"] = with_(*ETL_CHAIN) + f"""
+SELECT {MD5MOD('Purpose')} AS purpose_key, Purpose AS purpose_name,
+  CAST(CASE WHEN Purpose = 'Investment' THEN 1 ELSE 0 END AS INTEGER) AS is_investment
+FROM (SELECT DISTINCT Purpose FROM etl)"""
+
+    q["mart_city_summary"] = with_(*STAR) + f"""
+SELECT c.city_name, CAST(count(*) AS BIGINT) AS total_transactions,
+  {R('sum(f.Transaction_Value)', 0)} AS total_value_sar, {R('avg(f.Transaction_Value)', 0)} AS avg_value_sar,
+  {R('avg(f.price_per_sqm)', 2)} AS avg_price_per_sqm, {R('avg(f.Area_sqm)', 1)} AS avg_area_sqm,
+  {R('avg(f.Demand_Score)', 2)} AS avg_demand_score, {R('avg(f.Vacancy_Rate) * 100', 2)} AS avg_vacancy_pct,
+  {R('avg(f.Interest_Rate) * 100', 2)} AS avg_interest_rate_pct
+FROM fact f JOIN dim_city c ON f.city_key = c.city_key
+GROUP BY c.city_name ORDER BY total_transactions DESC"""
+    q["mart_yearly_trend"] = with_(*STAR) + f"""
+SELECT year, CAST(count(*) AS BIGINT) AS total_transactions,
+  {R('sum(Transaction_Value)', 0)} AS total_value_sar, {R('avg(Transaction_Value)', 0)} AS avg_value_sar,
+  {R('avg(Demand_Score)', 3)} AS avg_demand, {R('avg(Supply_Score)', 3)} AS avg_supply,
+  {R('avg(Interest_Rate) * 100', 2)} AS avg_interest_rate_pct, {R('avg(Vacancy_Rate) * 100', 2)} AS avg_vacancy_pct
+FROM fact GROUP BY year ORDER BY year"""
+    q["mart_property_analysis"] = with_(*STAR) + f"""
+SELECT Property_Type AS property_type, CAST(count(*) AS BIGINT) AS total_transactions,
+  {R('avg(Transaction_Value)', 0)} AS avg_value_sar, {R('avg(Area_sqm)', 1)} AS avg_area_sqm,
+  {R('avg(price_per_sqm)', 2)} AS avg_price_per_sqm, {R('avg(Demand_Score)', 2)} AS avg_demand_score,
+  {R('sum(Transaction_Value)', 0)} AS total_market_value
+FROM fact GROUP BY Property_Type ORDER BY total_transactions DESC"""
+    q["mart_district_heatmap"] = with_(*STAR) + f"""
+SELECT c.city_name, d.district_name, CAST(count(*) AS BIGINT) AS transactions,
+  {R('avg(f.Transaction_Value)', 0)} AS avg_value, {R('avg(f.Demand_Score)', 2)} AS avg_demand,
+  {R('avg(f.Vacancy_Rate) * 100', 2)} AS vacancy_pct, {R('avg(f.price_per_sqm)', 2)} AS avg_price_sqm
+FROM fact f JOIN (SELECT DISTINCT city_key, city_name FROM dim_city) c ON f.city_key = c.city_key
+JOIN (SELECT DISTINCT district_key, district_name, city_name FROM dim_district) d
+  ON f.district_key = d.district_key AND d.city_name = c.city_name
+GROUP BY c.city_name, d.district_name ORDER BY transactions DESC"""
+    q["mart_value_band_distribution"] = with_(*STAR) + f"""
+SELECT f.value_band, c.city_name, CAST(count(*) AS BIGINT) AS count,
+  {R('avg(f.Area_sqm)', 1)} AS avg_area, {R('avg(f.Demand_Score)', 2)} AS avg_demand
+FROM fact f JOIN dim_city c ON f.city_key = c.city_key
+GROUP BY f.value_band, c.city_name ORDER BY f.value_band, count DESC"""
+    q["register_marts"] = with_(*STAR) + """
+SELECT 'mart_city_summary' AS view_name, CAST(count(DISTINCT c.city_name) AS BIGINT) AS row_count
+  FROM fact f JOIN dim_city c ON f.city_key = c.city_key
+UNION ALL SELECT 'mart_yearly_trend', CAST(count(DISTINCT coalesce(year, -1)) AS BIGINT) FROM fact
+UNION ALL SELECT 'mart_property_analysis', CAST(count(DISTINCT Property_Type) AS BIGINT) FROM fact
+UNION ALL SELECT 'mart_district_heatmap', CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT c.city_name, d.district_name
+  FROM fact f JOIN dim_city c ON f.city_key = c.city_key JOIN dim_district d
+  ON f.district_key = d.district_key AND d.city_name = c.city_name)
+UNION ALL SELECT 'mart_value_band_distribution', CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT f.value_band, c.city_name
+  FROM fact f JOIN dim_city c ON f.city_key = c.city_key)"""
+    q["yearly_mean_value"] = with_(*STAR) + f"SELECT year, {R('avg(Transaction_Value)', 2)} AS mean_value FROM etl GROUP BY year"
+    q["price_by_property_type"] = with_(*STAR) + \
+        f"SELECT Property_Type, {R('avg(price_per_sqm)', 2)} AS mean_price_per_sqm FROM fact GROUP BY Property_Type"
+    q["city_txn_ranking"] = with_(*STAR) + """
+SELECT City, transactions, CAST(rank() OVER (ORDER BY transactions DESC) AS INTEGER) AS rank
+FROM (SELECT City, CAST(count(Transaction_ID) AS BIGINT) AS transactions FROM etl GROUP BY City)"""
+    q["scd2_yearly_snapshots"] = with_(*STAR, SNAP) + "SELECT * FROM snap"
+    q["scd2_change_history"] = with_(*STAR, SNAP, HIST) + "SELECT * FROM versions"
+    q["assert_scd2_valid"] = with_(*STAR, SNAP, HIST) + """
+SELECT city_key, city_name, year, avg_price_per_sqm, avg_demand_score, avg_vacancy_rate, effective_date,
+  expiry_date, is_current, record_hash FROM snap WHERE expiry_date < effective_date
+UNION ALL
+SELECT city_key, city_name, CAST(year(effective_date) AS INTEGER), avg_price_per_sqm, avg_demand_score,
+  avg_vacancy_rate, effective_date, expiry_date, is_current, record_hash FROM versions
+WHERE expiry_date < effective_date"""
+
+    q["city_stats"] = with_(RAW, STG) + f"""
+SELECT city, {R('avg(transaction_value_sar)', 6)} AS city_avg_value, {R('avg(price_per_sqm)', 6)} AS city_avg_price_sqm,
+  {R('avg(demand_score)', 6)} AS city_avg_demand, {R('avg(vacancy_rate)', 6)} AS city_avg_vacancy
+FROM stg GROUP BY city"""
+    q["district_stats"] = with_(RAW, STG) + f"""
+SELECT city, district, CAST(count(*) AS BIGINT) AS district_txn_count,
+  {R('avg(transaction_value_sar)', 6)} AS district_avg_value, {R('avg(demand_score)', 6)} AS district_avg_demand
+FROM stg GROUP BY city, district"""
+    ENR = f"""enriched AS (
+  SELECT b.*, cs.city_avg_value, cs.city_avg_price_sqm, cs.city_avg_demand, cs.city_avg_vacancy,
+    {R('(b.transaction_value_sar - cs.city_avg_value) / NULLIF(cs.city_avg_value, 0) * 100', 2)} AS pct_above_city_avg,
+    ds.district_txn_count, ds.district_avg_value, ds.district_avg_demand
+  FROM scored b
+  LEFT JOIN (
+    SELECT city, {R('avg(transaction_value_sar)', 6)} AS city_avg_value, {R('avg(price_per_sqm)', 6)} AS city_avg_price_sqm,
+      {R('avg(demand_score)', 6)} AS city_avg_demand, {R('avg(vacancy_rate)', 6)} AS city_avg_vacancy
+    FROM stg GROUP BY city) cs ON b.city = cs.city
+  LEFT JOIN (SELECT city, district, CAST(count(*) AS BIGINT) AS district_txn_count,
+      {R('avg(transaction_value_sar)', 6)} AS district_avg_value, {R('avg(demand_score)', 6)} AS district_avg_demand
+    FROM stg GROUP BY city, district) ds ON b.city = ds.city AND b.district = ds.district
+)"""
+    q["int_transactions_enriched"] = with_(RAW, STG, SCORES, ENR) + "SELECT * FROM enriched"
+    q["pct_above_city_avg"] = with_(RAW, STG, SCORES, ENR) + \
+        "SELECT transaction_id, city, transaction_value_sar, pct_above_city_avg FROM enriched"
+    q["risk_score"] = with_(RAW, STG, SCORES) + "SELECT transaction_id, risk_score FROM scored"
+    q["investment_score"] = with_(RAW, STG, SCORES) + "SELECT transaction_id, investment_score FROM scored"
+    q["investment_score_basic"] = with_(RAW, STG) + \
+        f"SELECT transaction_id, {R('demand_score * 15 + (1 - vacancy_rate) * 10 - interest_rate * 50', 2)} " \
+        "AS investment_score_basic FROM stg"
+    q["mart_city_performance"] = with_(RAW, STG, SCORES) + f"""
+SELECT *, CAST(rank() OVER (PARTITION BY year ORDER BY avg_investment_score DESC NULLS LAST) AS INTEGER) AS investment_rank,
+  CAST(rank() OVER (PARTITION BY year ORDER BY total_transactions DESC) AS INTEGER) AS volume_rank
+FROM (
+  SELECT city, txn_year AS year, CAST(count(*) AS BIGINT) AS total_transactions,
+    CAST(count(DISTINCT district) AS BIGINT) AS active_districts,
+    CAST(sum(transaction_value_sar) AS BIGINT) AS total_market_value_sar,
+    {R('avg(transaction_value_sar)', 0)} AS avg_transaction_value,
+    {R('avg(price_per_sqm)', 2)} AS avg_price_per_sqm, {R('min(price_per_sqm)', 2)} AS min_price_per_sqm,
+    {R('max(price_per_sqm)', 2)} AS max_price_per_sqm, {R('avg(area_sqm)', 1)} AS avg_area_sqm,
+    {R('avg(demand_score)', 3)} AS avg_demand_score, {R('avg(supply_score)', 3)} AS avg_supply_score,
+    {R('avg(demand_supply_ratio)', 3)} AS avg_demand_supply_ratio,
+    {R('avg(vacancy_rate) * 100', 2)} AS avg_vacancy_pct, {R('avg(interest_rate) * 100', 2)} AS avg_interest_rate_pct,
+    {R('avg(risk_score)', 2)} AS avg_risk_score, {R('avg(investment_score)', 2)} AS avg_investment_score,
+    {R(f'sum(CASE WHEN demand_score > {MART_HIGH_DEMAND} THEN 1 ELSE 0 END) * CAST(100 AS DOUBLE) / count(*)', 2)}
+      AS high_demand_share_pct
+  FROM scored GROUP BY city, txn_year)
+ORDER BY year, total_transactions DESC"""
+    q["high_demand_share"] = with_(RAW, STG) + f"""
+SELECT city, CAST(count(*) AS BIGINT) AS total_transactions,
+  CAST(sum(CASE WHEN demand_score > {MART_HIGH_DEMAND} THEN 1 ELSE 0 END) AS BIGINT) AS high_demand_transactions,
+  {R(f'sum(CASE WHEN demand_score > {MART_HIGH_DEMAND} THEN 1 ELSE 0 END) * CAST(100 AS DOUBLE) / count(*)', 2)} AS high_demand_share_pct
+FROM stg GROUP BY city"""
+    q["assert_no_negative_prices"] = with_(RAW, STG) + "SELECT * FROM stg WHERE price_per_sqm < 0"
+
     return q
