@@ -12,10 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import investment_score_basic, round_half_up
-from tessera.operators import clean, scd2
-from tessera.plans import etl, layers, marts, spark_job, star
-from tessera.schema import ADAPTER_ORDER_COLUMNS, STANDARDISED_COLUMNS
+from tessera.operators import anomaly, clean, integrity, scd2
+from tessera.plans import dashboard, etl, layers, marts, quality, spark_job, star
+from tessera.schema import ADAPTER_ORDER_COLUMNS, STANDARDISED_COLUMNS, VALID_CITIES
 from tessera.sources.adapter import raw_transactions
+from tessera.sources.tables import table
+
+NUMERIC_RAW_COLUMNS = ["Transaction_Value", "Area_sqm", "Number_of_Units", "Contract_Duration", "Demand_Score",
+                       "Supply_Score", "Interest_Rate", "Infrastructure_Distance_KM",
+                       "Population_Migration_Inflow", "Vacancy_Rate"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -306,3 +311,140 @@ def q_high_demand_share(spark, sf_dir):
 @register("assert_no_negative_prices")
 def q_assert_no_negative_prices(spark, sf_dir):
     return layers.assert_no_negative_prices(_stg(spark, sf_dir))
+
+
+# ── data quality ──────────────────────────────────────────────────────────────
+def _suite(spark, sf_dir, kinds=None):
+    return quality.run_suite(_raw(spark, sf_dir), kinds=kinds)
+
+
+@register("dq_suite")
+def q_dq_suite(spark, sf_dir):
+    return _suite(spark, sf_dir)
+
+
+for _key, _kind in [("dq_no_nulls", "no_nulls"), ("dq_unique", "unique"), ("dq_values_in_set", "in_set"),
+                    ("dq_between", "between"), ("dq_date_range", "date_range"),
+                    ("dq_no_negative", "no_negative"), ("dq_row_count", "row_count"),
+                    ("dq_mean_between", "mean_between")]:
+    register(_key)((lambda k: lambda spark, sf_dir: _suite(spark, sf_dir, {k}))(_kind))
+
+
+@register("dq_summary")
+def q_dq_summary(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    return quality.summary(quality.run_suite(raw), raw)
+
+
+@register("dq_score")
+def q_dq_score(spark, sf_dir):
+    return quality.summary(_suite(spark, sf_dir)).select("quality_score")
+
+
+@register("dq_critical_failures")
+def q_dq_critical_failures(spark, sf_dir):
+    return quality.critical_failures(_suite(spark, sf_dir))
+
+
+@register("dq_gate")
+def q_dq_gate(spark, sf_dir):
+    return quality.summary(_suite(spark, sf_dir)).select("gate_passed", "critical_failures")
+
+
+@register("dq_column_profile")
+def q_dq_column_profile(spark, sf_dir):
+    return quality.column_profile(_raw(spark, sf_dir), NUMERIC_RAW_COLUMNS)
+
+
+@register("dq_report_json")
+def q_dq_report_json(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    return quality.report_json(quality.run_suite(raw), raw, run_id="run_query", run_timestamp="")
+
+
+@register("dq_referential_integrity")
+def q_dq_referential_integrity(spark, sf_dir):
+    e = _etl(spark, sf_dir)
+    return integrity.orphan_counts(star.fact_star_keyed(e), {
+        "city_key": star.dim_city(e), "district_key": star.dim_district(e), "date_key": star.dim_date(e),
+        "property_type_key": star.dim_property_type(e), "purpose_key": star.dim_purpose(e)})
+
+
+@register("assert_dim_keys_unique")
+def q_assert_dim_keys_unique(spark, sf_dir):
+    e = _etl(spark, sf_dir)
+    return integrity.duplicate_keys({
+        "dim_city": (star.dim_city(e), "city_key"), "dim_district": (star.dim_district(e), "district_key"),
+        "dim_date": (star.dim_date(e), "date_key"),
+        "dim_property_type": (star.dim_property_type(e), "property_type_key"),
+        "dim_purpose": (star.dim_purpose(e), "purpose_key")})
+
+
+@register("domain_except")
+def q_domain_except(spark, sf_dir):
+    return integrity.values_outside(_stg(spark, sf_dir), "city", VALID_CITIES)
+
+
+# ── anomalies ─────────────────────────────────────────────────────────────────
+def _anoms(df, col, id_col):
+    a = anomaly.zscore_anomalies(df, col)
+    return a.select(id_col, round_half_up(col, 4).alias(col), round_half_up("z_score", 6).alias("z_score"))
+
+
+@register("anomaly_zscore")
+def q_anomaly_zscore(spark, sf_dir):
+    return _anoms(_etl(spark, sf_dir), "Transaction_Value", "Transaction_ID")
+
+
+@register("anomaly_zscore_price")
+def q_anomaly_zscore_price(spark, sf_dir):
+    return _anoms(_etl(spark, sf_dir), "price_per_sqm", "Transaction_ID")
+
+
+@register("anomaly_zscore_events")
+def q_anomaly_zscore_events(spark, sf_dir):
+    return _anoms(table(spark, sf_dir, "events"), "value", "event_id")
+
+
+@register("anomaly_summary")
+def q_anomaly_summary(spark, sf_dir):
+    e = _etl(spark, sf_dir)
+    return (anomaly.anomaly_summary(e, "Transaction_Value")
+            .unionByName(anomaly.anomaly_summary(e, "price_per_sqm"))
+            .unionByName(anomaly.anomaly_summary(table(spark, sf_dir, "events"), "value")))
+
+
+# ── dashboard datasets ────────────────────────────────────────────────────────
+@register("dash_kpis")
+def q_dash_kpis(spark, sf_dir):
+    return dashboard.kpis(marts.mart_city_summary(_etl(spark, sf_dir)))
+
+
+@register("dash_property_share")
+def q_dash_property_share(spark, sf_dir):
+    return dashboard.property_share(marts.mart_property_analysis(_etl(spark, sf_dir)))
+
+
+@register("dash_city_series")
+def q_dash_city_series(spark, sf_dir):
+    return dashboard.city_series(marts.mart_city_summary(_etl(spark, sf_dir)))
+
+
+@register("dash_trend_series")
+def q_dash_trend_series(spark, sf_dir):
+    return dashboard.trend_series(marts.mart_yearly_trend(_etl(spark, sf_dir)))
+
+
+@register("dash_property_series")
+def q_dash_property_series(spark, sf_dir):
+    return dashboard.property_series(marts.mart_property_analysis(_etl(spark, sf_dir)))
+
+
+@register("dash_fallback_sample")
+def q_dash_fallback_sample(spark, sf_dir):
+    return dashboard.fallback_sample(_etl(spark, sf_dir))
+
+
+@register("dash_json_records")
+def q_dash_json_records(spark, sf_dir):
+    return dashboard.json_records(marts.mart_city_summary(_etl(spark, sf_dir)))

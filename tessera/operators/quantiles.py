@@ -1,41 +1,72 @@
-"""Exact quantiles (linear interpolation, as ``percentile_cont``) computed without
-holding all values — or all distinct values — in one task.
-
-Spark's exact ``percentile`` merges a value->count map of every distinct value into
-a single task. Here instead:
-
-1. the columns are stacked into (column, value) pairs and reduced to a histogram
-   (partial aggregation, so a value that holds a third of all rows costs one row per
-   map task);
-2. the histogram is range-partitioned on (column, value) — each task holds one
-   contiguous slice of sorted values;
-3. per-slice totals (one row per slice) give each slice's rank offset, and a running
-   sum inside the slice gives every distinct value its rank interval [lo, hi);
-4. for every requested probability p the two neighbouring ranks floor/ceil of
-   p*(n-1) are looked up by an equi-join on the column name plus a range condition,
-   and interpolated: v_lo + (v_hi - v_lo) * frac.
-
-Work per task is bounded by the slice size; only the per-slice totals (number of
-shuffle partitions x number of columns rows) are small enough to broadcast.
+"""Exact quantiles (linear interpolation, as ``percentile_cont``) with a checked
+bound on what any single task holds.
+
+Step 1 always runs: the columns are stacked into (column, value) pairs and reduced to
+a histogram (partial aggregation, so a value that holds a third of all rows costs one
+row per map task). The histogram is persisted and its size per column is counted.
+
+Step 2 depends on that size:
+
+* up to ``max_task_values`` distinct values per column, Spark's exact
+  ``percentile(value, p, frequency)`` runs over the histogram — its final merge holds
+  one entry per distinct value, which the check has just bounded;
+* above it, the histogram is range-partitioned on (column, value) so each task holds
+  one contiguous slice of sorted values; per-slice totals (one row per slice) give
+  each slice's rank offset, a running sum inside the slice gives every distinct value
+  its rank interval [lo, hi), and the neighbouring ranks floor/ceil of p*(n-1) are
+  found by an equi-join on the column plus a range condition, then interpolated.
+  Work per task is bounded by the slice size.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 
-def quantiles_long(df: DataFrame, spec: dict[str, list[float]], slices: int | None = None) -> DataFrame:
-    """Rows (column, p, value) — exact linear-interpolated quantiles, nulls/NaN ignored.
-    A column with no values gives a null quantile."""
-    spark = df.sparkSession
-    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    cols = list(spec)
+# Largest number of distinct values per column one task may merge.
+MAX_TASK_VALUES = 2_000_000
+
+
+def value_histogram(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(c, v, n): count of every distinct non-null, non-NaN value of each column."""
     stacked = (df.select(F.explode(F.array(*[
                     F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s"))
                  .select("s.c", "s.v")
                  .where(F.col("v").isNotNull() & ~F.isnan("v")))
-    hist = stacked.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    return stacked.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+
+
+def quantiles_long(df: DataFrame, spec: dict[str, list[float]], max_task_values: int = MAX_TASK_VALUES,
+                   slices: int | None = None) -> DataFrame:
+    """Rows (column, p, value) — exact linear-interpolated quantiles, nulls/NaN ignored.
+    A column with no values gives a null quantile."""
+    spark = df.sparkSession
+    cols = list(spec)
+    probs = [(c, float(p)) for c in cols for p in spec[c]]
+    hist = value_histogram(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = {r["c"]: r["k"] for r in hist.groupBy("c").agg(F.count(F.lit(1)).alias("k")).collect()}
+    if max(sizes.values(), default=0) <= max_task_values:
+        found = _merged_quantiles(hist, spec)
+    else:
+        found = _ranged_quantiles(hist, probs, slices or int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    # columns/probabilities without any value still get a (null) row
+    wanted = spark.createDataFrame(probs, "column string, p double")
+    return wanted.join(F.broadcast(found), ["column", "p"], "left")
+
+
+def _merged_quantiles(hist: DataFrame, spec: dict[str, list[float]]) -> DataFrame:
+    """Exact percentile over the (bounded) histogram: one group per column, one job."""
+    all_ps = sorted({float(p) for ps in spec.values() for p in ps})
+    arr = F.array(*[F.lit(p) for p in all_ps])
+    q = (hist.groupBy("c").agg(F.percentile("v", arr, F.col("n")).alias("qs"))
+             .select("c", F.posexplode("qs").alias("i", "value")))
+    return q.select(F.col("c").alias("column"), arr[F.col("i")].alias("p"), "value")
+
+
+def _ranged_quantiles(hist: DataFrame, probs: list[tuple[str, float]], slices: int) -> DataFrame:
+    """Exact quantiles from a range-partitioned histogram (no task holds more than a slice)."""
     ranged = (hist.repartitionByRange(slices, "c", "v")
                   .withColumn("slice", F.spark_partition_id()))
 
@@ -53,7 +84,6 @@ def quantiles_long(df: DataFrame, spec: dict[str, list[float]], slices: int | No
                            (F.col("offset") + F.col("cum")).alias("hi")))
 
     totals = offsets.groupBy("c").agg(F.max("total").alias("total"))
-    probs = [(c, float(p)) for c in cols for p in spec[c]]
     p_rows = F.array(*[F.struct(F.lit(c).alias("pc"), F.lit(p).alias("p")) for c, p in probs])
     pos = (F.col("total") - 1).cast("double") * F.col("p")
     targets = (totals.select("c", "total", F.explode(p_rows).alias("t"))
@@ -73,20 +103,18 @@ def quantiles_long(df: DataFrame, spec: dict[str, list[float]], slices: int | No
                        F.max("frac").alias("frac")))
     value = F.when(F.col("v_lo") == F.col("v_hi"), F.col("v_lo")).otherwise(
         F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac"))
-    found = found.select(F.col("c").alias("column"), "p", value.alias("value"))
-    # columns/probabilities without any value still get a (null) row
-    wanted = df.sparkSession.createDataFrame(probs, "column string, p double")
-    return wanted.join(found, ["column", "p"], "left")
+    return found.select(F.col("c").alias("column"), "p", value.alias("value"))
 
 
-def quantiles_row(df: DataFrame, named: dict[str, tuple[str, float]]) -> DataFrame:
+def quantiles_row(df: DataFrame, named: dict[str, tuple[str, float]],
+                  max_task_values: int = MAX_TASK_VALUES) -> DataFrame:
     """One row with a column per name: ``{"lo": ("Transaction_Value", 0.01), ...}``."""
     spec: dict[str, list[float]] = {}
     for c, p in named.values():
         spec.setdefault(c, [])
         if p not in spec[c]:
             spec[c].append(p)
-    long = quantiles_long(df, spec)
+    long = quantiles_long(df, spec, max_task_values)
     return long.agg(*[
         F.max(F.when((F.col("column") == c) & (F.col("p") == float(p)), F.col("value"))).alias(name)
         for name, (c, p) in named.items()])

@@ -225,6 +225,127 @@ versions AS (
 )"""
 
 
+
+def TH(x):
+    return f"format('{{:,}}', CAST({x} AS BIGINT))"
+
+
+def FIX(x, n):
+    return (f"coalesce(CAST(CAST(ROUND(TRY_CAST(({x}) AS DECIMAL(38,10)), {n}) AS DECIMAL(38,{n})) AS VARCHAR), "
+            "'nan')")
+
+
+def SHORT(x, n):
+    t = FIX(x, n)
+    if n == 0:
+        return f"(CASE WHEN {t} = 'nan' THEN 'nan' ELSE {t} || '.0' END)"
+    tr = f"regexp_replace({t}, '0+$', '')"
+    return f"(CASE WHEN {t} = 'nan' THEN 'nan' WHEN ends_with({tr}, '.') THEN {tr} || '0' ELSE {tr} END)"
+
+
+def PYLIST(arr):
+    return f"('[' || array_to_string(list_transform({arr}, lambda x: coalesce(chr(39) || x || chr(39), 'nan')), ', ') || ']')"
+
+
+def _check_sql(i, c, src="raw"):
+    from tessera.plans.quality import _num_text
+    k, p, col = c.kind, c.params, c.column
+    head = f"SELECT {i} AS check_id, '{c.name}' AS name, '{col}' AS \"column\", "
+    tail = f", '{c.severity}' AS severity"
+    num_types = ("Transaction_Value", "Area_sqm", "Demand_Score", "Supply_Score", "Interest_Rate",
+                 "Infrastructure_Distance_KM", "Vacancy_Rate")
+    isnull = f"({col} IS NULL OR isnan({col}))" if col in num_types else f"({col} IS NULL)"
+    clean = f"(CASE WHEN isnan({col}) THEN NULL ELSE {col} END)" if col in num_types else f"CAST({col} AS DOUBLE)"
+    if k == "no_nulls":
+        return (head + "n = 0 AS passed" + tail + ", CAST(n AS VARCHAR) AS observed_value, '0 nulls' AS expected, "
+                f"CASE WHEN n > 0 THEN {TH('n')} || ' null values found' ELSE 'All values present' END AS details "
+                f"FROM (SELECT count_if({isnull}) AS n FROM {src})")
+    if k == "unique":
+        return (head + "n = 0 AS passed" + tail + ", CAST(n AS VARCHAR) AS observed_value, '0 duplicates' AS expected, "
+                f"CASE WHEN n > 0 THEN {TH('n')} || ' duplicates found' ELSE 'All values unique' END AS details "
+                f"FROM (SELECT CAST(count(*) - count(DISTINCT {col}) - max(CASE WHEN {col} IS NULL THEN 1 ELSE 0 END) "
+                f"AS BIGINT) AS n FROM {src})")
+    if k == "no_negative":
+        return (head + "n = 0 AS passed" + tail + ", CAST(n AS VARCHAR) AS observed_value, "
+                "'No negative values' AS expected, "
+                f"CASE WHEN n > 0 THEN {TH('n')} || ' negative values found' ELSE 'All values non-negative' END AS details "
+                f"FROM (SELECT count_if({col} < 0) AS n FROM {src})")
+    if k == "in_set":
+        vals = ", ".join(f"'{v}'" for v in p["values"])
+        bad = f"NOT coalesce({col} IN ({vals}), false)"
+        exp = "Values in {" + ", ".join(f"''{v}''" for v in sorted(p["values"])) + "}"
+        return (head + "n = 0 AS passed" + tail + f", {PYLIST('vals')} AS observed_value, '{exp}' AS expected, "
+                f"CASE WHEN n = 0 THEN '' ELSE 'Invalid values: ' || {PYLIST('list_slice(vals, 1, 5)')} END AS details "
+                f"FROM (SELECT count_if({bad}) AS n FROM {src}), "
+                f"(SELECT coalesce(list(v ORDER BY v NULLS FIRST), []) AS vals FROM "
+                f"(SELECT DISTINCT {col} AS v FROM {src} WHERE {bad} ORDER BY v NULLS FIRST LIMIT 10))")
+    if k == "between":
+        pct = "CAST(n AS DOUBLE) / NULLIF(CAST(rws AS DOUBLE), 0) * 100"
+        return (head + "n = 0 AS passed" + tail + f", {TH('n')} || ' (' || {SHORT(pct, 2)} || '%)' AS observed_value, "
+                f"'[{_num_text(p['min'])}, {_num_text(p['max'])}]' AS expected, "
+                f"'Min=' || {FIX('mn', 2)} || ', Max=' || {FIX('mx', 2)} || ', Mean=' || {FIX('av', 2)} AS details "
+                f"FROM (SELECT count_if({col} < {p['min']} OR {col} > {p['max']}) AS n, count(*) AS rws, "
+                f"min({clean}) AS mn, max({clean}) AS mx, avg({clean}) AS av FROM {src})")
+    if k == "date_range":
+        d = f"TRY_CAST({col} AS DATE)"
+        return (head + "n = 0 AS passed" + tail + f", {TH('n')} || ' out-of-range' AS observed_value, "
+                f"'{p['min']} → {p['max']}' AS expected, "
+                "'Date range in data: ' || coalesce(CAST(mn AS VARCHAR), 'NaT') || ' → ' || "
+                "coalesce(CAST(mx AS VARCHAR), 'NaT') AS details "
+                f"FROM (SELECT count_if({d} < DATE '{p['min']}' OR {d} > DATE '{p['max']}') AS n, "
+                f"min({d}) AS mn, max({d}) AS mx FROM {src})")
+    if k == "row_count":
+        exp = int(p["expected"])
+        diff = f"CAST(abs(n - {exp}) AS DOUBLE) / CAST({exp} AS DOUBLE)"
+        return (head + f"{diff} <= {float(p['tolerance'])} AS passed" + tail + f", {TH('n')} AS observed_value, "
+                f"'{exp:,} ± {p['tolerance'] * 100:.0f}%' AS expected, "
+                f"'Difference: ' || {FIX(diff + ' * 100', 2)} || '%' AS details "
+                f"FROM (SELECT count(*) AS n FROM {src})")
+    if k == "mean_between":
+        return (head + f"coalesce(m >= {float(p['min'])} AND m <= {float(p['max'])}, false) AS passed" + tail
+                + f", {SHORT('m', 4)} AS observed_value, "
+                f"'mean in [{_num_text(p['min'])}, {_num_text(p['max'])}]' AS expected, '' AS details "
+                f"FROM (SELECT avg({clean}) AS m FROM {src})")
+    raise ValueError(k)
+
+
+def SUITE(kinds=None, name="suite"):
+    from tessera.plans.quality import default_suite
+    parts = [_check_sql(i + 1, c) for i, c in enumerate(default_suite()) if kinds is None or c.kind in kinds]
+    return f"{name} AS (\n" + "\nUNION ALL\n".join(parts) + "\n)"
+
+
+def Z(src, col, idc):
+    return (f"SELECT {idc}, {R(col, 4)} AS {col}, {R('z', 6)} AS z_score FROM ("
+            f"SELECT {idc}, {col}, ({col} - m) / NULLIF(sd, 0) AS z FROM {src}, "
+            f"(SELECT avg({col}) AS m, stddev_samp({col}) AS sd FROM {src})) WHERE abs(z) > 3.0")
+
+
+def ZSUM(src, col):
+    return (f"SELECT '{col}' AS \"column\", CAST(count(*) AS BIGINT) AS total_rows, "
+            f"CAST(count_if(abs(({col} - m) / NULLIF(sd, 0)) > 3.0) AS BIGINT) AS anomalies, "
+            f"coalesce({R('CAST(count_if(abs((' + col + ' - m) / NULLIF(sd, 0)) > 3.0) AS DOUBLE) / NULLIF(CAST(count(*) AS DOUBLE), 0) * 100', 2)}, 0.0) AS anomaly_pct "
+            f"FROM {src}, (SELECT avg({col}) AS m, stddev_samp({col}) AS sd FROM {src})")
+
+
+CITY_SUMMARY = f"""city_summary AS (
+SELECT c.city_name, CAST(count(*) AS BIGINT) AS total_transactions,
+  {R('sum(f.Transaction_Value)', 0)} AS total_value_sar, {R('avg(f.Transaction_Value)', 0)} AS avg_value_sar,
+  {R('avg(f.price_per_sqm)', 2)} AS avg_price_per_sqm, {R('avg(f.Area_sqm)', 1)} AS avg_area_sqm,
+  {R('avg(f.Demand_Score)', 2)} AS avg_demand_score, {R('avg(f.Vacancy_Rate) * 100', 2)} AS avg_vacancy_pct,
+  {R('avg(f.Interest_Rate) * 100', 2)} AS avg_interest_rate_pct
+FROM fact f JOIN dim_city c ON f.city_key = c.city_key GROUP BY c.city_name)"""
+PROPERTY = f"""prop AS (
+SELECT Property_Type AS property_type, CAST(count(*) AS BIGINT) AS total_transactions,
+  {R('avg(Transaction_Value)', 0)} AS avg_value_sar, {R('avg(Area_sqm)', 1)} AS avg_area_sqm,
+  {R('avg(price_per_sqm)', 2)} AS avg_price_per_sqm, {R('avg(Demand_Score)', 2)} AS avg_demand_score,
+  {R('sum(Transaction_Value)', 0)} AS total_market_value
+FROM fact GROUP BY Property_Type)"""
+TREND = f"""trend AS (
+SELECT year, CAST(count(*) AS BIGINT) AS total_transactions, {R('avg(Transaction_Value)', 0)} AS avg_value_sar
+FROM fact GROUP BY year)"""
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -436,4 +557,77 @@ SELECT city, CAST(count(*) AS BIGINT) AS total_transactions,
 FROM stg GROUP BY city"""
     q["assert_no_negative_prices"] = with_(RAW, STG) + "SELECT * FROM stg WHERE price_per_sqm < 0"
 
+    q["dq_suite"] = with_(RAW, SUITE()) + "SELECT * FROM suite"
+    for key, kind in [("dq_no_nulls", "no_nulls"), ("dq_unique", "unique"), ("dq_values_in_set", "in_set"),
+                      ("dq_between", "between"), ("dq_date_range", "date_range"),
+                      ("dq_no_negative", "no_negative"), ("dq_row_count", "row_count"),
+                      ("dq_mean_between", "mean_between")]:
+        q[key] = with_(RAW, SUITE({kind})) + "SELECT * FROM suite"
+    SUMMARY = f"""summ AS (SELECT CAST(count(*) AS BIGINT) AS total_checks, CAST(count_if(passed) AS BIGINT) AS passed,
+  CAST(count_if(NOT passed) AS BIGINT) AS failed,
+  CAST(count_if(NOT passed AND severity = 'critical') AS BIGINT) AS critical_failures,
+  coalesce({R('CAST(count_if(passed) AS DOUBLE) / NULLIF(CAST(count(*) AS DOUBLE), 0) * 100', 2)}, 0.0) AS quality_score,
+  count_if(NOT passed AND severity = 'critical') = 0 AS gate_passed FROM suite)"""
+    q["dq_summary"] = with_(RAW, SUITE(), SUMMARY) + \
+        "SELECT *, (SELECT CAST(count(*) AS BIGINT) FROM raw) AS total_rows, 'Housing_Market_SA_1M' AS dataset FROM summ"
+    q["dq_score"] = with_(RAW, SUITE(), SUMMARY) + "SELECT quality_score FROM summ"
+    q["dq_gate"] = with_(RAW, SUITE(), SUMMARY) + "SELECT gate_passed, critical_failures FROM summ"
+    q["dq_critical_failures"] = with_(RAW, SUITE()) + \
+        "SELECT * FROM suite WHERE NOT passed AND severity = 'critical'"
+    from tessera.catalog import NUMERIC_RAW_COLUMNS
+    prof = []
+    for c in NUMERIC_RAW_COLUMNS:
+        v = f"(CASE WHEN isnan(CAST({c} AS DOUBLE)) THEN NULL ELSE CAST({c} AS DOUBLE) END)"
+        prof.append(f"SELECT '{c}' AS \"column\", {R(f'min({v})', 2)} AS min_value, {R(f'max({v})', 2)} AS max_value, "
+                    f"{R(f'avg({v})', 2)} AS mean_value FROM raw")
+    q["dq_column_profile"] = with_(RAW) + "\nUNION ALL\n".join(prof)
+    FSK = f"""fsk AS (SELECT CAST(year(Date) * 10000 + month(Date) * 100 + day(Date) AS INTEGER) AS date_key,
+  city_key, district_key, {MD5MOD('Property_Type')} AS property_type_key, {MD5MOD('Purpose')} AS purpose_key FROM etl)"""
+    orphan = []
+    for key in ["city_key", "district_key", "date_key", "property_type_key", "purpose_key"]:
+        orphan.append(f"SELECT '{key}' AS foreign_key, CAST(count(*) AS BIGINT) AS orphans FROM fsk "
+                      f"WHERE {key} IS NOT NULL AND {key} NOT IN (SELECT {key} FROM fsk WHERE {key} IS NOT NULL)")
+    q["dq_referential_integrity"] = with_(*ETL_CHAIN, FSK) + "\nUNION ALL\n".join(orphan)
+    dims = {
+        "dim_city": "SELECT DISTINCT city_key AS k, City FROM etl",
+        "dim_district": "SELECT DISTINCT district_key AS k, District, city_key, City FROM etl",
+        "dim_date": "SELECT DISTINCT CAST(year(Date) * 10000 + month(Date) * 100 + day(Date) AS INTEGER) AS k, Date FROM etl",
+        "dim_property_type": f"SELECT DISTINCT {MD5MOD('Property_Type')} AS k, Property_Type FROM etl",
+        "dim_purpose": f"SELECT DISTINCT {MD5MOD('Purpose')} AS k, Purpose FROM etl",
+    }
+    dup = [f"SELECT '{n}' AS table_name, CAST(k AS BIGINT) AS key_value, CAST(count(*) AS BIGINT) AS rows "
+           f"FROM ({sql}) GROUP BY k HAVING count(*) > 1" for n, sql in dims.items()]
+    q["assert_dim_keys_unique"] = with_(*ETL_CHAIN) + "\nUNION ALL\n".join(dup)
+    from tessera.schema import VALID_CITIES
+    vc = ", ".join(f"'{v}'" for v in VALID_CITIES)
+    q["domain_except"] = with_(RAW, STG) + \
+        f"SELECT DISTINCT city AS value FROM stg WHERE NOT coalesce(city IN ({vc}), false)"
+
+    q["anomaly_zscore"] = with_(*ETL_CHAIN) + Z("etl", "Transaction_Value", "Transaction_ID")
+    q["anomaly_zscore_price"] = with_(*ETL_CHAIN) + Z("etl", "price_per_sqm", "Transaction_ID")
+    q["anomaly_zscore_events"] = Z("events", "value", "event_id")
+    q["anomaly_summary"] = with_(*ETL_CHAIN) + ZSUM("etl", "Transaction_Value") + "\nUNION ALL\n" + \
+        ZSUM("etl", "price_per_sqm") + "\nUNION ALL\n" + ZSUM("events", "value")
+
+    q["dash_kpis"] = with_(*STAR, CITY_SUMMARY) + f"""
+SELECT CAST(sum(total_transactions) AS BIGINT) AS total_transactions, sum(total_value_sar) AS total_value_sar,
+  {R('sum(total_value_sar) / CAST(sum(total_transactions) AS DOUBLE)', 0)} AS avg_value_sar,
+  {R('avg(coalesce(avg_demand_score, 0))', 2)} AS avg_demand_score,
+  {R('avg(coalesce(avg_vacancy_pct, 0))', 1)} AS avg_vacancy_pct
+FROM city_summary"""
+    q["dash_property_share"] = with_(*STAR, PROPERTY) + f"""
+SELECT property_type, total_transactions,
+  {R('total_transactions * CAST(100 AS DOUBLE) / (SELECT sum(total_transactions) FROM prop)', 2)} AS share_pct
+FROM prop"""
+    q["dash_city_series"] = with_(*STAR, CITY_SUMMARY) + \
+        "SELECT city_name, total_transactions, avg_value_sar FROM city_summary"
+    q["dash_trend_series"] = with_(*STAR, TREND) + "SELECT year, avg_value_sar, total_transactions FROM trend"
+    q["dash_property_series"] = with_(*STAR, PROPERTY) + """
+SELECT property_type, total_transactions, coalesce(NULLIF(avg_price_per_sqm, 0), avg_value_sar) AS bar_value
+FROM prop"""
+    q["dash_fallback_sample"] = with_(*ETL_CHAIN) + f"""
+SELECT City, CAST(count(Transaction_ID) AS BIGINT) AS total_transactions,
+  {R('avg(Transaction_Value)', 2)} AS avg_value_sar
+FROM (SELECT * FROM etl ORDER BY Transaction_ID LIMIT 50000) GROUP BY City"""
+
     return q

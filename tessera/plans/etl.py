@@ -4,11 +4,11 @@ parse dates -> time features -> drop null critical -> dedup (keep first) ->
 positive value/area -> clip value at the 1st/99th percentile -> derived metrics ->
 standardise strings -> high-demand flag vs median -> surrogate keys.
 
-Plan shape: one scan of the raw input, one shuffle for the dedup aggregate, and a
-statistics branch (exact percentiles of the value and median of demand, computed
-together from one histogram) that ends in a single row broadcast back to the rows.
-The deduplicated rows feed both branches through the same exchange (Spark reuses
-it), so the input is read once.
+Plan shape: one scan of the raw input and one shuffle for the dedup aggregate; the
+deduplicated rows are written once to the shared checkpoint folder (they feed two
+branches, and the write cuts the lineage so a lost executor does not redo the
+dedup). The statistics branch (exact percentiles of the value and median of demand,
+from one histogram) ends in a single row that is broadcast back to the rows.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import clean
 from tessera.operators.quantiles import quantiles_row
+from tessera.session import materialize
 from tessera.schema import ADAPTER_ORDER_COLUMNS, CLIP_HIGH, CLIP_LOW, CRITICAL_COLUMNS, RAW_COLUMNS
 
 ETL_COLUMNS = RAW_COLUMNS + ["year", "month", "quarter", "day_of_week", "year_month", "price_per_sqm",
@@ -42,8 +43,11 @@ def etl_stats(rows: DataFrame) -> DataFrame:
     })
 
 
-def etl_clean(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS) -> DataFrame:
+def etl_clean(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS,
+              materialize_rows: bool = True) -> DataFrame:
     rows = deduplicated(raw, order_cols)
+    if materialize_rows:
+        rows = materialize(rows.drop(*order_cols), "etl-dedup")
     stats = etl_stats(rows)
     clipped = clean.clip_to(rows, "Transaction_Value", stats.select("lower", "upper"))
     med = stats.select(F.col("median_demand").alias("__median"))
