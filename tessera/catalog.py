@@ -10,13 +10,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.exprs import investment_score_basic, round_half_up
 from tessera.operators import anomaly, clean, integrity, scd2
 from tessera.plans import dashboard, etl, layers, marts, quality, spark_job, star
-from tessera.schema import ADAPTER_ORDER_COLUMNS, STANDARDISED_COLUMNS, VALID_CITIES
+from tessera.schema import ADAPTER_ORDER_COLUMNS, CHUNK_ROWS, RAW_SCHEMA, STANDARDISED_COLUMNS, VALID_CITIES
+from tessera.session import scratch_path
+from tessera.sinks import writers
+from tessera.sources import files
 from tessera.sources.adapter import raw_transactions
-from tessera.sources.tables import table
+from tessera.sources.tables import row_count, scan_table, table
+from tessera.streaming import ingest
 
 NUMERIC_RAW_COLUMNS = ["Transaction_Value", "Area_sqm", "Number_of_Units", "Contract_Duration", "Demand_Score",
                        "Supply_Score", "Interest_Rate", "Infrastructure_Distance_KM",
@@ -359,7 +364,9 @@ def q_dq_column_profile(spark, sf_dir):
 @register("dq_report_json")
 def q_dq_report_json(spark, sf_dir):
     raw = _raw(spark, sf_dir)
-    return quality.report_json(quality.run_suite(raw), raw, run_id="run_query", run_timestamp="")
+    doc = quality.report_json(quality.run_suite(raw), raw, run_id="run_query", run_timestamp="")
+    path = writers.write_json(doc, scratch_path(spark, "dq-report"))
+    return spark.read.json(path)
 
 
 @register("dq_referential_integrity")
@@ -448,3 +455,128 @@ def q_dash_fallback_sample(spark, sf_dir):
 @register("dash_json_records")
 def q_dash_json_records(spark, sf_dir):
     return dashboard.json_records(marts.mart_city_summary(_etl(spark, sf_dir)))
+
+
+# ── sources ───────────────────────────────────────────────────────────────────
+ORDER_FIELDS = [T.StructField("l_partkey", T.LongType()), T.StructField("l_suppkey", T.LongType()),
+                T.StructField("l_extendedprice", T.DoubleType())]
+
+
+def _raw_csv(spark, sf_dir, chunk_rows=None):
+    path = scratch_path(spark, "raw-csv")
+    files.write_csv(_raw(spark, sf_dir, with_order=True), path, chunk_rows=chunk_rows)
+    return path
+
+
+@register("scan_csv_typed")
+def q_scan_csv_typed(spark, sf_dir):
+    return files.scan_csv_typed(spark, _raw_csv(spark, sf_dir), files.raw_schema_with(ORDER_FIELDS))
+
+
+@register("scan_csv_inferred")
+def q_scan_csv_inferred(spark, sf_dir):
+    return files.scan_csv_inferred(spark, _raw_csv(spark, sf_dir))
+
+
+@register("union_chunks")
+def q_union_chunks(spark, sf_dir):
+    path = _raw_csv(spark, sf_dir, chunk_rows=CHUNK_ROWS // 10)
+    return files.read_chunks(spark, files.chunk_files(spark, path), files.raw_schema_with(ORDER_FIELDS))
+
+
+@register("scan_bronze")
+def q_scan_bronze(spark, sf_dir):
+    return files.register_bronze(_raw(spark, sf_dir))
+
+
+@register("row_count")
+def q_row_count(spark, sf_dir):
+    return row_count(_raw(spark, sf_dir))
+
+
+@register("scan_table")
+def q_scan_table(spark, sf_dir):
+    path = writers.replace_table(_fact(spark, sf_dir), scratch_path(spark, "fact"))
+    return scan_table(spark, path).withColumn("Transaction_Value", round_half_up("Transaction_Value", 4))
+
+
+# ── sinks (write, then read back) ─────────────────────────────────────────────
+@register("sink_parquet_partitioned")
+def q_sink_parquet_partitioned(spark, sf_dir):
+    path = writers.write_parquet_city_year(_etl(spark, sf_dir), scratch_path(spark, "processed"))
+    back = spark.read.parquet(path).drop("city").withColumnRenamed("city_name", "City")
+    return back.select(*etl.ETL_COLUMNS).withColumn("Transaction_Value", round_half_up("Transaction_Value", 4))
+
+
+@register("sink_parquet_city_year")
+def q_sink_parquet_city_year(spark, sf_dir):
+    h = _housing(spark, sf_dir)
+    path = writers.write_partitioned(h, scratch_path(spark, "spark-output"), ["City", "year"])
+    return spark.read.parquet(path).select(*h.columns)
+
+
+@register("sink_csv_summary")
+def q_sink_csv_summary(spark, sf_dir):
+    s = spark_job.spark_city_summary(_housing(spark, sf_dir))
+    path = writers.write_csv_summary(s, scratch_path(spark, "city-summary"))
+    return files.scan_csv_typed(spark, path, s.schema)
+
+
+@register("sink_table_replace")
+def q_sink_table_replace(spark, sf_dir):
+    e = _etl(spark, sf_dir)
+    tables = {"fact_transactions": star.fact_transactions(e), "dim_city": star.dim_city(e),
+              "dim_district": star.dim_district(e), "dim_date": star.dim_date(e),
+              "scd2_city_metrics": scd2.yearly_snapshots(e)}
+    parts = []
+    for name, df in tables.items():
+        path = writers.replace_table(df, scratch_path(spark, name))
+        parts.append(row_count(scan_table(spark, path)).select(F.lit(name).alias("table_name"), "row_count"))
+    return files.union_chunks(parts)
+
+
+@register("anomaly_csv_roundtrip")
+def q_anomaly_csv_roundtrip(spark, sf_dir):
+    a = _anoms(table(spark, sf_dir, "events"), "value", "event_id")
+    path, _ = writers.write_if_any(a, scratch_path(spark, "anomalies"))
+    if path is None:
+        return a.limit(0)
+    return files.scan_csv_typed(spark, path, a.schema)
+
+
+@register("layers_materialize")
+def q_layers_materialize(spark, sf_dir):
+    base = scratch_path(spark, "lake")
+    raw = _raw(spark, sf_dir, with_order=True)
+    e = etl.etl_clean(raw)
+    layout = {("bronze", "transactions_raw"): raw, ("silver", "transactions_clean"): e}
+    for name, fn in marts.MARTS.items():
+        layout[("gold", name)] = fn(e)
+    parts = []
+    for (layer, name), df in layout.items():
+        path = writers.replace_table(df, f"{base}/{layer}/{name}")
+        parts.append(row_count(scan_table(spark, path)).select(
+            F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "row_count"))
+    return files.union_chunks(parts)
+
+
+# ── streaming ─────────────────────────────────────────────────────────────────
+def _landing(spark, sf_dir):
+    landing = scratch_path(spark, "landing")
+    ingest.land_files(_raw(spark, sf_dir), landing)
+    return landing
+
+
+@register("stream_ingest_clean")
+def q_stream_ingest_clean(spark, sf_dir):
+    return ingest.ingest_clean(spark, _landing(spark, sf_dir), RAW_SCHEMA)
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    return ingest.dedup_stream(spark, _landing(spark, sf_dir), RAW_SCHEMA).select("Transaction_ID")
+
+
+@register("stream_monthly_trend")
+def q_stream_monthly_trend(spark, sf_dir):
+    return ingest.monthly_trend(spark, _landing(spark, sf_dir), RAW_SCHEMA)

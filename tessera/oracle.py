@@ -630,4 +630,48 @@ SELECT City, CAST(count(Transaction_ID) AS BIGINT) AS total_transactions,
   {R('avg(Transaction_Value)', 2)} AS avg_value_sar
 FROM (SELECT * FROM etl ORDER BY Transaction_ID LIMIT 50000) GROUP BY City"""
 
+    order_cols = f"{RAW_COLS}, l_partkey, l_suppkey, l_extendedprice"
+    q["scan_csv_typed"] = with_(RAW) + f"SELECT {order_cols} FROM raw"
+    q["union_chunks"] = with_(RAW) + f"SELECT {order_cols} FROM raw"
+    q["scan_bronze"] = with_(RAW) + f"SELECT {RAW_COLS} FROM raw"
+    q["row_count"] = with_(RAW) + "SELECT CAST(count(*) AS BIGINT) AS row_count FROM raw"
+    q["scan_table"] = q["fact_transactions"]
+    q["sink_parquet_partitioned"] = q["etl_clean"]
+    q["sink_parquet_city_year"] = q["spark_features"]
+    q["sink_csv_summary"] = q["spark_city_summary"]
+    q["anomaly_csv_roundtrip"] = q["anomaly_zscore_events"]
+    q["sink_table_replace"] = with_(*STAR, SNAP) + """
+SELECT 'fact_transactions' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM fact
+UNION ALL SELECT 'dim_city', CAST(count(*) AS BIGINT) FROM dim_city
+UNION ALL SELECT 'dim_district', CAST(count(*) AS BIGINT) FROM dim_district
+UNION ALL SELECT 'dim_date', CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT Date, year, month, quarter, day_of_week, year_month FROM etl)
+UNION ALL SELECT 'scd2_city_metrics', CAST(count(*) AS BIGINT) FROM snap"""
+    q["layers_materialize"] = with_(*STAR) + """
+SELECT 'bronze' AS layer, 'transactions_raw' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM raw
+UNION ALL SELECT 'silver', 'transactions_clean', CAST(count(*) AS BIGINT) FROM etl
+UNION ALL SELECT 'gold', 'mart_city_summary', CAST(count(DISTINCT c.city_name) AS BIGINT)
+  FROM fact f JOIN dim_city c ON f.city_key = c.city_key
+UNION ALL SELECT 'gold', 'mart_yearly_trend', CAST(count(DISTINCT coalesce(year, -1)) AS BIGINT) FROM fact
+UNION ALL SELECT 'gold', 'mart_property_analysis', CAST(count(DISTINCT Property_Type) AS BIGINT) FROM fact
+UNION ALL SELECT 'gold', 'mart_district_heatmap', CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT c.city_name, d.district_name
+  FROM fact f JOIN dim_city c ON f.city_key = c.city_key JOIN dim_district d
+  ON f.district_key = d.district_key AND d.city_name = c.city_name)
+UNION ALL SELECT 'gold', 'mart_value_band_distribution', CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT f.value_band, c.city_name
+  FROM fact f JOIN dim_city c ON f.city_key = c.city_key)"""
+    SCLEAN = f"""sclean AS (
+  SELECT Transaction_ID, Date, {_std('City')} AS City, {_std('District')} AS District,
+    {_std('Property_Type')} AS Property_Type, Transaction_Value, Area_sqm, Number_of_Units, Contract_Duration,
+    {_std('Purpose')} AS Purpose, Demand_Score, Supply_Score, Interest_Rate, Infrastructure_Distance_KM,
+    Population_Migration_Inflow, Vacancy_Rate,
+    CAST(year(Date) AS INTEGER) AS year, CAST(month(Date) AS INTEGER) AS month,
+    CAST(quarter(Date) AS INTEGER) AS quarter, CAST(isodow(Date) - 1 AS INTEGER) AS day_of_week,
+    strftime(Date, '%Y-%m') AS year_month, {BAND_LEFT('Transaction_Value')} AS value_band,
+    {MD5MOD(_std('City'))} AS city_key, {MD5MOD(_std('District'))} AS district_key
+  FROM nn WHERE Transaction_Value > 0 AND Area_sqm > 0)"""
+    q["stream_ingest_clean"] = with_(RAW, PARSED, NN, SCLEAN) + "SELECT * FROM sclean"
+    q["stream_dedup"] = with_(RAW, PARSED, NN, SCLEAN) + "SELECT DISTINCT Transaction_ID FROM sclean"
+    q["stream_monthly_trend"] = with_(RAW, PARSED, NN, SCLEAN) + f"""
+SELECT year_month, CAST(count(*) AS BIGINT) AS transactions, {R('sum(Transaction_Value)', 0)} AS total_value
+FROM sclean GROUP BY year_month"""
+
     return q

@@ -68,4 +68,7 @@ FALLBACK_SAMPLE_ROWS = 50_000
 CHUNK_ROWS = 200_000
 # Weekend days for dim_date, Monday = 0 (the original defines none; Saturday, Sunday).
 WEEKEND_DAYS = [5, 6]
+# Text tokens read as missing values in raw string columns.
+NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+             "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 # ──────────────────────────────────────────────────────────────────────────────
