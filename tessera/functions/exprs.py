@@ -19,12 +19,22 @@ def dbl(x) -> Column:
 
 
 # ── rounding ──────────────────────────────────────────────────────────────────
-def round_half_up(col, scale: int, precision: int = 28, work_scale: int = 8) -> Column:
-    """Round half-up on the decimal value, returned as double.
+def round_half_up(col, scale: int) -> Column:
+    """Round half away from zero: sign(x) * floor(|x| * 10^scale + 0.5) / 10^scale.
 
-    Rounding a double directly is engine dependent (binary vs decimal half-way
-    handling); going through a fixed decimal makes the result the same everywhere."""
-    return F.round(_c(col).try_cast(f"decimal({precision},{work_scale})"), scale).cast("double")
+    Plain IEEE-754 arithmetic (codegen'd, no BigDecimal per row), so any engine that
+    evaluates the same expression gets the same bits. Null and NaN pass through."""
+    x = _c(col).cast("double")
+    f = float(10 ** scale)
+    r = F.signum(x) * F.floor(F.abs(x) * f + 0.5).cast("double") / f
+    return F.when(x.isNull() | F.isnan(x), x).otherwise(r)
+
+
+def round_agg(col, scale: int, snap: int = 8) -> Column:
+    """Round an aggregated value (average, ratio of sums): first snap to ``snap``
+    places to drop summation-order noise (engines and partitionings add doubles in
+    different orders), then round half away from zero to ``scale`` places."""
+    return round_half_up(round_half_up(col, snap), scale)
 
 
 def nullif_zero(col) -> Column:
@@ -38,22 +48,27 @@ def ratio(num, den, scale: int | None = None) -> Column:
 
 
 # ── strings ───────────────────────────────────────────────────────────────────
-_WS = r"[\s\x0b\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# Whitespace as Python's str.strip() sees it (ASCII and Unicode spaces).
+_WS_CHARS = "\t\n\x0b\x0c\r \x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) \
+    + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def py_strip(col) -> Column:
-    """Strip leading/trailing whitespace of every kind (Spark ``trim`` strips only spaces)."""
-    return F.regexp_replace(_c(col), rf"^{_WS}+|{_WS}+$", "")
+    """Strip leading/trailing whitespace of every kind (Spark ``trim`` strips only
+    spaces); ``btrim`` with an explicit character set, no regular expression."""
+    return F.btrim(_c(col), F.lit(_WS_CHARS))
 
 
 def py_title(col) -> Column:
-    """Title case as Python's ``str.title``: every run of letters gets an upper-case
-    first letter and lower-case rest; anything that is not a letter starts a new word
-    (unlike ``initcap``, which only splits on spaces)."""
-    runs = F.regexp_extract_all(_c(col), F.lit(r"(\p{L}+|[^\p{L}]+)"), 1)
-    return F.array_join(
-        F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.lower(F.substring(r, 2, 1 << 30)))),
-        "")
+    """Title case as Python's ``str.title``: the first letter of every run of letters
+    upper-case, the rest lower-case; anything that is not a letter starts a new word
+    (``initcap`` alone only splits on spaces).
+
+    A space is inserted after every non-letter so ``initcap`` sees a word start
+    there, then exactly those inserted spaces are removed again — three codegen'd
+    string functions instead of a per-row lambda."""
+    spaced = F.regexp_replace(_c(col), r"([^\p{L}])", "$1 ")
+    return F.regexp_replace(F.initcap(spaced), r"([^\p{L}]) ", "$1")
 
 
 def standardise(col) -> Column:
@@ -67,12 +82,16 @@ def sql_initcap_trim(col) -> Column:
 
 # ── hash keys ─────────────────────────────────────────────────────────────────
 def md5_mod(col, modulus: int = KEY_MODULUS) -> Column:
-    """``int(md5(x).hexdigest(), 16) % modulus`` without a UDF.
+    """``int(md5(x).hexdigest(), 16) % modulus`` without a UDF (see ``hex_mod``)."""
+    return hex_mod(F.md5(_c(col).cast("string")), modulus)
+
+
+def hex_mod(h: Column, modulus: int = KEY_MODULUS) -> Column:
+    """A 32-digit hex digest read as a 128-bit integer, modulo ``modulus``.
 
-    The 128-bit digest is read as four 32-bit words w0..w3 (big-endian), so the
-    value is sum(w_i * 2^(32*(3-i))); each power of two is reduced modulo ``modulus``
-    once, in Python, and the sum stays far inside a bigint. Null in, null out."""
-    h = F.md5(_c(col).cast("string"))
+    The digest is four 32-bit words w0..w3 (big-endian), so the value is
+    sum(w_i * 2^(32*(3-i))); each power of two is reduced modulo ``modulus`` once, in
+    Python, and the sum stays far inside a bigint. Null in, null out."""
     weights = [pow(2, 32 * (3 - i), modulus) for i in range(4)]
     total = None
     for i, w in enumerate(weights):

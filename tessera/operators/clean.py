@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import (md5_mod, parse_date, ratio, round_half_up, standardise,
+from tessera.functions.exprs import (hex_mod, md5_mod, parse_date, ratio, round_half_up, standardise,
                                      time_features, value_band_right_closed)
 from tessera.operators.quantiles import quantiles_row
 from tessera.schema import CLIP_HIGH, CLIP_LOW, CRITICAL_COLUMNS, STANDARDISED_COLUMNS
@@ -92,8 +92,12 @@ def flag_above_median(df: DataFrame, col: str = "Demand_Score", out: str = "is_h
 
 
 def add_surrogate_keys(df: DataFrame) -> DataFrame:
-    """city_key / district_key = md5(name) as a 128-bit integer mod 10^6 (null name -> null)."""
-    return df.withColumns({"city_key": md5_mod("City"), "district_key": md5_mod("District")})
+    """city_key / district_key = md5(name) as a 128-bit integer mod 10^6 (null name -> null).
+    The digest is projected first so each row hashes each name once (Catalyst does not
+    collapse a projection that would duplicate a non-trivial expression)."""
+    h = df.withColumns({"__hc": F.md5("City"), "__hd": F.md5("District")})
+    return h.withColumns({"city_key": hex_mod(F.col("__hc")), "district_key": hex_mod(F.col("__hd"))}) \
+            .drop("__hc", "__hd")
 
 
 def round_col(df: DataFrame, col: str, scale: int) -> DataFrame:

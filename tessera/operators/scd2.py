@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import round_half_up
+from tessera.functions.exprs import round_half_up, round_agg
 
 OPEN_END = "9999-12-31"
 
@@ -44,14 +44,14 @@ def yearly_snapshots(fact: DataFrame) -> DataFrame:
                   .join(F.broadcast(max_year), how="cross")
                   .select(
                       "city_key", "city_name", "year",
-                      round_half_up(avg("s_p", "c_p"), 2).alias("avg_price_per_sqm"),
-                      round_half_up(avg("s_d", "c_d"), 4).alias("avg_demand_score"),
-                      round_half_up(avg("s_v", "c_v"), 4).alias("avg_vacancy_rate"),
+                      round_agg(avg("s_p", "c_p"), 2).alias("avg_price_per_sqm"),
+                      round_agg(avg("s_d", "c_d"), 4).alias("avg_demand_score"),
+                      round_agg(avg("s_v", "c_v"), 4).alias("avg_vacancy_rate"),
                       F.make_date("year", F.lit(1), F.lit(1)).alias("effective_date"),
                       F.make_date("year", F.lit(12), F.lit(31)).alias("expiry_date"),
                       F.when(F.col("year") == F.col("__max_year"), 1).otherwise(0).alias("is_current"),
                       F.md5(F.concat_ws("_", F.col("city_key").cast("string"), F.col("year").cast("string"),
-                                        _dec_text(avg("s_p", "c_p"), 2))).alias("record_hash")))
+                                        _dec_text(round_agg(avg("s_p", "c_p"), 2), 2))).alias("record_hash")))
     return snap
 
 

@@ -18,8 +18,15 @@ from tessera.sources.adapter import (BAD_DATE_MOD, MESSY_CITY_MOD, NEGATIVE_VALU
 
 
 def R(x: str, n: int) -> str:
-    """Half-up rounding through a decimal, as double."""
-    return f"CAST(ROUND(TRY_CAST(({x}) AS DECIMAL(28,8)), {n}) AS DOUBLE)"
+    """Half away from zero: sign(x) * floor(|x| * 10^n + 0.5) / 10^n, as double."""
+    d = f"CAST(({x}) AS DOUBLE)"
+    f = f"CAST({10 ** n} AS DOUBLE)"
+    return f"(CASE WHEN {d} IS NULL OR isnan({d}) THEN {d} ELSE sign({d}) * floor(abs({d}) * {f} + 0.5) / {f} END)"
+
+
+def RA(x: str, n: int) -> str:
+    """Aggregated value: snap to 8 places (summation-order noise), then round."""
+    return R(R(x, 8), n)
 
 
 def RATIO(a: str, b: str) -> str:
@@ -27,7 +34,7 @@ def RATIO(a: str, b: str) -> str:
 
 
 def TITLE(x: str) -> str:
-    """Python-style title case over runs of letters."""
+    """Python-style title case: upper first letter of each run of letters, rest lower."""
     return (f"array_to_string(list_transform(regexp_extract_all({x}, '(\\p{{L}}+|[^\\p{{L}}]+)', 1), "
             f"lambda r: upper(r[1:1]) || lower(r[2:])), '')")
 
@@ -190,13 +197,13 @@ SCORES = f"""scored AS (SELECT *,
   FROM stg)"""
 SNAP = f"""snap AS (
   SELECT f.city_key, c.city_name, f.year,
-    {R('avg(f.price_per_sqm)', 2)} AS avg_price_per_sqm,
-    {R('avg(f.Demand_Score)', 4)} AS avg_demand_score,
-    {R('avg(f.Vacancy_Rate)', 4)} AS avg_vacancy_rate,
+    {RA('avg(f.price_per_sqm)', 2)} AS avg_price_per_sqm,
+    {RA('avg(f.Demand_Score)', 4)} AS avg_demand_score,
+    {RA('avg(f.Vacancy_Rate)', 4)} AS avg_vacancy_rate,
     make_date(f.year, 1, 1) AS effective_date, make_date(f.year, 12, 31) AS expiry_date,
     CAST(CASE WHEN f.year = (SELECT max(year) FROM fact) THEN 1 ELSE 0 END AS INTEGER) AS is_current,
     md5(CAST(f.city_key AS VARCHAR) || '_' || CAST(f.year AS VARCHAR) || '_'
-        || CAST(CAST({R('avg(f.price_per_sqm)', 2)} AS DECIMAL(28,2)) AS VARCHAR)) AS record_hash
+        || CAST(CAST({RA('avg(f.price_per_sqm)', 2)} AS DECIMAL(28,2)) AS VARCHAR)) AS record_hash
   FROM fact f LEFT JOIN dim_city c ON f.city_key = c.city_key
   GROUP BY f.city_key, c.city_name, f.year
 )"""
@@ -330,19 +337,19 @@ def ZSUM(src, col):
 
 CITY_SUMMARY = f"""city_summary AS (
 SELECT c.city_name, CAST(count(*) AS BIGINT) AS total_transactions,
-  {R('sum(f.Transaction_Value)', 0)} AS total_value_sar, {R('avg(f.Transaction_Value)', 0)} AS avg_value_sar,
-  {R('avg(f.price_per_sqm)', 2)} AS avg_price_per_sqm, {R('avg(f.Area_sqm)', 1)} AS avg_area_sqm,
-  {R('avg(f.Demand_Score)', 2)} AS avg_demand_score, {R('avg(f.Vacancy_Rate) * 100', 2)} AS avg_vacancy_pct,
-  {R('avg(f.Interest_Rate) * 100', 2)} AS avg_interest_rate_pct
+  {R('sum(f.Transaction_Value)', 0)} AS total_value_sar, {RA('avg(f.Transaction_Value)', 0)} AS avg_value_sar,
+  {RA('avg(f.price_per_sqm)', 2)} AS avg_price_per_sqm, {RA('avg(f.Area_sqm)', 1)} AS avg_area_sqm,
+  {RA('avg(f.Demand_Score)', 2)} AS avg_demand_score, {RA('avg(f.Vacancy_Rate) * 100', 2)} AS avg_vacancy_pct,
+  {RA('avg(f.Interest_Rate) * 100', 2)} AS avg_interest_rate_pct
 FROM fact f JOIN dim_city c ON f.city_key = c.city_key GROUP BY c.city_name)"""
 PROPERTY = f"""prop AS (
 SELECT Property_Type AS property_type, CAST(count(*) AS BIGINT) AS total_transactions,
-  {R('avg(Transaction_Value)', 0)} AS avg_value_sar, {R('avg(Area_sqm)', 1)} AS avg_area_sqm,
-  {R('avg(price_per_sqm)', 2)} AS avg_price_per_sqm, {R('avg(Demand_Score)', 2)} AS avg_demand_score,
+  {RA('avg(Transaction_Value)', 0)} AS avg_value_sar, {RA('avg(Area_sqm)', 1)} AS avg_area_sqm,
+  {RA('avg(price_per_sqm)', 2)} AS avg_price_per_sqm, {RA('avg(Demand_Score)', 2)} AS avg_demand_score,
   {R('sum(Transaction_Value)', 0)} AS total_market_value
 FROM fact GROUP BY Property_Type)"""
 TREND = f"""trend AS (
-SELECT year, CAST(count(*) AS BIGINT) AS total_transactions, {R('avg(Transaction_Value)', 0)} AS avg_value_sar
+SELECT year, CAST(count(*) AS BIGINT) AS total_transactions, {RA('avg(Transaction_Value)', 0)} AS avg_value_sar
 FROM fact GROUP BY year)"""
 
 
@@ -359,24 +366,24 @@ def build() -> dict[str, str]:
 SELECT City,
   CAST(count(*) AS BIGINT) AS total_transactions,
   {R('sum(Transaction_Value)', 0)} AS total_value,
-  {R('avg(Transaction_Value)', 0)} AS avg_value,
-  {R('avg(price_per_sqm)', 2)} AS avg_price_sqm,
-  {R('avg(Demand_Score)', 3)} AS avg_demand,
-  {R('avg(Vacancy_Rate) * 100', 2)} AS avg_vacancy_pct
+  {RA('avg(Transaction_Value)', 0)} AS avg_value,
+  {RA('avg(price_per_sqm)', 2)} AS avg_price_sqm,
+  {RA('avg(Demand_Score)', 3)} AS avg_demand,
+  {RA('avg(Vacancy_Rate) * 100', 2)} AS avg_vacancy_pct
 FROM housing GROUP BY City ORDER BY total_transactions DESC"""
 
     q["spark_yearly_trend"] = with_(RAW, HOUSING) + f"""
 SELECT year, CAST(count(*) AS BIGINT) AS transactions,
-  {R('avg(Transaction_Value)', 0)} AS avg_value,
-  {R('avg(Demand_Score)', 3)} AS avg_demand,
-  {R('avg(Interest_Rate) * 100', 2)} AS avg_interest_pct
+  {RA('avg(Transaction_Value)', 0)} AS avg_value,
+  {RA('avg(Demand_Score)', 3)} AS avg_demand,
+  {RA('avg(Interest_Rate) * 100', 2)} AS avg_interest_pct
 FROM housing GROUP BY year ORDER BY year"""
 
     q["district_top5"] = with_(RAW, HOUSING) + f"""
 SELECT * FROM (
   SELECT *, CAST(rank() OVER (PARTITION BY City ORDER BY avg_price_sqm DESC NULLS LAST) AS INTEGER) AS rank_in_city
   FROM (SELECT City, District, CAST(count(*) AS BIGINT) AS txn_count,
-          {R('avg(Transaction_Value)', 0)} AS avg_value, {R('avg(price_per_sqm)', 2)} AS avg_price_sqm
+          {RA('avg(Transaction_Value)', 0)} AS avg_value, {RA('avg(price_per_sqm)', 2)} AS avg_price_sqm
         FROM housing GROUP BY City, District))
 WHERE rank_in_city <= 5 ORDER BY City, rank_in_city"""
 
@@ -385,8 +392,8 @@ WHERE rank_in_city <= 5 ORDER BY City, rank_in_city"""
 
     q["city_summary_basic"] = with_(RAW) + f"""
 SELECT City, CAST(count(Transaction_ID) AS BIGINT) AS transactions,
-  {R('avg(Transaction_Value)', 0)} AS avg_value,
-  {R('avg(' + RATIO('Transaction_Value', 'Area_sqm') + ')', 0)} AS avg_price_sqm
+  {RA('avg(Transaction_Value)', 0)} AS avg_value,
+  {RA('avg(' + RATIO('Transaction_Value', 'Area_sqm') + ')', 0)} AS avg_price_sqm
 FROM raw GROUP BY City"""
 
     q["parse_dates"] = with_(RAW, PARSED) + "SELECT Transaction_ID, Date FROM parsed"
@@ -446,35 +453,35 @@ FROM (SELECT DISTINCT Purpose FROM etl)"""
 
     q["mart_city_summary"] = with_(*STAR) + f"""
 SELECT c.city_name, CAST(count(*) AS BIGINT) AS total_transactions,
-  {R('sum(f.Transaction_Value)', 0)} AS total_value_sar, {R('avg(f.Transaction_Value)', 0)} AS avg_value_sar,
-  {R('avg(f.price_per_sqm)', 2)} AS avg_price_per_sqm, {R('avg(f.Area_sqm)', 1)} AS avg_area_sqm,
-  {R('avg(f.Demand_Score)', 2)} AS avg_demand_score, {R('avg(f.Vacancy_Rate) * 100', 2)} AS avg_vacancy_pct,
-  {R('avg(f.Interest_Rate) * 100', 2)} AS avg_interest_rate_pct
+  {R('sum(f.Transaction_Value)', 0)} AS total_value_sar, {RA('avg(f.Transaction_Value)', 0)} AS avg_value_sar,
+  {RA('avg(f.price_per_sqm)', 2)} AS avg_price_per_sqm, {RA('avg(f.Area_sqm)', 1)} AS avg_area_sqm,
+  {RA('avg(f.Demand_Score)', 2)} AS avg_demand_score, {RA('avg(f.Vacancy_Rate) * 100', 2)} AS avg_vacancy_pct,
+  {RA('avg(f.Interest_Rate) * 100', 2)} AS avg_interest_rate_pct
 FROM fact f JOIN dim_city c ON f.city_key = c.city_key
 GROUP BY c.city_name ORDER BY total_transactions DESC"""
     q["mart_yearly_trend"] = with_(*STAR) + f"""
 SELECT year, CAST(count(*) AS BIGINT) AS total_transactions,
-  {R('sum(Transaction_Value)', 0)} AS total_value_sar, {R('avg(Transaction_Value)', 0)} AS avg_value_sar,
-  {R('avg(Demand_Score)', 3)} AS avg_demand, {R('avg(Supply_Score)', 3)} AS avg_supply,
-  {R('avg(Interest_Rate) * 100', 2)} AS avg_interest_rate_pct, {R('avg(Vacancy_Rate) * 100', 2)} AS avg_vacancy_pct
+  {R('sum(Transaction_Value)', 0)} AS total_value_sar, {RA('avg(Transaction_Value)', 0)} AS avg_value_sar,
+  {RA('avg(Demand_Score)', 3)} AS avg_demand, {RA('avg(Supply_Score)', 3)} AS avg_supply,
+  {RA('avg(Interest_Rate) * 100', 2)} AS avg_interest_rate_pct, {RA('avg(Vacancy_Rate) * 100', 2)} AS avg_vacancy_pct
 FROM fact GROUP BY year ORDER BY year"""
     q["mart_property_analysis"] = with_(*STAR) + f"""
 SELECT Property_Type AS property_type, CAST(count(*) AS BIGINT) AS total_transactions,
-  {R('avg(Transaction_Value)', 0)} AS avg_value_sar, {R('avg(Area_sqm)', 1)} AS avg_area_sqm,
-  {R('avg(price_per_sqm)', 2)} AS avg_price_per_sqm, {R('avg(Demand_Score)', 2)} AS avg_demand_score,
+  {RA('avg(Transaction_Value)', 0)} AS avg_value_sar, {RA('avg(Area_sqm)', 1)} AS avg_area_sqm,
+  {RA('avg(price_per_sqm)', 2)} AS avg_price_per_sqm, {RA('avg(Demand_Score)', 2)} AS avg_demand_score,
   {R('sum(Transaction_Value)', 0)} AS total_market_value
 FROM fact GROUP BY Property_Type ORDER BY total_transactions DESC"""
     q["mart_district_heatmap"] = with_(*STAR) + f"""
 SELECT c.city_name, d.district_name, CAST(count(*) AS BIGINT) AS transactions,
-  {R('avg(f.Transaction_Value)', 0)} AS avg_value, {R('avg(f.Demand_Score)', 2)} AS avg_demand,
-  {R('avg(f.Vacancy_Rate) * 100', 2)} AS vacancy_pct, {R('avg(f.price_per_sqm)', 2)} AS avg_price_sqm
+  {RA('avg(f.Transaction_Value)', 0)} AS avg_value, {RA('avg(f.Demand_Score)', 2)} AS avg_demand,
+  {RA('avg(f.Vacancy_Rate) * 100', 2)} AS vacancy_pct, {RA('avg(f.price_per_sqm)', 2)} AS avg_price_sqm
 FROM fact f JOIN (SELECT DISTINCT city_key, city_name FROM dim_city) c ON f.city_key = c.city_key
 JOIN (SELECT DISTINCT district_key, district_name, city_name FROM dim_district) d
   ON f.district_key = d.district_key AND d.city_name = c.city_name
 GROUP BY c.city_name, d.district_name ORDER BY transactions DESC"""
     q["mart_value_band_distribution"] = with_(*STAR) + f"""
 SELECT f.value_band, c.city_name, CAST(count(*) AS BIGINT) AS count,
-  {R('avg(f.Area_sqm)', 1)} AS avg_area, {R('avg(f.Demand_Score)', 2)} AS avg_demand
+  {RA('avg(f.Area_sqm)', 1)} AS avg_area, {RA('avg(f.Demand_Score)', 2)} AS avg_demand
 FROM fact f JOIN dim_city c ON f.city_key = c.city_key
 GROUP BY f.value_band, c.city_name ORDER BY f.value_band, count DESC"""
     q["register_marts"] = with_(*STAR) + """
@@ -487,9 +494,9 @@ UNION ALL SELECT 'mart_district_heatmap', CAST(count(*) AS BIGINT) FROM (SELECT
   ON f.district_key = d.district_key AND d.city_name = c.city_name)
 UNION ALL SELECT 'mart_value_band_distribution', CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT f.value_band, c.city_name
   FROM fact f JOIN dim_city c ON f.city_key = c.city_key)"""
-    q["yearly_mean_value"] = with_(*STAR) + f"SELECT year, {R('avg(Transaction_Value)', 2)} AS mean_value FROM etl GROUP BY year"
+    q["yearly_mean_value"] = with_(*STAR) + f"SELECT year, {RA('avg(Transaction_Value)', 2)} AS mean_value FROM etl GROUP BY year"
     q["price_by_property_type"] = with_(*STAR) + \
-        f"SELECT Property_Type, {R('avg(price_per_sqm)', 2)} AS mean_price_per_sqm FROM fact GROUP BY Property_Type"
+        f"SELECT Property_Type, {RA('avg(price_per_sqm)', 2)} AS mean_price_per_sqm FROM fact GROUP BY Property_Type"
     q["city_txn_ranking"] = with_(*STAR) + """
 SELECT City, transactions, CAST(rank() OVER (ORDER BY transactions DESC) AS INTEGER) AS rank
 FROM (SELECT City, CAST(count(Transaction_ID) AS BIGINT) AS transactions FROM etl GROUP BY City)"""
@@ -504,12 +511,12 @@ SELECT city_key, city_name, CAST(year(effective_date) AS INTEGER), avg_price_per
 WHERE expiry_date < effective_date"""
 
     q["city_stats"] = with_(RAW, STG) + f"""
-SELECT city, {R('avg(transaction_value_sar)', 6)} AS city_avg_value, {R('avg(price_per_sqm)', 6)} AS city_avg_price_sqm,
-  {R('avg(demand_score)', 6)} AS city_avg_demand, {R('avg(vacancy_rate)', 6)} AS city_avg_vacancy
+SELECT city, {RA('avg(transaction_value_sar)', 6)} AS city_avg_value, {RA('avg(price_per_sqm)', 6)} AS city_avg_price_sqm,
+  {RA('avg(demand_score)', 6)} AS city_avg_demand, {RA('avg(vacancy_rate)', 6)} AS city_avg_vacancy
 FROM stg GROUP BY city"""
     q["district_stats"] = with_(RAW, STG) + f"""
 SELECT city, district, CAST(count(*) AS BIGINT) AS district_txn_count,
-  {R('avg(transaction_value_sar)', 6)} AS district_avg_value, {R('avg(demand_score)', 6)} AS district_avg_demand
+  {RA('avg(transaction_value_sar)', 6)} AS district_avg_value, {RA('avg(demand_score)', 6)} AS district_avg_demand
 FROM stg GROUP BY city, district"""
     ENR = f"""enriched AS (
   SELECT b.*, cs.city_avg_value, cs.city_avg_price_sqm, cs.city_avg_demand, cs.city_avg_vacancy,
@@ -517,11 +524,11 @@ FROM stg GROUP BY city, district"""
     ds.district_txn_count, ds.district_avg_value, ds.district_avg_demand
   FROM scored b
   LEFT JOIN (
-    SELECT city, {R('avg(transaction_value_sar)', 6)} AS city_avg_value, {R('avg(price_per_sqm)', 6)} AS city_avg_price_sqm,
-      {R('avg(demand_score)', 6)} AS city_avg_demand, {R('avg(vacancy_rate)', 6)} AS city_avg_vacancy
+    SELECT city, {RA('avg(transaction_value_sar)', 6)} AS city_avg_value, {RA('avg(price_per_sqm)', 6)} AS city_avg_price_sqm,
+      {RA('avg(demand_score)', 6)} AS city_avg_demand, {RA('avg(vacancy_rate)', 6)} AS city_avg_vacancy
     FROM stg GROUP BY city) cs ON b.city = cs.city
   LEFT JOIN (SELECT city, district, CAST(count(*) AS BIGINT) AS district_txn_count,
-      {R('avg(transaction_value_sar)', 6)} AS district_avg_value, {R('avg(demand_score)', 6)} AS district_avg_demand
+      {RA('avg(transaction_value_sar)', 6)} AS district_avg_value, {RA('avg(demand_score)', 6)} AS district_avg_demand
     FROM stg GROUP BY city, district) ds ON b.city = ds.city AND b.district = ds.district
 )"""
     q["int_transactions_enriched"] = with_(RAW, STG, SCORES, ENR) + "SELECT * FROM enriched"
@@ -539,13 +546,13 @@ FROM (
   SELECT city, txn_year AS year, CAST(count(*) AS BIGINT) AS total_transactions,
     CAST(count(DISTINCT district) AS BIGINT) AS active_districts,
     CAST(sum(transaction_value_sar) AS BIGINT) AS total_market_value_sar,
-    {R('avg(transaction_value_sar)', 0)} AS avg_transaction_value,
-    {R('avg(price_per_sqm)', 2)} AS avg_price_per_sqm, {R('min(price_per_sqm)', 2)} AS min_price_per_sqm,
-    {R('max(price_per_sqm)', 2)} AS max_price_per_sqm, {R('avg(area_sqm)', 1)} AS avg_area_sqm,
-    {R('avg(demand_score)', 3)} AS avg_demand_score, {R('avg(supply_score)', 3)} AS avg_supply_score,
-    {R('avg(demand_supply_ratio)', 3)} AS avg_demand_supply_ratio,
-    {R('avg(vacancy_rate) * 100', 2)} AS avg_vacancy_pct, {R('avg(interest_rate) * 100', 2)} AS avg_interest_rate_pct,
-    {R('avg(risk_score)', 2)} AS avg_risk_score, {R('avg(investment_score)', 2)} AS avg_investment_score,
+    {RA('avg(transaction_value_sar)', 0)} AS avg_transaction_value,
+    {RA('avg(price_per_sqm)', 2)} AS avg_price_per_sqm, {R('min(price_per_sqm)', 2)} AS min_price_per_sqm,
+    {R('max(price_per_sqm)', 2)} AS max_price_per_sqm, {RA('avg(area_sqm)', 1)} AS avg_area_sqm,
+    {RA('avg(demand_score)', 3)} AS avg_demand_score, {RA('avg(supply_score)', 3)} AS avg_supply_score,
+    {RA('avg(demand_supply_ratio)', 3)} AS avg_demand_supply_ratio,
+    {RA('avg(vacancy_rate) * 100', 2)} AS avg_vacancy_pct, {RA('avg(interest_rate) * 100', 2)} AS avg_interest_rate_pct,
+    {RA('avg(risk_score)', 2)} AS avg_risk_score, {RA('avg(investment_score)', 2)} AS avg_investment_score,
     {R(f'sum(CASE WHEN demand_score > {MART_HIGH_DEMAND} THEN 1 ELSE 0 END) * CAST(100 AS DOUBLE) / count(*)', 2)}
       AS high_demand_share_pct
   FROM scored GROUP BY city, txn_year)
@@ -579,7 +586,7 @@ FROM stg GROUP BY city"""
     for c in NUMERIC_RAW_COLUMNS:
         v = f"(CASE WHEN isnan(CAST({c} AS DOUBLE)) THEN NULL ELSE CAST({c} AS DOUBLE) END)"
         prof.append(f"SELECT '{c}' AS \"column\", {R(f'min({v})', 2)} AS min_value, {R(f'max({v})', 2)} AS max_value, "
-                    f"{R(f'avg({v})', 2)} AS mean_value FROM raw")
+                    f"{RA(f'avg({v})', 2)} AS mean_value FROM raw")
     q["dq_column_profile"] = with_(RAW) + "\nUNION ALL\n".join(prof)
     FSK = f"""fsk AS (SELECT CAST(year(Date) * 10000 + month(Date) * 100 + day(Date) AS INTEGER) AS date_key,
   city_key, district_key, {MD5MOD('Property_Type')} AS property_type_key, {MD5MOD('Purpose')} AS purpose_key FROM etl)"""
@@ -612,8 +619,8 @@ FROM stg GROUP BY city"""
     q["dash_kpis"] = with_(*STAR, CITY_SUMMARY) + f"""
 SELECT CAST(sum(total_transactions) AS BIGINT) AS total_transactions, sum(total_value_sar) AS total_value_sar,
   {R('sum(total_value_sar) / CAST(sum(total_transactions) AS DOUBLE)', 0)} AS avg_value_sar,
-  {R('avg(coalesce(avg_demand_score, 0))', 2)} AS avg_demand_score,
-  {R('avg(coalesce(avg_vacancy_pct, 0))', 1)} AS avg_vacancy_pct
+  {RA('avg(coalesce(avg_demand_score, 0))', 2)} AS avg_demand_score,
+  {RA('avg(coalesce(avg_vacancy_pct, 0))', 1)} AS avg_vacancy_pct
 FROM city_summary"""
     q["dash_property_share"] = with_(*STAR, PROPERTY) + f"""
 SELECT property_type, total_transactions,
@@ -627,7 +634,7 @@ SELECT property_type, total_transactions, coalesce(NULLIF(avg_price_per_sqm, 0),
 FROM prop"""
     q["dash_fallback_sample"] = with_(*ETL_CHAIN) + f"""
 SELECT City, CAST(count(Transaction_ID) AS BIGINT) AS total_transactions,
-  {R('avg(Transaction_Value)', 2)} AS avg_value_sar
+  {RA('avg(Transaction_Value)', 2)} AS avg_value_sar
 FROM (SELECT * FROM etl ORDER BY Transaction_ID LIMIT 50000) GROUP BY City"""
 
     order_cols = f"{RAW_COLS}, l_partkey, l_suppkey, l_extendedprice"

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import round_half_up
+from tessera.functions.exprs import round_half_up, round_agg
 from tessera.schema import FALLBACK_SAMPLE_ROWS
 
 
@@ -21,8 +21,8 @@ def kpis(city_summary: DataFrame) -> DataFrame:
         F.avg(F.coalesce("avg_vacancy_pct", F.lit(0.0))).alias("__vac"),
     ).select("total_transactions", "total_value_sar",
              round_half_up("__avg", 0).alias("avg_value_sar"),
-             round_half_up("__dem", 2).alias("avg_demand_score"),
-             round_half_up("__vac", 1).alias("avg_vacancy_pct"))
+             round_agg("__dem", 2).alias("avg_demand_score"),
+             round_agg("__vac", 1).alias("avg_vacancy_pct"))
 
 
 def property_share(property_analysis: DataFrame) -> DataFrame:
@@ -56,7 +56,7 @@ def fallback_sample(fact_rows: DataFrame, n: int = FALLBACK_SAMPLE_ROWS) -> Data
     sample = fact_rows.orderBy("Transaction_ID").limit(n)
     return sample.groupBy(F.col("City").alias("City")).agg(
         F.count("Transaction_ID").cast("bigint").alias("total_transactions"),
-        round_half_up(F.avg("Transaction_Value"), 2).alias("avg_value_sar"))
+        round_agg(F.avg("Transaction_Value"), 2).alias("avg_value_sar"))
 
 
 def json_records(df: DataFrame) -> DataFrame:

@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import (flag, investment_score, parse_date, ratio, risk_score,
-                                     round_half_up, sql_initcap_trim, value_band_left_closed)
+                                     round_half_up, round_agg, sql_initcap_trim, value_band_left_closed)
 from tessera.operators.joins import join_checked
+from tessera.session import materialize
 from tessera.schema import MART_HIGH_DEMAND
 
 STG_COLUMNS = [
@@ -67,10 +68,10 @@ def city_stats(stg: DataFrame) -> DataFrame:
     """Per-city benchmarks (averages rounded to 6 places so they are stable across
     partitionings — an unrounded double average depends on summation order)."""
     return stg.groupBy("city").agg(
-        round_half_up(F.avg("transaction_value_sar"), 6).alias("city_avg_value"),
-        round_half_up(F.avg("price_per_sqm"), 6).alias("city_avg_price_sqm"),
-        round_half_up(F.avg("demand_score"), 6).alias("city_avg_demand"),
-        round_half_up(F.avg("vacancy_rate"), 6).alias("city_avg_vacancy"),
+        round_agg(F.avg("transaction_value_sar"), 6).alias("city_avg_value"),
+        round_agg(F.avg("price_per_sqm"), 6).alias("city_avg_price_sqm"),
+        round_agg(F.avg("demand_score"), 6).alias("city_avg_demand"),
+        round_agg(F.avg("vacancy_rate"), 6).alias("city_avg_vacancy"),
     )
 
 
@@ -78,8 +79,8 @@ def district_stats(stg: DataFrame) -> DataFrame:
     """Per (city, district) context: count and two averages."""
     return stg.groupBy("city", "district").agg(
         F.count(F.lit(1)).cast("bigint").alias("district_txn_count"),
-        round_half_up(F.avg("transaction_value_sar"), 6).alias("district_avg_value"),
-        round_half_up(F.avg("demand_score"), 6).alias("district_avg_demand"),
+        round_agg(F.avg("transaction_value_sar"), 6).alias("district_avg_value"),
+        round_agg(F.avg("demand_score"), 6).alias("district_avg_demand"),
     )
 
 
@@ -92,16 +93,40 @@ def with_scores(stg: DataFrame) -> DataFrame:
     })
 
 
-def int_transactions_enriched(stg: DataFrame) -> DataFrame:
+def benchmarks(stg: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """City and district benchmark tables from ONE aggregation: partial sums/counts per
+    (city, district); the city figures are re-aggregated from those partials."""
+    p = stg.groupBy("city", "district").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("transaction_value_sar").alias("s_v"), F.count("transaction_value_sar").alias("c_v"),
+        F.sum("price_per_sqm").alias("s_p"), F.count("price_per_sqm").alias("c_p"),
+        F.sum("demand_score").alias("s_d"), F.count("demand_score").alias("c_d"),
+        F.sum("vacancy_rate").alias("s_r"), F.count("vacancy_rate").alias("c_r"))
+
+    def avg(s, c):
+        return round_agg(F.try_divide(F.col(s).cast("double"), F.nullif(F.col(c), F.lit(0)).cast("double")), 6)
+
+    ds = p.select("city", "district", F.col("n").cast("bigint").alias("district_txn_count"),
+                  avg("s_v", "c_v").alias("district_avg_value"), avg("s_d", "c_d").alias("district_avg_demand"))
+    cp = p.groupBy("city").agg(*[F.sum(c).alias(c) for c in ("s_v", "c_v", "s_p", "c_p", "s_d", "c_d", "s_r", "c_r")])
+    cs = cp.select("city", avg("s_v", "c_v").alias("city_avg_value"), avg("s_p", "c_p").alias("city_avg_price_sqm"),
+                   avg("s_d", "c_d").alias("city_avg_demand"), avg("s_r", "c_r").alias("city_avg_vacancy"))
+    return cs, ds
+
+
+def int_transactions_enriched(stg: DataFrame, materialize_rows: bool = True) -> DataFrame:
     """Rows + city benchmarks + district context + value deviation + scores.
 
-    Both joins are left joins on keys that are unique on the right side (the
-    aggregates' group keys), so they never add or remove rows. A null district
-    matches nothing (SQL equality)."""
-    cs = city_stats(stg)
-    ds = district_stats(stg)
+    The staging rows are read twice (benchmarks, then the rows themselves), so they
+    are written once to the shared checkpoint folder first. Both joins are left joins
+    on keys that are unique on the right side (the aggregates' group keys): they
+    never add or remove rows, and a null district matches nothing. The benchmark
+    tables are broadcast only after their size has been checked."""
+    if materialize_rows:
+        stg = materialize(stg, "stg")
+    cs, ds = benchmarks(stg)
     b = join_checked(stg, cs, on=["city"], how="left")
-    b = join_checked(b, ds, on=["city", "district"], how="left", null_safe=False)
+    b = join_checked(b, ds, on=["city", "district"], how="left")
     b = b.withColumn(
         "pct_above_city_avg",
         round_half_up((F.col("transaction_value_sar") - F.col("city_avg_value"))
@@ -120,18 +145,18 @@ def city_perf(enriched: DataFrame, high_demand: float = MART_HIGH_DEMAND) -> Dat
         F.count(F.lit(1)).cast("bigint").alias("total_transactions"),
         F.countDistinct("district").cast("bigint").alias("active_districts"),
         F.sum("transaction_value_sar").cast("bigint").alias("total_market_value_sar"),
-        round_half_up(F.avg("transaction_value_sar"), 0).alias("avg_transaction_value"),
-        round_half_up(F.avg("price_per_sqm"), 2).alias("avg_price_per_sqm"),
+        round_agg(F.avg("transaction_value_sar"), 0).alias("avg_transaction_value"),
+        round_agg(F.avg("price_per_sqm"), 2).alias("avg_price_per_sqm"),
         round_half_up(F.min("price_per_sqm"), 2).alias("min_price_per_sqm"),
         round_half_up(F.max("price_per_sqm"), 2).alias("max_price_per_sqm"),
-        round_half_up(F.avg("area_sqm"), 1).alias("avg_area_sqm"),
-        round_half_up(F.avg("demand_score"), 3).alias("avg_demand_score"),
-        round_half_up(F.avg("supply_score"), 3).alias("avg_supply_score"),
-        round_half_up(F.avg("demand_supply_ratio"), 3).alias("avg_demand_supply_ratio"),
-        round_half_up(F.avg("vacancy_rate") * 100.0, 2).alias("avg_vacancy_pct"),
-        round_half_up(F.avg("interest_rate") * 100.0, 2).alias("avg_interest_rate_pct"),
-        round_half_up(F.avg("risk_score"), 2).alias("avg_risk_score"),
-        round_half_up(F.avg("investment_score"), 2).alias("avg_investment_score"),
+        round_agg(F.avg("area_sqm"), 1).alias("avg_area_sqm"),
+        round_agg(F.avg("demand_score"), 3).alias("avg_demand_score"),
+        round_agg(F.avg("supply_score"), 3).alias("avg_supply_score"),
+        round_agg(F.avg("demand_supply_ratio"), 3).alias("avg_demand_supply_ratio"),
+        round_agg(F.avg("vacancy_rate") * 100.0, 2).alias("avg_vacancy_pct"),
+        round_agg(F.avg("interest_rate") * 100.0, 2).alias("avg_interest_rate_pct"),
+        round_agg(F.avg("risk_score"), 2).alias("avg_risk_score"),
+        round_agg(F.avg("investment_score"), 2).alias("avg_investment_score"),
         round_half_up(F.sum(flag(F.col("demand_score") > high_demand)) * 100.0
                       / F.count(F.lit(1)), 2).alias("high_demand_share_pct"),
     )

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import round_half_up
+from tessera.functions.exprs import round_half_up, round_agg
 
 MEASURES = {
     "value": "Transaction_Value", "price": "price_per_sqm", "area": "Area_sqm",
@@ -61,12 +61,12 @@ def mart_city_summary(fact: DataFrame) -> DataFrame:
         "city_name",
         F.col("n").cast("bigint").alias("total_transactions"),
         round_half_up(F.col("s_value"), 0).alias("total_value_sar"),
-        round_half_up(_avg("value"), 0).alias("avg_value_sar"),
-        round_half_up(_avg("price"), 2).alias("avg_price_per_sqm"),
-        round_half_up(_avg("area"), 1).alias("avg_area_sqm"),
-        round_half_up(_avg("demand"), 2).alias("avg_demand_score"),
-        round_half_up(_avg("vacancy") * 100.0, 2).alias("avg_vacancy_pct"),
-        round_half_up(_avg("rate") * 100.0, 2).alias("avg_interest_rate_pct"),
+        round_agg(_avg("value"), 0).alias("avg_value_sar"),
+        round_agg(_avg("price"), 2).alias("avg_price_per_sqm"),
+        round_agg(_avg("area"), 1).alias("avg_area_sqm"),
+        round_agg(_avg("demand"), 2).alias("avg_demand_score"),
+        round_agg(_avg("vacancy") * 100.0, 2).alias("avg_vacancy_pct"),
+        round_agg(_avg("rate") * 100.0, 2).alias("avg_interest_rate_pct"),
     ).orderBy(F.col("total_transactions").desc())
 
 
@@ -74,21 +74,21 @@ def mart_yearly_trend(fact: DataFrame) -> DataFrame:
     return fact.groupBy("year").agg(
         F.count(F.lit(1)).cast("bigint").alias("total_transactions"),
         round_half_up(F.sum("Transaction_Value"), 0).alias("total_value_sar"),
-        round_half_up(F.avg("Transaction_Value"), 0).alias("avg_value_sar"),
-        round_half_up(F.avg("Demand_Score"), 3).alias("avg_demand"),
-        round_half_up(F.avg("Supply_Score"), 3).alias("avg_supply"),
-        round_half_up(F.avg("Interest_Rate") * 100.0, 2).alias("avg_interest_rate_pct"),
-        round_half_up(F.avg("Vacancy_Rate") * 100.0, 2).alias("avg_vacancy_pct"),
+        round_agg(F.avg("Transaction_Value"), 0).alias("avg_value_sar"),
+        round_agg(F.avg("Demand_Score"), 3).alias("avg_demand"),
+        round_agg(F.avg("Supply_Score"), 3).alias("avg_supply"),
+        round_agg(F.avg("Interest_Rate") * 100.0, 2).alias("avg_interest_rate_pct"),
+        round_agg(F.avg("Vacancy_Rate") * 100.0, 2).alias("avg_vacancy_pct"),
     ).orderBy("year")
 
 
 def mart_property_analysis(fact: DataFrame) -> DataFrame:
     return fact.groupBy(F.col("Property_Type").alias("property_type")).agg(
         F.count(F.lit(1)).cast("bigint").alias("total_transactions"),
-        round_half_up(F.avg("Transaction_Value"), 0).alias("avg_value_sar"),
-        round_half_up(F.avg("Area_sqm"), 1).alias("avg_area_sqm"),
-        round_half_up(F.avg("price_per_sqm"), 2).alias("avg_price_per_sqm"),
-        round_half_up(F.avg("Demand_Score"), 2).alias("avg_demand_score"),
+        round_agg(F.avg("Transaction_Value"), 0).alias("avg_value_sar"),
+        round_agg(F.avg("Area_sqm"), 1).alias("avg_area_sqm"),
+        round_agg(F.avg("price_per_sqm"), 2).alias("avg_price_per_sqm"),
+        round_agg(F.avg("Demand_Score"), 2).alias("avg_demand_score"),
         round_half_up(F.sum("Transaction_Value"), 0).alias("total_market_value"),
     ).orderBy(F.col("total_transactions").desc())
 
@@ -109,10 +109,10 @@ def mart_district_heatmap(fact: DataFrame) -> DataFrame:
     return g.select(
         "city_name", "district_name",
         F.col("n").cast("bigint").alias("transactions"),
-        round_half_up(_avg("value"), 0).alias("avg_value"),
-        round_half_up(_avg("demand"), 2).alias("avg_demand"),
-        round_half_up(_avg("vacancy") * 100.0, 2).alias("vacancy_pct"),
-        round_half_up(_avg("price"), 2).alias("avg_price_sqm"),
+        round_agg(_avg("value"), 0).alias("avg_value"),
+        round_agg(_avg("demand"), 2).alias("avg_demand"),
+        round_agg(_avg("vacancy") * 100.0, 2).alias("vacancy_pct"),
+        round_agg(_avg("price"), 2).alias("avg_price_sqm"),
     ).orderBy(F.col("transactions").desc())
 
 
@@ -121,8 +121,8 @@ def mart_value_band_distribution(fact: DataFrame) -> DataFrame:
     return g.select(
         "value_band", "city_name",
         F.col("n").cast("bigint").alias("count"),
-        round_half_up(_avg("area"), 1).alias("avg_area"),
-        round_half_up(_avg("demand"), 2).alias("avg_demand"),
+        round_agg(_avg("area"), 1).alias("avg_area"),
+        round_agg(_avg("demand"), 2).alias("avg_demand"),
     ).orderBy("value_band", F.col("count").desc())
 
 
@@ -151,11 +151,11 @@ def register_marts(fact: DataFrame) -> DataFrame:
 
 # ── small analytics over the cleaned rows ─────────────────────────────────────
 def yearly_mean_value(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("year").agg(round_half_up(F.avg("Transaction_Value"), 2).alias("mean_value"))
+    return fact.groupBy("year").agg(round_agg(F.avg("Transaction_Value"), 2).alias("mean_value"))
 
 
 def price_by_property_type(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("Property_Type").agg(round_half_up(F.avg("price_per_sqm"), 2).alias("mean_price_per_sqm"))
+    return fact.groupBy("Property_Type").agg(round_agg(F.avg("price_per_sqm"), 2).alias("mean_price_per_sqm"))
 
 
 def city_txn_ranking(fact: DataFrame) -> DataFrame:

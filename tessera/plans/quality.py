@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.exprs import fixed, parse_date, round_half_up, short_float, thousands
+from tessera.functions.exprs import fixed, parse_date, round_agg, round_half_up, short_float, thousands
 from tessera.schema import (DATASET_NAME, DQ_MAX_DATE, DQ_MIN_DATE, EXPECTED_ROWS, ROW_TOLERANCE,
                             VALID_CITIES, VALID_PROPERTY_TYPES, VALID_PURPOSES)
 
@@ -292,7 +292,7 @@ def column_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     row = df.agg(*aggs)
     return row.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), round_half_up(f"{c}__min", 2).alias("min_value"),
-                 round_half_up(f"{c}__max", 2).alias("max_value"), round_half_up(f"{c}__mean", 2).alias("mean_value"))
+                 round_half_up(f"{c}__max", 2).alias("max_value"), round_agg(f"{c}__mean", 2).alias("mean_value"))
         for c in cols])))
 
 

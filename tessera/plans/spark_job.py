@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import flag, parse_date, ratio, round_half_up, value_band_left_closed
+from tessera.functions.exprs import flag, parse_date, ratio, round_half_up, round_agg, value_band_left_closed
 from tessera.schema import SPARK_HIGH_DEMAND
 
 
@@ -31,19 +31,19 @@ def spark_city_summary(housing: DataFrame) -> DataFrame:
     return (housing.groupBy("City").agg(
         F.count(F.lit(1)).cast("bigint").alias("total_transactions"),
         round_half_up(F.sum("Transaction_Value"), 0).alias("total_value"),
-        round_half_up(F.avg("Transaction_Value"), 0).alias("avg_value"),
-        round_half_up(F.avg("price_per_sqm"), 2).alias("avg_price_sqm"),
-        round_half_up(F.avg("Demand_Score"), 3).alias("avg_demand"),
-        round_half_up(F.avg("Vacancy_Rate") * 100.0, 2).alias("avg_vacancy_pct"),
+        round_agg(F.avg("Transaction_Value"), 0).alias("avg_value"),
+        round_agg(F.avg("price_per_sqm"), 2).alias("avg_price_sqm"),
+        round_agg(F.avg("Demand_Score"), 3).alias("avg_demand"),
+        round_agg(F.avg("Vacancy_Rate") * 100.0, 2).alias("avg_vacancy_pct"),
     ).orderBy(F.col("total_transactions").desc()))
 
 
 def spark_yearly_trend(housing: DataFrame) -> DataFrame:
     return (housing.groupBy("year").agg(
         F.count(F.lit(1)).cast("bigint").alias("transactions"),
-        round_half_up(F.avg("Transaction_Value"), 0).alias("avg_value"),
-        round_half_up(F.avg("Demand_Score"), 3).alias("avg_demand"),
-        round_half_up(F.avg("Interest_Rate") * 100.0, 2).alias("avg_interest_pct"),
+        round_agg(F.avg("Transaction_Value"), 0).alias("avg_value"),
+        round_agg(F.avg("Demand_Score"), 3).alias("avg_demand"),
+        round_agg(F.avg("Interest_Rate") * 100.0, 2).alias("avg_interest_pct"),
     ).orderBy("year"))
 
 
@@ -54,8 +54,8 @@ def district_top5(housing: DataFrame, k: int = 5) -> DataFrame:
     adds a per-partition group limit before the window's shuffle."""
     agg = housing.groupBy("City", "District").agg(
         F.count(F.lit(1)).cast("bigint").alias("txn_count"),
-        round_half_up(F.avg("Transaction_Value"), 0).alias("avg_value"),
-        round_half_up(F.avg("price_per_sqm"), 2).alias("avg_price_sqm"),
+        round_agg(F.avg("Transaction_Value"), 0).alias("avg_value"),
+        round_agg(F.avg("price_per_sqm"), 2).alias("avg_price_sqm"),
     )
     w = Window.partitionBy("City").orderBy(F.col("avg_price_sqm").desc_nulls_last())
     return (agg.withColumn("rank_in_city", F.rank().over(w).cast("int"))
@@ -67,6 +67,6 @@ def city_summary_basic(raw: DataFrame) -> DataFrame:
     """Fallback summary on raw rows: ID count and two means, rounded to whole units."""
     return raw.groupBy("City").agg(
         F.count("Transaction_ID").cast("bigint").alias("transactions"),
-        round_half_up(F.avg("Transaction_Value"), 0).alias("avg_value"),
-        round_half_up(F.avg(ratio("Transaction_Value", "Area_sqm")), 0).alias("avg_price_sqm"),
+        round_agg(F.avg("Transaction_Value"), 0).alias("avg_value"),
+        round_agg(F.avg(ratio("Transaction_Value", "Area_sqm")), 0).alias("avg_price_sqm"),
     )
