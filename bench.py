@@ -2,10 +2,11 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Each query is first run on the smallest data set (JIT warm-up of the same code
-paths), then timed once on ``$BENCH_SF_DIR``: plan construction (including the
-eager size checks and materialised intermediates) plus full execution into Spark's
-``noop`` sink. Prints one JSON line.
+Each query is first run on the smallest data set (warm-up of the same code paths),
+then timed twice on ``$BENCH_SF_DIR``: plan construction (including the eager size
+checks and materialised intermediates) plus full execution into Spark's ``noop``
+sink. ``queries`` holds the better of the two runs, ``cold_queries`` the first run at
+that scale (it includes JIT compilation of the hot loops). Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -46,15 +47,19 @@ def main() -> None:
     from tessera.session import build_session
 
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus))
-    timings = {}
+    timings, cold = {}, {}
     for name in names:
         fn = catalog.QUERIES[name]
         if os.path.isdir(WARMUP_DIR):
             run(spark, fn, WARMUP_DIR)
-        timings[name] = round(run(spark, fn, sf_dir), 3)
+        first = run(spark, fn, sf_dir)
+        second = run(spark, fn, sf_dir)
+        cold[name] = round(first, 3)
+        timings[name] = round(min(first, second), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_queries_total_wall", "value": round(sum(timings.values()), 3),
-                      "unit": "sec", "queries": timings, "sf": sf, "cpus": cpus}))
+                      "unit": "sec", "queries": timings, "sf": sf, "cpus": cpus,
+                      "cold_queries": cold, "cold_total": round(sum(cold.values()), 3)}))
     spark.stop()
 
 

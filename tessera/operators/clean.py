@@ -26,16 +26,24 @@ def drop_null_critical(df: DataFrame, cols: list[str] = CRITICAL_COLUMNS) -> Dat
 
 
 def dedup_keep_first(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
-    """Keep, per ``key``, the first row in the total order ``order_cols``.
-
-    Written as an aggregation (``min_by`` over the whole row) rather than a
-    ``row_number`` window: the aggregate combines map-side, so a key that holds a
-    third of all rows is reduced to one row per map task before the shuffle, while a
-    window would sort all of that key's rows in one task. Null keys form one group."""
-    others = [c for c in df.columns if c != key]
-    order = F.struct(*[F.col(c) for c in order_cols])
-    kept = df.groupBy(key).agg(F.min_by(F.struct(*[F.col(c) for c in others]), order).alias("__row"))
-    return kept.select(key, "__row.*").select(*df.columns)
+    """Keep, per ``key``, the first row in the order ``order_cols`` (which, with the
+    key, must identify a row — e.g. a source ordinal).
+
+    Two steps, both safe when one key holds a third of all rows:
+    1. the first order tuple per key, from narrow rows (key + order columns) with a
+       map-side-combined aggregation — a hot key costs one row per map task;
+    2. a left-semi join of the rows with those firsts on (key, order columns); hash
+       partitioning on all of them spreads a hot key's rows over many tasks.
+    Matching is null-safe, so a null key or order value behaves like a value (as in
+    pandas ``drop_duplicates``). A ``row_number`` window would instead sort every
+    row of a hot key in one task."""
+    firsts = (df.select(key, *order_cols).groupBy(key)
+                .agg(F.min(F.struct(*[F.col(c) for c in order_cols])).alias("__o"))
+                .select(F.col(key).alias("__k"), *[F.col("__o")[c].alias(f"__{c}") for c in order_cols]))
+    cond = F.col(key).eqNullSafe(F.col("__k"))
+    for c in order_cols:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return df.join(firsts, cond, "left_semi")
 
 
 def filter_positive(df: DataFrame, cols: tuple[str, ...] = ("Transaction_Value", "Area_sqm")) -> DataFrame:
@@ -60,6 +68,17 @@ def clip_to(df: DataFrame, col: str, bounds: DataFrame) -> DataFrame:
     return df.join(F.broadcast(b), how="cross").withColumn(col, capped).drop("__lo", "__hi")
 
 
+def clip_between(df: DataFrame, col: str, lower: float | None, upper: float | None) -> DataFrame:
+    """Cap ``col`` into [lower, upper] given as numbers (null bound: no cap on that side)."""
+    v = F.col(col)
+    capped = v
+    if lower is not None:
+        capped = F.greatest(capped, F.lit(float(lower)))
+    if upper is not None:
+        capped = F.least(capped, F.lit(float(upper)))
+    return df.withColumn(col, F.when(v.isNull(), v).otherwise(capped))
+
+
 def outlier_clip(df: DataFrame, col: str = "Transaction_Value",
                  low: float = CLIP_LOW, high: float = CLIP_HIGH) -> DataFrame:
     return clip_to(df, col, outlier_bounds(df, col, low, high))

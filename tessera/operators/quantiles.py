@@ -106,6 +106,19 @@ def _ranged_quantiles(hist: DataFrame, probs: list[tuple[str, float]], slices: i
     return found.select(F.col("c").alias("column"), "p", value.alias("value"))
 
 
+def quantile_values(df: DataFrame, named: dict[str, tuple[str, float]],
+                    max_task_values: int = MAX_TASK_VALUES) -> dict[str, float | None]:
+    """The requested quantiles as Python numbers: ``{"lo": ("Transaction_Value", 0.01)}``.
+    Only the final scalars reach the driver (one row)."""
+    spec: dict[str, list[float]] = {}
+    for c, p in named.values():
+        spec.setdefault(c, [])
+        if p not in spec[c]:
+            spec[c].append(p)
+    got = {(r["column"], r["p"]): r["value"] for r in quantiles_long(df, spec, max_task_values).collect()}
+    return {name: got.get((c, float(p))) for name, (c, p) in named.items()}
+
+
 def quantiles_row(df: DataFrame, named: dict[str, tuple[str, float]],
                   max_task_values: int = MAX_TASK_VALUES) -> DataFrame:
     """One row with a column per name: ``{"lo": ("Transaction_Value", 0.01), ...}``."""

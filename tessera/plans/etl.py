@@ -6,9 +6,9 @@ standardise strings -> high-demand flag vs median -> surrogate keys.
 
 Plan shape: one scan of the raw input and one shuffle for the dedup aggregate; the
 deduplicated rows are written once to the shared checkpoint folder (they feed two
-branches, and the write cuts the lineage so a lost executor does not redo the
-dedup). The statistics branch (exact percentiles of the value and median of demand,
-from one histogram) ends in a single row that is broadcast back to the rows.
+passes, and the write cuts the lineage so a lost executor does not redo the dedup).
+The statistics pass (exact percentiles of the value and median of demand, from one
+histogram) yields three numbers that the row pass applies as literals.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import clean
-from tessera.operators.quantiles import quantiles_row
+from tessera.operators.quantiles import quantile_values, quantiles_row
 from tessera.session import materialize
 from tessera.schema import ADAPTER_ORDER_COLUMNS, CLIP_HIGH, CLIP_LOW, CRITICAL_COLUMNS, RAW_COLUMNS
 
@@ -34,13 +34,16 @@ def deduplicated(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS)
                .transform(clean.filter_positive))
 
 
+STATS = {
+    "lower": ("Transaction_Value", CLIP_LOW),
+    "upper": ("Transaction_Value", CLIP_HIGH),
+    "median_demand": ("Demand_Score", 0.5),
+}
+
+
 def etl_stats(rows: DataFrame) -> DataFrame:
     """One row: clip bounds of the value and median of demand (one histogram pass)."""
-    return quantiles_row(rows, {
-        "lower": ("Transaction_Value", CLIP_LOW),
-        "upper": ("Transaction_Value", CLIP_HIGH),
-        "median_demand": ("Demand_Score", 0.5),
-    })
+    return quantiles_row(rows, STATS)
 
 
 def etl_clean(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS,
@@ -48,16 +51,16 @@ def etl_clean(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS,
     rows = deduplicated(raw, order_cols)
     if materialize_rows:
         rows = materialize(rows.drop(*order_cols), "etl-dedup")
-    stats = etl_stats(rows)
-    clipped = clean.clip_to(rows, "Transaction_Value", stats.select("lower", "upper"))
-    med = stats.select(F.col("median_demand").alias("__median"))
-    out = (clipped.transform(clean.add_time_features)
-                  .transform(clean.add_derived_metrics)
-                  .transform(clean.standardise_strings)
-                  .join(F.broadcast(med), how="cross")
-                  .withColumn("is_high_demand",
-                              F.coalesce(F.col("Demand_Score") > F.col("__median"), F.lit(False)))
-                  .transform(clean.add_surrogate_keys))
+    # three scalars, computed in Spark from one histogram; applied as literals
+    st = quantile_values(rows, STATS)
+    median = st["median_demand"]
+    high = (F.col("Demand_Score") > F.lit(median)) if median is not None else F.lit(False)
+    out = (rows.transform(lambda d: clean.clip_between(d, "Transaction_Value", st["lower"], st["upper"]))
+               .transform(clean.add_time_features)
+               .transform(clean.add_derived_metrics)
+               .transform(clean.standardise_strings)
+               .withColumn("is_high_demand", F.coalesce(high, F.lit(False)))
+               .transform(clean.add_surrogate_keys))
     return out.select(*ETL_COLUMNS)
 
 

@@ -11,6 +11,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan over the cluster when it yields fewer input splits than there
+    are task slots (e.g. one file with one row group): everything up to the first
+    shuffle would otherwise run in one task. On a large multi-file input the scan
+    already has far more splits than slots and this is a no-op."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 def scan_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Read a written warehouse table (Parquet by default, partition discovery on)."""
     return spark.read.format(fmt).load(path)
