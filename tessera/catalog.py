@@ -580,3 +580,11 @@ def q_stream_dedup(spark, sf_dir):
 @register("stream_monthly_trend")
 def q_stream_monthly_trend(spark, sf_dir):
     return ingest.monthly_trend(spark, _landing(spark, sf_dir), RAW_SCHEMA)
+
+
+@register("assert_negative_prices_raw")
+def q_assert_negative_prices_raw(spark, sf_dir):
+    """The singular test run on the un-cleaned feature view, where it must find rows."""
+    h = _housing(spark, sf_dir)
+    return h.where(F.col("price_per_sqm") < 0).select("Transaction_ID", "Transaction_Value", "Area_sqm",
+                                                      round_half_up("price_per_sqm", 4).alias("price_per_sqm"))

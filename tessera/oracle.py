@@ -637,6 +637,9 @@ SELECT City, CAST(count(Transaction_ID) AS BIGINT) AS total_transactions,
   {RA('avg(Transaction_Value)', 2)} AS avg_value_sar
 FROM (SELECT * FROM etl ORDER BY Transaction_ID LIMIT 50000) GROUP BY City"""
 
+    q["assert_negative_prices_raw"] = with_(RAW, HOUSING) + \
+        f"SELECT Transaction_ID, Transaction_Value, Area_sqm, {R('price_per_sqm', 4)} AS price_per_sqm " \
+        "FROM housing WHERE price_per_sqm < 0"
     order_cols = f"{RAW_COLS}, l_partkey, l_suppkey, l_extendedprice"
     q["scan_csv_typed"] = with_(RAW) + f"SELECT {order_cols} FROM raw"
     q["union_chunks"] = with_(RAW) + f"SELECT {order_cols} FROM raw"
