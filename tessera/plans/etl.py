@@ -48,19 +48,22 @@ def etl_stats(rows: DataFrame) -> DataFrame:
 
 def etl_clean(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS,
               materialize_rows: bool = True) -> DataFrame:
-    rows = deduplicated(raw, order_cols)
+    rows = deduplicated(raw, order_cols).drop(*order_cols)
+    # Row-local work that does not depend on the statistics (label clean-up, hash
+    # keys, time features) is done before the rows are written, so every later
+    # reader — and every filter Catalyst infers on the keys — sees plain columns.
+    rows = (rows.transform(clean.standardise_strings)
+                .transform(clean.add_surrogate_keys)
+                .transform(clean.add_time_features))
     if materialize_rows:
-        rows = materialize(rows.drop(*order_cols), "etl-dedup")
+        rows = materialize(rows, "etl-rows")
     # three scalars, computed in Spark from one histogram; applied as literals
     st = quantile_values(rows, STATS)
     median = st["median_demand"]
     high = (F.col("Demand_Score") > F.lit(median)) if median is not None else F.lit(False)
     out = (rows.transform(lambda d: clean.clip_between(d, "Transaction_Value", st["lower"], st["upper"]))
-               .transform(clean.add_time_features)
                .transform(clean.add_derived_metrics)
-               .transform(clean.standardise_strings)
-               .withColumn("is_high_demand", F.coalesce(high, F.lit(False)))
-               .transform(clean.add_surrogate_keys))
+               .withColumn("is_high_demand", F.coalesce(high, F.lit(False))))
     return out.select(*ETL_COLUMNS)
 
 
