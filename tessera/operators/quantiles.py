@@ -38,10 +38,9 @@ def value_histogram(df: DataFrame, cols: list[str]) -> DataFrame:
     return stacked.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
 
 
-def quantiles_long(df: DataFrame, spec: dict[str, list[float]], max_task_values: int = MAX_TASK_VALUES,
-                   slices: int | None = None) -> DataFrame:
-    """Rows (column, p, value) — exact linear-interpolated quantiles, nulls/NaN ignored.
-    A column with no values gives a null quantile."""
+def _quantiles_found(df: DataFrame, spec: dict[str, list[float]], max_task_values: int,
+                     slices: int | None) -> tuple[DataFrame, DataFrame]:
+    """(found rows (column, p, value), the persisted histogram)."""
     spark = df.sparkSession
     cols = list(spec)
     probs = [(c, float(p)) for c in cols for p in spec[c]]
@@ -51,8 +50,17 @@ def quantiles_long(df: DataFrame, spec: dict[str, list[float]], max_task_values:
         found = _merged_quantiles(hist, spec)
     else:
         found = _ranged_quantiles(hist, probs, slices or int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    return found, hist
+
+
+def quantiles_long(df: DataFrame, spec: dict[str, list[float]], max_task_values: int = MAX_TASK_VALUES,
+                   slices: int | None = None) -> DataFrame:
+    """Rows (column, p, value) — exact linear-interpolated quantiles, nulls/NaN ignored.
+    A column with no values gives a null quantile."""
+    found, _ = _quantiles_found(df, spec, max_task_values, slices)
+    probs = [(c, float(p)) for c in spec for p in spec[c]]
     # columns/probabilities without any value still get a (null) row
-    wanted = spark.createDataFrame(probs, "column string, p double")
+    wanted = df.sparkSession.createDataFrame(probs, "column string, p double")
     return wanted.join(F.broadcast(found), ["column", "p"], "left")
 
 
@@ -109,13 +117,15 @@ def _ranged_quantiles(hist: DataFrame, probs: list[tuple[str, float]], slices: i
 def quantile_values(df: DataFrame, named: dict[str, tuple[str, float]],
                     max_task_values: int = MAX_TASK_VALUES) -> dict[str, float | None]:
     """The requested quantiles as Python numbers: ``{"lo": ("Transaction_Value", 0.01)}``.
-    Only the final scalars reach the driver (one row)."""
+    Only the final scalars reach the driver (a handful of rows)."""
     spec: dict[str, list[float]] = {}
     for c, p in named.values():
         spec.setdefault(c, [])
         if p not in spec[c]:
             spec[c].append(p)
-    got = {(r["column"], r["p"]): r["value"] for r in quantiles_long(df, spec, max_task_values).collect()}
+    found, hist = _quantiles_found(df, spec, max_task_values, None)
+    got = {(r["column"], r["p"]): r["value"] for r in found.collect()}
+    hist.unpersist()
     return {name: got.get((c, float(p))) for name, (c, p) in named.items()}
 
 

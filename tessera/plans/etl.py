@@ -4,8 +4,9 @@ parse dates -> time features -> drop null critical -> dedup (keep first) ->
 positive value/area -> clip value at the 1st/99th percentile -> derived metrics ->
 standardise strings -> high-demand flag vs median -> surrogate keys.
 
-Plan shape: one scan of the raw input and one shuffle for the dedup aggregate; the
-deduplicated rows are written once to the shared checkpoint folder (they feed two
+Plan shape: the raw input lands once as bronze Parquet; the dedup reads it twice
+(narrow, then whole rows) and shuffles twice (first order tuple per ID, semi-join);
+the deduplicated rows are written once to the shared checkpoint folder (they feed two
 passes, and the write cuts the lineage so a lost executor does not redo the dedup).
 The statistics pass (exact percentiles of the value and median of demand, from one
 histogram) yields three numbers that the row pass applies as literals.
@@ -48,6 +49,11 @@ def etl_stats(rows: DataFrame) -> DataFrame:
 
 def etl_clean(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS,
               materialize_rows: bool = True) -> DataFrame:
+    if materialize_rows:
+        # bronze: the raw rows land once as Parquet; the dedup reads them twice
+        # (narrow key/order columns, then whole rows) with column pruning instead of
+        # re-running the source twice
+        raw = materialize(raw, "bronze")
     rows = deduplicated(raw, order_cols).drop(*order_cols)
     # Row-local work that does not depend on the statistics (label clean-up, hash
     # keys, time features) is done before the rows are written, so every later
