@@ -14,10 +14,11 @@ exactly the join-then-aggregate result, including fan-out on a key collision.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import round_half_up, round_agg
+from tessera.operators.ranking import global_rank
 
 MEASURES = {
     "value": "Transaction_Value", "price": "price_per_sqm", "area": "Area_sqm",
@@ -159,8 +160,7 @@ def price_by_property_type(fact: DataFrame) -> DataFrame:
 
 
 def city_txn_ranking(fact: DataFrame) -> DataFrame:
-    """Cities by transaction count, descending, with a rank (window over the
-    per-city aggregate, not over rows)."""
+    """Cities by transaction count, descending, with a rank over the per-city
+    aggregate (``operators.ranking.global_rank`` — no single-task window)."""
     agg = fact.groupBy("City").agg(F.count("Transaction_ID").cast("bigint").alias("transactions"))
-    w = Window.orderBy(F.col("transactions").desc())
-    return agg.withColumn("rank", F.rank().over(w).cast("int")).orderBy("rank", "City")
+    return global_rank(agg, "transactions").orderBy("rank", "City")

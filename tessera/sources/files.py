@@ -52,11 +52,6 @@ def scan_csv_inferred(spark: SparkSession, path) -> DataFrame:
             .options(**CSV_KEEP_BLANKS).csv(path))
 
 
-def chunk_files(spark: SparkSession, path: str, fmt: str = "csv") -> list[str]:
-    """The data files under a written table (metadata only)."""
-    return sorted(spark.read.format(fmt).option("header", "true").load(path).inputFiles())
-
-
 def read_chunks(spark: SparkSession, paths: list[str], schema: T.StructType | None = None) -> DataFrame:
     """All chunks in ONE scan: every file is a split of the same read (no per-chunk
     plans to union on the driver)."""

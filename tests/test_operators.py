@@ -55,3 +55,17 @@ def test_zscore_constant_column_has_no_anomalies(spark):
     assert anomaly.zscore_anomalies(df, "x").count() == 0
     one = spark.createDataFrame([(1.0,)], "x double")
     assert anomaly.zscore_anomalies(one, "x").count() == 0
+
+
+def test_global_rank_matches_sql_rank(spark):
+    from tessera.operators.ranking import global_rank
+    import random
+    random.seed(3)
+    vals = [(i, random.choice([None, 1, 2, 2, 3, 5, 5, 5, 8])) for i in range(400)]
+    df = spark.createDataFrame(vals, "id long, x long")
+    got = {r.id: r.rank for r in global_rank(df, "x", slices=7).collect()}
+    ordered = sorted([v for _, v in vals if v is not None], reverse=True)
+    n_nonnull = len(ordered)
+    for i, v in vals:
+        exp = 1 + sum(1 for u in ordered if u > v) if v is not None else n_nonnull + 1
+        assert got[i] == exp
