@@ -68,4 +68,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
+    _delete_on_exit(spark, path)
     return spark.read.parquet(path)
+
+
+def _delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Scratch tables live as long as the session: ask the (shared) file system to
+    remove them when the driver's file-system handle closes."""
+    try:
+        jvm = spark.sparkContext._jvm
+        jpath = jvm.org.apache.hadoop.fs.Path(path)
+        jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    except Exception:  # noqa: BLE001 - cleanup is best effort
+        pass
