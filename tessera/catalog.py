@@ -564,6 +564,17 @@ def q_layers_materialize(spark, sf_dir):
         path = writers.replace_table(df, f"{base}/{layer}/{name}")
         parts.append(row_count(scan_table(spark, path)).select(
             F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "row_count"))
+    # the SQL model layers: staging is a view (recomputed on read), intermediate and
+    # mart are written tables
+    stg = layers.stg_transactions(raw.drop(*ADAPTER_ORDER_COLUMNS))
+    stg.createOrReplaceTempView("stg_transactions")
+    parts.append(row_count(spark.table("stg_transactions")).select(
+        F.lit("view").alias("layer"), F.lit("stg_transactions").alias("table_name"), "row_count"))
+    for name, df in [("int_transactions_enriched", layers.int_transactions_enriched(spark.table("stg_transactions"))),
+                     ("mart_city_performance", layers.mart_city_performance(spark.table("stg_transactions")))]:
+        path = writers.replace_table(df, f"{base}/table/{name}")
+        parts.append(row_count(scan_table(spark, path)).select(
+            F.lit("table").alias("layer"), F.lit(name).alias("table_name"), "row_count"))
     return files.union_chunks(parts)
 
 

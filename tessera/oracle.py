@@ -656,7 +656,7 @@ UNION ALL SELECT 'dim_city', CAST(count(*) AS BIGINT) FROM dim_city
 UNION ALL SELECT 'dim_district', CAST(count(*) AS BIGINT) FROM dim_district
 UNION ALL SELECT 'dim_date', CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT Date, year, month, quarter, day_of_week, year_month FROM etl)
 UNION ALL SELECT 'scd2_city_metrics', CAST(count(*) AS BIGINT) FROM snap"""
-    q["layers_materialize"] = with_(*STAR) + """
+    q["layers_materialize"] = with_(*STAR, STG) + """
 SELECT 'bronze' AS layer, 'transactions_raw' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM raw
 UNION ALL SELECT 'silver', 'transactions_clean', CAST(count(*) AS BIGINT) FROM etl
 UNION ALL SELECT 'gold', 'mart_city_summary', CAST(count(DISTINCT c.city_name) AS BIGINT)
@@ -668,6 +668,10 @@ UNION ALL SELECT 'gold', 'mart_district_heatmap', CAST(count(*) AS BIGINT) FROM
   ON f.district_key = d.district_key AND d.city_name = c.city_name)
 UNION ALL SELECT 'gold', 'mart_value_band_distribution', CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT f.value_band, c.city_name
   FROM fact f JOIN dim_city c ON f.city_key = c.city_key)"""
+    q["layers_materialize"] = q["layers_materialize"] + """
+UNION ALL SELECT 'view', 'stg_transactions', CAST(count(*) AS BIGINT) FROM stg
+UNION ALL SELECT 'table', 'int_transactions_enriched', CAST(count(*) AS BIGINT) FROM stg
+UNION ALL SELECT 'table', 'mart_city_performance', CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT city, txn_year FROM stg)"""
     SCLEAN = f"""sclean AS (
   SELECT Transaction_ID, Date, {_std('City')} AS City, {_std('District')} AS District,
     {_std('Property_Type')} AS Property_Type, Transaction_Value, Area_sqm, Number_of_Units, Contract_Duration,

@@ -23,3 +23,11 @@ def test_stream_monthly_trend_totals(spark):
     landing = ingest.land_files(raw, scratch_path(spark, "landing"), rows_per_file=1000)
     trend = ingest.monthly_trend(spark, landing, RAW_SCHEMA)
     assert trend.groupBy().sum("transactions").first()[0] == ingest.clean_rows(raw).count()
+
+
+def test_stream_dedup_keeps_one_row_per_id(spark):
+    raw = raw_transactions(spark, SF_SMALL, with_order=False)
+    landing = ingest.land_files(raw, scratch_path(spark, "landing"), rows_per_file=1000)
+    got = ingest.dedup_stream(spark, landing, RAW_SCHEMA)
+    expected = ingest.clean_rows(raw).select("Transaction_ID").distinct().count()
+    assert got.count() == expected == got.select("Transaction_ID").distinct().count()
