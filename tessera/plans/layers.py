@@ -33,7 +33,7 @@ def stg_transactions(raw: DataFrame) -> DataFrame:
     pushed below the projection and, for Parquet input, into the scan."""
     d = parse_date("Date")
     dem, sup = F.col("Demand_Score").cast("double"), F.col("Supply_Score").cast("double")
-    tv = F.col("Transaction_Value").cast("bigint")
+    tv = F.col("Transaction_Value").try_cast("bigint")
     return (
         raw.where(F.col("Transaction_ID").isNotNull() & F.col("Date").isNotNull()
                   & (F.col("Transaction_Value") > 0) & (F.col("Area_sqm") > 0))
