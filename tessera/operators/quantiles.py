@@ -115,20 +115,42 @@ def _ranged_quantiles(hist: DataFrame, probs: list[tuple[str, float]], slices: i
 
 
 def quantile_values(df: DataFrame, named: dict[str, tuple[str, float]],
-                    max_task_values: int = MAX_TASK_VALUES) -> dict[str, float | None]:
+                    max_task_values: int = MAX_TASK_VALUES,
+                    distinct_bounds: dict[str, float] | None = None) -> dict[str, float | None]:
     """The requested quantiles as Python numbers: ``{"lo": ("Transaction_Value", 0.01)}``.
-    Only the final scalars reach the driver (a handful of rows)."""
+    Only the final scalars reach the driver (a handful of rows).
+
+    ``distinct_bounds`` — known upper bounds of each column's distinct count (e.g.
+    observed while the input was written). When all are within ``max_task_values``
+    the exact ``percentile`` runs directly over the rows in one aggregation (its
+    per-task and merged buffers hold one entry per distinct value); otherwise the
+    histogram path of ``quantiles_long`` checks the size itself."""
     spec: dict[str, list[float]] = {}
     for c, p in named.values():
         spec.setdefault(c, [])
         if p not in spec[c]:
             spec[c].append(p)
+    if distinct_bounds and all(distinct_bounds.get(c, float("inf")) <= max_task_values for c in spec):
+        aggs = []
+        for c, ps in spec.items():
+            v = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+            aggs.append(F.percentile(v, F.array(*[F.lit(float(p)) for p in ps])).alias(c))
+        row = df.agg(*aggs).first()
+        got = {(c, float(p)): (row[c][i] if row[c] is not None else None)
+               for c, ps in spec.items() for i, p in enumerate(ps)}
+        return {name: got.get((c, float(p))) for name, (c, p) in named.items()}
     found, hist = _quantiles_found(df, spec, max_task_values, None)
     got = {(r["column"], r["p"]): r["value"] for r in found.collect()}
     hist.unpersist()
     return {name: got.get((c, float(p))) for name, (c, p) in named.items()}
 
 
+def distinct_bound(rows: int, approx_distinct: int, rsd: float = 0.05) -> float:
+    """A safe upper bound of a distinct count from an exact row count and a
+    HyperLogLog estimate (relative standard deviation ``rsd``; 5 sigma margin)."""
+    return float(min(rows, approx_distinct * (1 + 5 * rsd)))
+
+
 def quantiles_row(df: DataFrame, named: dict[str, tuple[str, float]],
                   max_task_values: int = MAX_TASK_VALUES) -> DataFrame:
     """One row with a column per name: ``{"lo": ("Transaction_Value", 0.01), ...}``."""

@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import clean
-from tessera.operators.quantiles import quantile_values, quantiles_row
-from tessera.session import materialize
+from tessera.operators.quantiles import distinct_bound, quantile_values, quantiles_row
+from tessera.session import materialize, materialize_observed
 from tessera.schema import ADAPTER_ORDER_COLUMNS, CLIP_HIGH, CLIP_LOW, CRITICAL_COLUMNS, RAW_COLUMNS
 
 ETL_COLUMNS = RAW_COLUMNS + ["year", "month", "quarter", "day_of_week", "year_month", "price_per_sqm",
@@ -61,10 +61,18 @@ def etl_clean(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS,
     rows = (rows.transform(clean.standardise_strings)
                 .transform(clean.add_surrogate_keys)
                 .transform(clean.add_time_features))
+    bounds = None
     if materialize_rows:
-        rows = materialize(rows, "etl-rows")
-    # three scalars, computed in Spark from one histogram; applied as literals
-    st = quantile_values(rows, STATS)
+        # the write also observes the row count and HyperLogLog distinct estimates,
+        # which bound what an exact percentile would hold in one task
+        rows, m = materialize_observed(rows, "etl-rows", [
+            F.count(F.lit(1)).alias("rows"),
+            F.approx_count_distinct("Transaction_Value").alias("d_value"),
+            F.approx_count_distinct("Demand_Score").alias("d_demand")])
+        bounds = {"Transaction_Value": distinct_bound(m["rows"], m["d_value"]),
+                  "Demand_Score": distinct_bound(m["rows"], m["d_demand"])}
+    # three scalars computed in Spark, applied as literals
+    st = quantile_values(rows, STATS, distinct_bounds=bounds)
     median = st["median_demand"]
     high = (F.col("Demand_Score") > F.lit(median)) if median is not None else F.lit(False)
     out = (rows.transform(lambda d: clean.clip_between(d, "Transaction_Value", st["lower"], st["upper"]))

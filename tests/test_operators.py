@@ -69,3 +69,16 @@ def test_global_rank_matches_sql_rank(spark):
     for i, v in vals:
         exp = 1 + sum(1 for u in ordered if u > v) if v is not None else n_nonnull + 1
         assert got[i] == exp
+
+
+def test_quantile_values_direct_path_matches_histogram_path(spark):
+    rng = np.random.default_rng(11)
+    a = rng.integers(0, 1000, 5000).astype(float)
+    df = spark.createDataFrame([(float(x),) for x in a], "a double")
+    named = {"lo": ("a", 0.01), "hi": ("a", 0.99), "med": ("a", 0.5)}
+    direct = quantile_values(df, named, distinct_bounds={"a": 1000})
+    hist = quantile_values(df, named)
+    ranged = quantile_values(df, named, max_task_values=0)
+    for k, (_, p) in named.items():
+        assert direct[k] == pytest.approx(np.percentile(a, p * 100), abs=1e-9)
+        assert hist[k] == pytest.approx(direct[k], abs=1e-9) and ranged[k] == pytest.approx(direct[k], abs=1e-9)
