@@ -59,6 +59,16 @@ def join_checked(big: DataFrame, small: DataFrame, on: list[str], how: str = "in
     return big.join(r, cond, how).drop(*[f"__r_{c}" for c in on])
 
 
+def join_bounded(big: DataFrame, small: DataFrame, on: list[str], how: str, max_rows: float,
+                 budget: int | None = None) -> DataFrame:
+    """Join where an upper bound of ``small``'s row count is already known (e.g.
+    observed while its input was written): broadcast only when that bound fits the
+    budget, otherwise a shuffle join."""
+    budget = budget or broadcast_budget(small.sparkSession)
+    ok = max_rows * estimated_row_bytes(small) <= budget
+    return big.join(F.broadcast(small) if ok else small, on=on, how=how)
+
+
 def anti_join_checked(big: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
     """Rows of ``big`` without a match in ``small`` (null keys never match)."""
     return join_checked(big, small.select(*on).distinct(), on=on, how="left_anti")

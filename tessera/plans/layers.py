@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from tessera.functions.exprs import (flag, investment_score, parse_date, ratio, risk_score,
                                      round_half_up, round_agg, sql_initcap_trim, value_band_left_closed)
-from tessera.operators.joins import join_checked
-from tessera.session import materialize
+from tessera.operators.joins import join_bounded, join_checked
+from tessera.operators.quantiles import distinct_bound
+from tessera.session import materialize_observed
 from tessera.schema import MART_HIGH_DEMAND
 
 STG_COLUMNS = [
@@ -122,11 +123,23 @@ def int_transactions_enriched(stg: DataFrame, materialize_rows: bool = True) ->
     on keys that are unique on the right side (the aggregates' group keys): they
     never add or remove rows, and a null district matches nothing. The benchmark
     tables are broadcast only after their size has been checked."""
+    cs_rows = ds_rows = None
     if materialize_rows:
-        stg = materialize(stg, "stg")
+        # the write also observes how many cities / (city, district) pairs exist —
+        # HyperLogLog estimates that bound the two benchmark tables' sizes
+        stg, m = materialize_observed(stg, "stg", [
+            F.count(F.lit(1)).alias("rows"),
+            F.approx_count_distinct("city").alias("cities"),
+            F.approx_count_distinct(F.xxhash64("city", "district")).alias("pairs")])
+        cs_rows = distinct_bound(m["rows"], m["cities"]) + 1          # + a null group
+        ds_rows = distinct_bound(m["rows"], m["pairs"]) + 1
     cs, ds = benchmarks(stg)
-    b = join_checked(stg, cs, on=["city"], how="left")
-    b = join_checked(b, ds, on=["city", "district"], how="left")
+    if cs_rows is None:
+        b = join_checked(stg, cs, on=["city"], how="left")
+        b = join_checked(b, ds, on=["city", "district"], how="left")
+    else:
+        b = join_bounded(stg, cs, on=["city"], how="left", max_rows=cs_rows)
+        b = join_bounded(b, ds, on=["city", "district"], how="left", max_rows=ds_rows)
     b = b.withColumn(
         "pct_above_city_avg",
         round_half_up((F.col("transaction_value_sar") - F.col("city_avg_value"))
