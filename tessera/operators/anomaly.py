@@ -1,7 +1,7 @@
 """Z-score anomalies: (x - mean) / sample std, |z| above a threshold.
 
 The mean and standard deviation come from one aggregation (partial per task, one
-merge) and are broadcast back as a single row; the filter then runs row-locally."""
+merge); the two numbers are applied as literals and the filter runs row-locally."""
 
 from __future__ import annotations
 
@@ -18,9 +18,11 @@ def column_stats(df: DataFrame, col: str) -> DataFrame:
 
 def with_zscore(df: DataFrame, col: str, out: str = "z_score") -> DataFrame:
     """Adds ``out``; null when the standard deviation is 0 or undefined (< 2 rows)."""
-    z = (F.col(col) - F.col("__mean")) / F.nullif(F.col("__std"), F.lit(0.0))
-    return (df.join(F.broadcast(column_stats(df, col)), how="cross")
-              .withColumn(out, z).drop("__mean", "__std"))
+    st = column_stats(df, col).first()
+    mean, std = st["__mean"], st["__std"]
+    if mean is None or std is None or std == 0 or std != std:
+        return df.withColumn(out, F.lit(None).cast("double"))
+    return df.withColumn(out, (F.col(col) - F.lit(float(mean))) / F.lit(float(std)))
 
 
 def zscore_anomalies(df: DataFrame, col: str, threshold: float = Z_THRESHOLD) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.exprs import (hex_mod, md5_mod, parse_date, ratio, round_half_up, standardise,
                                      time_features, value_band_right_closed)
-from tessera.operators.quantiles import quantiles_row
+from tessera.operators.quantiles import quantile_values, quantiles_row
 from tessera.schema import CLIP_HIGH, CLIP_LOW, CRITICAL_COLUMNS, STANDARDISED_COLUMNS
 
 
@@ -61,11 +61,10 @@ def outlier_bounds(df: DataFrame, col: str = "Transaction_Value",
 
 
 def clip_to(df: DataFrame, col: str, bounds: DataFrame) -> DataFrame:
-    """Cap ``col`` into [lower, upper] of the one-row ``bounds`` (broadcast: one row)."""
-    b = bounds.select(F.col("lower").alias("__lo"), F.col("upper").alias("__hi"))
-    v = F.col(col)
-    capped = F.when(v.isNull(), v).otherwise(F.least(F.greatest(v, F.col("__lo")), F.col("__hi")))
-    return df.join(F.broadcast(b), how="cross").withColumn(col, capped).drop("__lo", "__hi")
+    """Cap ``col`` into [lower, upper] of the one-row ``bounds`` (two numbers,
+    applied as literals)."""
+    b = bounds.select("lower", "upper").first()
+    return clip_between(df, col, b["lower"] if b else None, b["upper"] if b else None)
 
 
 def clip_between(df: DataFrame, col: str, lower: float | None, upper: float | None) -> DataFrame:
@@ -103,11 +102,11 @@ def median_row(df: DataFrame, col: str) -> DataFrame:
 
 
 def flag_above_median(df: DataFrame, col: str = "Demand_Score", out: str = "is_high_demand") -> DataFrame:
-    """``col > median(col)`` over the whole table (null compares false)."""
-    m = median_row(df, col).select(F.col("median").alias("__median"))
-    return (df.join(F.broadcast(m), how="cross")
-              .withColumn(out, F.coalesce(F.col(col) > F.col("__median"), F.lit(False)))
-              .drop("__median"))
+    """``col > median(col)`` over the whole table (null compares false); the median
+    is an exact distributed quantile applied as a literal."""
+    m = quantile_values(df, {"median": (col, 0.5)})["median"]
+    flag = (F.col(col) > F.lit(m)) if m is not None else F.lit(False)
+    return df.withColumn(out, F.coalesce(flag, F.lit(False)))
 
 
 def add_surrogate_keys(df: DataFrame) -> DataFrame:

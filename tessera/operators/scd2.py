@@ -35,13 +35,13 @@ def yearly_snapshots(fact: DataFrame) -> DataFrame:
     by_key = p.groupBy("city_key", "year").agg(*[F.sum(c).alias(c) for c in
                                                  ("s_p", "c_p", "s_d", "c_d", "s_v", "c_v")])
     names = p.select("city_key", "city_name").distinct()
-    max_year = by_key.agg(F.max("year").alias("__max_year"))
+    # the latest year over the (small) snapshot aggregate, applied as a literal
+    max_year = by_key.agg(F.max("year")).first()[0]
 
     def avg(s, c):
         return F.try_divide(F.col(s), F.nullif(F.col(c), F.lit(0)).cast("double"))
 
     snap = (by_key.join(names, "city_key", "left")
-                  .join(F.broadcast(max_year), how="cross")
                   .select(
                       "city_key", "city_name", "year",
                       round_agg(avg("s_p", "c_p"), 2).alias("avg_price_per_sqm"),
@@ -49,7 +49,7 @@ def yearly_snapshots(fact: DataFrame) -> DataFrame:
                       round_agg(avg("s_v", "c_v"), 4).alias("avg_vacancy_rate"),
                       F.make_date("year", F.lit(1), F.lit(1)).alias("effective_date"),
                       F.make_date("year", F.lit(12), F.lit(31)).alias("expiry_date"),
-                      F.when(F.col("year") == F.col("__max_year"), 1).otherwise(0).alias("is_current"),
+                      F.when(F.col("year") == F.lit(max_year), 1).otherwise(0).alias("is_current"),
                       F.md5(F.concat_ws("_", F.col("city_key").cast("string"), F.col("year").cast("string"),
                                         _dec_text(round_agg(avg("s_p", "c_p"), 2), 2))).alias("record_hash")))
     return snap

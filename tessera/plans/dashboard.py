@@ -26,12 +26,13 @@ def kpis(city_summary: DataFrame) -> DataFrame:
 
 
 def property_share(property_analysis: DataFrame) -> DataFrame:
-    """Share of transactions per property type (percent, 2 places). The total is a
-    one-row aggregate broadcast back, not a window over one partition."""
-    total = property_analysis.agg(F.sum("total_transactions").alias("__total"))
-    return (property_analysis.join(F.broadcast(total), how="cross")
-            .select("property_type", "total_transactions",
-                    round_half_up(F.col("total_transactions") * 100.0 / F.col("__total"), 2).alias("share_pct")))
+    """Share of transactions per property type (percent, 2 places). The total is
+    one number aggregated by Spark and applied as a literal (no window over a single
+    partition, no join)."""
+    total = property_analysis.agg(F.sum("total_transactions")).first()[0] or 0
+    share = F.try_divide(F.col("total_transactions") * 100.0, F.lit(float(total)) if total else F.lit(None))
+    return property_analysis.select("property_type", "total_transactions",
+                                    round_half_up(share, 2).alias("share_pct"))
 
 
 def city_series(city_summary: DataFrame) -> DataFrame:

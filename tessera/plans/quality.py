@@ -235,12 +235,21 @@ def run_suite(df: DataFrame, checks: list[Check] | None = None, kinds: set[str]
     checks = checks if checks is not None else default_suite()
     chosen = [(i + 1, c) for i, c in enumerate(checks) if kinds is None or c.kind in kinds]
     aggs = [a for i, c in chosen for a in c.aggs(i, df.schema)]
-    row = df.agg(*aggs) if aggs else df.sparkSession.range(1).select(F.lit(1).alias("_one"))
-    for i, c in chosen:
-        extra = c.side(df, i)
-        if extra is not None:
-            row = row.join(F.broadcast(extra), how="cross")   # both sides are one row
-    return row.select(F.inline(F.array(*[c.result(i) for i, c in chosen])))
+    parts = [df.agg(*aggs)] if aggs else []
+    parts += [extra for i, c in chosen if (extra := c.side(df, i)) is not None]
+    return combine_rows(parts).select(F.inline(F.array(*[c.result(i) for i, c in chosen])))
+
+
+def combine_rows(parts: list[DataFrame]) -> DataFrame:
+    """Merge one-row frames with disjoint columns into one row: union them (missing
+    columns null) and keep each column's only non-null value — no cross join."""
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p, allowMissingColumns=True)
+    cols = []
+    for p in parts:
+        cols += [c for c in p.columns if c not in cols]
+    return u.agg(*[F.first(c, ignorenulls=True).alias(c) for c in cols])
 
 
 def summary(results: DataFrame, df: DataFrame | None = None, dataset: str = DATASET_NAME) -> DataFrame:
@@ -255,8 +264,8 @@ def summary(results: DataFrame, df: DataFrame | None = None, dataset: str = DATA
                       * 100.0, 2), F.lit(0.0)))
     s = s.withColumn("gate_passed", F.col("critical_failures") == 0)
     if df is not None:
-        s = s.crossJoin(F.broadcast(df.agg(F.count(F.lit(1)).cast("bigint").alias("total_rows")))) \
-             .withColumn("dataset", F.lit(dataset))
+        s = combine_rows([s, df.agg(F.count(F.lit(1)).cast("bigint").alias("total_rows"))]) \
+            .withColumn("dataset", F.lit(dataset))
     return s
 
 
@@ -275,7 +284,7 @@ def report_json(results: DataFrame, df: DataFrame, run_id: str, run_timestamp: s
     (25 entries — the array is bounded by the number of checks)."""
     s = summary(results, df, dataset)
     arr = results.agg(F.sort_array(F.collect_list(F.struct(*RESULT_FIELDS))).alias("r"))
-    doc = s.crossJoin(F.broadcast(arr)).select(
+    doc = combine_rows([s, arr]).select(
         F.lit(run_id).alias("run_id"), F.lit(run_timestamp).alias("run_timestamp"), F.lit(dataset).alias("dataset"),
         "total_rows", "quality_score",
         F.struct("total_checks", "passed", "failed", "critical_failures").alias("summary"),
