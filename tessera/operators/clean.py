@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import (hex_mod, md5_mod, parse_date, ratio, round_half_up, standardise,
+from tessera.functions.exprs import (hex_mod, parse_date, ratio, round_half_up, standardise,
                                      time_features, value_band_right_closed)
 from tessera.operators.quantiles import quantile_values, quantiles_row
 from tessera.schema import CLIP_HIGH, CLIP_LOW, CRITICAL_COLUMNS, STANDARDISED_COLUMNS
