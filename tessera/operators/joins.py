@@ -39,7 +39,11 @@ def fits_broadcast(small: DataFrame, budget: int | None = None) -> tuple[DataFra
     budget = budget or broadcast_budget(small.sparkSession)
     small = small.persist(StorageLevel.MEMORY_AND_DISK)
     rows = small.count()
-    return small, rows * estimated_row_bytes(small) <= budget
+    ok = rows * estimated_row_bytes(small) <= budget
+    if not ok:
+        # too big to broadcast: do not keep a large table cached for a shuffle join
+        small.unpersist()
+    return small, ok
 
 
 def join_checked(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
