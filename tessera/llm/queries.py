@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, packing, quality, url_filter, warc
+from tessera.llm import bpe, license_scan, packing, pii, quality, toxicity, url_filter, warc
 from tessera.llm.common import documents
 from tessera.session import scratch_path
 
@@ -25,6 +25,24 @@ def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archive(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train on the labelled rows that are not held out, score every document."""
+    return toxicity.toxicity(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base phrases and license templates of every document."""
+    return license_scan.scan_licenses(documents(spark, sf_dir)).drop("places")
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans and the semi-Markov field's spans of every document."""
+    docs = documents(spark, sf_dir)
+    found = pii.scan_pii(docs, pii.train(pii.training_texts(docs)))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
+                        F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document with the byte-level vocabulary."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -50,4 +68,4 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(documents(spark, sf_dir, "pages"), URL_RULES)
 
 
-QUERIES = {f.__name__: f for f in (op2_warc_archive, op6_byte_bpe, op8_packing, op9_quality_rules, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op2_warc_archive, op3_toxicity, op4_license_scan, op5_pii, op6_byte_bpe, op8_packing, op9_quality_rules, op10_url_filter)}
