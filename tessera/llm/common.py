@@ -64,14 +64,20 @@ def pieces(batch: pa.RecordBatch, text: str) -> Iterator[tuple[dict, list[bytes]
     arr = batch.column(batch.schema.get_field_index(text))
     values = [v or b"" for v in arr.cast(pa.binary() if pa.types.is_string(arr.type) else pa.large_binary()).to_pylist()]
     others = {f.name: batch.column(i) for i, f in enumerate(batch.schema) if f.name != text}
+    for start, end in spans_of([len(v) for v in values]):
+        yield {k: a.slice(start, end - start) for k, a in others.items()}, values[start:end]
+
+
+def spans_of(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``CHUNK_BYTES``."""
     start = total = 0
-    for i, v in enumerate(values):
-        if i > start and total + len(v) > CHUNK_BYTES:
-            yield {k: a.slice(start, i - start) for k, a in others.items()}, values[start:i]
+    for i, n in enumerate(sizes):
+        if i > start and total + n > CHUNK_BYTES:
+            yield start, i
             start, total = i, 0
-        total += len(v)
-    if len(values) > start:
-        yield {k: a.slice(start) for k, a in others.items()}, values[start:]
+        total += n
+    if len(sizes) > start:
+        yield start, len(sizes)
 
 
 # ------------------------------------------------------------------ words
@@ -163,10 +169,9 @@ class Words:
 
 def run_hash(hashes: np.ndarray) -> int:
     """Hash of one whole word sequence (used where it is shorter than a shingle)."""
-    total = np.uint64(len(hashes)) * _GRAM[32]
-    for k, h in enumerate(hashes):
-        total = total + h * _GRAM[33 + k % 30] + np.uint64(k)
-    return int(mix(np.array([total], np.uint64))[0])
+    k = np.arange(len(hashes))
+    terms = hashes * _GRAM[33 + k % 30] + k.astype(np.uint64)
+    return int(mix(terms.sum(keepdims=True) + np.full(1, len(hashes), np.uint64) * _GRAM[32])[0])
 
 
 class Memo:

@@ -31,6 +31,7 @@ import re
 from bisect import bisect
 from collections import defaultdict
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -430,11 +431,10 @@ def redact(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 def redact_documents(docs: DataFrame, field: Field, text_col: str = "text") -> DataFrame:
     """The same columns with every span of ``text_col`` redacted; a null text stays null."""
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
+
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
-    @pandas_udf("string")
+    @F.pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: None if t is None else redact(t, find_spans(t, shared.value)[1]))
 

@@ -17,9 +17,11 @@ and extra columns change nothing; an empty table gives an empty result.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tessera.llm.common import SPACES, Words, byte_class, map_arrow
+from tessera.llm.common import SPACES, Words, byte_class, map_arrow, spans_of
 
 #: (raw bytes from, lowest ratio, highest ratio) of whole documents.
 DOCUMENT_BANDS = ((256, 0.30, 0.97), (1024, 0.22, 0.85), (4096, 0.17, 0.75), (65536, 0.12, 0.70))
@@ -104,21 +106,38 @@ def compression_verdict(text: bytes, compressor) -> tuple[float | None, int, int
     return ratio, bad, len(cuts), verdict
 
 
+def verdicts(texts: list[bytes]) -> dict[str, list]:
+    """All result columns but the id."""
+    import zstandard
+    zstd = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
+    out = base_counts(texts)
+    failed = (out["n_words"] < MIN_WORDS) | (100 * out["n_repeat_words"] > MAX_REPEAT_PERCENT * out["n_words"])
+    figures = [compression_verdict(t, zstd) for t in texts]
+    return out | {"base_failed": failed, "ratio": [f[0] for f in figures], "bad_chunks": [f[1] for f in figures],
+                  "n_chunks": [f[2] for f in figures],
+                  "verdict": ["base rules" if b else f[3] for b, f in zip(failed, figures)],
+                  "kept": [bool(not b and f[3] in ("kept", "short")) for b, f in zip(failed, figures)]}
+
+
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: base counts, compression figures, verdict and ``kept``."""
 
     def judge(cols, texts):
-        import zstandard
-        zstd = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
-        out = base_counts(texts)
-        failed = (out["n_words"] < MIN_WORDS) | (100 * out["n_repeat_words"] > MAX_REPEAT_PERCENT * out["n_words"])
-        figures = [compression_verdict(t, zstd) for t in texts]
-        out |= {"doc_id": cols["doc_id"], "base_failed": failed,
-                "ratio": [f[0] for f in figures], "bad_chunks": [f[1] for f in figures],
-                "n_chunks": [f[2] for f in figures],
-                "verdict": ["base rules" if b else f[3] for b, f in zip(failed, figures)],
-                "kept": [not b and f[3] in ("kept", "short") for b, f in zip(failed, figures)]}
-        return out
+        return verdicts(texts) | {"doc_id": cols["doc_id"]}
 
     source = docs.select(docs[id_col].cast("bigint").alias("doc_id"), docs[text_col].alias("text"))
     return map_arrow(source, judge, SCHEMA, ["doc_id", "text"], "text")
+
+
+def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that all rules keep, all columns as they are."""
+
+    @F.pandas_udf("boolean")
+    def kept(texts: pd.Series) -> pd.Series:
+        values = ["" if t is None else t for t in texts]
+        out: list[bool] = []
+        for a, b in spans_of([len(t) for t in values]):
+            out += verdicts([t.encode("utf-8", "replace") for t in values[a:b]])["kept"]
+        return pd.Series(out, dtype=bool)
+
+    return docs.filter(kept(F.col(text_col)))

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, license_scan, packing, pii, quality, toxicity, url_filter, warc
+from tessera.llm import bpe, hnsw, license_scan, packing, pii, quality, superminhash, toxicity, url_filter, warc
 from tessera.llm.common import documents
 from tessera.session import scratch_path
 
@@ -18,6 +18,11 @@ from tessera.session import scratch_path
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents."""
+    return superminhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write a content-addressed archive of all pages, read it back, one row per page."""
     folder = scratch_path(spark, "warc")
@@ -52,6 +57,11 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of all embeddings."""
+    return hnsw.near_duplicate_vectors(documents(spark, sf_dir, "embeddings"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into windows of 2048 tokens, one row per piece."""
     pieces = packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
@@ -68,4 +78,4 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(documents(spark, sf_dir, "pages"), URL_RULES)
 
 
-QUERIES = {f.__name__: f for f in (op2_warc_archive, op3_toxicity, op4_license_scan, op5_pii, op6_byte_bpe, op8_packing, op9_quality_rules, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_warc_archive, op3_toxicity, op4_license_scan, op5_pii, op6_byte_bpe, op7_embedding_dedup, op8_packing, op9_quality_rules, op10_url_filter)}

@@ -19,7 +19,8 @@ Scoring is one pass of ``mapInArrow`` with the broadcast model (bounded by the
 vocabulary limits), without a shuffle.
 
 Defined results: null and empty texts have one empty window and get the model's score
-for it; texts are scored row by row, so repeated rows get equal scores. Null labels or
+for it; a score depends on its text alone, but for rounding that is cut off at six
+digits, so repeated rows get equal scores. Null labels or
 ids are not trained on; of several labels of one id the largest holds. Without labels
 of both classes the score is 0. Extra columns are ignored, empty tables give empty
 results.
@@ -28,10 +29,11 @@ results.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER, Words, byte_class, map_arrow
+from tessera.llm.common import LOWER, Words, byte_class, map_arrow, spans_of
 
 STEPS, STRIDE = 32, 24
 HIDDEN = 8
@@ -224,7 +226,7 @@ class Network:
         vectors = self.embed(x)[0]
         logit = np.concatenate([self.forward(vectors, x.windows[a:a + 4096]) for a in range(0, len(x.windows), 4096)])
         first = np.flatnonzero(np.diff(x.owner, prepend=-1))
-        return sigmoid(np.maximum.reduceat(logit, first)).astype(np.float64)
+        return np.round(sigmoid(np.maximum.reduceat(logit, first)).astype(np.float64), 6)
 
 
 class Constant:
@@ -340,3 +342,19 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     scored = score_documents(docs, model)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, all columns as they are."""
+    model = train(*training_sample(docs, labels, lambda i: ~held_out(i)))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        values = ["" if t is None else t for t in texts]
+        out = []
+        for a, b in spans_of([len(t) for t in values]):
+            out.append(shared.value.score([t.encode("utf-8", "replace") for t in values[a:b]]))
+        return pd.Series(np.concatenate(out) if out else np.empty(0))
+
+    return docs.filter(score(F.col(text_col)) < THRESHOLD)
