@@ -14,8 +14,9 @@ from pyspark.sql import types as T
 
 from tessera.functions.exprs import investment_score_basic, round_half_up
 from tessera.operators import anomaly, clean, integrity, scd2
+from tessera.operators.quantiles import quantile_values
 from tessera.plans import dashboard, etl, layers, marts, quality, spark_job, star
-from tessera.schema import ADAPTER_ORDER_COLUMNS, CHUNK_ROWS, RAW_SCHEMA, STANDARDISED_COLUMNS, VALID_CITIES
+from tessera.schema import ADAPTER_ORDER_COLUMNS, RAW_SCHEMA, STANDARDISED_COLUMNS, VALID_CITIES
 from tessera.session import materialize, scratch_path
 from tessera.sinks import writers
 from tessera.sources import files
@@ -62,8 +63,23 @@ def q_spark_city_summary(spark, sf_dir):
     return spark_job.spark_city_summary(_housing(spark, sf_dir))
 
 
+# Silver tables and their statistics, landed once per session and input folder.
+_LANDED: dict[tuple[str, str], tuple] = {}
+
+
+def _silver(spark, sf_dir):
+    """(silver rows, table-wide statistics). The first query of a session that needs the
+    cleaned rows of a folder writes them under the shared checkpoint folder; all others
+    read that table with column pruning. A session sees one state of its inputs."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDED:
+        rows = materialize(etl.silver_rows(_raw(spark, sf_dir, with_order=True)), "silver")
+        _LANDED[key] = rows, quantile_values(rows, etl.STATS)
+    return _LANDED[key]
+
+
 def _etl(spark, sf_dir):
-    return etl.etl_clean(_raw(spark, sf_dir, with_order=True))
+    return etl.with_statistics(*_silver(spark, sf_dir))
 
 
 def _fact(spark, sf_dir):
@@ -120,13 +136,13 @@ def q_filter_positive(spark, sf_dir):
 
 @register("outlier_bounds")
 def q_outlier_bounds(spark, sf_dir):
-    b = clean.outlier_bounds(etl.deduplicated(_raw(spark, sf_dir, with_order=True)))
+    b = clean.outlier_bounds(_silver(spark, sf_dir)[0])
     return b.select(round_half_up("lower", 4).alias("lower"), round_half_up("upper", 4).alias("upper"))
 
 
 @register("outlier_clip")
 def q_outlier_clip(spark, sf_dir):
-    c = clean.outlier_clip(etl.deduplicated(_raw(spark, sf_dir, with_order=True)))
+    c = clean.outlier_clip(_silver(spark, sf_dir)[0])
     return c.select("Transaction_ID", round_half_up("Transaction_Value", 4).alias("Transaction_Value"))
 
 
@@ -319,14 +335,10 @@ def q_assert_no_negative_prices(spark, sf_dir):
 
 
 # ── data quality ──────────────────────────────────────────────────────────────
-def _bronze(spark, sf_dir):
-    """Raw rows landed once as Parquet: the suite makes several passes (one
-    aggregation, uniqueness, values-in-set), each reading only its columns."""
-    return materialize(_raw(spark, sf_dir), "bronze")
-
-
 def _suite(spark, sf_dir, kinds=None):
-    return quality.run_suite(_bronze(spark, sf_dir), kinds=kinds)
+    """Nothing is written: the suite is one aggregation, one pass over the unique key and
+    one over the value-set columns, each pruned to its columns."""
+    return quality.run_suite(_raw(spark, sf_dir), kinds=kinds)
 
 
 @register("dq_suite")
@@ -343,7 +355,7 @@ for _key, _kind in [("dq_no_nulls", "no_nulls"), ("dq_unique", "unique"), ("dq_v
 
 @register("dq_summary")
 def q_dq_summary(spark, sf_dir):
-    raw = _bronze(spark, sf_dir)
+    raw = _raw(spark, sf_dir)
     return quality.summary(quality.run_suite(raw), raw)
 
 
@@ -369,18 +381,34 @@ def q_dq_column_profile(spark, sf_dir):
 
 @register("dq_report_json")
 def q_dq_report_json(spark, sf_dir):
-    raw = _bronze(spark, sf_dir)
-    doc = quality.report_json(quality.run_suite(raw), raw, run_id="run_query", run_timestamp="")
+    """The report as written JSON, read back typed: one row per check with the run's
+    figures."""
+    raw = _raw(spark, sf_dir)
+    doc = quality.report(quality.run_suite(raw), raw)
     path = writers.write_json(doc, scratch_path(spark, "dq-report"))
-    return spark.read.json(path)
+    back = spark.read.schema(doc.schema).json(path)
+    made = F.col("run_id").rlike("^run_[0-9]{8}_[0-9]{6}$") & F.col("run_timestamp").try_cast("timestamp").isNotNull()
+    return (back.select(made.alias("run_stamped"), "dataset", "total_rows", "quality_score", "summary", F.explode("results").alias("r"))
+                .select("run_stamped", "dataset", "total_rows", "quality_score", "summary.total_checks",
+                        "summary.critical_failures", F.col("r.name"), F.col("r.column"), F.col("r.passed").alias("check_passed"),
+                        F.col("r.severity"), F.col("r.observed_value"), F.col("r.expected"), F.col("r.details")))
+
+
+def _dims(e):
+    return {"city_key": star.dim_city(e), "district_key": star.dim_district(e), "date_key": star.dim_date(e),
+            "property_type_key": star.dim_property_type(e), "purpose_key": star.dim_purpose(e)}
 
 
 @register("dq_referential_integrity")
 def q_dq_referential_integrity(spark, sf_dir):
+    """Orphans against the dimensions of the same rows (none), and against dimensions
+    made of a held-out part of the rows only (some are)."""
     e = _etl(spark, sf_dir)
-    return integrity.orphan_counts(star.fact_star_keyed(e), {
-        "city_key": star.dim_city(e), "district_key": star.dim_district(e), "date_key": star.dim_date(e),
-        "property_type_key": star.dim_property_type(e), "purpose_key": star.dim_purpose(e)})
+    fact = star.fact_star_keyed(e)
+    last = e.agg(F.max("year")).first()[0]
+    complete = integrity.orphan_counts(fact, _dims(e)).withColumn("dims", F.lit("all rows"))
+    held_out = e.where((F.col("year") < last) & (F.col("Number_of_Units") > 6))
+    return complete.unionByName(integrity.orphan_counts(fact, _dims(held_out)).withColumn("dims", F.lit("held out")))
 
 
 @register("assert_dim_keys_unique")
@@ -393,6 +421,38 @@ def q_assert_dim_keys_unique(spark, sf_dir):
         "dim_purpose": (star.dim_purpose(e), "purpose_key")})
 
 
+@register("assert_dim_keys_violating")
+def q_assert_dim_keys_violating(spark, sf_dir):
+    """The same check on a key that does repeat: districts keyed by their city."""
+    e = _etl(spark, sf_dir)
+    return integrity.duplicate_keys({"dim_district_by_city": (star.dim_district(e), "city_key")})
+
+
+@register("assert_not_null")
+def q_assert_not_null(spark, sf_dir):
+    """Columns declared NOT NULL: the fact's ID and the dimension names. District names
+    may be missing in the data, which the last row shows."""
+    e = _etl(spark, sf_dir)
+    return integrity.null_counts({
+        "fact_transactions": (star.fact_transactions(e), ["Transaction_ID"]), "dim_city": (star.dim_city(e), ["city_name"]),
+        "dim_property_type": (star.dim_property_type(e), ["property_type_name"]),
+        "dim_purpose": (star.dim_purpose(e), ["purpose_name"]), "dim_district": (star.dim_district(e), ["district_name"])})
+
+
+@register("assert_scd2_violating")
+def q_assert_scd2_violating(spark, sf_dir):
+    """The validity check on snapshots whose dates are swapped: every version is found."""
+    s = scd2.yearly_snapshots(_etl(spark, sf_dir))
+    swapped = s.withColumns({"effective_date": F.col("expiry_date"), "expiry_date": F.col("effective_date")})
+    return scd2.invalid_intervals(swapped).select("city_key", "year", "effective_date", "expiry_date")
+
+
+@register("fact_surrogate_key")
+def q_fact_surrogate_key(spark, sf_dir):
+    f = materialize(star.fact_transactions(_etl(spark, sf_dir), with_sk=True), "fact-sk")
+    return star.surrogate_key_check(f)
+
+
 @register("domain_except")
 def q_domain_except(spark, sf_dir):
     return integrity.values_outside(_stg(spark, sf_dir), "city", VALID_CITIES)
@@ -460,7 +520,26 @@ def q_dash_fallback_sample(spark, sf_dir):
 
 @register("dash_json_records")
 def q_dash_json_records(spark, sf_dir):
-    return dashboard.json_records(marts.mart_city_summary(_etl(spark, sf_dir)))
+    """The city figures as one JSON array, written as text and read back typed."""
+    mart = marts.mart_city_summary(_etl(spark, sf_dir))
+    path = scratch_path(spark, "dash-json")
+    dashboard.json_array(mart).write.mode("overwrite").text(path)
+    return dashboard.read_json_array(spark.read.text(path).toDF("records"), mart.schema)
+
+
+@register("dash_loader")
+def q_dash_loader(spark, sf_dir):
+    """City figures as the loader finds them: from the written marts, and from the
+    fallback sample where a mart is missing."""
+    e = _etl(spark, sf_dir)
+    folder = scratch_path(spark, "dash-marts")
+    for name in dashboard.DATASETS[:2]:
+        writers.replace_table(marts.MARTS[name](e), f"{folder}/{name}")
+    fallback = dashboard.load_datasets(spark, folder, e)["fallback"]
+    writers.replace_table(marts.MARTS[dashboard.DATASETS[2]](e), f"{folder}/{dashboard.DATASETS[2]}")
+    full = dashboard.load_datasets(spark, folder, e)["mart_city_summary"]
+    return (full.select(F.lit("marts").alias("source"), "city_name", "total_transactions")
+            .unionByName(fallback.select(F.lit("fallback").alias("source"), F.col("City").alias("city_name"), "total_transactions")))
 
 
 # ── sources ───────────────────────────────────────────────────────────────────
@@ -468,9 +547,9 @@ ORDER_FIELDS = [T.StructField("l_partkey", T.LongType()), T.StructField("l_suppk
                 T.StructField("l_extendedprice", T.DoubleType())]
 
 
-def _raw_csv(spark, sf_dir, chunk_rows=None):
+def _raw_csv(spark, sf_dir):
     path = scratch_path(spark, "raw-csv")
-    files.write_csv(_raw(spark, sf_dir, with_order=True), path, chunk_rows=chunk_rows)
+    files.write_csv(_raw(spark, sf_dir, with_order=True), path)
     return path
 
 
@@ -481,14 +560,33 @@ def q_scan_csv_typed(spark, sf_dir):
 
 @register("scan_csv_inferred")
 def q_scan_csv_inferred(spark, sf_dir):
-    return files.scan_csv_inferred(spark, _raw_csv(spark, sf_dir))
+    """The inferred scan; its columns are cast to the declared types for comparison."""
+    back = files.scan_csv_inferred(spark, _raw_csv(spark, sf_dir))
+    schema = files.raw_schema_with(ORDER_FIELDS)
+    return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 @register("union_chunks")
 def q_union_chunks(spark, sf_dir):
-    path = _raw_csv(spark, sf_dir, chunk_rows=CHUNK_ROWS // 10)
-    # every chunk file is a split of ONE scan of the folder (no file list on the driver)
-    return files.read_chunks(spark, [path], files.raw_schema_with(ORDER_FIELDS))
+    """Three chunk folders, read one by one and united."""
+    raw, schema = _raw(spark, sf_dir, with_order=True), files.raw_schema_with(ORDER_FIELDS)
+    parts = []
+    for k in range(3):
+        path = scratch_path(spark, f"chunk-{k}")
+        files.write_csv(raw.where(F.pmod(F.xxhash64("l_partkey", "l_suppkey"), F.lit(3)) == k), path)
+        parts.append(files.scan_csv_typed(spark, path, schema))
+    return files.union_chunks(parts)
+
+
+@register("etl_clean_from_csv")
+def q_etl_clean_from_csv(spark, sf_dir):
+    """CSV in, cleaned rows out: the raw file is sorted by the adapter's order, so the
+    first row of an ID in the file is the one that keep-first must find."""
+    path = scratch_path(spark, "raw-csv-sorted")
+    files.write_csv(_raw(spark, sf_dir, with_order=True).orderBy(*ADAPTER_ORDER_COLUMNS), path)
+    source = files.with_source_ordinal(files.scan_csv_typed(spark, path, files.raw_schema_with(ORDER_FIELDS))).drop(*ADAPTER_ORDER_COLUMNS)
+    cleaned = etl.etl_clean(source, files.SOURCE_ORDER)
+    return cleaned.withColumn("Transaction_Value", round_half_up("Transaction_Value", 4))
 
 
 @register("scan_bronze")
@@ -542,6 +640,22 @@ def q_sink_table_replace(spark, sf_dir):
     return files.union_chunks(parts)
 
 
+@register("sink_csv_yearly_trend")
+def q_sink_csv_yearly_trend(spark, sf_dir):
+    s = spark_job.spark_yearly_trend(_housing(spark, sf_dir))
+    path = writers.write_csv_summary(s, scratch_path(spark, "yearly-trend"))
+    return files.scan_csv_typed(spark, path, s.schema)
+
+
+@register("anomaly_csv_fact")
+def q_anomaly_csv_fact(spark, sf_dir):
+    """Whole fact rows with their z-score, as CSV, read back typed."""
+    a = anomaly.zscore_anomalies(_fact(spark, sf_dir), "price_per_sqm").withColumn("z_score", round_half_up("z_score", 6))
+    a = a.withColumn("Transaction_Value", round_half_up("Transaction_Value", 4))
+    path, _ = writers.write_if_any(a, scratch_path(spark, "anomaly-fact"))
+    return a.limit(0) if path is None else files.scan_csv_typed(spark, path, a.schema)
+
+
 @register("anomaly_csv_roundtrip")
 def q_anomaly_csv_roundtrip(spark, sf_dir):
     a = _anoms(table(spark, sf_dir, "events"), "value", "event_id")
@@ -555,7 +669,7 @@ def q_anomaly_csv_roundtrip(spark, sf_dir):
 def q_layers_materialize(spark, sf_dir):
     base = scratch_path(spark, "lake")
     raw = _raw(spark, sf_dir, with_order=True)
-    e = etl.etl_clean(raw)
+    e = _etl(spark, sf_dir)
     layout = {("bronze", "transactions_raw"): raw, ("silver", "transactions_clean"): e}
     for name, fn in marts.MARTS.items():
         layout[("gold", name)] = fn(e)

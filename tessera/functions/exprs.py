@@ -19,22 +19,35 @@ def dbl(x) -> Column:
 
 
 # ── rounding ──────────────────────────────────────────────────────────────────
-def round_half_up(col, scale: int) -> Column:
-    """Round half away from zero: sign(x) * floor(|x| * 10^scale + 0.5) / 10^scale.
+# Beyond this a double has no digits after the point, and decimal(28,8) no room.
+_WHOLE = 1e19
+
 
-    Plain IEEE-754 arithmetic (codegen'd, no BigDecimal per row), so any engine that
-    evaluates the same expression gets the same bits. Null and NaN pass through."""
+def round_half_up(col, scale: int) -> Column:
+    """Round half away from zero on the decimal text of the number: the double is read
+    as decimal(28,8) and rounded to ``scale`` places (so 1.005 gives 1.01). Numbers of
+    1e19 and more have no fraction and pass unchanged, as do null, NaN and infinity."""
     x = _c(col).cast("double")
-    f = float(10 ** scale)
-    r = F.signum(x) * F.floor(F.abs(x) * f + 0.5).cast("double") / f
-    return F.when(x.isNull() | F.isnan(x), x).otherwise(r)
+    rounded = F.round(x.try_cast("decimal(28,8)"), scale).cast("double")
+    return F.when(F.abs(x) < _WHOLE, rounded).otherwise(x)
+
+
+def round_agg(col, scale: int) -> Column:
+    """Round an aggregated value (average, ratio of sums). The eight decimal places of
+    ``round_half_up`` drop summation-order noise (engines and partitionings add doubles
+    in different orders) before the half is looked at."""
+    return round_half_up(col, scale)
+
+
+def exact_sum(col) -> Column:
+    """Sum over decimal(28,8): the same in whatever order rows are added, so a total that
+    ends in exactly one half rounds the same way everywhere. Numbers of 1e20 and more do
+    not fit and raise."""
+    return F.sum(_c(col).cast("decimal(28,8)"))
 
 
-def round_agg(col, scale: int, snap: int = 8) -> Column:
-    """Round an aggregated value (average, ratio of sums): first snap to ``snap``
-    places to drop summation-order noise (engines and partitionings add doubles in
-    different orders), then round half away from zero to ``scale`` places."""
-    return round_half_up(round_half_up(col, snap), scale)
+def exact_total(col, scale: int) -> Column:
+    return F.round(exact_sum(col), scale).cast("double")
 
 
 def nullif_zero(col) -> Column:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import (hex_mod, parse_date, ratio, round_half_up, standardise,
-                                     time_features, value_band_right_closed)
-from tessera.operators.quantiles import quantile_values, quantiles_row
+from tessera.functions.exprs import (hex_mod, parse_date, ratio, standardise, time_features,
+                                     value_band_right_closed)
+from tessera.operators.quantiles import quantiles_row
 from tessera.schema import CLIP_HIGH, CLIP_LOW, CRITICAL_COLUMNS, STANDARDISED_COLUMNS
 
 
@@ -26,24 +26,30 @@ def drop_null_critical(df: DataFrame, cols: list[str] = CRITICAL_COLUMNS) -> Dat
 
 
 def dedup_keep_first(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
-    """Keep, per ``key``, the first row in the order ``order_cols`` (which, with the
-    key, must identify a row — e.g. a source ordinal).
-
-    Two steps, both safe when one key holds a third of all rows:
-    1. the first order tuple per key, from narrow rows (key + order columns) with a
-       map-side-combined aggregation — a hot key costs one row per map task;
-    2. a left-semi join of the rows with those firsts on (key, order columns); hash
-       partitioning on all of them spreads a hot key's rows over many tasks.
+    """Keep exactly one row per ``key``: the first in the order ``order_cols`` (e.g. a
+    source ordinal). Rows that tie in it are ordered by a hash of all their columns;
+    rows that are equal in every column are interchangeable, and one is kept.
+
+    1. the first (order tuple, row hash) per key, from narrow rows with a map-side
+       combined aggregation - a hot key costs one row per map task;
+    2. a left-semi join of the rows with those firsts, hashed on key, order tuple and row
+       hash together, which spreads a hot key's rows over many tasks;
+    3. ``dropDuplicates`` on the same hash, for rows equal throughout: they are in one
+       task already, so nothing is moved again.
     Matching is null-safe, so a null key or order value behaves like a value (as in
-    pandas ``drop_duplicates``). A ``row_number`` window would instead sort every
-    row of a hot key in one task."""
-    firsts = (df.select(key, *order_cols).groupBy(key)
-                .agg(F.min(F.struct(*[F.col(c) for c in order_cols])).alias("__o"))
-                .select(F.col(key).alias("__k"), *[F.col("__o")[c].alias(f"__{c}") for c in order_cols]))
-    cond = F.col(key).eqNullSafe(F.col("__k"))
-    for c in order_cols:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"__{c}"))
-    return df.join(firsts, cond, "left_semi")
+    pandas ``drop_duplicates``). A ``row_number`` window would instead sort every row of
+    a hot key in one task."""
+    rows = df.withColumn("__tie", F.xxhash64(*df.columns))
+    order = [*order_cols, "__tie"]
+    firsts = (rows.select(key, *order).groupBy(key)
+                  .agg(F.min(F.struct(*[F.col(c) for c in order])).alias("__o"))
+                  .select(F.col(key).alias("__k"), *[F.col("__o")[c].alias(f"__o_{c}") for c in order]))
+    firsts = firsts.withColumn("__g", F.xxhash64("__k", *[f"__o_{c}" for c in order]))
+    rows = rows.withColumn("__h", F.xxhash64(key, *order))
+    cond = (F.col("__h") == F.col("__g")) & F.col(key).eqNullSafe(F.col("__k"))
+    for c in order:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"__o_{c}"))
+    return rows.join(firsts, cond, "left_semi").dropDuplicates(["__h", key, *order]).drop("__h", "__tie")
 
 
 def filter_positive(df: DataFrame, cols: tuple[str, ...] = ("Transaction_Value", "Area_sqm")) -> DataFrame:
@@ -97,18 +103,6 @@ def standardise_strings(df: DataFrame, cols: list[str] = STANDARDISED_COLUMNS) -
     return df.withColumns({c: standardise(c) for c in cols})
 
 
-def median_row(df: DataFrame, col: str) -> DataFrame:
-    return quantiles_row(df, {"median": (col, 0.5)})
-
-
-def flag_above_median(df: DataFrame, col: str = "Demand_Score", out: str = "is_high_demand") -> DataFrame:
-    """``col > median(col)`` over the whole table (null compares false); the median
-    is an exact distributed quantile applied as a literal."""
-    m = quantile_values(df, {"median": (col, 0.5)})["median"]
-    flag = (F.col(col) > F.lit(m)) if m is not None else F.lit(False)
-    return df.withColumn(out, F.coalesce(flag, F.lit(False)))
-
-
 def add_surrogate_keys(df: DataFrame) -> DataFrame:
     """city_key / district_key = md5(name) as a 128-bit integer mod 10^6 (null name -> null).
     The digest is projected first so each row hashes each name once (Catalyst does not
@@ -117,6 +111,3 @@ def add_surrogate_keys(df: DataFrame) -> DataFrame:
     return h.withColumns({"city_key": hex_mod(F.col("__hc")), "district_key": hex_mod(F.col("__hd"))}) \
             .drop("__hc", "__hd")
 
-
-def round_col(df: DataFrame, col: str, scale: int) -> DataFrame:
-    return df.withColumn(col, round_half_up(col, scale))

@@ -1,49 +1,52 @@
 """Joins of a large table with a small derived table (an aggregate or a dimension).
 
-Broadcasting is only safe for data with a proven size bound. ``join_checked``
-measures the small side first: it is persisted (so the measurement is not wasted)
-and counted; if it fits under the broadcast budget it is broadcast, otherwise the
-join falls back to a shuffle join, where AQE's skew-join handling splits hot keys.
+Broadcasting is only safe for data with a proven size bound. ``join_checked`` writes the
+small side first (so the measurement is not wasted and nothing stays cached) and measures
+it: exact row count and the exact bytes of its strings. If it fits under the broadcast
+budget it is broadcast, otherwise the join is a shuffle join, where AQE's skew-join
+handling splits hot keys.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
-# Fallback budget when the session's broadcast threshold is disabled or unreadable.
+from tessera.session import materialize
+
+# Budget when the session's broadcast threshold is disabled or unreadable.
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
 
 
 def broadcast_budget(spark) -> int:
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
+    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "-1")).strip().lower()
+    digits = raw.rstrip("bkmg")
     try:
-        n = int(str(raw).lower().rstrip("b")) if raw is not None else -1
+        n = int(digits) * _UNITS.get(raw[len(digits):] or "b", 0)
     except ValueError:
         n = -1
     return n if n > 0 else DEFAULT_BROADCAST_BYTES
 
 
-def estimated_row_bytes(df: DataFrame) -> int:
-    """Rough width of a row from its schema (strings counted at 32 bytes)."""
-    width = 16
+def measured_bytes(df: DataFrame) -> int:
+    """Size of the rows: 16 bytes and 8 per column each, plus the bytes of every string
+    and binary value and of the text of every nested one."""
+    wide = F.lit(0)
     for f in df.schema.fields:
-        name = f.dataType.typeName()
-        width += 32 if name in ("string", "binary") else 64 if name in ("array", "map", "struct") else 8
-    return width
+        kind = f.dataType.typeName()
+        if kind in ("string", "binary"):
+            wide = wide + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif kind in ("array", "map", "struct"):
+            wide = wide + F.coalesce(F.octet_length(F.to_json(F.struct(f.name))), F.lit(0))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(wide.cast("bigint")).alias("s")).first()
+    return row["n"] * (16 + 8 * len(df.columns)) + (row["s"] or 0)
 
 
 def fits_broadcast(small: DataFrame, budget: int | None = None) -> tuple[DataFrame, bool]:
-    """Persist ``small`` and decide whether it is small enough to broadcast."""
-    budget = budget or broadcast_budget(small.sparkSession)
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = small.count()
-    ok = rows * estimated_row_bytes(small) <= budget
-    if not ok:
-        # too big to broadcast: do not keep a large table cached for a shuffle join
-        small.unpersist()
-    return small, ok
+    """(``small`` as a written table, whether it is small enough to broadcast)."""
+    small = materialize(small, "small-side")
+    return small, measured_bytes(small) <= (budget or broadcast_budget(small.sparkSession))
 
 
 def join_checked(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
@@ -61,18 +64,3 @@ def join_checked(big: DataFrame, small: DataFrame, on: list[str], how: str = "in
         e = F.col(c).eqNullSafe(F.col(f"__r_{c}"))
         cond = e if cond is None else cond & e
     return big.join(r, cond, how).drop(*[f"__r_{c}" for c in on])
-
-
-def join_bounded(big: DataFrame, small: DataFrame, on: list[str], how: str, max_rows: float,
-                 budget: int | None = None) -> DataFrame:
-    """Join where an upper bound of ``small``'s row count is already known (e.g.
-    observed while its input was written): broadcast only when that bound fits the
-    budget, otherwise a shuffle join."""
-    budget = budget or broadcast_budget(small.sparkSession)
-    ok = max_rows * estimated_row_bytes(small) <= budget
-    return big.join(F.broadcast(small) if ok else small, on=on, how=how)
-
-
-def anti_join_checked(big: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
-    """Rows of ``big`` without a match in ``small`` (null keys never match)."""
-    return join_checked(big, small.select(*on).distinct(), on=on, how="left_anti")

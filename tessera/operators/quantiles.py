@@ -1,32 +1,24 @@
-"""Exact quantiles (linear interpolation, as ``percentile_cont``) with a checked
-bound on what any single task holds.
-
-Step 1 always runs: the columns are stacked into (column, value) pairs and reduced to
-a histogram (partial aggregation, so a value that holds a third of all rows costs one
-row per map task). The histogram is persisted and its size per column is counted.
-
-Step 2 depends on that size:
-
-* up to ``max_task_values`` distinct values per column, Spark's exact
-  ``percentile(value, p, frequency)`` runs over the histogram — its final merge holds
-  one entry per distinct value, which the check has just bounded;
-* above it, the histogram is range-partitioned on (column, value) so each task holds
-  one contiguous slice of sorted values; per-slice totals (one row per slice) give
-  each slice's rank offset, a running sum inside the slice gives every distinct value
-  its rank interval [lo, hi), and the neighbouring ranks floor/ceil of p*(n-1) are
-  found by an equi-join on the column plus a range condition, then interpolated.
-  Work per task is bounded by the slice size.
+"""Exact quantiles (linear interpolation, as ``percentile_cont``), one path for every size.
+
+1. The columns are stacked into (column, value) pairs and reduced to a histogram with
+   partial aggregation, so a value that holds a third of all rows costs one row per
+   map task.
+2. The histogram is range-partitioned on (column, value) and *written* together with
+   the number of the slice each row was put into. The slice is a stored column from
+   then on: everything below reads the same slices, however Spark plans it.
+3. Per-slice totals (at most slices x columns rows) come to the driver and tell which
+   slices hold the wanted ranks; only those slices are read again, and a running sum
+   inside each finds the values. No task holds more than a slice.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
-
 
-# Largest number of distinct values per column one task may merge.
-MAX_TASK_VALUES = 2_000_000
+from tessera.session import materialize
 
 
 def value_histogram(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -38,128 +30,74 @@ def value_histogram(df: DataFrame, cols: list[str]) -> DataFrame:
     return stacked.groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _quantiles_found(df: DataFrame, spec: dict[str, list[float]], max_task_values: int,
-                     slices: int | None) -> tuple[DataFrame, DataFrame]:
-    """(found rows (column, p, value), the persisted histogram)."""
-    spark = df.sparkSession
-    cols = list(spec)
-    probs = [(c, float(p)) for c in cols for p in spec[c]]
-    hist = value_histogram(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
-    sizes = {r["c"]: r["k"] for r in hist.groupBy("c").agg(F.count(F.lit(1)).alias("k")).collect()}
-    if max(sizes.values(), default=0) <= max_task_values:
-        found = _merged_quantiles(hist, spec)
-    else:
-        found = _ranged_quantiles(hist, probs, slices or int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    return found, hist
-
-
-def quantiles_long(df: DataFrame, spec: dict[str, list[float]], max_task_values: int = MAX_TASK_VALUES,
-                   slices: int | None = None) -> DataFrame:
-    """Rows (column, p, value) — exact linear-interpolated quantiles, nulls/NaN ignored.
-    A column with no values gives a null quantile."""
-    found, _ = _quantiles_found(df, spec, max_task_values, slices)
-    probs = [(c, float(p)) for c in spec for p in spec[c]]
-    # columns/probabilities without any value still get a (null) row
-    wanted = df.sparkSession.createDataFrame(probs, "column string, p double")
-    return wanted.join(F.broadcast(found), ["column", "p"], "left")
-
-
-def _merged_quantiles(hist: DataFrame, spec: dict[str, list[float]]) -> DataFrame:
-    """Exact percentile over the (bounded) histogram: one group per column, one job."""
-    all_ps = sorted({float(p) for ps in spec.values() for p in ps})
-    arr = F.array(*[F.lit(p) for p in all_ps])
-    q = (hist.groupBy("c").agg(F.percentile("v", arr, F.col("n")).alias("qs"))
-             .select("c", F.posexplode("qs").alias("i", "value")))
-    return q.select(F.col("c").alias("column"), arr[F.col("i")].alias("p"), "value")
-
-
-def _ranged_quantiles(hist: DataFrame, probs: list[tuple[str, float]], slices: int) -> DataFrame:
-    """Exact quantiles from a range-partitioned histogram (no task holds more than a slice)."""
-    ranged = (hist.repartitionByRange(slices, "c", "v")
-                  .withColumn("slice", F.spark_partition_id()))
-
-    per_slice = ranged.groupBy("c", "slice").agg(F.sum("n").alias("slice_n"))
-    w_off = Window.partitionBy("c").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_slice.select(
-        "c", "slice",
-        F.coalesce(F.sum("slice_n").over(w_off), F.lit(0)).alias("offset"),
-        F.sum("slice_n").over(Window.partitionBy("c")).alias("total"))
-
-    w_cum = Window.partitionBy("c", "slice").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranks = (ranged.withColumn("cum", F.sum("n").over(w_cum))
-                   .join(F.broadcast(offsets), ["c", "slice"])
-                   .select("c", "v", (F.col("offset") + F.col("cum") - F.col("n")).alias("lo"),
-                           (F.col("offset") + F.col("cum")).alias("hi")))
-
-    totals = offsets.groupBy("c").agg(F.max("total").alias("total"))
-    p_rows = F.array(*[F.struct(F.lit(c).alias("pc"), F.lit(p).alias("p")) for c, p in probs])
-    pos = (F.col("total") - 1).cast("double") * F.col("p")
-    targets = (totals.select("c", "total", F.explode(p_rows).alias("t"))
-                     .where(F.col("t.pc") == F.col("c"))
-                     .select("c", F.col("t.p").alias("p"), "total")
-                     .withColumn("k", F.floor(pos).cast("bigint"))
-                     .withColumn("k1", F.ceil(pos).cast("bigint"))
-                     .withColumn("frac", pos - F.floor(pos)))
-
-    hit_k = (F.col("lo") <= F.col("k")) & (F.col("k") < F.col("hi"))
-    hit_k1 = (F.col("lo") <= F.col("k1")) & (F.col("k1") < F.col("hi"))
-    targets = targets.withColumnRenamed("c", "tc")
-    found = (ranks.join(F.broadcast(targets), (F.col("c") == F.col("tc")) & (hit_k | hit_k1))
-                  .groupBy("c", "p")
-                  .agg(F.max(F.when(hit_k, F.col("v"))).alias("v_lo"),
-                       F.max(F.when(hit_k1, F.col("v"))).alias("v_hi"),
-                       F.max("frac").alias("frac")))
-    value = F.when(F.col("v_lo") == F.col("v_hi"), F.col("v_lo")).otherwise(
-        F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * F.col("frac"))
-    return found.select(F.col("c").alias("column"), "p", value.alias("value"))
-
-
-def quantile_values(df: DataFrame, named: dict[str, tuple[str, float]],
-                    max_task_values: int = MAX_TASK_VALUES,
-                    distinct_bounds: dict[str, float] | None = None) -> dict[str, float | None]:
-    """The requested quantiles as Python numbers: ``{"lo": ("Transaction_Value", 0.01)}``.
-    Only the final scalars reach the driver (a handful of rows).
-
-    ``distinct_bounds`` — known upper bounds of each column's distinct count (e.g.
-    observed while the input was written). When all are within ``max_task_values``
-    the exact ``percentile`` runs directly over the rows in one aggregation (its
-    per-task and merged buffers hold one entry per distinct value); otherwise the
-    histogram path of ``quantiles_long`` checks the size itself."""
+def _found(df: DataFrame, spec: dict[str, list[float]], slices: int | None) -> dict[tuple[str, float], float | None]:
+    """The quantiles as Python numbers; a column without values gives None."""
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    hist = materialize(value_histogram(df, list(spec)).repartitionByRange(slices, "c", "v")
+                       .withColumn("slice", F.spark_partition_id()), "histogram")
+    totals: dict[str, list[tuple[int, int]]] = {c: [] for c in spec}
+    for r in hist.groupBy("c", "slice").agg(F.sum("n").alias("n")).collect():
+        totals[r["c"]].append((r["slice"], r["n"]))
+
+    # the ranks wanted in each slice: {(column, slice): {rank inside the slice}}
+    wanted: dict[tuple[str, int], set[int]] = {}
+    places: dict[tuple[str, float], tuple] = {}
+    for c, ps in spec.items():
+        size = sum(n for _, n in totals[c])
+        for p in ps if size else []:
+            pos = (size - 1) * float(p)
+            ends = []
+            for rank in (math.floor(pos), math.ceil(pos)):
+                for piece, n in sorted(totals[c]):
+                    if rank < n:
+                        ends.append((c, piece, rank))
+                        wanted.setdefault((c, piece), set()).add(rank)
+                        break
+                    rank -= n
+            places[c, float(p)] = (*ends, math.ceil(pos) - pos, pos - math.floor(pos))
+    if not wanted:
+        return {(c, float(p)): None for c, ps in spec.items() for p in ps}
+    inside = hit = F.lit(False)
+    for (c, piece), ranks in wanted.items():
+        here = (F.col("c") == c) & (F.col("slice") == piece)
+        inside = inside | here
+        for r in ranks:
+            hit = hit | (here & (F.col("hi") - F.col("n") <= r) & (F.col("hi") > r))
+    running = Window.partitionBy("c", "slice").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    rows = hist.where(inside).withColumn("hi", F.sum("n").over(running)).where(hit).collect()
+
+    def value(end):
+        return next(r["v"] for r in rows if (r["c"], r["slice"]) == end[:2] and r["hi"] - r["n"] <= end[2] < r["hi"])
+
+    out: dict[tuple[str, float], float | None] = {(c, float(p)): None for c, ps in spec.items() for p in ps}
+    for key, (low, high, to_high, to_low) in places.items():
+        a, b = value(low), value(high)
+        out[key] = a if a == b else to_high * a + to_low * b  # as percentile interpolates
+    return out
+
+
+def _spec(named: dict[str, tuple[str, float]]) -> dict[str, list[float]]:
     spec: dict[str, list[float]] = {}
     for c, p in named.values():
-        spec.setdefault(c, [])
-        if p not in spec[c]:
+        if p not in spec.setdefault(c, []):
             spec[c].append(p)
-    if distinct_bounds and all(distinct_bounds.get(c, float("inf")) <= max_task_values for c in spec):
-        aggs = []
-        for c, ps in spec.items():
-            v = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
-            aggs.append(F.percentile(v, F.array(*[F.lit(float(p)) for p in ps])).alias(c))
-        row = df.agg(*aggs).first()
-        got = {(c, float(p)): (row[c][i] if row[c] is not None else None)
-               for c, ps in spec.items() for i, p in enumerate(ps)}
-        return {name: got.get((c, float(p))) for name, (c, p) in named.items()}
-    found, hist = _quantiles_found(df, spec, max_task_values, None)
-    got = {(r["column"], r["p"]): r["value"] for r in found.collect()}
-    hist.unpersist()
-    return {name: got.get((c, float(p))) for name, (c, p) in named.items()}
-
-
-def distinct_bound(rows: int, approx_distinct: int, rsd: float = 0.05) -> float:
-    """A safe upper bound of a distinct count from an exact row count and a
-    HyperLogLog estimate (relative standard deviation ``rsd``; 5 sigma margin)."""
-    return float(min(rows, approx_distinct * (1 + 5 * rsd)))
-
-
-def quantiles_row(df: DataFrame, named: dict[str, tuple[str, float]],
-                  max_task_values: int = MAX_TASK_VALUES) -> DataFrame:
+    return spec
+
+
+def quantile_values(df: DataFrame, named: dict[str, tuple[str, float]], slices: int | None = None) -> dict[str, float | None]:
+    """The requested quantiles as Python numbers: ``{"lo": ("Transaction_Value", 0.01)}``."""
+    got = _found(df, _spec(named), slices)
+    return {name: got[c, float(p)] for name, (c, p) in named.items()}
+
+
+def quantiles_long(df: DataFrame, spec: dict[str, list[float]], slices: int | None = None) -> DataFrame:
+    """Rows (column, p, value), nulls/NaN ignored. A column with no values gives a null
+    quantile."""
+    got = _found(df, spec, slices)
+    return df.sparkSession.createDataFrame([(c, p, v) for (c, p), v in got.items()], "column string, p double, value double")
+
+
+def quantiles_row(df: DataFrame, named: dict[str, tuple[str, float]], slices: int | None = None) -> DataFrame:
     """One row with a column per name: ``{"lo": ("Transaction_Value", 0.01), ...}``."""
-    spec: dict[str, list[float]] = {}
-    for c, p in named.values():
-        spec.setdefault(c, [])
-        if p not in spec[c]:
-            spec[c].append(p)
-    long = quantiles_long(df, spec, max_task_values)
-    return long.agg(*[
-        F.max(F.when((F.col("column") == c) & (F.col("p") == float(p)), F.col("value"))).alias(name)
-        for name, (c, p) in named.items()])
+    got = quantile_values(df, named, slices)
+    return df.sparkSession.createDataFrame([tuple(got.values())], ", ".join(f"`{n}` double" for n in got))

@@ -1,9 +1,11 @@
-"""Global ranking without a partition-less window.
+"""Global ranking without sorting the table in one task.
 
 ``rank() OVER (ORDER BY x DESC)`` with no PARTITION BY moves every row into one task.
-``global_rank`` instead range-partitions on the sort key — equal values always land
-in the same slice, so ties never straddle a slice boundary — ranks inside each slice,
-and adds the number of rows in all earlier slices (one small row per slice, broadcast).
+``global_rank`` ranks distinct values instead: rows are counted per value first (a value
+that a third of all rows share is one row from then on), the counts are range-partitioned
+and *written* with the number of their slice, so that the rows before a value are the
+totals of the earlier slices (one number per slice, on the driver) plus a running sum
+inside its own slice. The ranks then join the rows on the value.
 """
 
 from __future__ import annotations
@@ -11,22 +13,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import materialize
+
 
 def global_rank(df: DataFrame, order_col: str, descending: bool = True, out: str = "rank",
                 slices: int | None = None) -> DataFrame:
     """Adds ``out`` = SQL ``rank()`` over the whole table ordered by ``order_col``
-    (nulls last). Work per task is bounded by one slice."""
+    (nulls last). ``df`` is read twice; give a written table."""
     spark = df.sparkSession
     slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    key = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_last()
-    ranged = df.repartitionByRange(slices, key).withColumn("__slice", F.spark_partition_id())
-    per_slice = ranged.groupBy("__slice").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = per_slice.select(
-        "__slice",
-        F.coalesce(F.sum("__n").over(Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("__offset"))
-    local = F.rank().over(Window.partitionBy("__slice").orderBy(key))
-    return (ranged.withColumn("__local", local)
-                  .join(F.broadcast(offsets), "__slice")
-                  .withColumn(out, (F.col("__offset") + F.col("__local")).cast("int"))
-                  .drop("__slice", "__local", "__offset"))
+    order = F.col("__v").desc_nulls_last() if descending else F.col("__v").asc_nulls_last()
+    counts = df.groupBy(F.col(order_col).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    counts = materialize(counts.repartitionByRange(slices, order).withColumn("__slice", F.spark_partition_id()), "rank-counts")
+    before, offsets = 0, []
+    for r in sorted(counts.groupBy("__slice").agg(F.sum("__n").alias("n")).collect()):
+        offsets += [F.lit(r["__slice"]), F.lit(before)]
+        before += r["n"]
+    if not offsets:
+        return df.withColumn(out, F.lit(None).cast("int"))
+    earlier = Window.partitionBy("__slice").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    start = F.create_map(*offsets)[F.col("__slice")]
+    ranks = counts.select("__v", (start + F.coalesce(F.sum("__n").over(earlier), F.lit(0)) + 1).alias("__rank"))
+    kind = "int" if before < 2 ** 31 else "bigint"
+    return (df.join(ranks, df[order_col].eqNullSafe(F.col("__v")), "left")
+              .withColumn(out, F.col("__rank").cast(kind)).drop("__v", "__rank"))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import round_half_up, round_agg
+from tessera.session import materialize
 
 OPEN_END = "9999-12-31"
 
@@ -28,15 +29,16 @@ def yearly_snapshots(fact: DataFrame) -> DataFrame:
     Aggregated per (city_key, year, name) first; the name lookup then joins two small
     aggregates, and "current" compares with the global max year taken from the same
     small table (a one-row broadcast)."""
-    p = fact.groupBy("city_key", "year", F.col("City").alias("city_name")).agg(
+    p = materialize(fact.groupBy("city_key", "year", F.col("City").alias("city_name")).agg(
         F.sum("price_per_sqm").alias("s_p"), F.count("price_per_sqm").alias("c_p"),
         F.sum("Demand_Score").alias("s_d"), F.count("Demand_Score").alias("c_d"),
-        F.sum("Vacancy_Rate").alias("s_v"), F.count("Vacancy_Rate").alias("c_v"))
+        F.sum("Vacancy_Rate").alias("s_v"), F.count("Vacancy_Rate").alias("c_v")), "snapshots")
     by_key = p.groupBy("city_key", "year").agg(*[F.sum(c).alias(c) for c in
                                                  ("s_p", "c_p", "s_d", "c_d", "s_v", "c_v")])
     names = p.select("city_key", "city_name").distinct()
-    # the latest year over the (small) snapshot aggregate, applied as a literal
-    max_year = by_key.agg(F.max("year")).first()[0]
+    # the latest year over the written aggregate, applied as a literal: the fact is
+    # scanned once
+    max_year = p.agg(F.max("year")).first()[0]
 
     def avg(s, c):
         return F.try_divide(F.col(s), F.nullif(F.col(c), F.lit(0)).cast("double"))

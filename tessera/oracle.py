@@ -5,7 +5,7 @@ on the same Parquet tables (views ``lineitem``, ``orders``, ... are registered b
 the checker). Shared CTEs are plain strings joined into a WITH clause.
 
 Conventions that keep both engines bit-identical:
-* per-row and per-group rounding goes through DECIMAL(28,8) (half away from zero);
+* per-row and per-group rounding goes through the decimal text and DECIMAL(28,8);
 * every output column is cast explicitly (int / bigint / double / varchar / date).
 """
 
@@ -18,15 +18,15 @@ from tessera.sources.adapter import (BAD_DATE_MOD, MESSY_CITY_MOD, NEGATIVE_VALU
 
 
 def R(x: str, n: int) -> str:
-    """Half away from zero: sign(x) * floor(|x| * 10^n + 0.5) / 10^n, as double."""
+    """Half away from zero on the number's shortest decimal text, cut to eight places
+    first (DuckDB rounds DECIMAL half away from zero); from 1e19 on unchanged."""
     d = f"CAST(({x}) AS DOUBLE)"
-    f = f"CAST({10 ** n} AS DOUBLE)"
-    return f"(CASE WHEN {d} IS NULL OR isnan({d}) THEN {d} ELSE sign({d}) * floor(abs({d}) * {f} + 0.5) / {f} END)"
+    return f"(CASE WHEN abs({d}) < 1e19 THEN CAST(round(CAST(CAST({d} AS VARCHAR) AS DECIMAL(28,8)), {n}) AS DOUBLE) ELSE {d} END)"
 
 
 def RA(x: str, n: int) -> str:
-    """Aggregated value: snap to 8 places (summation-order noise), then round."""
-    return R(R(x, 8), n)
+    """Aggregated value: the eight places drop summation-order noise."""
+    return R(x, n)
 
 
 def RATIO(a: str, b: str) -> str:
@@ -132,7 +132,7 @@ STG = f"""stg AS (
     CAST(CASE WHEN CAST(Demand_Score AS DOUBLE) > CAST(Supply_Score AS DOUBLE) THEN 1 ELSE 0 END AS INTEGER) AS is_demand_dominant,
     {R(RATIO('Demand_Score', 'Supply_Score'), 4)} AS demand_supply_ratio
   FROM raw
-  WHERE Transaction_ID IS NOT NULL AND Date IS NOT NULL AND Transaction_Value > 0 AND Area_sqm > 0
+  WHERE Transaction_ID IS NOT NULL AND TRY_CAST(Date AS DATE) IS NOT NULL AND Transaction_Value > 0 AND Area_sqm > 0
 )"""
 
 # Spark-job feature view over raw rows.
@@ -337,7 +337,7 @@ def ZSUM(src, col):
 
 CITY_SUMMARY = f"""city_summary AS (
 SELECT c.city_name, CAST(count(*) AS BIGINT) AS total_transactions,
-  {R('sum(f.Transaction_Value)', 0)} AS total_value_sar, {RA('avg(f.Transaction_Value)', 0)} AS avg_value_sar,
+  {R('sum(CAST(f.Transaction_Value AS DECIMAL(28,8)))', 0)} AS total_value_sar, {RA('avg(f.Transaction_Value)', 0)} AS avg_value_sar,
   {RA('avg(f.price_per_sqm)', 2)} AS avg_price_per_sqm, {RA('avg(f.Area_sqm)', 1)} AS avg_area_sqm,
   {RA('avg(f.Demand_Score)', 2)} AS avg_demand_score, {RA('avg(f.Vacancy_Rate) * 100', 2)} AS avg_vacancy_pct,
   {RA('avg(f.Interest_Rate) * 100', 2)} AS avg_interest_rate_pct
@@ -346,7 +346,7 @@ PROPERTY = f"""prop AS (
 SELECT Property_Type AS property_type, CAST(count(*) AS BIGINT) AS total_transactions,
   {RA('avg(Transaction_Value)', 0)} AS avg_value_sar, {RA('avg(Area_sqm)', 1)} AS avg_area_sqm,
   {RA('avg(price_per_sqm)', 2)} AS avg_price_per_sqm, {RA('avg(Demand_Score)', 2)} AS avg_demand_score,
-  {R('sum(Transaction_Value)', 0)} AS total_market_value
+  {R('sum(CAST(Transaction_Value AS DECIMAL(28,8)))', 0)} AS total_market_value
 FROM fact GROUP BY Property_Type)"""
 TREND = f"""trend AS (
 SELECT year, CAST(count(*) AS BIGINT) AS total_transactions, {RA('avg(Transaction_Value)', 0)} AS avg_value_sar
@@ -365,7 +365,7 @@ def build() -> dict[str, str]:
     q["spark_city_summary"] = with_(RAW, HOUSING) + f"""
 SELECT City,
   CAST(count(*) AS BIGINT) AS total_transactions,
-  {R('sum(Transaction_Value)', 0)} AS total_value,
+  {R('sum(CAST(Transaction_Value AS DECIMAL(28,8)))', 0)} AS total_value,
   {RA('avg(Transaction_Value)', 0)} AS avg_value,
   {RA('avg(price_per_sqm)', 2)} AS avg_price_sqm,
   {RA('avg(Demand_Score)', 3)} AS avg_demand,
@@ -453,7 +453,7 @@ FROM (SELECT DISTINCT Purpose FROM etl)"""
 
     q["mart_city_summary"] = with_(*STAR) + f"""
 SELECT c.city_name, CAST(count(*) AS BIGINT) AS total_transactions,
-  {R('sum(f.Transaction_Value)', 0)} AS total_value_sar, {RA('avg(f.Transaction_Value)', 0)} AS avg_value_sar,
+  {R('sum(CAST(f.Transaction_Value AS DECIMAL(28,8)))', 0)} AS total_value_sar, {RA('avg(f.Transaction_Value)', 0)} AS avg_value_sar,
   {RA('avg(f.price_per_sqm)', 2)} AS avg_price_per_sqm, {RA('avg(f.Area_sqm)', 1)} AS avg_area_sqm,
   {RA('avg(f.Demand_Score)', 2)} AS avg_demand_score, {RA('avg(f.Vacancy_Rate) * 100', 2)} AS avg_vacancy_pct,
   {RA('avg(f.Interest_Rate) * 100', 2)} AS avg_interest_rate_pct
@@ -461,7 +461,7 @@ FROM fact f JOIN dim_city c ON f.city_key = c.city_key
 GROUP BY c.city_name ORDER BY total_transactions DESC"""
     q["mart_yearly_trend"] = with_(*STAR) + f"""
 SELECT year, CAST(count(*) AS BIGINT) AS total_transactions,
-  {R('sum(Transaction_Value)', 0)} AS total_value_sar, {RA('avg(Transaction_Value)', 0)} AS avg_value_sar,
+  {R('sum(CAST(Transaction_Value AS DECIMAL(28,8)))', 0)} AS total_value_sar, {RA('avg(Transaction_Value)', 0)} AS avg_value_sar,
   {RA('avg(Demand_Score)', 3)} AS avg_demand, {RA('avg(Supply_Score)', 3)} AS avg_supply,
   {RA('avg(Interest_Rate) * 100', 2)} AS avg_interest_rate_pct, {RA('avg(Vacancy_Rate) * 100', 2)} AS avg_vacancy_pct
 FROM fact GROUP BY year ORDER BY year"""
@@ -469,7 +469,7 @@ FROM fact GROUP BY year ORDER BY year"""
 SELECT Property_Type AS property_type, CAST(count(*) AS BIGINT) AS total_transactions,
   {RA('avg(Transaction_Value)', 0)} AS avg_value_sar, {RA('avg(Area_sqm)', 1)} AS avg_area_sqm,
   {RA('avg(price_per_sqm)', 2)} AS avg_price_per_sqm, {RA('avg(Demand_Score)', 2)} AS avg_demand_score,
-  {R('sum(Transaction_Value)', 0)} AS total_market_value
+  {R('sum(CAST(Transaction_Value AS DECIMAL(28,8)))', 0)} AS total_market_value
 FROM fact GROUP BY Property_Type ORDER BY total_transactions DESC"""
     q["mart_district_heatmap"] = with_(*STAR) + f"""
 SELECT c.city_name, d.district_name, CAST(count(*) AS BIGINT) AS transactions,
@@ -590,11 +590,14 @@ FROM stg GROUP BY city"""
     q["dq_column_profile"] = with_(RAW) + "\nUNION ALL\n".join(prof)
     FSK = f"""fsk AS (SELECT CAST(year(Date) * 10000 + month(Date) * 100 + day(Date) AS INTEGER) AS date_key,
   city_key, district_key, {MD5MOD('Property_Type')} AS property_type_key, {MD5MOD('Purpose')} AS purpose_key FROM etl)"""
+    part = "SELECT * FROM {} WHERE year < (SELECT max(year) FROM etl) AND Number_of_Units > 6"
+    FSK2 = FSK.replace("fsk AS", "held AS").replace("FROM etl)", f"FROM ({part.format('etl')}))")
     orphan = []
-    for key in ["city_key", "district_key", "date_key", "property_type_key", "purpose_key"]:
-        orphan.append(f"SELECT '{key}' AS foreign_key, CAST(count(*) AS BIGINT) AS orphans FROM fsk "
-                      f"WHERE {key} IS NOT NULL AND {key} NOT IN (SELECT {key} FROM fsk WHERE {key} IS NOT NULL)")
-    q["dq_referential_integrity"] = with_(*ETL_CHAIN, FSK) + "\nUNION ALL\n".join(orphan)
+    for label, dims_of in (("all rows", "fsk"), ("held out", "held")):
+        for key in ["city_key", "district_key", "date_key", "property_type_key", "purpose_key"]:
+            orphan.append(f"SELECT '{key}' AS foreign_key, CAST(count(*) AS BIGINT) AS orphans, '{label}' AS dims FROM fsk a "
+                          f"WHERE a.{key} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {dims_of} b WHERE b.{key} = a.{key})")
+    q["dq_referential_integrity"] = with_(*ETL_CHAIN, FSK, FSK2) + "\nUNION ALL\n".join(orphan)
     dims = {
         "dim_city": "SELECT DISTINCT city_key AS k, City FROM etl",
         "dim_district": "SELECT DISTINCT district_key AS k, District, city_key, City FROM etl",
@@ -603,8 +606,25 @@ FROM stg GROUP BY city"""
         "dim_purpose": f"SELECT DISTINCT {MD5MOD('Purpose')} AS k, Purpose FROM etl",
     }
     dup = [f"SELECT '{n}' AS table_name, CAST(k AS BIGINT) AS key_value, CAST(count(*) AS BIGINT) AS rows "
-           f"FROM ({sql}) GROUP BY k HAVING count(*) > 1" for n, sql in dims.items()]
+           f"FROM ({sql}) WHERE k IS NOT NULL GROUP BY k HAVING count(*) > 1" for n, sql in dims.items()]
     q["assert_dim_keys_unique"] = with_(*ETL_CHAIN) + "\nUNION ALL\n".join(dup)
+    q["assert_dim_keys_violating"] = with_(*ETL_CHAIN) + """
+SELECT 'dim_district_by_city' AS table_name, CAST(city_key AS BIGINT) AS key_value, CAST(count(*) AS BIGINT) AS rows
+FROM (SELECT DISTINCT district_key, District, city_key, City FROM etl) GROUP BY city_key HAVING count(*) > 1"""
+    q["assert_not_null"] = with_(*ETL_CHAIN) + """
+SELECT 'fact_transactions' AS table_name, 'Transaction_ID' AS column_name, CAST(count(*) - count(Transaction_ID) AS BIGINT) AS nulls FROM etl
+UNION ALL SELECT 'dim_city', 'city_name', CAST(count(*) - count(City) AS BIGINT) FROM (SELECT DISTINCT city_key, City FROM etl)
+UNION ALL SELECT 'dim_property_type', 'property_type_name', CAST(count(*) - count(Property_Type) AS BIGINT) FROM (SELECT DISTINCT Property_Type FROM etl)
+UNION ALL SELECT 'dim_purpose', 'purpose_name', CAST(count(*) - count(Purpose) AS BIGINT) FROM (SELECT DISTINCT Purpose FROM etl)
+UNION ALL SELECT 'dim_district', 'district_name', CAST(count(*) - count(District) AS BIGINT) FROM (SELECT DISTINCT district_key, District, city_key, City FROM etl)"""
+    q["assert_scd2_violating"] = with_(*STAR, SNAP) + """
+SELECT city_key, year, make_date(year, 12, 31) AS effective_date, make_date(year, 1, 1) AS expiry_date FROM snap WHERE year IS NOT NULL"""
+    q["fact_surrogate_key"] = with_(*STAR) + \
+        "SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(*) AS BIGINT) AS distinct_sk, CAST(0 AS BIGINT) AS null_sk FROM fact"
+    q["dq_report_json"] = with_(RAW, SUITE(), SUMMARY) + """
+SELECT true AS run_stamped, 'Housing_Market_SA_1M' AS dataset, (SELECT CAST(count(*) AS BIGINT) FROM raw) AS total_rows, quality_score,
+  total_checks, critical_failures, name, "column", suite.passed AS check_passed, severity, observed_value, expected, details
+FROM suite, summ"""
     from tessera.schema import VALID_CITIES
     vc = ", ".join(f"'{v}'" for v in VALID_CITIES)
     q["domain_except"] = with_(RAW, STG) + \
@@ -637,11 +657,23 @@ SELECT City, CAST(count(Transaction_ID) AS BIGINT) AS total_transactions,
   {RA('avg(Transaction_Value)', 2)} AS avg_value_sar
 FROM (SELECT * FROM etl ORDER BY Transaction_ID LIMIT 50000) GROUP BY City"""
 
+    q["dash_json_records"] = q["mart_city_summary"]
+    q["dash_loader"] = with_(*STAR, CITY_SUMMARY) + """
+SELECT 'marts' AS source, city_name, total_transactions FROM city_summary
+UNION ALL SELECT 'fallback', City, CAST(count(Transaction_ID) AS BIGINT)
+FROM (SELECT * FROM etl ORDER BY Transaction_ID LIMIT 50000) GROUP BY City"""
+    q["etl_clean_from_csv"] = q["etl_clean"]
+    q["anomaly_csv_fact"] = with_(*STAR) + f"""
+SELECT * EXCLUDE (m, sd, Transaction_Value), {R('Transaction_Value', 4)} AS Transaction_Value, {R('(price_per_sqm - m) / NULLIF(sd, 0)', 6)} AS z_score
+FROM fact, (SELECT avg(price_per_sqm) AS m, stddev_samp(price_per_sqm) AS sd FROM fact) WHERE abs((price_per_sqm - m) / NULLIF(sd, 0)) > 3.0"""
+    q["sink_csv_yearly_trend"] = q["spark_yearly_trend"]
+
     q["assert_negative_prices_raw"] = with_(RAW, HOUSING) + \
         f"SELECT Transaction_ID, Transaction_Value, Area_sqm, {R('price_per_sqm', 4)} AS price_per_sqm " \
         "FROM housing WHERE price_per_sqm < 0"
     order_cols = f"{RAW_COLS}, l_partkey, l_suppkey, l_extendedprice"
     q["scan_csv_typed"] = with_(RAW) + f"SELECT {order_cols} FROM raw"
+    q["scan_csv_inferred"] = q["scan_csv_typed"]
     q["union_chunks"] = with_(RAW) + f"SELECT {order_cols} FROM raw"
     q["scan_bronze"] = with_(RAW) + f"SELECT {RAW_COLS} FROM raw"
     q["row_count"] = with_(RAW) + "SELECT CAST(count(*) AS BIGINT) AS row_count FROM raw"
@@ -685,7 +717,7 @@ UNION ALL SELECT 'table', 'mart_city_performance', CAST(count(*) AS BIGINT) FROM
     q["stream_ingest_clean"] = with_(RAW, PARSED, NN, SCLEAN) + "SELECT * FROM sclean"
     q["stream_dedup"] = with_(RAW, PARSED, NN, SCLEAN) + "SELECT DISTINCT Transaction_ID FROM sclean"
     q["stream_monthly_trend"] = with_(RAW, PARSED, NN, SCLEAN) + f"""
-SELECT year_month, CAST(count(*) AS BIGINT) AS transactions, {R('sum(Transaction_Value)', 0)} AS total_value
+SELECT year_month, CAST(count(*) AS BIGINT) AS transactions, {R('sum(CAST(Transaction_Value AS DECIMAL(28,8)))', 0)} AS total_value
 FROM sclean GROUP BY year_month"""
 
     return q

@@ -3,11 +3,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.exprs import round_half_up, round_agg
 from tessera.schema import FALLBACK_SAMPLE_ROWS
+from tessera.session import materialize
 
 
 def kpis(city_summary: DataFrame) -> DataFrame:
@@ -26,13 +29,13 @@ def kpis(city_summary: DataFrame) -> DataFrame:
 
 
 def property_share(property_analysis: DataFrame) -> DataFrame:
-    """Share of transactions per property type (percent, 2 places). The total is
-    one number aggregated by Spark and applied as a literal (no window over a single
-    partition, no join)."""
-    total = property_analysis.agg(F.sum("total_transactions")).first()[0] or 0
+    """Share of transactions per property type (percent, 2 places). The total is one
+    number over the written mart (so the mart is computed once), applied as a literal:
+    no window over a single partition, no join."""
+    mart = materialize(property_analysis, "property-mart")
+    total = mart.agg(F.sum("total_transactions")).first()[0] or 0
     share = F.try_divide(F.col("total_transactions") * 100.0, F.lit(float(total)) if total else F.lit(None))
-    return property_analysis.select("property_type", "total_transactions",
-                                    round_half_up(share, 2).alias("share_pct"))
+    return mart.select("property_type", "total_transactions", round_half_up(share, 2).alias("share_pct"))
 
 
 def city_series(city_summary: DataFrame) -> DataFrame:
@@ -60,6 +63,30 @@ def fallback_sample(fact_rows: DataFrame, n: int = FALLBACK_SAMPLE_ROWS) -> Data
         round_agg(F.avg("Transaction_Value"), 2).alias("avg_value_sar"))
 
 
-def json_records(df: DataFrame) -> DataFrame:
-    """One JSON object per row (the records of a small frame)."""
-    return df.select(F.to_json(F.struct(*df.columns)).alias("record"))
+def json_array(df: DataFrame) -> DataFrame:
+    """One row ``records``: the frame (a chart's few rows) as a JSON array of objects,
+    nulls kept; ``[]`` when it has no rows."""
+    rows = df.agg(F.collect_list(F.struct(*df.columns)).alias("r"))
+    return rows.select(F.to_json("r", {"ignoreNullFields": "false"}).alias("records"))
+
+
+def read_json_array(records: DataFrame, schema) -> DataFrame:
+    """The rows of ``json_array`` again."""
+    return records.select(F.inline(F.from_json("records", T.ArrayType(schema))))
+
+
+DATASETS = ("mart_city_summary", "mart_yearly_trend", "mart_property_analysis")
+
+
+def load_datasets(spark: SparkSession, folder: str, fact_rows: DataFrame) -> dict[str, DataFrame]:
+    """The dashboard's datasets: the three written marts if all are there, otherwise the
+    city figures of the fallback sample."""
+    found = {}
+    for name in DATASETS:
+        try:
+            found[name] = spark.read.parquet(f"{folder}/{name}")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return {"fallback": fallback_sample(fact_rows)}
+    return found

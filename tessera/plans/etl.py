@@ -4,12 +4,12 @@ parse dates -> time features -> drop null critical -> dedup (keep first) ->
 positive value/area -> clip value at the 1st/99th percentile -> derived metrics ->
 standardise strings -> high-demand flag vs median -> surrogate keys.
 
-Plan shape: the raw input lands once as bronze Parquet; the dedup reads it twice
-(narrow, then whole rows) and shuffles twice (first order tuple per ID, semi-join);
-the deduplicated rows are written once to the shared checkpoint folder (they feed two
-passes, and the write cuts the lineage so a lost executor does not redo the dedup).
-The statistics pass (exact percentiles of the value and median of demand, from one
-histogram) yields three numbers that the row pass applies as literals.
+Plan shape: the dedup reads the raw input twice (narrow, then whole rows) and shuffles
+twice (first order tuple per ID, semi-join); the deduplicated rows are written once to
+the shared checkpoint folder (they feed two passes, and the write cuts the lineage so a
+lost executor does not redo the dedup). The statistics pass (exact percentiles of the
+value and median of demand, from one histogram) yields three numbers that the row pass
+applies as literals.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import clean
-from tessera.operators.quantiles import distinct_bound, quantile_values, quantiles_row
-from tessera.session import materialize, materialize_observed
+from tessera.operators.quantiles import quantile_values
+from tessera.session import materialize
 from tessera.schema import ADAPTER_ORDER_COLUMNS, CLIP_HIGH, CLIP_LOW, CRITICAL_COLUMNS, RAW_COLUMNS
 
 ETL_COLUMNS = RAW_COLUMNS + ["year", "month", "quarter", "day_of_week", "year_month", "price_per_sqm",
@@ -42,37 +42,17 @@ STATS = {
 }
 
 
-def etl_stats(rows: DataFrame) -> DataFrame:
-    """One row: clip bounds of the value and median of demand (one histogram pass)."""
-    return quantiles_row(rows, STATS)
-
-
-def etl_clean(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS,
-              materialize_rows: bool = True) -> DataFrame:
-    if materialize_rows:
-        # bronze: the raw rows land once as Parquet; the dedup reads them twice
-        # (narrow key/order columns, then whole rows) with column pruning instead of
-        # re-running the source twice
-        raw = materialize(raw, "bronze")
-    rows = deduplicated(raw, order_cols).drop(*order_cols)
-    # Row-local work that does not depend on the statistics (label clean-up, hash
-    # keys, time features) is done before the rows are written, so every later
-    # reader — and every filter Catalyst infers on the keys — sees plain columns.
-    rows = (rows.transform(clean.standardise_strings)
-                .transform(clean.add_surrogate_keys)
-                .transform(clean.add_time_features))
-    bounds = None
-    if materialize_rows:
-        # the write also observes the row count and HyperLogLog distinct estimates,
-        # which bound what an exact percentile would hold in one task
-        rows, m = materialize_observed(rows, "etl-rows", [
-            F.count(F.lit(1)).alias("rows"),
-            F.approx_count_distinct("Transaction_Value").alias("d_value"),
-            F.approx_count_distinct("Demand_Score").alias("d_demand")])
-        bounds = {"Transaction_Value": distinct_bound(m["rows"], m["d_value"]),
-                  "Demand_Score": distinct_bound(m["rows"], m["d_demand"])}
-    # three scalars computed in Spark, applied as literals
-    st = quantile_values(rows, STATS, distinct_bounds=bounds)
+def silver_rows(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS) -> DataFrame:
+    """Deduplicated rows with all row-local work done (labels, hash keys, time features),
+    before anything that needs table-wide statistics."""
+    return (deduplicated(raw, order_cols).drop(*order_cols)
+            .transform(clean.standardise_strings)
+            .transform(clean.add_surrogate_keys)
+            .transform(clean.add_time_features))
+
+
+def with_statistics(rows: DataFrame, st: dict[str, float | None]) -> DataFrame:
+    """Clip, derive and flag with the three table-wide numbers as literals."""
     median = st["median_demand"]
     high = (F.col("Demand_Score") > F.lit(median)) if median is not None else F.lit(False)
     out = (rows.transform(lambda d: clean.clip_between(d, "Transaction_Value", st["lower"], st["upper"]))
@@ -81,6 +61,14 @@ def etl_clean(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS,
     return out.select(*ETL_COLUMNS)
 
 
+def etl_clean(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS) -> DataFrame:
+    """The whole transform. The silver rows are written once (they feed the statistics
+    and the rows); the result is a projection of that table, so whoever reads a few of
+    its columns reads a few columns of the silver files."""
+    rows = materialize(silver_rows(raw, order_cols), "silver")
+    return with_statistics(rows, quantile_values(rows, STATS))
+
+
 def etl_row_accounting(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS) -> DataFrame:
     """Rows in / out / dropped per cleaning step, from one aggregation.
 

@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions.exprs import (flag, investment_score, parse_date, ratio, risk_score,
                                      round_half_up, round_agg, sql_initcap_trim, value_band_left_closed)
-from tessera.operators.joins import join_bounded, join_checked
-from tessera.operators.quantiles import distinct_bound
-from tessera.session import materialize_observed
+from tessera.operators.joins import join_checked
+from tessera.session import materialize
 from tessera.schema import MART_HIGH_DEMAND
 
 STG_COLUMNS = [
@@ -30,13 +29,14 @@ STG_COLUMNS = [
 def stg_transactions(raw: DataFrame) -> DataFrame:
     """Typed, renamed, filtered staging projection of the raw record.
 
-    Filter on the raw columns (ID and Date present, value and area positive) — it is
-    pushed below the projection and, for Parquet input, into the scan."""
+    Filter on the raw columns (ID present, date readable, value and area positive) — it
+    is pushed below the projection and, for Parquet input, into the scan as far as the
+    columns are stored. A date that cannot be read counts as missing, as in the stream."""
     d = parse_date("Date")
     dem, sup = F.col("Demand_Score").cast("double"), F.col("Supply_Score").cast("double")
     tv = F.col("Transaction_Value").try_cast("bigint")
     return (
-        raw.where(F.col("Transaction_ID").isNotNull() & F.col("Date").isNotNull()
+        raw.where(F.col("Transaction_ID").isNotNull() & d.isNotNull()
                   & (F.col("Transaction_Value") > 0) & (F.col("Area_sqm") > 0))
         .select(
             F.trim("Transaction_ID").alias("transaction_id"),
@@ -97,12 +97,12 @@ def with_scores(stg: DataFrame) -> DataFrame:
 def benchmarks(stg: DataFrame) -> tuple[DataFrame, DataFrame]:
     """City and district benchmark tables from ONE aggregation: partial sums/counts per
     (city, district); the city figures are re-aggregated from those partials."""
-    p = stg.groupBy("city", "district").agg(
+    p = materialize(stg.groupBy("city", "district").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("transaction_value_sar").alias("s_v"), F.count("transaction_value_sar").alias("c_v"),
         F.sum("price_per_sqm").alias("s_p"), F.count("price_per_sqm").alias("c_p"),
         F.sum("demand_score").alias("s_d"), F.count("demand_score").alias("c_d"),
-        F.sum("vacancy_rate").alias("s_r"), F.count("vacancy_rate").alias("c_r"))
+        F.sum("vacancy_rate").alias("s_r"), F.count("vacancy_rate").alias("c_r")), "benchmarks")
 
     def avg(s, c):
         return round_agg(F.try_divide(F.col(s).cast("double"), F.nullif(F.col(c), F.lit(0)).cast("double")), 6)
@@ -115,31 +115,17 @@ def benchmarks(stg: DataFrame) -> tuple[DataFrame, DataFrame]:
     return cs, ds
 
 
-def int_transactions_enriched(stg: DataFrame, materialize_rows: bool = True) -> DataFrame:
+def int_transactions_enriched(stg: DataFrame) -> DataFrame:
     """Rows + city benchmarks + district context + value deviation + scores.
 
-    The staging rows are read twice (benchmarks, then the rows themselves), so they
-    are written once to the shared checkpoint folder first. Both joins are left joins
-    on keys that are unique on the right side (the aggregates' group keys): they
-    never add or remove rows, and a null district matches nothing. The benchmark
-    tables are broadcast only after their size has been checked."""
-    cs_rows = ds_rows = None
-    if materialize_rows:
-        # the write also observes how many cities / (city, district) pairs exist —
-        # HyperLogLog estimates that bound the two benchmark tables' sizes
-        stg, m = materialize_observed(stg, "stg", [
-            F.count(F.lit(1)).alias("rows"),
-            F.approx_count_distinct("city").alias("cities"),
-            F.approx_count_distinct(F.xxhash64("city", "district")).alias("pairs")])
-        cs_rows = distinct_bound(m["rows"], m["cities"]) + 1          # + a null group
-        ds_rows = distinct_bound(m["rows"], m["pairs"]) + 1
+    The benchmarks come from a pass over their own six columns; only they are written.
+    The staging rows themselves run through once. Both joins are left joins on keys that
+    are unique on the right side (the aggregates' group keys): they never add or remove
+    rows, and a null district matches nothing. The benchmark tables are broadcast only
+    after their size has been measured."""
     cs, ds = benchmarks(stg)
-    if cs_rows is None:
-        b = join_checked(stg, cs, on=["city"], how="left")
-        b = join_checked(b, ds, on=["city", "district"], how="left")
-    else:
-        b = join_bounded(stg, cs, on=["city"], how="left", max_rows=cs_rows)
-        b = join_bounded(b, ds, on=["city", "district"], how="left", max_rows=ds_rows)
+    b = join_checked(stg, cs, on=["city"], how="left")
+    b = join_checked(b, ds, on=["city", "district"], how="left")
     b = b.withColumn(
         "pct_above_city_avg",
         round_half_up((F.col("transaction_value_sar") - F.col("city_avg_value"))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import round_half_up, round_agg
+from tessera.functions.exprs import exact_sum, exact_total, round_agg
 from tessera.operators.ranking import global_rank
 
 MEASURES = {
@@ -29,7 +29,8 @@ MEASURES = {
 def _partials() -> list[Column]:
     out = [F.count(F.lit(1)).alias("n")]
     for k, c in MEASURES.items():
-        out += [F.sum(c).alias(f"s_{k}"), F.count(c).alias(f"c_{k}")]
+        total = exact_sum(c) if k == "value" else F.sum(c)
+        out += [total.alias(f"s_{k}"), F.count(c).alias(f"c_{k}")]
     return out
 
 
@@ -41,7 +42,7 @@ def _merge() -> list[Column]:
 
 
 def _avg(k: str) -> Column:
-    return F.try_divide(F.col(f"s_{k}"), F.nullif(F.col(f"c_{k}"), F.lit(0)).cast("double"))
+    return F.try_divide(F.col(f"s_{k}").cast("double"), F.nullif(F.col(f"c_{k}"), F.lit(0)).cast("double"))
 
 
 def city_partials(fact: DataFrame, *extra: str) -> DataFrame:
@@ -61,7 +62,7 @@ def mart_city_summary(fact: DataFrame) -> DataFrame:
     return g.select(
         "city_name",
         F.col("n").cast("bigint").alias("total_transactions"),
-        round_half_up(F.col("s_value"), 0).alias("total_value_sar"),
+        F.round("s_value", 0).cast("double").alias("total_value_sar"),
         round_agg(_avg("value"), 0).alias("avg_value_sar"),
         round_agg(_avg("price"), 2).alias("avg_price_per_sqm"),
         round_agg(_avg("area"), 1).alias("avg_area_sqm"),
@@ -74,7 +75,7 @@ def mart_city_summary(fact: DataFrame) -> DataFrame:
 def mart_yearly_trend(fact: DataFrame) -> DataFrame:
     return fact.groupBy("year").agg(
         F.count(F.lit(1)).cast("bigint").alias("total_transactions"),
-        round_half_up(F.sum("Transaction_Value"), 0).alias("total_value_sar"),
+        exact_total("Transaction_Value", 0).alias("total_value_sar"),
         round_agg(F.avg("Transaction_Value"), 0).alias("avg_value_sar"),
         round_agg(F.avg("Demand_Score"), 3).alias("avg_demand"),
         round_agg(F.avg("Supply_Score"), 3).alias("avg_supply"),
@@ -90,7 +91,7 @@ def mart_property_analysis(fact: DataFrame) -> DataFrame:
         round_agg(F.avg("Area_sqm"), 1).alias("avg_area_sqm"),
         round_agg(F.avg("price_per_sqm"), 2).alias("avg_price_per_sqm"),
         round_agg(F.avg("Demand_Score"), 2).alias("avg_demand_score"),
-        round_half_up(F.sum("Transaction_Value"), 0).alias("total_market_value"),
+        exact_total("Transaction_Value", 0).alias("total_market_value"),
     ).orderBy(F.col("total_transactions").desc())
 
 

@@ -17,10 +17,10 @@ broadcast of one row. The suite is then exploded into one row per check.
 
 from __future__ import annotations
 
-import json
+import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,12 +105,6 @@ class Check:
         if self.kind == "unique":
             return (df.groupBy(c.alias("v")).agg(F.count(F.lit(1)).alias("k"))
                       .agg(F.coalesce(F.sum(F.col("k") - 1), F.lit(0)).cast("bigint").alias(f"_{i}_n")))
-        if self.kind == "in_set":
-            bad = (df.where(~F.coalesce(c.isin(self.params["values"]), F.lit(False)))
-                     .select(c.alias("v")).distinct()
-                     .orderBy(F.col("v").asc_nulls_first()).limit(10))
-            return bad.agg(F.coalesce(F.array_sort(F.collect_list(F.coalesce("v", F.lit("\u0000nan")))),
-                                      F.array()).alias(f"_{i}_vals"))
         return None
 
     def result(self, i: int) -> Column:
@@ -237,9 +231,27 @@ def run_suite(df: DataFrame, checks: list[Check] | None = None, kinds: set[str]
     aggs = [a for i, c in chosen for a in c.aggs(i, df.schema)]
     parts = [df.agg(*aggs)] if aggs else []
     parts += [extra for i, c in chosen if (extra := c.side(df, i)) is not None]
+    sets = [(i, c) for i, c in chosen if c.kind == "in_set"]
+    if sets:
+        parts.append(invalid_values(df, sets))
     return combine_rows(parts).select(F.inline(F.array(*[c.result(i) for i, c in chosen])))
 
 
+def invalid_values(df: DataFrame, sets: list[tuple[int, Check]], most: int = 10) -> DataFrame:
+    """One row with the first ``most`` values outside the set of every value-set check:
+    all checks in one pass, (check, value) pairs made distinct with partial aggregation,
+    then a top-k per check that Spark also applies before the shuffle."""
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.coalesce(F.col(c.column).isin(c.params["values"]), F.lit(False)).alias("ok"),
+                 F.col(c.column).alias("v")) for i, c in sets])).alias("s")).select("s.*")
+    bad = pairs.where(~F.col("ok")).select("i", "v").distinct()
+    place = F.row_number().over(Window.partitionBy("i").orderBy(F.col("v").asc_nulls_first()))
+    first = bad.withColumn("r", place).where(F.col("r") <= most)
+    return first.agg(*[
+        F.coalesce(F.array_sort(F.collect_list(F.when(F.col("i") == i, F.coalesce("v", F.lit("\u0000nan"))))),
+                   F.array()).alias(f"_{i}_vals") for i, _ in sets])
+
+
 def combine_rows(parts: list[DataFrame]) -> DataFrame:
     """Merge one-row frames with disjoint columns into one row: union them (missing
     columns null) and keep each column's only non-null value — no cross join."""
@@ -278,18 +290,24 @@ def gate(results: DataFrame) -> bool:
     return summary(results).select("gate_passed").first()["gate_passed"]
 
 
-def report_json(results: DataFrame, df: DataFrame, run_id: str, run_timestamp: str,
-                dataset: str = DATASET_NAME) -> DataFrame:
-    """One-row report document: run info, score, summary struct and the results array
-    (25 entries — the array is bounded by the number of checks)."""
+def new_run() -> tuple[str, str]:
+    """(run id, ISO time) of a report made now."""
+    now = dt.datetime.now(dt.timezone.utc)
+    return f"run_{now:%Y%m%d_%H%M%S}", now.isoformat(timespec="seconds")
+
+
+def report(results: DataFrame, df: DataFrame, run_id: str | None = None, run_timestamp: str | None = None,
+           dataset: str = DATASET_NAME) -> DataFrame:
+    """One-row report document with typed columns: run info, score, summary struct and
+    the results array (its length is the number of checks)."""
+    made_id, made_at = new_run()
     s = summary(results, df, dataset)
     arr = results.agg(F.sort_array(F.collect_list(F.struct(*RESULT_FIELDS))).alias("r"))
-    doc = combine_rows([s, arr]).select(
-        F.lit(run_id).alias("run_id"), F.lit(run_timestamp).alias("run_timestamp"), F.lit(dataset).alias("dataset"),
-        "total_rows", "quality_score",
+    return combine_rows([s, arr]).select(
+        F.lit(run_id or made_id).alias("run_id"), F.lit(run_timestamp or made_at).alias("run_timestamp"),
+        F.lit(dataset).alias("dataset"), "total_rows", "quality_score",
         F.struct("total_checks", "passed", "failed", "critical_failures").alias("summary"),
         F.transform("r", lambda x: x.dropFields("check_id")).alias("results"))
-    return doc.select(F.to_json(F.struct(*doc.columns)).alias("report"))
 
 
 def column_profile(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -304,6 +322,3 @@ def column_profile(df: DataFrame, cols: list[str]) -> DataFrame:
                  round_half_up(f"{c}__max", 2).alias("max_value"), round_agg(f"{c}__mean", 2).alias("mean_value"))
         for c in cols])))
 
-
-def parse_report(text: str) -> dict:
-    return json.loads(text)

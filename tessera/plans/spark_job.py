@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import flag, parse_date, ratio, round_half_up, round_agg, value_band_left_closed
+from tessera.functions.exprs import exact_total, flag, parse_date, ratio, round_agg, value_band_left_closed
 from tessera.schema import SPARK_HIGH_DEMAND
 
 
@@ -30,7 +30,7 @@ def spark_features(raw: DataFrame) -> DataFrame:
 def spark_city_summary(housing: DataFrame) -> DataFrame:
     return (housing.groupBy("City").agg(
         F.count(F.lit(1)).cast("bigint").alias("total_transactions"),
-        round_half_up(F.sum("Transaction_Value"), 0).alias("total_value"),
+        exact_total("Transaction_Value", 0).alias("total_value"),
         round_agg(F.avg("Transaction_Value"), 0).alias("avg_value"),
         round_agg(F.avg("price_per_sqm"), 2).alias("avg_price_sqm"),
         round_agg(F.avg("Demand_Score"), 3).alias("avg_demand"),

@@ -73,3 +73,10 @@ def dim_purpose(etl: DataFrame) -> DataFrame:
     return (etl.select(F.col("Purpose").alias("purpose_name")).distinct()
                .select(md5_mod("purpose_name").alias("purpose_key"), "purpose_name",
                        flag(F.col("purpose_name") == "Investment").alias("is_investment")))
+
+
+def surrogate_key_check(fact: DataFrame) -> DataFrame:
+    """One row: rows, distinct and null ``transaction_sk`` of a fact written with it."""
+    return fact.agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
+                    F.countDistinct("transaction_sk").cast("bigint").alias("distinct_sk"),
+                    F.count_if(F.col("transaction_sk").isNull()).cast("bigint").alias("null_sk"))

@@ -50,8 +50,6 @@ KEY_MODULUS = 10**6
 SPARK_HIGH_DEMAND = 5
 MART_HIGH_DEMAND = 7.0
 # Layered-model variables.
-START_DATE, END_DATE = "2022-01-01", "2025-12-31"
-MIN_TRANSACTION_VALUE = 50000
 # Domains of the data-quality suite.
 VALID_CITIES = ["Riyadh", "Jeddah", "Dammam", "Khobar", "Jubail"]
 VALID_PROPERTY_TYPES = ["Apartment", "Villa", "Duplex", "Studio", "Commercial Unit", "Land"]

@@ -74,19 +74,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def materialize_observed(df: DataFrame, name: str, metrics: list) -> tuple[DataFrame, dict]:
-    """``materialize`` that also returns aggregate metrics computed by the same write
-    job (``Observation``: per-task partial aggregates merged on the driver — use only
-    bounded aggregates such as counts or HyperLogLog sketches)."""
-    from pyspark.sql import Observation
-    spark = df.sparkSession
-    obs = Observation(f"{name}-metrics")
-    path = scratch_path(spark, name)
-    df.observe(obs, *metrics).write.mode("overwrite").parquet(path)
-    _delete_on_exit(spark, path)
-    return spark.read.parquet(path), dict(obs.get)
-
-
 def _delete_on_exit(spark: SparkSession, path: str) -> None:
     """Scratch tables live as long as the session: ask the (shared) file system to
     remove them when the driver's file-system handle closes."""

@@ -1,41 +1,44 @@
 """Sinks. Every writer returns the path it wrote, so a caller can read it back.
 
 Paths live under the shared checkpoint folder (``session.scratch_path``) unless the
-caller passes one; nothing is written to machine-local storage."""
+caller passes one; on a cluster that folder must be one that all executors share."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import materialize
 from tessera.sources.files import write_csv
 
-# Files per (city, year) directory: rows of one directory are spread over this many
-# writer tasks, so a city holding a third of the data is written in parallel.
-WRITE_SALT = 4
+# Rows per file at most; a directory that holds a third of the data becomes many files.
+MAX_FILE_ROWS = 5_000_000
 
 
-def write_parquet_city_year(df: DataFrame, path: str, salt: int = WRITE_SALT) -> str:
+def _write_balanced(df: DataFrame, path: str, cols: list[str]) -> str:
+    """Overwrite a Parquet table partitioned by ``cols``. The rebalance hint brings the
+    rows of a directory together and lets AQE split what is larger than the advisory
+    partition size: a hot directory gets as many writers as its size asks for, a small
+    one a single file."""
+    (df.hint("rebalance", *[F.col(c) for c in cols])
+       .write.mode("overwrite").option("maxRecordsPerFile", str(MAX_FILE_ROWS)).partitionBy(*cols).parquet(path))
+    return path
+
+
+def write_parquet_city_year(df: DataFrame, path: str) -> str:
     """Hive-style ``city=<name with _ for spaces>/year=<y>/`` layout; rows with a null
     City or year are skipped. The display name stays inside the files as
     ``city_name`` (a ``city`` partition column next to ``City`` would clash under
-    case-insensitive resolution). Rows are shuffled by (city, year, salt): at most
-    ``salt`` files per directory, and no single task writes a hot directory alone."""
+    case-insensitive resolution)."""
     out = (df.where(F.col("City").isNotNull() & F.col("year").isNotNull())
              .withColumnRenamed("City", "city_name")
-             .withColumn("city", F.regexp_replace("city_name", " ", "_"))
-             .withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(salt))))
-    (out.repartition("city", "year", "__salt").drop("__salt")
-        .write.mode("overwrite").partitionBy("city", "year").parquet(path))
-    return path
+             .withColumn("city", F.regexp_replace("city_name", " ", "_")))
+    return _write_balanced(out, path, ["city", "year"])
 
 
-def write_partitioned(df: DataFrame, path: str, cols: list[str], salt: int = WRITE_SALT) -> str:
+def write_partitioned(df: DataFrame, path: str, cols: list[str]) -> str:
     """Overwrite a Parquet table partitioned by ``cols`` (the Spark job's layout)."""
-    out = df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(salt)))
-    (out.repartition(*cols, "__salt").drop("__salt")
-        .write.mode("overwrite").partitionBy(*cols).parquet(path))
-    return path
+    return _write_balanced(df, path, cols)
 
 
 def write_csv_summary(df: DataFrame, path: str) -> str:
@@ -50,16 +53,13 @@ def replace_table(df: DataFrame, path: str) -> str:
 
 
 def write_if_any(df: DataFrame, path: str) -> tuple[str | None, int]:
-    """Write ``df`` as CSV only when it has rows. The rows are persisted so the count
-    and the write share one computation."""
-    df = df.persist()
-    n = df.count()
-    if n == 0:
-        df.unpersist()
-        return None, 0
-    write_csv(df, path)
-    df.unpersist()
-    return path, n
+    """Write ``df`` as CSV only when it has rows; they are computed once, into a written
+    table that is counted and copied."""
+    rows = materialize(df, "if-any")
+    n = rows.count()
+    if n:
+        write_csv(rows, path)
+    return (path if n else None), n
 
 
 def write_json(df: DataFrame, path: str) -> str:

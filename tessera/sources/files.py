@@ -63,11 +63,16 @@ def union_chunks(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+SOURCE_ORDER = ["_source_file", "_source_block", "_source_row"]
+
+
 def with_source_ordinal(df: DataFrame) -> DataFrame:
-    """Input order of file rows: (file, position). ``monotonically_increasing_id``
-    grows with the offset inside a file split, and splits of one file keep file order."""
-    return df.withColumn("_source_file", F.input_file_name()).withColumn("_source_row",
-                                                                         F.monotonically_increasing_id())
+    """Input order of file rows: (file, offset of its split, row of the split), the order
+    that keep-first deduplication needs. ``monotonically_increasing_id`` rises within a
+    split; the split's offset puts the splits of one file in order."""
+    return df.select("*", F.col("_metadata.file_path").alias("_source_file"),
+                     F.col("_metadata.file_block_start").alias("_source_block"),
+                     F.monotonically_increasing_id().alias("_source_row"))
 
 
 def register_bronze(df: DataFrame, name: str = "transactions_raw") -> DataFrame:

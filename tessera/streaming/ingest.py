@@ -8,8 +8,7 @@ what is there and stops — the daily-batch shape of the original schedule.
 * ``ingest_clean``   — row-local cleaning only (parse, null drop, positive filter,
   time features, left-closed band, standardised labels, hash keys); global steps
   (dedup, percentile clip, median flag) need the whole table and stay batch.
-* ``dedup_stream``   — Transaction_ID dedup with an event-time watermark; the state
-  per key lives only until the watermark passes it.
+* ``dedup_stream``   — Transaction_ID dedup against the keys landed by earlier batches.
 * ``monthly_trend``  — per year-month volume/value; calendar months are not a fixed
   window length, so the stream groups by the month label; the state holds one row
   per month and each trigger rewrites the (small) result table.
@@ -21,16 +20,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.exprs import md5_mod, round_half_up, standardise, time_features, value_band_left_closed
+from tessera.functions.exprs import exact_sum, md5_mod, round_half_up, standardise, time_features, value_band_left_closed
 from tessera.operators import clean
 from tessera.schema import STANDARDISED_COLUMNS
 from tessera.session import scratch_path
 
 
-def land_files(df: DataFrame, landing: str, rows_per_file: int = 20_000) -> str:
+def land_files(df: DataFrame, landing: str, rows_per_file: int | None = None) -> str:
     """Write raw rows as Parquet files into a landing folder (what an upstream
-    producer would drop there)."""
-    df.write.mode("append").option("maxRecordsPerFile", str(rows_per_file)).parquet(landing)
+    producer would drop there). Files follow the partitions, which AQE sizes;
+    ``rows_per_file`` makes small files for tests."""
+    w = df.write.mode("append")
+    (w.option("maxRecordsPerFile", str(rows_per_file)) if rows_per_file else w).parquet(landing)
     return landing
 
 
@@ -68,18 +69,29 @@ def ingest_clean(spark: SparkSession, landing: str, schema: T.StructType, out: s
     return spark.read.parquet(out)
 
 
-def dedup_stream(spark: SparkSession, landing: str, schema: T.StructType, delay: str = "30 days",
-                 out: str | None = None) -> DataFrame:
-    """First arrival per Transaction_ID within the watermark (events later than the
-    watermark are dropped by definition of the stream's event-time contract)."""
+def dedup_stream(spark: SparkSession, landing: str, schema: T.StructType, out: str | None = None,
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """One row per Transaction_ID, complete however the files are split into
+    micro-batches and in whatever order their dates come: each batch is deduplicated and
+    then compared with the keys landed before (an anti-join on the key), so nothing
+    depends on a watermark and no state grows in memory. A batch writes into a folder of
+    its own number with overwrite, so a repeated batch replaces itself; it compares only
+    with earlier batches."""
     out = out or scratch_path(spark, "stream-dedup")
-    s = (clean_rows(read_landing(spark, landing, schema))
-         .withColumn("event_time", F.col("Date").cast("timestamp"))
-         .withWatermark("event_time", delay)
-         .dropDuplicatesWithinWatermark(["Transaction_ID"])
-         .drop("event_time"))
-    run_available_now(s, out, out + "-checkpoint")
-    return spark.read.parquet(out)
+    stream = clean_rows(read_landing(spark, landing, schema, max_files_per_trigger))
+    layout = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
+
+    def merge(batch: DataFrame, number: int) -> None:
+        fresh = batch.dropDuplicates(["Transaction_ID"])
+        if number:
+            landed = (spark.read.schema(layout).parquet(out).where(F.col("batch") < number).select("Transaction_ID"))
+            fresh = fresh.join(landed, "Transaction_ID", "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", out + "-checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema(layout).parquet(out).drop("batch")
 
 
 def monthly_trend(spark: SparkSession, landing: str, schema: T.StructType, out: str | None = None) -> DataFrame:
@@ -87,7 +99,7 @@ def monthly_trend(spark: SparkSession, landing: str, schema: T.StructType, out:
     agg = (clean_rows(read_landing(spark, landing, schema))
            .groupBy("year_month")
            .agg(F.count(F.lit(1)).cast("bigint").alias("transactions"),
-                F.sum("Transaction_Value").alias("total_value")))
+                exact_sum("Transaction_Value").alias("total_value")))
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(out)

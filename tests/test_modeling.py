@@ -9,7 +9,7 @@ from tessera.plans import etl, layers, marts, star
 
 
 def _etl(spark, rows=CLEAN_ROWS):
-    return etl.etl_clean(ordered(spark, rows), ["ordinal"], materialize_rows=False)
+    return etl.etl_clean(ordered(spark, rows), ["ordinal"])
 
 
 def test_star_schema_city_dim(spark):
@@ -78,7 +78,7 @@ def test_enriched_preserves_rows_and_null_district(spark, sample_df):
     raw = sample_df.withColumn("District", F.when(F.col("Transaction_ID") == "RIY-001", F.lit(None))
                                .otherwise(F.col("District")))
     stg = layers.stg_transactions(raw)
-    enr = layers.int_transactions_enriched(stg, materialize_rows=False)
+    enr = layers.int_transactions_enriched(stg)
     assert enr.count() == 5
     r = enr.where("transaction_id = 'RIY-001'").first()
     assert r.district_txn_count is None and r.city_avg_value == 850000.0 and r.pct_above_city_avg == 0.0

@@ -97,9 +97,13 @@ def test_mean_between_observed_format(sample_df):
 
 def test_report_json_document(spark, dirty_df):
     import json
+    from tessera.session import scratch_path
+    from tessera.sinks import writers
     res = quality.run_suite(dirty_df)
-    doc = json.loads(quality.report_json(res, dirty_df, "run_x", "ts").first().report)
+    path = writers.write_json(quality.report(res, dirty_df, "run_x", "ts"), scratch_path(spark, "report"))
+    doc = json.loads(spark.read.text(path).first()[0])
     assert doc["run_id"] == "run_x" and doc["total_rows"] == 5
+    assert quality.report(res, dirty_df).first()["run_id"].startswith("run_20")
     assert doc["summary"]["total_checks"] == 25 and len(doc["results"]) == 25
     assert set(doc["results"][0]) == {"name", "column", "passed", "severity", "observed_value", "expected", "details"}
 

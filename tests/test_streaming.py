@@ -31,3 +31,20 @@ def test_stream_dedup_keeps_one_row_per_id(spark):
     got = ingest.dedup_stream(spark, landing, RAW_SCHEMA)
     expected = ingest.clean_rows(raw).select("Transaction_ID").distinct().count()
     assert got.count() == expected == got.select("Transaction_ID").distinct().count()
+
+
+def test_stream_dedup_is_complete_over_many_batches(spark):
+    """One file per micro-batch, dates in no order: the same keys as in a single batch,
+    and a rerun over the same files adds nothing."""
+    from pyspark.sql import functions as F
+    raw = raw_transactions(spark, SF_SMALL, with_order=False)
+    twice = raw.unionByName(raw).orderBy(F.xxhash64("Transaction_ID", F.rand(3)))
+    landing = ingest.land_files(twice.coalesce(1), scratch_path(spark, "landing"), rows_per_file=2500)
+    out = scratch_path(spark, "dedup")
+    many = ingest.dedup_stream(spark, landing, RAW_SCHEMA, out, max_files_per_trigger=1)
+    one = ingest.dedup_stream(spark, landing, RAW_SCHEMA)
+    ids = lambda d: sorted(r[0] for r in d.select("Transaction_ID").collect())
+    assert ids(many) == ids(one) == sorted(set(ids(ingest.clean_rows(raw))))
+    batches = spark.read.parquet(out).select("batch").distinct().count()
+    assert batches > 3
+    assert ids(ingest.dedup_stream(spark, landing, RAW_SCHEMA, out, max_files_per_trigger=1)) == ids(one)

@@ -127,7 +127,7 @@ def test_etl_clean_on_dirty_fixture(spark):
     rows[1][6] = 0.0
     rows[2][0] = None
     rows[3][0] = "DAM-002"
-    out = etl.etl_clean(ordered(spark, [tuple(r) for r in rows]), ["ordinal"], materialize_rows=False)
+    out = etl.etl_clean(ordered(spark, [tuple(r) for r in rows]), ["ordinal"])
     got = out.collect()
     assert [r.Transaction_ID for r in got] == ["JUB-005"]
     r = got[0]
@@ -154,9 +154,8 @@ def test_rounding_half_away_from_zero(spark):
     assert got[:3] == [3.0, -3.0, 0.0] and got[4] is None and got[5] != got[5]
 
 
-def test_staging_keeps_bad_dates_with_null_date(spark):
-    rows = [list(CLEAN_ROWS[0])]
+def test_staging_drops_unreadable_dates(spark):
+    rows = [list(CLEAN_ROWS[0]), list(CLEAN_ROWS[1])]
     rows[0][1] = "not-a-date"
     stg = layers.stg_transactions(spark.createDataFrame([tuple(r) for r in rows], RAW_SCHEMA))
-    r = stg.first()
-    assert r.transaction_date is None and r.txn_year is None and r.value_band == "500K-1M"
+    assert [r.transaction_id for r in stg.collect()] == [rows[1][0]]
