@@ -396,12 +396,19 @@ def written(spans: list[tuple[int, int, int]]) -> str:
 
 # ---------------------------------------------------------------- Spark
 
-def training_texts(docs: DataFrame, text_col: str = "text") -> list[str]:
-    """At most TRAIN_TEXTS short texts with candidate characters, picked by hash."""
-    rows = (docs.select(docs[text_col].alias("text")).filter(F.length("text") <= TRAIN_CHARS)
-            .filter(F.col("text").rlike(r"@|\+[0-9]|[0-9]{4}|[0-9]\.[0-9]+\.[0-9]"))
-            .orderBy(F.xxhash64("text"), "text").limit(TRAIN_TEXTS).collect())
-    return [r.text for r in rows]
+def training_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[str]:
+    """At most TRAIN_TEXTS short texts with candidate characters: those of the smallest id
+    hashes. The hash range looked at follows the number of documents (and widens if it
+    holds too few), so what the tasks send to the driver does not grow with their number."""
+    rows = (docs.select(F.xxhash64(docs[id_col]).alias("h"), docs[text_col].alias("text"))
+            .filter((F.length("text") <= TRAIN_CHARS) & F.col("text").rlike(r"@|\+[0-9]|[0-9]{4}|[0-9]\.[0-9]+\.[0-9]")))
+    share = 64 * TRAIN_TEXTS / max(1, docs.count())
+    while True:
+        part = rows if share >= 1 else rows.filter(F.col("h") < F.lit(int((share - 0.5) * 2 ** 64)))
+        found = part.orderBy("h", "text").limit(TRAIN_TEXTS).collect()
+        if len(found) == TRAIN_TEXTS or share >= 1:
+            return [r.text for r in found]
+        share *= 8
 
 
 def scan_pii(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -41,6 +41,7 @@ DIM = 6
 MAX_POSITIVE, MAX_NEGATIVE, MAX_TRAIN_CHARS = 1000, 2000, 20_000
 MAX_WORDS, MAX_GRAMS = 4096, 8192
 MIN_Z = 5.0
+PART = 200
 ROUNDS, EPOCHS, BATCH, RATE = 3, 5, 128, 0.01
 THRESHOLD = 0.7
 
@@ -96,6 +97,12 @@ def significant(keys: np.ndarray, texts: np.ndarray, toxic: np.ndarray, most: in
     inverse, text = pairs // len(toxic), pairs % len(toxic)
     total = np.bincount(inverse, minlength=len(found))
     pos = np.bincount(inverse, weights=toxic[text], minlength=len(found))
+    return chosen_keys(found, total, pos, toxic, most)
+
+
+def chosen_keys(found: np.ndarray, total: np.ndarray, pos: np.ndarray, toxic: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted keys, log odds) of those whose share of toxic texts lies MIN_Z deviations
+    off; ``total`` and ``pos``: how many texts, and toxic texts, hold each key."""
     n_pos, n_neg = toxic.sum(), len(toxic) - toxic.sum()
     share = n_pos / len(toxic)
     z = (pos - total * share) / np.sqrt(total * share * (1 - share) + 1e-9)
@@ -244,13 +251,18 @@ def train(texts: list[bytes], toxic: np.ndarray):
     owner, number = x.word_text
     words, word_odds = significant(x.hashes[number], owner, toxic, MAX_WORDS)
     sizes = np.diff(np.append(x.group_first, len(x.groups)))
-    # (group, text) pairs by way of the distinct (word, text) pairs
-    pairs = np.unique(number.astype(np.int64) * len(texts) + owner)
-    pair_word, pair_text = pairs // len(texts), pairs % len(texts)
-    repeat = sizes[pair_word]
-    at = np.repeat(x.group_first[pair_word] - (np.cumsum(repeat) - repeat), repeat) + np.arange(repeat.sum())
-    groups, group_odds = significant(x.groups[at], np.repeat(pair_text, repeat), toxic, MAX_GRAMS)
-    del pairs, at, repeat
+    groups, group_of = np.unique(x.groups, return_inverse=True)
+    total, pos = np.zeros(len(groups), np.int64), np.zeros(len(groups))
+    bounds = np.searchsorted(owner, np.arange(0, len(texts) + PART, PART))
+    for a, b in zip(bounds, bounds[1:]):  # some texts at a time: their distinct words, then groups
+        pairs = np.unique(owner[a:b] * len(x.hashes) + number[a:b])
+        pair_text, pair_word = pairs // max(1, len(x.hashes)), pairs % max(1, len(x.hashes))
+        repeat = sizes[pair_word]
+        at = np.repeat(x.group_first[pair_word] - (np.cumsum(repeat) - repeat), repeat) + np.arange(repeat.sum())
+        pairs = np.unique(np.repeat(pair_text, repeat) * len(groups) + group_of[at])
+        total += np.bincount(pairs % len(groups), minlength=len(groups))
+        pos += np.bincount(pairs % len(groups), weights=toxic[pairs // len(groups)], minlength=len(groups))
+    groups, group_odds = chosen_keys(groups, total, pos, toxic, MAX_GRAMS)
     net = Network(words, word_odds, groups, group_odds)
     rng = np.random.default_rng(3)
     first = np.flatnonzero(np.diff(x.owner, prepend=-1))
