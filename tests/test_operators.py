@@ -40,17 +40,21 @@ def settings_of(spark):
         spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
+@pytest.fixture(scope="module")
+def many_numbers(spark):
+    from tessera.session import materialize
+    df = materialize(spark.range(0, 1_800_000, 1, 16).select(
+        F.when(F.col("id") % 6 == 0, F.lit(0.25)).otherwise(F.rand(5) * F.pow(F.lit(10.0), F.rand(6) * 8)).alias("v"), "id"), "numbers")
+    return df, df.agg(F.percentile("v", F.array(*[F.lit(p) for p in (0.01, 0.5, 0.99)])).alias("q")).first()["q"]
+
+
 @pytest.mark.parametrize("aqe, reuse", [("true", "true"), ("false", "true"), ("false", "false")])
-def test_quantiles_and_ranks_far_beyond_the_sampling_size(spark, settings_of, aqe, reuse):
+def test_quantiles_and_ranks_far_beyond_the_sampling_size(spark, settings_of, many_numbers, aqe, reuse):
     """1.5 million distinct doubles and a hot value: equal to percentile to the bit, and
     every rank right, whatever the planner reuses."""
     from tessera.operators.ranking import global_rank
     settings_of(adaptive__enabled=aqe, exchange__reuse=reuse)
-    df = spark.range(0, 1_800_000, 1, 16).select(
-        F.when(F.col("id") % 6 == 0, F.lit(0.25)).otherwise(F.rand(5) * F.pow(F.lit(10.0), F.rand(6) * 8)).alias("v"), "id")
-    from tessera.session import materialize
-    df = materialize(df, "numbers")
-    want = df.agg(F.percentile("v", F.array(*[F.lit(p) for p in (0.01, 0.5, 0.99)])).alias("q")).first()["q"]
+    df, want = many_numbers
     got = quantile_values(df, {"a": ("v", 0.01), "b": ("v", 0.5), "c": ("v", 0.99)})
     assert list(got.values()) == want
     some = df.where(F.col("id") % 4 == 0)
