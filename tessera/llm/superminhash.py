@@ -13,14 +13,15 @@ with equal shingle sets are one *class* and only its smallest id goes on. Then:
 1. star round: the member with the smallest id leads its bucket (so a group of copies
    has few leaders), all others are compared with it on full shingle sets, links are
    united;
-2. residual rounds: in buckets that still hold several components, pairs from
-   different components whose signatures agree well enough are ranked per (member,
-   other component), the best ``k`` are compared on full sets; ``k`` grows until no
-   candidate is left out. Pairs already united need no comparison, so a large group of
-   copies costs a star and not all its pairs.
+2. residual round: buckets that still hold several components name the (member, other
+   component) pairs in which some signatures agree well enough, the smaller component's
+   members against the larger one. Each named member meets its component once, block
+   by block, whatever the number of buckets they share: members are compared on full
+   sets in falling order of agreement until one is similar or all are tested. A large
+   group of copies so costs a star, and only what the star left out is searched.
 
-A large bucket is cut into blocks whose pairs are separate tasks. No bucket, class or
-component is collected anywhere.
+Buckets, components and their visitors are cut into blocks; a pair of blocks is a task.
+No bucket, class or component is collected anywhere, and no list of pairs is made.
 
 Contract: texts are lower-cased (A-Z), words ``[^\\x20\\x09-\\x0D]+``, sets of five-word
 shingles; two documents are linked when 100 * |intersection| >= 75 * |union|.
@@ -50,11 +51,11 @@ SHINGLE = 5
 SLOTS, ROWS = 128, 4
 BANDS = SLOTS // ROWS
 PERCENT = 75
-#: A pair whose signatures agree in fewer slots is not compared in residual rounds: with
+#: A pair whose signatures agree in fewer slots is not compared in the residual round: with
 #: 128 slots and similarity 0.75 the chance to fall below 0.58 is under 1e-5.
 LEAST_AGREEMENT = 0.58
-BLOCK = 1024
-FIRST_K = 8
+#: Rows of a bucket, and members or visitors of a component, in one block.
+BLOCK, SET_BLOCK = 1024, 256
 
 
 # ---------------------------------------------------------------- sets and signatures
@@ -150,137 +151,185 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, grams) of the documents listed in ``ids`` (column id): sorted 64-bit hashes
-    as bytes."""
+    """(id, sig, grams) of the documents listed in ``ids`` (column id): signature and
+    sorted 64-bit hashes as bytes."""
 
     def run(cols, texts):
         grams, sizes = shingle_sets(texts)
         ends = np.cumsum(sizes)
-        return {"id": cols["id"], "grams": [grams[e - s:e].tobytes() for s, e in zip(sizes, ends)]}
+        return {"id": cols["id"], "sig": [r.tobytes() for r in _short(signatures(grams, sizes))],
+                "grams": [grams[e - s:e].tobytes() for s, e in zip(sizes, ends)]}
 
     source = (docs.select(docs[id_col].cast("bigint").alias("id"), docs[text_col].alias("text")).join(ids, "id", "left_semi")
               .groupBy("id").agg(F.min("text").alias("text")))
-    return map_arrow(source, run, "id bigint, grams binary", ["id", "text"], "text")
+    return map_arrow(source, run, "id bigint, sig binary, grams binary", ["id", "text"], "text")
 
 
 # ---------------------------------------------------------------- links
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether two sorted sets meet the similarity, exactly."""
-    if PERCENT * max(len(a), len(b)) > 100 * min(len(a), len(b)):
+    if len(a) > len(b):
+        a, b = b, a
+    if not len(a) or PERCENT * len(b) > 100 * len(a):
         return False
-    both = len(a) + len(b) - len(np.union1d(a, b))
+    both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
     return 100 * both >= PERCENT * (len(a) + len(b) - both)
 
 
+def set_views(column: pa.Array) -> list[np.ndarray]:
+    """The sets of a binary column without copying them."""
+    if not len(column):
+        return []
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    return [data[a:b].view(np.uint64) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that are similar on full sets."""
 
     def run(batches):
         for batch in batches:
-            ga, gb = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            yield batch.select([0, 1]).filter(pa.array([similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))
-                                                        for x, y in zip(ga, gb)], type=pa.bool_()))
+            same = [similar(x, y) for x, y in zip(set_views(batch.column(2)), set_views(batch.column(3)))]
+            yield batch.select([0, 1]).filter(pa.array(same, type=pa.bool_()))
 
     joined = (pairs.join(sets.select(F.col("id").alias("a"), F.col("grams").alias("ga")), "a")
               .join(sets.select(F.col("id").alias("b"), F.col("grams").alias("gb")), "b"))
     return joined.select("a", "b", "ga", "gb").mapInArrow(run, "a bigint, b bigint")
 
 
-def _pairs_of_bucket(ids, comps, sizes, sigs, left, right, k: int):
-    """Candidate pairs between two index arrays of one bucket: different components,
-    possible sizes, signatures that agree; the best ``k`` of each (left member, right
-    component). Returns (a, b, whether some were left out)."""
-    found_a, found_b, cut = [], [], False
-    least = int(np.ceil(LEAST_AGREEMENT * SLOTS))
-    for i in left:
-        other = right[comps[right] != comps[i]]
-        other = other[(100 * np.minimum(sizes[other], sizes[i]) >= PERCENT * np.maximum(sizes[other], sizes[i]))]
-        if not len(other):
+def by_group(batches, keys: list[str], work):
+    """Apply ``work`` (a table of whole groups, their first rows) to batches sorted by
+    ``keys``; a group may go over batch ends."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
             continue
-        agree = (sigs[other] == sigs[i]).sum(1)
-        good = agree >= least
-        other, agree = other[good], agree[good]
-        if len(other) > k:
-            order = np.lexsort((ids[other], -agree, comps[other]))
-            c = comps[other][order]
-            first = np.append(True, c[1:] != c[:-1])
-            start = np.maximum.accumulate(np.where(first, np.arange(len(c)), 0))
-            rank = np.arange(len(c)) - start
-            cut = cut or bool((rank >= k).any())
-            other = other[order[rank < k]]
-        found_a.append(np.full(len(other), ids[i]))
-        found_b.append(ids[other])
-    return found_a, found_b, cut
-
-
-def residual_pairs(members: DataFrame, k: int) -> DataFrame:
-    """(a, b, more) of buckets; ``members``: key, x, y (block pair), blk, id, comp,
-    n_shingles, sig, hashed and sorted by (key, x, y). Groups are found in the sorted
-    rows and may go over batch ends. ``more`` marks a group that had left some out."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("more", pa.bool_())])
-
-    def pairs(t: pa.Table):
-        key = np.stack([t[c].to_numpy() for c in ("key", "x", "y")], 1)
-        ids, comps, sizes, blk = (t[c].to_numpy() for c in ("id", "comp", "n_shingles", "blk"))
-        sigs = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(len(ids), SLOTS)
-        starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(1)))
+        t = pa.Table.from_batches([batch])
+        t = t if held is None else pa.concat_tables([held, t])
+        cols = np.stack([t[c].to_numpy() for c in keys], 1)
+        last = int(np.argmax((cols == cols[-1]).all(1)))
+        if last:
+            yield from work(t.slice(0, last), _starts(cols[:last]))
+        held = t.slice(last).combine_chunks()
+    if held is not None:
+        yield from work(held, np.zeros(1, np.int64))
+
+
+def _starts(cols: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.append(True, (cols[1:] != cols[:-1]).any(1)))
+
+
+def _signatures_of(t: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(t.num_rows, SLOTS)
+
+
+def _possible(a, b):
+    """Whether two set sizes allow the similarity."""
+    return 100 * np.minimum(a, b) >= PERCENT * np.maximum(a, b)
+
+
+LEAST_SLOTS = int(np.ceil(LEAST_AGREEMENT * SLOTS))
+_PAIR = pa.schema([("u", pa.int64()), ("c", pa.int64())])
+
+
+def visitors(members: DataFrame) -> DataFrame:
+    """(u, c): a member and the larger component it may be linked with, from buckets.
+
+    ``members``: key, x, y (pair of blocks), blk, id, comp, members (size of the
+    component), n_shingles, sig."""
+    keys = ["key", "x", "y"]
+
+    def named(t: pa.Table, starts: np.ndarray):
+        ids, comps, large, sizes, blk, x, y = (t[c].to_numpy() for c in ("id", "comp", "members", "n_shingles", "blk", "x", "y"))
+        sigs = _signatures_of(t)
         ends = np.append(starts[1:], len(ids))
-        a, b, more = [], [], False
+        us, cs = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+
+        def smaller(i, j):
+            return (large[i] < large[j]) | ((large[i] == large[j]) & (comps[i] < comps[j]))
+
         two = np.flatnonzero(ends - starts == 2)      # most buckets: all at once
         if len(two):
             i, j = starts[two], starts[two] + 1
-            ok = (comps[i] != comps[j]) & (100 * np.minimum(sizes[i], sizes[j]) >= PERCENT * np.maximum(sizes[i], sizes[j]))
+            ok = (comps[i] != comps[j]) & _possible(sizes[i], sizes[j])
             i, j = i[ok], j[ok]
-            ok = (sigs[i] == sigs[j]).sum(1) >= LEAST_AGREEMENT * SLOTS
-            a.append(ids[i[ok]])
-            b.append(ids[j[ok]])
+            ok = (sigs[i] == sigs[j]).sum(1) >= LEAST_SLOTS
+            i, j = i[ok], j[ok]
+            i, j = np.where(smaller(i, j), i, j), np.where(smaller(i, j), j, i)
+            us.append(ids[i])
+            cs.append(comps[j])
         for s, e in zip(starts, ends):
             if e - s > 2:
-                x, y = key[s, 1], key[s, 2]
                 rows = np.arange(s, e)
-                left = rows[blk[s:e] == x]
-                right = rows[blk[s:e] == y]
-                fa, fb, cut = _pairs_of_bucket(ids, comps, sizes, sigs, left, right, k)
-                a += fa
-                b += fb
-                more = more or cut
-        a = np.concatenate([np.empty(0, np.int64), *a])
-        b = np.concatenate([np.empty(0, np.int64), *b])
-        lo, hi = np.minimum(a, b), np.maximum(a, b)
-        distinct = np.unique(np.stack([lo, hi]), axis=1)
-        if distinct.shape[1] or more:
-            n = distinct.shape[1]
-            yield pa.RecordBatch.from_arrays([pa.array(distinct[0]), pa.array(distinct[1]), pa.array(np.full(n, more))], schema=schema)
-            if more and not n:
-                yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([True])], schema=schema)
-
-    def run(batches):
-        held = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            t = pa.Table.from_batches([batch])
-            t = t if held is None else pa.concat_tables([held, t])
-            last = [t[c][-1].as_py() for c in ("key", "x", "y")]
-            n = t.num_rows
-            at = n - 1
-            cols = [t[c].to_numpy() for c in ("key", "x", "y")]
-            same = (cols[0] == last[0]) & (cols[1] == last[1]) & (cols[2] == last[2])
-            at = int(np.argmax(same))
-            if at:
-                yield from pairs(t.slice(0, at))
-            held = t.slice(at).combine_chunks()
-        if held is not None:
-            yield from pairs(held)
-
-    return members.select("key", "x", "y", "blk", "id", "comp", "n_shingles", "sig").mapInArrow(run, "a bigint, b bigint, more boolean")
-
-
-def _united(links: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(id, comp) of every node."""
-    comps = connected_components(links)
-    return materialize(nodes.join(comps, "id", "left").select("id", F.coalesce("component", "id").alias("comp")), "components")
+                left, right = rows[blk[s:e] == x[s]], rows[blk[s:e] == y[s]]
+                for i in left:
+                    j = right[(comps[right] != comps[i]) & _possible(sizes[right], sizes[i])]
+                    j = j[(sigs[j] == sigs[i]).sum(1) >= LEAST_SLOTS]
+                    if len(j):
+                        goes = smaller(i, j)
+                        to = np.unique(comps[j[goes]])
+                        us += [np.full(len(to), ids[i]), ids[j[~goes]]]
+                        cs += [to, np.full(int((~goes).sum()), comps[i])]
+        pairs = np.unique(np.stack([np.concatenate(us), np.concatenate(cs)]), axis=1)
+        if pairs.shape[1]:
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], schema=_PAIR)
+
+    dealt = members.repartition(*keys).sortWithinPartitions(*keys, "id")
+    return dealt.select(*keys, "blk", "id", "comp", "members", "n_shingles", "sig").mapInArrow(
+        lambda batches: by_group(batches, keys, named), "u bigint, c bigint").distinct()
+
+
+def visits(cand: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b): each visitor u of component c with one similar member of it, if there
+    is any. Members and visitors of a component meet in pairs of blocks."""
+    keys = ["c", "ub", "vb"]
+    blocks = lambda n: F.ceil(n / SET_BLOCK).cast("bigint")
+    sizes = (cand.groupBy("c").agg(blocks(F.count("*")).alias("ubs"))
+             .join(comps.groupBy(F.col("comp").alias("c")).agg(blocks(F.count("*")).alias("vbs")), "c"))
+    zero = F.lit(0).cast("bigint")
+    guests = (cand.join(sizes, "c").select("c", F.pmod(F.xxhash64("u"), "ubs").alias("ub"),
+                                           F.explode(F.sequence(zero, F.col("vbs") - 1)).alias("vb"), F.lit(False).alias("home"), F.col("u").alias("id")))
+    homes = (comps.withColumnRenamed("comp", "c").join(sizes, "c")
+             .select("c", F.explode(F.sequence(zero, F.col("ubs") - 1)).alias("ub"), F.pmod(F.xxhash64("id"), "vbs").alias("vb"), F.lit(True).alias("home"), "id"))
+
+    def meet(t: pa.Table, starts: np.ndarray):
+        ids, home = t["id"].to_numpy(), t["home"].to_numpy(zero_copy_only=False)
+        sigs = _signatures_of(t)
+        grams = set_views(t.combine_chunks()["grams"].chunk(0))
+        sizes_ = np.fromiter(map(len, grams), np.int64, len(grams))
+        a, b = [], []
+        for s, e in zip(starts, np.append(starts[1:], len(ids))):
+            rows = np.arange(s, e)
+            hosts = rows[home[s:e]]
+            for u in rows[~home[s:e]]:
+                near = hosts[_possible(sizes_[hosts], sizes_[u])]
+                agree = (sigs[near] == sigs[u]).sum(1)
+                for v in near[np.argsort(-agree, kind="stable")][: int((agree >= LEAST_SLOTS).sum())]:
+                    if similar(grams[u], grams[v]):
+                        a.append(ids[u])
+                        b.append(ids[v])
+                        break
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    dealt = guests.unionByName(homes).join(sets, "id").repartition(*keys).sortWithinPartitions(*keys, "home", "id")
+    return dealt.select(*keys, "home", "id", "sig", "grams").mapInArrow(lambda batches: by_group(batches, keys, meet), "a bigint, b bigint")
+
+
+def residual_links(members: DataFrame, classes: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between different components of the star round."""
+    named = members.select("key", "id").join(comps, "id")
+    mixed = (named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
+             .filter("lo <> hi").select("key", F.ceil(F.col("m") / BLOCK).cast("bigint").alias("blocks")))
+    large = comps.groupBy("comp").agg(F.count("*").alias("members"))
+    facts = comps.join(large, "comp").join(classes.select("id", "n_shingles", "sig"), "id")
+    rows = members.select("key", "id").join(mixed, "key").join(facts, "id").withColumn("blk", F.pmod(F.xxhash64("id"), "blocks"))
+    rows = rows.withColumn("o", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    rows = rows.withColumn("x", F.least("blk", "o")).withColumn("y", F.greatest("blk", "o"))
+    cand = materialize(visitors(rows), "visitors")
+    return materialize(visits(cand, comps, sets), "links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -299,29 +348,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = materialize(members.select("id").distinct(), "nodes")
     sets = materialize(full_sets(docs, nodes, id_col, text_col), "sets")
     links = materialize(verified(stars, sets), "links")
-    comps = _united(links, nodes)
-
-    k = FIRST_K
-    while True:
-        named = members.join(comps, "id")
-        mixed = (named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
-                 .filter("lo <> hi").select("key", F.ceil(F.col("m") / BLOCK).cast("bigint").alias("blocks")))
-        open_ = named.join(mixed, "key").join(classes.select("id", "n_shingles", "sig"), "id")
-        blk = F.pmod(F.xxhash64("id"), F.col("blocks"))
-        open_ = open_.withColumn("blk", blk).withColumn("o", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-        open_ = open_.withColumn("x", F.least("blk", "o")).withColumn("y", F.greatest("blk", "o"))
-        found = residual_pairs(open_.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "id"), k)
-        found = materialize(found, "residual")
-        more = not found.filter("more").isEmpty()
-        fresh = found.filter("a is not null").select("a", "b").distinct()
-        if not fresh.isEmpty():
-            new = materialize(verified(fresh, sets), "links")
-            if not new.isEmpty():
-                links = links.unionByName(new)
-                comps = _united(links, nodes)
-        if not more:
-            break
-        k *= 8
+    comps = materialize(nodes.join(connected_components(links), "id", "left")
+                        .select("id", F.coalesce("component", "id").alias("comp")), "components")
+
+    more = residual_links(members, classes, comps, sets)
+    if not more.isEmpty():  # unite components; the smallest id of a component is its name
+        ends = lambda c: comps.select(F.col("id").alias(c), F.col("comp").alias("c" + c))
+        over = connected_components(more.join(ends("a"), "a").join(ends("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        comps = comps.join(over.withColumnRenamed("id", "comp"), "comp", "left").select("id", F.coalesce("component", "comp").alias("comp"))
     rep = sketched.join(classes.select("set_key", F.col("id").alias("rep")), "set_key", "left")
     out = rep.join(comps.withColumnRenamed("id", "rep"), "rep", "left")
     component = F.coalesce("comp", "rep", "doc_id")

@@ -57,9 +57,9 @@ def test_components_equal_brute_force(spark):
 
 def test_large_group_without_common_leader(spark, monkeypatch):
     """Copies that differ from one text in distinct places are often not similar to each
-    other; small blocks and k force several residual rounds."""
+    other; small blocks make many block pairs."""
     monkeypatch.setattr(M, "BLOCK", 16)
-    monkeypatch.setattr(M, "FIRST_K", 1)
+    monkeypatch.setattr(M, "SET_BLOCK", 5)
     rng = random.Random(8)
     base = [f"w{i}" for i in range(120)]
     texts = []
@@ -72,6 +72,30 @@ def test_large_group_without_common_leader(spark, monkeypatch):
     assert result(docs(spark, texts)) == dict(enumerate(brute(texts)))
 
 
+def test_link_that_only_the_residual_round_finds(spark):
+    """Leaders are neither of two similar texts in any of their buckets: the links come
+    from members meeting another component."""
+    rng = random.Random(1)
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    for step in range(40):  # a chain of texts, each similar to its neighbours only
+        copy = list(base)
+        for i in range(step * 8, step * 8 + 60):
+            copy[i % 200] = f"y{i}"
+        texts.append(" ".join(copy))
+    rng.shuffle(texts)
+    assert result(docs(spark, texts)) == dict(enumerate(brute(texts)))
+
+
+def test_similar_is_exact():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        n, m = rng.integers(1, 60, 2)
+        a, b = (np.unique(rng.integers(0, 50, k).astype(np.uint64)) for k in (n, m))
+        both = len(np.intersect1d(a, b))
+        assert M.similar(a, b) == (100 * both >= 75 * (len(a) + len(b) - both))
+
+
 def test_empty_and_null(spark):
     assert M.near_duplicates(docs(spark, [])).count() == 0
     df = spark.createDataFrame([(None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (5, None), (4, "A b C d e f")], "doc_id bigint, text string")
