@@ -35,9 +35,9 @@ from pyspark.sql import DataFrame
 
 from tessera.llm.common import Memo, map_arrow
 
-MAX_STATES = 200_000
-MAX_PAIRS = 500_000
-MEMO_WORDS = 500_000
+MAX_STATES = 250_000
+MAX_PAIRS = 200_000
+MEMO_WORDS = 400_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -209,17 +209,26 @@ def _encoder(path: str, pattern: str):
     return _loaded["encode", path]
 
 
+def encode_texts(texts: list[bytes], rank_file: str, pattern: str) -> list[str]:
+    """Decimal ids joined by one space of each text."""
+    cut, memo = _encoder(rank_file, pattern)
+    found = [cut.findall(t.decode("utf-8", "replace")) for t in texts]
+    known = memo.ready(set().union(*found))
+    return ["".join(map(known.__getitem__, f))[:-1] for f in found]
+
+
+def _count(ids: str) -> int:
+    return ids.count(" ") + 1 if ids else 0
+
+
 def encode_documents(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids (decimal ids joined by one space) of every whole text.
 
     ``rank_file`` is the vocabulary's place, the same on every executor."""
 
     def encode(cols, texts):
-        cut, memo = _encoder(rank_file, pattern)
-        found = [cut.findall(t.decode("utf-8", "replace")) for t in texts]
-        known = memo.ready(set().union(*found))
-        ids = ["".join(map(known.__getitem__, f))[:-1] for f in found]
-        return {"doc_id": cols["doc_id"], "n_tokens": [i.count(" ") + 1 if i else 0 for i in ids], "ids": ids}
+        ids = encode_texts(texts, rank_file, pattern)
+        return {"doc_id": cols["doc_id"], "n_tokens": [_count(i) for i in ids], "ids": ids}
 
     source = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     kind = dict(source.dtypes)["doc_id"]
@@ -261,3 +270,18 @@ def decode_documents(tokens: DataFrame, rank_file: str) -> DataFrame:
     return map_arrow(tokens, decode, f"doc_id {kind}, n_tokens bigint, ids string, decoded binary, n_chars bigint",
                      ["doc_id", "n_tokens", "ids"], "ids")
 
+
+def round_trip_documents(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``decode_documents`` of ``encode_documents`` in one pass: the ids stay in the task
+    and one worker process holds both tables."""
+
+    def both(cols, texts):
+        ids, table = encode_texts(texts, rank_file, pattern), _tokens(rank_file)
+        done = [decode_ids(i, table) for i in ids]
+        return {"doc_id": cols["doc_id"], "n_tokens": [_count(i) for i in ids], "ids": ids,
+                "decoded": [d[0] for d in done], "n_chars": [d[1] for d in done]}
+
+    source = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    kind = dict(source.dtypes)["doc_id"]
+    return map_arrow(source, both, f"doc_id {kind}, n_tokens bigint, ids string, decoded binary, n_chars bigint",
+                     ["doc_id", "text"], "text")

@@ -51,10 +51,9 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document with the byte-level vocabulary."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    tokens = bpe.encode_documents(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
-    return bpe.decode_documents(tokens, ranks).select(
-        "doc_id", "n_tokens", F.sha2(F.col("ids").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    rows = bpe.round_trip_documents(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+    return rows.select("doc_id", "n_tokens", F.sha2(F.col("ids").cast("binary"), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,6 +39,7 @@ def test_round_trip(spark):
     texts = [*TEXTS, "<|endoftext|>", "it's  we'll don't x", "é" * 5000]
     tokens = bpe.encode_documents(docs(spark, texts), PATH, P.PATTERN)
     rows = {r.doc_id: r for r in bpe.decode_documents(tokens, PATH).collect()}
+    assert rows == {r.doc_id: r for r in bpe.round_trip_documents(docs(spark, texts), PATH, P.PATTERN).collect()}
     for i, t in enumerate(texts):
         ids = LIBRARY.encode_ordinary(t or "")
         assert rows[i].ids == " ".join(map(str, ids)) and rows[i].n_tokens == len(ids)
