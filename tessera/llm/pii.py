@@ -6,8 +6,8 @@ chunks (texts between white space) that hold a digit or an ``@``. A segmentation
 region cuts it into entities of at most ``MAX_CHUNKS`` chunks and single chunks
 outside; its score is the sum over segments of weights of whole-span features (digit
 groups, separators, brackets, checksum, letters, preceding word) plus transitions.
-Bounded-entity dynamic programming finds the best segmentation, boundaries and kinds
-jointly; its entities that touch no base span are added.
+Bounded-entity dynamic programming over the whole region, however long, finds the best
+segmentation, boundaries and kinds jointly; its entities that touch no base span are added.
 
 Training, in numpy-free Python on the driver, maximises the conditional likelihood
 (segmental forward-backward, AdaGrad) over regions of at most ``TRAIN_TEXTS`` short
@@ -217,30 +217,38 @@ class Field:
                 for k in ((OUTSIDE, *KINDS) if b == a + 1 else KINDS)}
 
     def best(self, region: Region) -> list[tuple[int, int, str]]:
-        """Entities of the best segmentation (ties: fewer chunks, then kind order)."""
+        """Entities of the best segmentation (ties: fewer chunks, then kind order). Scores
+        are needed for the last MAX_CHUNKS columns only; of the others the way back stays,
+        one byte (segment length and kind before) per column and kind."""
         if not self.w:
             return []
-        n = len(region.chunks)
-        scores = self._scores(self.segments(region))
-        top: list[dict] = [{} for _ in range(n + 1)]
-        top[0][OUTSIDE] = (0.0, None)
+        n, labels = len(region.chunks), (OUTSIDE, *KINDS)
+        turn = [[self.w.get((k0, k), 0.0) for k0 in labels] for k in labels]
+        top: list[dict[int, float]] = [{0: 0.0}]  # column b at b % (MAX_CHUNKS + 1)
+        top += [{} for _ in range(MAX_CHUNKS)]
+        back = bytearray(len(labels) * (n + 1))
         for b in range(1, n + 1):
+            here: dict[int, float] = {}
             for a in range(b - 1, max(-1, b - MAX_CHUNKS - 1), -1):
-                for k in (OUTSIDE, *KINDS):
-                    s = scores.get((a, b, k))
+                scores = self._scores({(a, b): features(region, a, b)})
+                for k, label in enumerate(labels):
+                    s = scores.get((a, b, label))
                     if s is None:
                         continue
-                    for k0, (v, _) in top[a].items():
-                        value = v + s + self.w.get((k0, k), 0.0)
-                        if k not in top[b] or value > top[b][k][0]:
-                            top[b][k] = (value, (a, k0))
+                    for k0, v in top[a % len(top)].items():
+                        value = v + s + turn[k][k0]
+                        if k not in here or value > here[k]:
+                            here[k] = value
+                            back[len(labels) * b + k] = len(labels) * (b - a) + k0
+            top[b % len(top)] = here
         out, b = [], n
-        k = max(top[n], key=lambda x: top[n][x][0])
+        last = top[n % len(top)]
+        k = max(last, key=last.get)
         while b:
-            a, k0 = top[b][k][1]
-            if k != OUTSIDE:
-                out.append((a, b, k))
-            b, k = a, k0
+            length, k0 = divmod(back[len(labels) * b + k], len(labels))
+            if k:
+                out.append((b - length, b, labels[k]))
+            b, k = b - length, k0
         return out[::-1]
 
     def gradient(self, region: Region, gold: list[tuple[int, int, str]]) -> dict[tuple, float]:
@@ -377,19 +385,14 @@ def find_spans(text: str, field: Field) -> tuple[list[tuple[int, int, int]], lis
             taken.append([start, end])
     more = []
     for region in regions(text, taken):
-        for a in range(0, len(region.chunks), WINDOW):  # a very long run is read window by window
-            part = Region(text, region.chunks[a:a + WINDOW], region.before if a == 0 else "")
-            for i, j, kind in field.best(part):
-                start, end = part.span(i, j)
-                after = bisect(taken, start, key=lambda t: t[1])
-                if after == len(taken) or taken[after][0] >= end:
-                    more.append((start, KINDS.index(kind), end))
+        for i, j, kind in field.best(region):
+            start, end = region.span(i, j)
+            after = bisect(taken, start, key=lambda t: t[1])
+            if after == len(taken) or taken[after][0] >= end:
+                more.append((start, KINDS.index(kind), end))
     return base, sorted([*base, *more])
 
 
-WINDOW = 200
-
-
 def written(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 

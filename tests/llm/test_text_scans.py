@@ -110,6 +110,32 @@ def test_best_segmentation_equals_enumeration():
             assert field.best(region) == max(every(0, pii.OUTSIDE), key=lambda x: x[0])[1]
 
 
+def test_long_region_equals_one_undivided_decode():
+    field = pii.train(TRAIN)
+    rng = random.Random(11)
+    text = " ".join(f"({rng.randrange(200, 999)}) 555-{rng.randrange(10_000):04d}" if rng.random() < 0.8 else f"{rng.randrange(99)}." for _ in range(600))
+    region = max(pii.regions(text), key=lambda r: len(r.chunks))
+    n, scores = len(region.chunks), field._scores(field.segments(region))
+    assert n > 1000
+    top = [{pii.OUTSIDE: (0.0, None)}]
+    for b in range(1, n + 1):
+        top.append({})
+        for a in range(b - 1, max(-1, b - pii.MAX_CHUNKS - 1), -1):
+            for k in (pii.OUTSIDE, *pii.KINDS):
+                for k0, (v, _) in top[a].items() if (a, b, k) in scores else ():
+                    value = v + scores[a, b, k] + field.w.get((k0, k), 0.0)
+                    if k not in top[b] or value > top[b][k][0]:
+                        top[b][k] = (value, (a, k0))
+    want, b, k = [], n, max(top[n], key=lambda x: top[n][x][0])
+    while b:
+        a, k0 = top[b][k][1]
+        if k != pii.OUTSIDE:
+            want.append((*region.span(a, b), pii.KINDS.index(k)))
+        b, k = a, k0
+    assert pii.find_spans(text, field) == ([], sorted((start, k, end) for start, end, k in want))
+    assert any(a < edge < b for edge in range(200, n, 200) for a, b, _ in field.best(region))  # some lie across chunk 200, 400, ...
+
+
 def test_gradient_equals_differences():
     field = pii.Field()
     region, gold = next((r, g) for r, g in pii.training_regions(TRAIN[:2]) if g)
