@@ -9,11 +9,12 @@ becomes many tasks of bounded size and no task holds a label.
 A graph's nodes are ordered by falling level, so that each layer is a prefix; layers
 are built from the top in batches (searching the part that stands, comparing a batch
 with itself directly, keeping diverse neighbours). Queries run in batches too: all
-beams of a batch take a step together. After a search, an audit compares
-``AUDIT`` queries with all vectors of the shard; while less than ``RECALL`` of their
-true links was found, the beam is doubled and the search repeated. A query whose whole
-beam lies above the threshold has more links than the beam holds and is counted
-directly, block by block.
+beams of a batch take a step together. An audit compares blocks of ``AUDIT`` queries
+with all vectors of the shard until they have ``AUDIT_LINKS`` true links; if all queries
+are used before, these comparisons are the result. While less than ``RECALL`` of the
+audit's links was found, the beam is doubled and the search repeated; if a beam as large
+as the shard fails, too, the links are counted directly, block by block, as are those of
+a query whose whole beam lies above the threshold (more links than the beam holds).
 
 Every link found is verified by cosine in double precision. A task emits one row per
 vector with its number of links (copies counted) and the smallest id it is united with
@@ -39,7 +40,7 @@ THRESHOLD = 0.98
 SHARD = 8192
 NEIGHBOURS, GROUND, BUILD_BEAM, BEAM = 12, 24, 48, 48
 BATCH = 512
-AUDIT, RECALL = 256, 0.995
+AUDIT, AUDIT_LINKS, RECALL = 256, 400, 0.995
 EXPAND = 4
 #: float32 search keeps what is this close to the threshold; double precision decides.
 SLACK = 1e-4
@@ -211,11 +212,23 @@ def links_of(q: np.ndarray, x: np.ndarray, same: bool, threshold: float = THRESH
     out = np.zeros((n, m), bool)
     if not n or not m:
         return out
+
+    def count(rows: np.ndarray) -> int:
+        """Links of these queries against every vector, written to ``out``."""
+        out[rows] = q[rows] @ x.T >= threshold
+        if same:
+            out[rows, rows] = False
+        return int(out[rows].sum())
+
+    dealt, seen, links = np.random.default_rng(1).permutation(n), 0, 0
+    while seen < n and links < AUDIT_LINKS:
+        links += count(dealt[seen:seen + AUDIT])
+        seen += AUDIT
+    if seen >= n:
+        return out
+    audit = dealt[:seen]
+    truth = out[audit]
     graph = Graph(x)
-    audit = np.unique(np.linspace(0, n - 1, min(n, AUDIT)).astype(int))
-    truth = q[audit] @ x.T >= threshold
-    if same:
-        truth[np.arange(len(audit)), audit] = False
     beam = BEAM
     while True:
         ids, sims = graph.query(q, beam)
@@ -225,14 +238,17 @@ def links_of(q: np.ndarray, x: np.ndarray, same: bool, threshold: float = THRESH
         ok = _verified(q, x, i, j, threshold)
         out[i[ok], j[ok]] = True
         full = np.flatnonzero((sims[:, -1] >= threshold - SLACK) & (ids[:, -1] >= 0))
-        for a in range(0, len(full), 256):  # more links than the beam holds
-            rows = full[a:a + 256]
-            out[rows] = q[rows] @ x.T >= threshold
+        for a in range(0, len(full), AUDIT):  # more links than the beam holds
+            count(full[a:a + AUDIT])
         if same:
             np.fill_diagonal(out, False)
             out |= out.T
-        hits = (out[audit] & truth).sum()
-        if hits >= recall * truth.sum() or beam >= m:
+        if (out[audit] & truth).sum() >= recall * truth.sum():
+            out[audit] |= truth
+            return out | out.T if same else out
+        if beam >= m:
+            for a in range(0, n, AUDIT):
+                count(np.arange(a, min(n, a + AUDIT)))
             return out
         beam *= 2
 

@@ -81,3 +81,26 @@ def test_beam_widens_until_the_audit_passes(monkeypatch):
     np.fill_diagonal(truth, False)
     assert np.array_equal(H.links_of(x, x, True), truth) or len(beams) > 1
     assert beams == sorted(beams)
+
+
+def blind(monkeypatch):
+    """Searches find nothing."""
+    monkeypatch.setattr(H.Graph, "query", lambda self, q, beam: (np.full((len(q), beam), -1), np.full((len(q), beam), -9.0)))
+
+
+def test_audit_draws_until_it_has_seen_links(monkeypatch):
+    blind(monkeypatch)
+    rng = np.random.default_rng(4)
+    q, x = H.unit(rng.normal(size=(1500, 24))), H.unit(rng.normal(size=(1200, 24)))
+    x[:5] = q[701:706]  # five links, in no block of 256 evenly spread queries
+    assert not np.isin(np.arange(701, 706), np.linspace(0, 1499, 256).astype(int)).all()
+    assert np.array_equal(H.links_of(q, x, False), q @ x.T >= 0.98)
+
+
+def test_failed_audit_is_counted_directly(monkeypatch):
+    blind(monkeypatch)
+    x = H.unit(np.concatenate([clustered(seed=6, n=1200, dim=12)] * 2) + 1e-4)
+    truth = x @ x.T >= 0.98
+    assert np.array_equal(H.links_of(x, x[:900], False), truth[:, :900])
+    np.fill_diagonal(truth, False)
+    assert np.array_equal(H.links_of(x, x, True), truth)
