@@ -2,7 +2,7 @@
 
 Base spans come from the exact definitions of the four kinds and always stay. The
 semi-Markov field then reads what they leave: a *region* is a run of neighbouring
-chunks (texts between white space) that hold a digit or an ``@``. A segmentation of a
+chunks (texts between white space, base spans and ``, ; = " |``) that hold a digit or an ``@``. A segmentation of a
 region cuts it into entities of at most ``MAX_CHUNKS`` chunks and single chunks
 outside; its score is the sum over segments of weights of whole-span features (digit
 groups, separators, brackets, checksum, letters, preceding word) plus transitions.
@@ -105,7 +105,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 # ---------------------------------------------------------------- regions
 
-_CHUNK = re.compile(r"[^\s]+")
+_CHUNK = re.compile(r"[^\s,;=\"|]+")
+_SPLIT = frozenset(",;=\"|")
 _CORE = re.compile(r"[A-Za-z0-9+(\[](?:.*[A-Za-z0-9)\]])?", re.S)
 
 
@@ -125,9 +126,9 @@ _GAP = frozenset(" \t,;:.!?()[]\"'")
 
 
 def regions(text: str, taken: list[tuple[int, int]] = ()) -> list[Region]:
-    """Runs of chunks with a digit, an ``@`` or a bracketed at; chunks that touch one of
-    the ``taken`` spans (disjoint, rising) end a run. The neighbours of a bracketed at
-    belong to it."""
+    """Runs of chunks with a digit, an ``@`` or a bracketed at; the ``taken`` spans
+    (disjoint, rising, each with a digit or an ``@``) are in no chunk and end a run. The
+    neighbours of a bracketed at belong to it."""
     out: list[Region] = []
     run: list[tuple[int, int]] = []
     before, next_span, pos = "", 0, 0
@@ -139,29 +140,32 @@ def regions(text: str, taken: list[tuple[int, int]] = ()) -> list[Region]:
             run = []
 
     while seed := _SEED.search(text, pos):
-        start, low = seed.start(), max(pos, 0)
-        while start > low and not text[start - 1].isspace():
+        while next_span < len(taken) and taken[next_span][1] <= seed.start():
+            next_span += 1
+        limit = taken[next_span][0] if next_span < len(taken) else len(text)
+        if limit <= seed.start():
+            close()
+            pos = taken[next_span][1]
+            continue
+        start, low = seed.start(), pos
+        while start > low and not text[start - 1].isspace() and text[start - 1] not in _SPLIT:
             start -= 1
-        end = max(_CHUNK.match(text, start).end(), seed.end())
+        end = max(_CHUNK.match(text, start, limit).end(), seed.end())
         if run and (start - run[-1][1] > 3 or not _GAP.issuperset(text[run[-1][1]:start])):
             close()
-        while next_span < len(taken) and taken[next_span][1] <= start:
-            next_span += 1
-        if next_span < len(taken) and taken[next_span][0] < end:
-            close()
-        elif seed[0][0] in "([" and text[start:end].strip("()[] ") == "at":  # name (at) host
-            left = re.search(r"\S+\s$", text[max(low, start - 80):start])
+        if seed[0][0] in "([" and text[start:end].strip("()[] ") == "at":  # name (at) host
+            left = re.search(_CHUNK.pattern + r"\s$", text[max(low, start - 80):start])
             if left and not run:
                 run.append(_core(text, start - len(left[0]), start - 1))
             run.append((start, seed.end()))
             end = seed.end()
-            right = re.match(r"\s(\S+)", text[end:end + 80])
+            right = re.match(rf"\s({_CHUNK.pattern})", text[end:min(limit, end + 80)])
             if right:
                 run.append(_core(text, end + right.start(1), end + right.end(1)))
                 end += right.end(1)
         else:
             if not run:
-                words = text[max(0, start - 40):start].split()
+                words = _CHUNK.findall(text[max(0, start - 40):start])
                 before = words[-1].lower().strip(":.,") if words else ""
             run.append(_core(text, start, end))
         pos = end

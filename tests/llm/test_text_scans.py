@@ -93,6 +93,21 @@ def test_field_adds_spans_and_keeps_base(spark):
     assert clean[0] is None and clean[len(TEXTS) + 4] == "ring <phone> now" and clean[6] == TEXTS[6]
 
 
+@pytest.mark.parametrize("form", ["joe@x.org,{},{}", "joe@x.org;{};{}", "a=1|b={}|c={}", '{{"m":"joe@x.org","p":"{}","c":"{}"}}', "joe@x.org|{}|{}|10.0.0.1:80", "10.0.0.1={}={}"])
+def test_chunks_end_at_base_spans_and_separators(form):
+    field = pii.train(TRAIN)
+    phone, card = "(988) 555-2485", "4111.1111.1111.1111"
+    text = form.format(phone, card)
+    base, spans = pii.find_spans(text, field)
+    assert base == brute_spans(text) and set(base) <= set(spans)
+    at = [(text.index(x), k, text.index(x) + len(x)) for x, k in ((phone, 3), (card, 2))]
+    assert set(at) <= set(spans), spans
+    assert phone not in pii.redact(text, spans) and card not in pii.redact(text, spans)
+    taken = [(s, e) for s, _, e in base]
+    chunks = [c for r in pii.regions(text, taken) for c in r.chunks]
+    assert chunks == sorted(chunks) and all(a >= e or b <= s for a, b in chunks for s, e in taken)
+
+
 def test_best_segmentation_equals_enumeration():
     field = pii.train(TRAIN)
     for text in ("1 555-0100 12 10.0.0.1", "joe@x.org 2024 (988) 555-2485", "4111 1111 1111 1111 9"):
