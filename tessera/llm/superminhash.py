@@ -51,9 +51,9 @@ SHINGLE = 5
 SLOTS, ROWS = 128, 4
 BANDS = SLOTS // ROWS
 PERCENT = 75
-#: A pair whose signatures agree in fewer slots is not compared in the residual round: with
-#: 128 slots and similarity 0.75 the chance to fall below 0.58 is under 1e-5.
-LEAST_AGREEMENT = 0.58
+#: A pair whose signatures agree in fewer of the 128 slots is not compared in the residual
+#: round: at similarity 0.75 that has the (binomial) chance 1.9e-7.
+LEAST_SLOTS = 70
 #: Rows of a bucket, and members or visitors of a component, in one block.
 BLOCK, SET_BLOCK = 1024, 256
 
@@ -230,7 +230,6 @@ def _possible(a, b):
     return 100 * np.minimum(a, b) >= PERCENT * np.maximum(a, b)
 
 
-LEAST_SLOTS = int(np.ceil(LEAST_AGREEMENT * SLOTS))
 _PAIR = pa.schema([("u", pa.int64()), ("c", pa.int64())])
 
 

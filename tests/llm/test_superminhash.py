@@ -148,3 +148,21 @@ def test_connected_components(spark, edges):
                 comp[a] = comp[b] = min(comp[a], comp[b])
                 changed = True
     assert got == comp
+
+
+def test_pair_with_few_equal_slots_is_compared(spark):
+    from math import comb
+    miss = sum(comb(M.SLOTS, i) * 0.75 ** i * 0.25 ** (M.SLOTS - i) for i in range(M.LEAST_SLOTS))
+    assert miss < (1 - 0.75 ** M.ROWS) ** M.BANDS / 10   # the sieve adds little to the loss of the bands
+    host, guest = np.zeros(M.SLOTS, np.uint8), np.arange(M.SLOTS, dtype=np.uint8) // 71 * 9  # 71 of 128 equal
+    assert (host == guest).sum() == 71
+    a = np.arange(100, dtype=np.uint64)
+    b = np.concatenate([a[:88], a[88:] + np.uint64(1000)])
+    assert M.similar(a, b)
+    sets = spark.createDataFrame([(1, host.tobytes(), a.tobytes()), (2, guest.tobytes(), b.tobytes())], "id bigint, sig binary, grams binary")
+    cand = spark.createDataFrame([(2, 1)], "u bigint, c bigint")
+    comps = spark.createDataFrame([(1, 1)], "id bigint, comp bigint")
+    assert [tuple(r) for r in M.visits(cand, comps, sets).collect()] == [(2, 1)]
+    rows = [("k", 0, 0, 0, 1, 1, 2, 100, host.tobytes()), ("k", 0, 0, 0, 2, 2, 1, 100, guest.tobytes())]
+    members = spark.createDataFrame(rows, "key string, x bigint, y bigint, blk bigint, id bigint, comp bigint, members bigint, n_shingles bigint, sig binary")
+    assert [tuple(r) for r in M.visitors(members).collect()] == [(2, 1)]
