@@ -5,7 +5,8 @@ Each time step is a word. Its input joins a word embedding and a character embed
 stems inside unseen words count. Two gated recurrent layers read a window of ``STEPS``
 words forwards and backwards, attention pools their states, and a logistic unit scores
 the window. A text's score is the largest score of its overlapping windows, which
-together cover every word.
+start every ``STRIDE`` words (half a window): a passage of up to ``STEPS - STRIDE + 1``
+words lies whole in one of them.
 
 Training, in numpy on the driver, uses at most ``MAX_POSITIVE`` + ``MAX_NEGATIVE``
 labelled documents of at most ``MAX_TRAIN_CHARS`` characters, chosen by a hash of the
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import LOWER, Words, byte_class, map_arrow, spans_of
 
-STEPS, STRIDE = 32, 24
+STEPS, STRIDE = 32, 16
 HIDDEN = 8
 DIM = 6
 MAX_POSITIVE, MAX_NEGATIVE, MAX_TRAIN_CHARS = 1000, 2000, 20_000

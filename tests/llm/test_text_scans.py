@@ -256,6 +256,25 @@ def test_windows_cover_every_word():
         assert all((w[1:] >= 0).sum() >= 0 for w in mine)
 
 
+def test_passage_is_seen_whole_at_every_offset():
+    texts, toxic = toxic_corpus(400)
+    net = toxicity.train([t.encode() for t in texts], toxic)
+    rng = random.Random(8)
+    plain = [w for t, bad in zip(texts, toxic) if not bad for w in t.split()]
+    passage = ["moron", *rng.sample(plain, 14), "Idiot"]
+    alone = net.score([" ".join(passage).encode()])[0]
+    assert alone >= toxicity.THRESHOLD
+    filler = rng.sample(plain, 90)
+    placed = [" ".join([*filler[:at], *passage, *filler[at:]]).encode() for at in range(len(filler) + 1)]
+    assert all(abs(s - alone) < 0.2 for s in net.score(placed))
+    for at in range(70):
+        words = [f"w{i}" for i in range(90)]
+        x = toxicity.Inputs([" ".join(words).encode()])
+        number = {int(h): i for i, h in enumerate(x.hashes)}
+        inside = {number[int(h)] for h in toxicity.Inputs([" ".join(words[at:at + 16]).encode()]).hashes}
+        assert any(inside <= set(w.tolist()) for w in x.windows), at
+
+
 def test_one_class_scores_zero(spark):
     labels = spark.createDataFrame([(1, 0, 1)], "doc_id bigint, toxic int, quality int")
     assert {r.score for r in toxicity.toxicity(docs(spark), labels).collect()} == {0.0}
