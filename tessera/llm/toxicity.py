@@ -29,6 +29,8 @@ results.
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -320,16 +322,21 @@ def _only(x: Inputs, windows: np.ndarray) -> tuple:
 def training_sample(docs: DataFrame, labels: DataFrame, admitted, id_col: str = "doc_id", text_col: str = "text",
                     label_col: str = "toxic") -> tuple[list[bytes], np.ndarray]:
     """Texts and labels to train on: a bounded number of admitted ids per class, picked
-    by hash; only those (a broadcast of that many ids) meet the documents."""
+    by hash among those that have a short enough document (a semi-join of narrow ids);
+    only those (a broadcast of that many ids) meet the texts. Warns when the labels hold
+    both classes and the sample does not."""
     known = (labels.select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("toxic"))
              .filter(F.col("id").isNotNull() & F.col("toxic").isin(0, 1)).filter(admitted(F.col("id")))
              .groupBy("id").agg(F.max("toxic").alias("toxic")))
+    short = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).filter(F.length("text") <= MAX_TRAIN_CHARS)
+    labelled, known = known, known.join(short.select("id"), "id", "left_semi")
     order = [F.xxhash64("id"), F.col("id")]
     ids = (known.filter("toxic = 1").orderBy(*order).limit(MAX_POSITIVE)
            .unionByName(known.filter("toxic = 0").orderBy(*order).limit(MAX_NEGATIVE)))
-    rows = (docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-            .filter(F.length("text") <= MAX_TRAIN_CHARS).join(F.broadcast(ids), "id")
+    rows = (short.join(F.broadcast(ids), "id")
             .groupBy("id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text")).orderBy("id").collect())
+    if len({r.toxic for r in rows}) < 2 and labelled.select("toxic").distinct().count() == 2:
+        warnings.warn(f"labels of both classes, but not both have documents of at most {MAX_TRAIN_CHARS} characters: every score is 0", RuntimeWarning)
     return [r.text.encode() for r in rows], np.array([r.toxic for r in rows], np.float64)
 
 

@@ -275,6 +275,18 @@ def test_passage_is_seen_whole_at_every_offset():
         assert any(inside <= set(w.tolist()) for w in x.windows), at
 
 
+def test_sample_is_drawn_from_labels_with_documents(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_POSITIVE", 3)
+    monkeypatch.setattr(toxicity, "MAX_NEGATIVE", 3)
+    df = docs(spark, ["short text"] * 4 + ["long " * 5000] * 4)
+    schema = "doc_id bigint, toxic int"
+    labels = spark.createDataFrame([(i, i % 2) for i in range(2000)], schema)  # most labels have no document
+    texts, toxic = toxicity.training_sample(df, labels, lambda i: i >= 0)
+    assert texts == [b"short text"] * 4 and toxic.tolist() == [0, 1, 0, 1]
+    with pytest.warns(RuntimeWarning, match="both classes"):
+        toxicity.training_sample(df, spark.createDataFrame([(0, 0), (5, 1)], schema), lambda i: i >= 0)
+
+
 def test_one_class_scores_zero(spark):
     labels = spark.createDataFrame([(1, 0, 1)], "doc_id bigint, toxic int, quality int")
     assert {r.score for r in toxicity.toxicity(docs(spark), labels).collect()} == {0.0}
