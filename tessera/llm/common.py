@@ -59,20 +59,20 @@ def _array(values, kind: pa.DataType) -> pa.Array:
     return pa.array(values, type=kind)
 
 
-def pieces(batch: pa.RecordBatch, text: str) -> Iterator[tuple[dict, list[bytes]]]:
-    """Cut a batch into pieces of about ``CHUNK_BYTES`` of text."""
+def pieces(batch: pa.RecordBatch, text: str, chunk: int = CHUNK_BYTES) -> Iterator[tuple[dict, list[bytes]]]:
+    """Cut a batch into pieces of about ``chunk`` bytes of text."""
     arr = batch.column(batch.schema.get_field_index(text))
     values = [v or b"" for v in arr.cast(pa.binary() if pa.types.is_string(arr.type) else pa.large_binary()).to_pylist()]
     others = {f.name: batch.column(i) for i, f in enumerate(batch.schema) if f.name != text}
-    for start, end in spans_of([len(v) for v in values]):
+    for start, end in spans_of([len(v) for v in values], chunk):
         yield {k: a.slice(start, end - start) for k, a in others.items()}, values[start:end]
 
 
-def spans_of(sizes: list[int]) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``CHUNK_BYTES``."""
+def spans_of(sizes: list[int], chunk: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``chunk`` bytes."""
     start = total = 0
     for i, n in enumerate(sizes):
-        if i > start and total + n > CHUNK_BYTES:
+        if i > start and total + n > chunk:
             yield start, i
             start, total = i, 0
         total += n

@@ -36,4 +36,102 @@ SELECT page_id, host, path,
 FROM m
 """
 
-ORACLE_SQL = {"op2_warc_archive": OP2, "op10_url_filter": OP10}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+OP1 = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+                                      WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh
+  FROM w),
+c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM p JOIN c cx ON cx.doc_id = x JOIN c cy ON cy.doc_id = y WHERE 100 * k >= 75 * (cx.n + cy.n - k)),
+r(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x),
+m AS (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY x)
+SELECT m.doc_id, coalesce(c.n, 0)::BIGINT AS n_shingles, component_id, m.doc_id = component_id AS kept
+FROM m LEFT JOIN c ON c.doc_id = m.doc_id
+"""
+
+OP7 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+    AND len(list_filter(embedding, lambda z: NOT isfinite(z))) = 0 AND len(list_filter(embedding, lambda z: z <> 0)) > 0),
+n AS (SELECT vec_id, label, e, sqrt(list_inner_product(e, e)) AS size FROM v),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM n a JOIN n b
+      ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_inner_product(a.e, b.e) / (a.size * b.size) >= 0.98),
+r(x, y) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+m AS (SELECT x AS vec_id, min(y) AS component_id FROM r GROUP BY x),
+k AS (SELECT x AS vec_id, count(*) AS n_links FROM l GROUP BY x)
+SELECT m.vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, m.vec_id = component_id AS kept
+FROM m LEFT JOIN k ON k.vec_id = m.vec_id
+"""
+
+OP12 = rf"""
+WITH p AS (
+  SELECT doc_id, coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (
+  SELECT lang, m, unnest(list_transform(range(1, len(ws) - m + 2), lambda i: ws[i:i + m - 1])) AS ph
+  FROM w, (SELECT unnest([1, 2, 3]) AS m) WHERE len(ws) >= m),
+f AS (SELECT lang, m, ph, count(*) AS f FROM g GROUP BY lang, m, ph),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE m > 1 AND f >= 10),
+d AS (
+  SELECT DISTINCT s.lang, s.ph FROM c s JOIN (SELECT lang, f, unnest([ph[1:2], ph[2:3]]) AS part FROM c WHERE m = 3) b
+  ON b.lang = s.lang AND b.part = s.ph WHERE 100 * b.f >= 50 * s.f),
+k AS (
+  SELECT c.lang, c.ph, c.f AS a, cut, a.f AS l, b.f AS r,
+         ((1000000::HUGEINT * c.f * c.f) // (a.f::HUGEINT * b.f))::BIGINT AS score
+  FROM c JOIN (SELECT unnest([1, 2]) AS cut) ON cut < c.m
+  JOIN f a ON a.lang = c.lang AND a.ph = c.ph[1:cut]
+  JOIN f b ON b.lang = c.lang AND b.ph = c.ph[cut + 1:]
+  WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.lang = c.lang AND d.ph = c.ph)),
+b AS (SELECT *, array_to_string(ph, ' ') AS phrase, row_number() OVER (PARTITION BY lang, ph ORDER BY score, cut) AS i FROM k),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b WHERE i = 1)
+SELECT o.lang, rank, phrase, a, l, r, n, score FROM o JOIN n ON n.lang = o.lang WHERE rank <= 2000
+"""
+
+# CRC-32 by its byte table, which SQL builds from the polynomial 3988292384 (0xEDB88320).
+_STEP = "xor(c >> 1, 3988292384 * (c & 1))"
+OP13 = rf"""
+WITH tab AS (
+  SELECT list(list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: {_STEP}) ORDER BY b) AS t FROM range(256) q(b)),
+docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents),
+bench AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark),
+dw AS (SELECT doc_id, unnest(ws) AS w FROM docs),
+bw AS (SELECT unnest(ws) AS w FROM bench),
+words AS (SELECT DISTINCT w, hex(encode(w)) AS h FROM (SELECT w FROM dw UNION ALL SELECT w FROM bw)),
+hashed AS (
+  SELECT w, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, len(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
+                            lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295::BIGINT) % 10000 AS bucket
+  FROM words, tab),
+cs AS (SELECT bucket, count(*) AS s FROM dw JOIN hashed USING (w) GROUP BY bucket),
+ct AS (SELECT bucket, count(*) AS t FROM bw JOIN hashed USING (w) GROUP BY bucket),
+tot AS (SELECT (SELECT count(*) FROM dw)::DOUBLE AS s_all, (SELECT count(*) FROM bw)::DOUBLE AS t_all),
+gain AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (s_all + 10000) / ((s + 1)::DOUBLE * (t_all + 10000))))::BIGINT AS g
+  FROM cs LEFT JOIN ct USING (bucket), tot),
+per AS (SELECT doc_id, sum(g)::BIGINT AS weight FROM dw JOIN hashed USING (w) JOIN gain USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT docs.doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || docs.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score
+  FROM docs LEFT JOIN per USING (doc_id)),
+drawn AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT scored.doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank
+FROM scored LEFT JOIN drawn USING (doc_id)
+"""
+
+ORACLE_SQL = {"op1_minhash_dedup": OP1, "op7_embedding_dedup": OP7, "op12_collocations": OP12, "op13_importance": OP13,
+              "op2_warc_archive": OP2, "op10_url_filter": OP10}

@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, hnsw, license_scan, packing, pii, quality, superminhash, toxicity, url_filter, warc
+from tessera.llm import (bpe, collocation, hnsw, importance, license_scan, packing, pii, quality, superminhash, token_store,
+                         toxicity, url_filter, warc)
 from tessera.llm.common import documents
 from tessera.session import scratch_path
 
@@ -77,4 +78,23 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(documents(spark, sf_dir, "pages"), URL_RULES)
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_warc_archive, op3_toxicity, op4_license_scan, op5_pii, op6_byte_bpe, op7_embedding_dedup, op8_packing, op9_quality_rules, op10_url_filter)}
+def op11_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the token ids of all documents as ORC in ascending id order, read them back."""
+    folder = scratch_path(spark, "tokens")
+    token_store.write_tokens(documents(spark, sf_dir), folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_store.with_crc32(token_store.read_tokens(spark, folder))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 strongest phrases of every language."""
+    return collocation.mine_phrases(documents(spark, sf_dir)).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight of every document towards the benchmark texts, and the drawn tenth in order."""
+    return importance.resample(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_warc_archive, op3_toxicity, op4_license_scan, op5_pii, op6_byte_bpe,
+                                   op7_embedding_dedup, op8_packing, op9_quality_rules, op10_url_filter, op11_token_store,
+                                   op12_collocations, op13_importance)}
