@@ -23,22 +23,19 @@ are ignored. A very long document is cut into many windows.
 from __future__ import annotations
 
 import heapq
-import os
-import re
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tessera.llm.common import Memo, arrow_schema, pieces
+from tessera.llm.common import arrow_schema, pieces
+from tessera.llm.token_pieces import CHUNK, token_ids
 
 WINDOW = 2048
 POOL = 1280
 CUT = 512
 END_ID = 1
-MEMO_WORDS = 800_000
-JOIN = 500
 
 
 # ---------------------------------------------------------------- differencing
@@ -92,66 +89,14 @@ def pack_pool(sizes: list[int], capacity: int) -> np.ndarray:
 
 # ---------------------------------------------------------------- tokens
 
-_loaded: dict = {}
-
-
-def _word_ids(path: str) -> Memo:
-    """Per worker process: memo from a word between ASCII spaces to its ids' bytes.
-
-    The vocabulary drops white space and never joins across it, so a text's ids are its
-    words' ids one after the other."""
-    if path not in _loaded:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-        tokenizer = Tokenizer.from_file(path)
-        special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word)}
-        mark, mark_id = next(iter(special.items()), (None, None))
-
-        def ids_of(texts: list[str]) -> list[np.ndarray]:
-            return [np.array(e.ids, "<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-        def fill(words: list[bytes]) -> list[bytes]:
-            """Words are encoded many at a time with a special token between them, which
-            separates texts as white space does and shows where each word's ids end;
-            words that could hold a special token themselves go one by one."""
-            texts = [w.decode("utf-8", "replace") for w in words]
-            alone = [i for i, t in enumerate(texts) if mark is None or any(s in t for s in special)]
-            out: list[bytes] = [b""] * len(texts)
-            for i, ids in zip(alone, ids_of([texts[i] for i in alone])):
-                out[i] = ids.tobytes()
-            single = set(alone)
-            rest = [i for i in range(len(texts)) if i not in single]
-            for a in range(0, len(rest), JOIN):
-                part = rest[a:a + JOIN]
-                ids = ids_of([mark.join([texts[i] for i in part])])[0]
-                ends = np.append(np.flatnonzero(ids == mark_id), len(ids)).tolist()
-                data, start = ids.tobytes(), 0
-                for i, end in zip(part, ends, strict=True):
-                    out[i] = data[4 * start:4 * end]
-                    start = end + 1
-            return out
-
-        _loaded[path] = Memo(fill, MEMO_WORDS)
-    return _loaded[path]
-
-
-_MARKS = re.compile(rb"(?<=[A-Za-z0-9])[.,;:!?](?=[\x20\t\n\r\x0b\x0c]|\Z)")
-
-
-def _split(text: bytes) -> list[bytes]:
-    """Words between ASCII spaces. The vocabulary lower-cases and cuts punctuation from
-    letters and digits, so A-Z may be lowered and a single mark at a word's end set off
-    beforehand; words then repeat more often. Special tokens are exact, so a text that
-    could hold one stays as it is."""
-    return text.split() if b"<|" in text else _MARKS.sub(rb" \g<0>", text.lower()).split()
-
-
 def token_bytes(texts: list[bytes], path: str, end_id: int = END_ID) -> list[bytes]:
-    """Little-endian unsigned 32-bit ids of each text, the end id appended."""
-    words = [_split(t) for t in texts]
-    known = _word_ids(path).ready(set().union(*words))
-    end = np.array([end_id], "<u4").tobytes()
-    return [b"".join(map(known.__getitem__, w)) + end for w in words]
+    """Little-endian unsigned 32-bit ids of each text, the end id appended. The vocabulary
+    lower-cases, drops white space and cuts letters, single digits and marks from each
+    other, so the ids are gathered from those pieces; the strings of special tokens become
+    their ids, as the library does by itself."""
+    ids, offsets = token_ids(texts, path, end_id, spaced=False, lower=True, special_as_text=False)
+    data, at = ids.tobytes(), (4 * offsets).tolist()
+    return [data[a:b] for a, b in zip(at, at[1:])]
 
 
 # ---------------------------------------------------------------- operator
@@ -185,7 +130,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
 
         def rows_of(batch):
             nonlocal next_id
-            for cols, texts in pieces(batch, "text"):
+            for cols, texts in pieces(batch, "text", CHUNK):
                 rows = []
                 for doc, ids in zip(cols["doc_id"].to_pylist(), token_bytes(texts, vocabulary)):
                     total = len(ids) // 4
