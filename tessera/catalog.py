@@ -20,8 +20,8 @@ from tessera.schema import ADAPTER_ORDER_COLUMNS, RAW_SCHEMA, STANDARDISED_COLUM
 from tessera.session import materialize, scratch_path
 from tessera.sinks import writers
 from tessera.sources import files
-from tessera.sources.adapter import raw_transactions
-from tessera.sources.tables import row_count, scan_table, table
+from tessera.sources.adapter import ADAPTER_TABLES, raw_transactions
+from tessera.sources.tables import input_state, row_count, scan_table, table
 from tessera.streaming import ingest
 
 NUMERIC_RAW_COLUMNS = ["Transaction_Value", "Area_sqm", "Number_of_Units", "Contract_Duration", "Demand_Score",
@@ -63,19 +63,22 @@ def q_spark_city_summary(spark, sf_dir):
     return spark_job.spark_city_summary(_housing(spark, sf_dir))
 
 
-# Silver tables and their statistics, landed once per session and input folder.
+# Silver tables and their statistics, landed once per session and state of the input files.
 _LANDED: dict[tuple[str, str], tuple] = {}
 
 
 def _silver(spark, sf_dir):
     """(silver rows, table-wide statistics). The first query of a session that needs the
     cleaned rows of a folder writes them under the shared checkpoint folder; all others
-    read that table with column pruning. A session sees one state of its inputs."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LANDED:
+    read that table with column pruning, as long as the input files keep their names,
+    sizes and times. Changed inputs are cleaned anew; the old table stays
+    until the session ends, for frames that still read it."""
+    key, state = (spark.sparkContext.applicationId, sf_dir), input_state(spark, sf_dir, ADAPTER_TABLES)
+    landed = _LANDED.get(key)
+    if landed is None or landed[0] != state:
         rows = materialize(etl.silver_rows(_raw(spark, sf_dir, with_order=True)), "silver")
-        _LANDED[key] = rows, quantile_values(rows, etl.STATS)
-    return _LANDED[key]
+        _LANDED[key] = state, rows, quantile_values(rows, etl.STATS)
+    return _LANDED[key][1:]
 
 
 def _etl(spark, sf_dir):

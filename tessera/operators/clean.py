@@ -25,6 +25,14 @@ def drop_null_critical(df: DataFrame, cols: list[str] = CRITICAL_COLUMNS) -> Dat
     return df.na.drop(how="any", subset=cols)
 
 
+TIE = "__tie"
+
+
+def with_tie(df: DataFrame) -> DataFrame:
+    """A hash of all columns, which orders rows that tie in the input order."""
+    return df.withColumn(TIE, F.xxhash64(*df.columns))
+
+
 def dedup_keep_first(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
     """Keep exactly one row per ``key``: the first in the order ``order_cols`` (e.g. a
     source ordinal). Rows that tie in it are ordered by a hash of all their columns;
@@ -39,8 +47,8 @@ def dedup_keep_first(df: DataFrame, key: str, order_cols: list[str]) -> DataFram
     Matching is null-safe, so a null key or order value behaves like a value (as in
     pandas ``drop_duplicates``). A ``row_number`` window would instead sort every row of
     a hot key in one task."""
-    rows = df.withColumn("__tie", F.xxhash64(*df.columns))
-    order = [*order_cols, "__tie"]
+    rows = with_tie(df)
+    order = [*order_cols, TIE]
     firsts = (rows.select(key, *order).groupBy(key)
                   .agg(F.min(F.struct(*[F.col(c) for c in order])).alias("__o"))
                   .select(F.col(key).alias("__k"), *[F.col("__o")[c].alias(f"__o_{c}") for c in order]))
@@ -49,7 +57,7 @@ def dedup_keep_first(df: DataFrame, key: str, order_cols: list[str]) -> DataFram
     cond = (F.col("__h") == F.col("__g")) & F.col(key).eqNullSafe(F.col("__k"))
     for c in order:
         cond = cond & F.col(c).eqNullSafe(F.col(f"__o_{c}"))
-    return rows.join(firsts, cond, "left_semi").dropDuplicates(["__h", key, *order]).drop("__h", "__tie")
+    return rows.join(firsts, cond, "left_semi").dropDuplicates(["__h", key, *order]).drop("__h", TIE)
 
 
 def filter_positive(df: DataFrame, cols: tuple[str, ...] = ("Transaction_Value", "Area_sqm")) -> DataFrame:

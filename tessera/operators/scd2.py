@@ -57,15 +57,19 @@ def yearly_snapshots(fact: DataFrame) -> DataFrame:
     return snap
 
 
-def change_history(snapshots: DataFrame) -> DataFrame:
-    """Collapse unchanged consecutive snapshots into SCD2 versions."""
-    content = F.md5(F.concat_ws(
+def content_hash():
+    """Hash of a snapshot's key, name and metrics, without its year."""
+    return F.md5(F.concat_ws(
         "|", F.col("city_key").cast("string"), F.coalesce(F.col("city_name"), F.lit("")),
         F.coalesce(_dec_text(F.col("avg_price_per_sqm"), 2), F.lit("")),
         F.coalesce(_dec_text(F.col("avg_demand_score"), 4), F.lit("")),
         F.coalesce(_dec_text(F.col("avg_vacancy_rate"), 4), F.lit(""))))
+
+
+def change_history(snapshots: DataFrame) -> DataFrame:
+    """Collapse unchanged consecutive snapshots into SCD2 versions."""
     w = Window.partitionBy("city_key", "city_name").orderBy("year")
-    s = (snapshots.withColumn("record_hash", content)
+    s = (snapshots.withColumn("record_hash", content_hash())
                   .withColumn("__changed", F.coalesce(F.lag("record_hash").over(w) != F.col("record_hash"),
                                                       F.lit(True)))
                   .where("__changed"))

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tessera.functions.exprs import round_half_up, round_agg
 from tessera.schema import FALLBACK_SAMPLE_ROWS
 from tessera.session import materialize
+from tessera.sources.tables import scan_table
 
 
 def kpis(city_summary: DataFrame) -> DataFrame:
@@ -84,7 +85,7 @@ def load_datasets(spark: SparkSession, folder: str, fact_rows: DataFrame) -> dic
     found = {}
     for name in DATASETS:
         try:
-            found[name] = spark.read.parquet(f"{folder}/{name}")
+            found[name] = scan_table(spark, f"{folder}/{name}")
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise

@@ -73,19 +73,20 @@ def etl_row_accounting(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COL
     """Rows in / out / dropped per cleaning step, from one aggregation.
 
     Rows are grouped by (passes the null check, ID); each group knows its size and —
-    through ``min_by`` on the input order — whether its first row passes the positive
-    filter. One more one-row aggregate turns that into the step counts."""
-    p = raw.transform(clean.parse_dates)
+    through ``min_by`` on the order in which the dedup keeps rows, ties by row hash
+    included — whether its first row passes the positive filter. One more one-row
+    aggregate turns that into the step counts."""
+    p = raw.transform(clean.parse_dates).transform(clean.with_tie)
     ok = None
     for c in CRITICAL_COLUMNS:
         e = F.col(c).isNotNull() & (~F.isnan(c) if c == "Transaction_Value" else F.lit(True))
         ok = e if ok is None else ok & e
     positive = (F.col("Transaction_Value") > 0) & (F.col("Area_sqm") > 0)
     groups = (p.select(ok.alias("ok"), "Transaction_ID", F.coalesce(positive, F.lit(False)).alias("pos"),
-                       *order_cols)
+                       *order_cols, clean.TIE)
                .groupBy("ok", "Transaction_ID")
                .agg(F.count(F.lit(1)).alias("n"),
-                    F.min_by("pos", F.struct(*order_cols)).alias("first_pos")))
+                    F.min_by("pos", F.struct(*order_cols, clean.TIE)).alias("first_pos")))
     t = groups.agg(
         F.sum("n").cast("bigint").alias("original"),
         F.sum(F.when(F.col("ok"), F.col("n")).otherwise(0)).cast("bigint").alias("after_nulls"),

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.session import materialize
+from tessera.sinks.versioned import VersionedTable
 from tessera.sources.files import write_csv
 
 # Rows per file at most; a directory that holds a third of the data becomes many files.
@@ -46,9 +47,12 @@ def write_csv_summary(df: DataFrame, path: str) -> str:
     return write_csv(df.coalesce(1), path)
 
 
-def replace_table(df: DataFrame, path: str) -> str:
-    """Replace a warehouse table (Parquet directory, overwrite)."""
-    df.write.mode("overwrite").parquet(path)
+def replace_table(df: DataFrame, path: str, keep: int = 2) -> str:
+    """Replace a warehouse table: written beside the old version and switched to when it is
+    complete (``sinks.versioned``); the last ``keep`` versions stay for running readers."""
+    target = VersionedTable(df.sparkSession, path)
+    target.replace(df)
+    target.expire(keep)
     return path
 
 

@@ -27,6 +27,7 @@ from tessera.schema import ADAPTER_ORDER_COLUMNS, RAW_COLUMNS
 from tessera.sources.tables import spread, table
 
 # ── FIXED VALUES: dirt rules (modulus on the part / supplier key) ───────────────
+ADAPTER_TABLES = ["lineitem", "orders", "part", "supplier", "nation", "region"]
 NULL_ID_MOD = 97          # Transaction_ID null
 BAD_DATE_MOD = 89         # Date = 'not-a-date'
 MESSY_CITY_MOD = 7        # City = '  <lower case> '   (on the supplier key)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.sinks.versioned import VersionedTable
+
 
 # Known layouts of the benchmark tables this engine reads. Declaring them skips the
 # schema-inference job (a footer read per table) that every query would otherwise run.
@@ -30,6 +32,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def input_state(spark: SparkSession, sf_dir: str, names: list[str]) -> tuple:
+    """(path, size, modification time) of every file of the tables ``names``: equal states
+    mean unchanged inputs."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for name in names:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            files = fs.listFiles(path, True)
+            while files.hasNext():
+                f = files.next()
+                out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread a scan over the cluster when it yields fewer input splits than there
     are task slots (e.g. one file with one row group): everything up to the first
@@ -42,8 +60,10 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def scan_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a written warehouse table (Parquet by default, partition discovery on)."""
-    return spark.read.format(fmt).load(path)
+    """Read a warehouse table: the latest version of a versioned table, or any other folder
+    (Parquet by default, partition discovery on)."""
+    stored = VersionedTable(spark, path)
+    return stored.read() if stored.versions() else spark.read.format(fmt).load(path)
 
 
 def row_count(df: DataFrame) -> DataFrame:
