@@ -15,13 +15,19 @@ from pyspark.sql import functions as F
 
 from tessera.session import materialize
 
+SLICE_VALUES = 2_000_000
+
 
 def global_rank(df: DataFrame, order_col: str, descending: bool = True, out: str = "rank",
                 slices: int | None = None) -> DataFrame:
     """Adds ``out`` = SQL ``rank()`` over the whole table ordered by ``order_col``
-    (nulls last). ``df`` is read twice; give a written table."""
+    (nulls last). The number of slices follows the number of distinct values (estimated by
+    a sketch), so a slice stays small whatever the table's size. ``df`` is read three
+    times; give a written table."""
     spark = df.sparkSession
-    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    if slices is None:
+        distinct = df.agg(F.approx_count_distinct(order_col)).first()[0]
+        slices = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), -(-distinct // SLICE_VALUES))
     order = F.col("__v").desc_nulls_last() if descending else F.col("__v").asc_nulls_last()
     counts = df.groupBy(F.col(order_col).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
     counts = materialize(counts.repartitionByRange(slices, order).withColumn("__slice", F.spark_partition_id()), "rank-counts")

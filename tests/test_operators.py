@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import anomaly, joins
+from tessera.operators import anomaly, joins, quantiles
 from tessera.operators.quantiles import quantile_values, quantiles_long
 
 
@@ -14,17 +14,45 @@ def numbers(seed, n):
                            rng.normal(100, 30, n - n // 2 - n // 3)])
 
 
-@pytest.mark.parametrize("slices", [1, 7, 40])
-def test_exact_quantiles_match_numpy(spark, slices):
+@pytest.mark.parametrize("few, k", [(1, 8), (50, 200), (10**6, 4096)])
+def test_exact_quantiles_match_numpy(spark, monkeypatch, few, k):
+    """Whatever the sketch gives: with a poor one more rounds are needed."""
+    monkeypatch.setattr(quantiles, "FEW", few)
+    monkeypatch.setattr(quantiles, "SKETCH_K", k)
     a, b = numbers(7, 6000), np.random.default_rng(8).integers(0, 11, 500).astype(float)
     df = spark.createDataFrame([(float(x), float(b[i]) if i < len(b) else None) for i, x in enumerate(a)], "a double, b double")
     probs = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]
-    got = {(r.column, r.p): r.value for r in quantiles_long(df, {"a": probs, "b": [0.5]}, slices).collect()}
+    got = {(r.column, r.p): r.value for r in quantiles_long(df, {"a": probs, "b": [0.5]}).collect()}
     for p in probs:
         assert got[("a", p)] == pytest.approx(np.percentile(a, p * 100), rel=1e-12, abs=1e-9)
     assert got[("b", 0.5)] == pytest.approx(np.percentile(b, 50))
 
 
+@pytest.mark.parametrize("values, p, want", [
+    ([float("-inf"), 1.0, 2.0, float("inf"), float("inf")], [0.0, 0.5, 1.0], [float("-inf"), 2.0, float("inf")]),
+    ([5.0] * 400, [0.0, 0.37, 1.0], [5.0] * 3),
+    ([None, float("nan"), None], [0.5], [None]),
+    ([float("inf")] * 3 + [-1e308, 1e308], [0.0, 0.25, 1.0], [-1e308, 1e308, float("inf")]),
+    ([3.0], [0.1, 0.9], [3.0, 3.0])])
+@pytest.mark.parametrize("few", [1, 1000])
+def test_quantiles_of_odd_columns(spark, monkeypatch, values, p, want, few):
+    monkeypatch.setattr(quantiles, "FEW", few)
+    df = spark.createDataFrame([(v,) for v in values], "`odd name` double")
+    got = {r.p: r.value for r in quantiles_long(df, {"odd name": p}).collect()}
+    assert [got[x] for x in p] == want
+
+
+def test_quantile_rounds_shuffle_no_histogram(spark, many_numbers, monkeypatch):
+    """Three ranks of 1.8 million rows take a handful of passes, and no more than ``FEW``
+    rows a rank come to the driver."""
+    df, want = many_numbers
+    rounds = []
+    whole = quantiles._count_round
+    monkeypatch.setattr(quantiles, "_count_round", lambda d, s, pairs: (rounds.append(len(s)), whole(d, s, pairs)))
+    assert list(quantile_values(df, {"a": ("v", 0.01), "b": ("v", 0.5), "c": ("v", 0.99)}).values()) == want
+    assert len(rounds) <= 3
+
+
 @pytest.fixture
 def settings_of(spark):
     """Change session settings for one test."""
