@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.exprs import investment_score_basic, round_half_up
-from tessera.operators import anomaly, clean, integrity, scd2
+from tessera.operators import anomaly, clean, integrity, scd2, scd2_merge
 from tessera.operators.quantiles import quantile_values
 from tessera.plans import dashboard, etl, layers, marts, quality, spark_job, star
 from tessera.schema import ADAPTER_ORDER_COLUMNS, RAW_SCHEMA, STANDARDISED_COLUMNS, VALID_CITIES
 from tessera.session import materialize, scratch_path
 from tessera.sinks import writers
+from tessera.sinks.versioned import VersionedTable
 from tessera.sources import files
 from tessera.sources.adapter import ADAPTER_TABLES, raw_transactions
 from tessera.sources.tables import input_state, row_count, scan_table, table
@@ -196,6 +197,18 @@ def q_etl_row_accounting(spark, sf_dir):
     return etl.etl_row_accounting(_raw(spark, sf_dir, with_order=True))
 
 
+@register("etl_observed_accounting")
+def q_etl_observed_accounting(spark, sf_dir):
+    """The same figures as metrics of the job that writes the silver rows."""
+    return etl.observed_silver(_raw(spark, sf_dir, with_order=True))[1]
+
+
+@register("etl_observed_nulls")
+def q_etl_observed_nulls(spark, sf_dir):
+    """Missing values per raw column (dates parsed), metrics of the same job."""
+    return etl.observed_silver(_raw(spark, sf_dir, with_order=True))[2]
+
+
 # ── star schema ───────────────────────────────────────────────────────────────
 @register("fact_transactions")
 def q_fact_transactions(spark, sf_dir):
@@ -275,6 +288,17 @@ def q_scd2_change_history(spark, sf_dir):
     return scd2.change_history(scd2.yearly_snapshots(_etl(spark, sf_dir)))
 
 
+@register("scd2_merge")
+def q_scd2_merge(spark, sf_dir):
+    """The change history kept up in a versioned table by three batches of snapshots (every
+    third year each, so that years come late), each applied to what the one before left."""
+    snaps = materialize(scd2.yearly_snapshots(_etl(spark, sf_dir)), "snapshot-batches")
+    path = scratch_path(spark, "scd2-dimension")
+    for n in range(3):
+        scd2_merge.merge_into(spark, path, snaps.where(F.pmod("year", F.lit(3)) == 2 - n), n)
+    return scd2_merge.read_dimension(spark, path).drop("years")
+
+
 @register("assert_scd2_valid")
 def q_assert_scd2_valid(spark, sf_dir):
     snaps = scd2.yearly_snapshots(_etl(spark, sf_dir))
@@ -643,6 +667,21 @@ def q_sink_table_replace(spark, sf_dir):
     return files.union_chunks(parts)
 
 
+@register("table_replace_atomic")
+def q_table_replace_atomic(spark, sf_dir):
+    """Rows and values per year of two versions of one table, the first read after the
+    second was published: version 2 replaces the latest year by its multi-unit rows."""
+    fact = _fact(spark, sf_dir).select("Transaction_ID", "year", "Number_of_Units", "price_per_sqm")
+    stored = VersionedTable(spark, scratch_path(spark, "fact-versions"))
+    stored.replace(fact, ["year"])
+    first = stored.read()
+    last = first.agg(F.max("year")).first()[0]
+    stored.overwrite_partitions(first.where((F.col("year") == last) & (F.col("Number_of_Units") > 1)), ["year"])
+    parts = [d.groupBy("year").agg(F.count(F.lit(1)).cast("bigint").alias("row_count"), F.sum("Number_of_Units").cast("bigint").alias("units"))
+             .select(F.lit(n).alias("version"), "year", "row_count", "units") for n, d in ((1, first), (2, stored.read()))]
+    return files.union_chunks(parts)
+
+
 @register("sink_csv_yearly_trend")
 def q_sink_csv_yearly_trend(spark, sf_dir):
     s = spark_job.spark_yearly_trend(_housing(spark, sf_dir))
@@ -709,7 +748,10 @@ def q_stream_ingest_clean(spark, sf_dir):
 
 @register("stream_dedup")
 def q_stream_dedup(spark, sf_dir):
-    return ingest.dedup_stream(spark, _landing(spark, sf_dir), RAW_SCHEMA).select("Transaction_ID")
+    """Whole first rows by ID, in the adapter's order."""
+    landing = ingest.land_files(_raw(spark, sf_dir, with_order=True), scratch_path(spark, "landing"))
+    rows = ingest.dedup_stream(spark, landing, files.raw_schema_with(ORDER_FIELDS), order_cols=ADAPTER_ORDER_COLUMNS)
+    return rows.drop(*ADAPTER_ORDER_COLUMNS)
 
 
 @register("stream_monthly_trend")

@@ -12,7 +12,7 @@ Conventions that keep both engines bit-identical:
 from __future__ import annotations
 
 from tessera.schema import (BAND_EDGES, BAND_LABELS, CLIP_HIGH, CLIP_LOW, KEY_MODULUS,
-                            MART_HIGH_DEMAND, SPARK_HIGH_DEMAND)
+                            MART_HIGH_DEMAND, RAW_COLUMNS, SPARK_HIGH_DEMAND)
 from tessera.sources.adapter import (BAD_DATE_MOD, MESSY_CITY_MOD, NEGATIVE_VALUE_MOD,
                                      NULL_DISTRICT_MOD, NULL_ID_MOD, ZERO_AREA_MOD)
 
@@ -715,7 +715,19 @@ UNION ALL SELECT 'table', 'mart_city_performance', CAST(count(*) AS BIGINT) FROM
     {MD5MOD(_std('City'))} AS city_key, {MD5MOD(_std('District'))} AS district_key
   FROM nn WHERE Transaction_Value > 0 AND Area_sqm > 0)"""
     q["stream_ingest_clean"] = with_(RAW, PARSED, NN, SCLEAN) + "SELECT * FROM sclean"
-    q["stream_dedup"] = with_(RAW, PARSED, NN, SCLEAN) + "SELECT DISTINCT Transaction_ID FROM sclean"
+    firsts = """firsts AS (SELECT * FROM nn WHERE Transaction_Value > 0 AND Area_sqm > 0
+  QUALIFY row_number() OVER (PARTITION BY Transaction_ID ORDER BY l_partkey, l_suppkey, l_extendedprice) = 1)"""
+    q["stream_dedup"] = with_(RAW, PARSED, NN, firsts, SCLEAN.replace("FROM nn WHERE Transaction_Value > 0 AND Area_sqm > 0", "FROM firsts")) \
+        + "SELECT * FROM sclean"
+    q["scd2_merge"] = q["scd2_change_history"]
+    q["etl_observed_accounting"] = q["etl_row_accounting"]
+    q["etl_observed_nulls"] = with_(RAW, PARSED) + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS null_count, "
+        "CAST(count(*) AS BIGINT) AS row_count FROM parsed" for c in RAW_COLUMNS)
+    q["table_replace_atomic"] = with_(*STAR) + """
+SELECT 1 AS version, year, CAST(count(*) AS BIGINT) AS row_count, CAST(sum(Number_of_Units) AS BIGINT) AS units FROM fact GROUP BY year
+UNION ALL SELECT 2, year, CAST(count(*) AS BIGINT), CAST(sum(Number_of_Units) AS BIGINT) FROM fact
+WHERE year < (SELECT max(year) FROM fact) OR Number_of_Units > 1 GROUP BY year"""
     q["stream_monthly_trend"] = with_(RAW, PARSED, NN, SCLEAN) + f"""
 SELECT year_month, CAST(count(*) AS BIGINT) AS transactions, {R('sum(CAST(Transaction_Value AS DECIMAL(28,8)))', 0)} AS total_value
 FROM sclean GROUP BY year_month"""

@@ -14,7 +14,8 @@ applies as literals.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tessera.operators import clean
@@ -45,7 +46,11 @@ STATS = {
 def silver_rows(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS) -> DataFrame:
     """Deduplicated rows with all row-local work done (labels, hash keys, time features),
     before anything that needs table-wide statistics."""
-    return (deduplicated(raw, order_cols).drop(*order_cols)
+    return finished(deduplicated(raw, order_cols), order_cols)
+
+
+def finished(rows: DataFrame, order_cols: list[str]) -> DataFrame:
+    return (rows.drop(*order_cols)
             .transform(clean.standardise_strings)
             .transform(clean.add_surrogate_keys)
             .transform(clean.add_time_features))
@@ -69,6 +74,60 @@ def etl_clean(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS) ->
     return with_statistics(rows, quantile_values(rows, STATS))
 
 
+def _step_rows(t: DataFrame) -> DataFrame:
+    """The accounting table from one row of counts after each step."""
+    def step(order, name, rows_in, rows_out):
+        return F.struct(F.lit(order).alias("step_order"), F.lit(name).alias("step"),
+                        F.col(rows_in).alias("rows_in"), F.col(rows_out).alias("rows_out"))
+    steps = F.array(
+        step(1, "drop_null_critical", "original", "after_nulls"),
+        step(2, "dedup_transaction_id", "after_nulls", "after_dedup"),
+        step(3, "filter_positive", "after_dedup", "after_positive"),
+        step(4, "total", "original", "after_positive"),
+    )
+    return (t.select(F.inline(steps))
+             .withColumn("rows_dropped", F.col("rows_in") - F.col("rows_out"))
+             .withColumn("step_order", F.col("step_order").cast("int")))
+
+
+def _critical_present():
+    ok = F.lit(True)
+    for c in CRITICAL_COLUMNS:
+        ok = ok & F.col(c).isNotNull() & (~F.isnan(c) if c == "Transaction_Value" else F.lit(True))
+    return ok
+
+
+def _figures(observed: Observation, df: DataFrame, figures: list) -> dict:
+    """The observed metrics. Where a branch turned out empty the planner may have removed it
+    together with its metrics; the figures are then counted by themselves."""
+    try:
+        return observed.get
+    except Py4JJavaError:
+        return df.agg(*figures).first().asDict()
+
+
+def observed_silver(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(silver rows, row accounting, missing values per raw column), the last two from
+    metrics that the one job writing the silver rows collects on its way: nothing is read
+    again for them."""
+    spark, raw_columns = raw.sparkSession, [c for c in raw.columns if c not in order_cols]
+    seen, kept = Observation("etl-input"), Observation("etl-output")
+    parsed = raw.transform(clean.parse_dates)
+    input_figures = [F.count(F.lit(1)).alias("original"), F.count(F.when(_critical_present(), 1)).alias("after_nulls"),
+                     *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"null_{i}") for i, c in enumerate(raw_columns)]]
+    positive = F.coalesce((F.col("Transaction_Value") > 0) & (F.col("Area_sqm") > 0), F.lit(False))
+    unique = (parsed.observe(seen, *input_figures).transform(clean.drop_null_critical)
+              .transform(lambda d: clean.dedup_keep_first(d, "Transaction_ID", order_cols)))
+    output_figures = [F.count(F.lit(1)).alias("after_dedup"), F.count(F.when(positive, 1)).alias("after_positive")]
+    rows = materialize(finished(unique.observe(kept, *output_figures).transform(clean.filter_positive), order_cols), "silver")
+    a, b = _figures(seen, parsed, input_figures), _figures(kept, unique, output_figures)
+    counts = [int(a["original"]), int(a["after_nulls"]), int(b["after_dedup"]), int(b["after_positive"])]
+    accounting = _step_rows(spark.createDataFrame([tuple(counts)], "original bigint, after_nulls bigint, after_dedup bigint, after_positive bigint"))
+    nulls = spark.createDataFrame([(c, int(a[f"null_{i}"]), counts[0]) for i, c in enumerate(raw_columns)],
+                                  "column_name string, null_count bigint, row_count bigint")
+    return rows, accounting, nulls
+
+
 def etl_row_accounting(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS) -> DataFrame:
     """Rows in / out / dropped per cleaning step, from one aggregation.
 
@@ -77,12 +136,8 @@ def etl_row_accounting(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COL
     included — whether its first row passes the positive filter. One more one-row
     aggregate turns that into the step counts."""
     p = raw.transform(clean.parse_dates).transform(clean.with_tie)
-    ok = None
-    for c in CRITICAL_COLUMNS:
-        e = F.col(c).isNotNull() & (~F.isnan(c) if c == "Transaction_Value" else F.lit(True))
-        ok = e if ok is None else ok & e
     positive = (F.col("Transaction_Value") > 0) & (F.col("Area_sqm") > 0)
-    groups = (p.select(ok.alias("ok"), "Transaction_ID", F.coalesce(positive, F.lit(False)).alias("pos"),
+    groups = (p.select(_critical_present().alias("ok"), "Transaction_ID", F.coalesce(positive, F.lit(False)).alias("pos"),
                        *order_cols, clean.TIE)
                .groupBy("ok", "Transaction_ID")
                .agg(F.count(F.lit(1)).alias("n"),
@@ -94,15 +149,4 @@ def etl_row_accounting(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COL
         F.count(F.when(F.col("ok") & F.col("first_pos"), 1)).cast("bigint").alias("after_positive"),
     )
     t = t.select(*[F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c) for c in t.columns])
-    def step(order, name, rows_in, rows_out):
-        return F.struct(F.lit(order).alias("step_order"), F.lit(name).alias("step"),
-                        F.col(rows_in).alias("rows_in"), F.col(rows_out).alias("rows_out"))
-    steps = F.array(
-        step(1, "drop_null_critical", "original", "after_nulls"),
-        step(2, "dedup_transaction_id", "after_nulls", "after_dedup"),
-        step(3, "filter_positive", "after_dedup", "after_positive"),
-        step(4, "total", "original", "after_positive"),
-    )
-    return (t.select(F.inline(steps))
-             .withColumn("rows_dropped", F.col("rows_in") - F.col("rows_out"))
-             .withColumn("step_order", F.col("step_order").cast("int")))
+    return _step_rows(t)
