@@ -2,7 +2,7 @@
 
 A rule is ``host/path``: it fits its host, every subdomain of it, and every path that
 starts with its path; the longest rule wins. A URL therefore has a small, finite set
-of candidate keys: each host suffix at a label boundary, joined with the path's first
+of candidate keys: each host suffix of as many labels as some rule's host, joined with the path's first
 L characters for each path length L that some rule has.
 
 The candidate keys of the whole corpus are the key universe. Level 1 of the cascade
@@ -53,11 +53,11 @@ def path_of(url):
     return F.coalesce(F.regexp_extract(url, r"^(?s:.*?)://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def candidate_keys(host, path, lengths: list[int]):
-    """Every rule key that could fit (longest first)."""
-    labels = F.split(host, r"\.", -1)
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
-                           lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def candidate_keys(host, path, lengths: list[int], label_counts: list[int]):
+    """Every rule key that could fit (longest first): host suffixes of as many labels as
+    some rule's host has, so a host of very many labels costs no more than a short one."""
+    counts = F.filter(F.array(*[F.lit(n) for n in label_counts]), lambda n: F.size(F.split(host, r"\.", -1)) >= n)
+    suffixes = F.transform(counts, lambda n: F.substring_index(host, ".", -n))
     long_enough = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: F.length(path) >= n)
     keys = F.flatten(F.transform(suffixes, lambda s: F.transform(
         long_enough, lambda n: F.concat(s, F.substring(path, F.lit(1), n)))))
@@ -186,11 +186,14 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str
     ``rules``: (verdict, host, path). The list may also be large: it is held as a
     DataFrame of keys from here on."""
     spark = pages.sparkSession
-    clean = sorted({((h or "").lower() + (p or "/"), v) for v, h, p in rules if h and v in ("block", "allow")})
+    lowered = str.maketrans(_UPPER, _LOWER)
+    kept = {(h.translate(lowered), p or "/", v) for v, h, p in rules if h and v in ("block", "allow")}
+    clean = sorted({(h + p, v) for h, p, v in kept})
+    label_counts = sorted({h.count(".") + 1 for h, _, _ in kept}) or [1]
     lengths = sorted({len(k) - k.index("/") for k, _ in clean if "/" in k}, reverse=True) or [1]
     urls = pages.select(pages[id_col].alias("page_id"), host_of(pages[url_col]).alias("host"),
                         path_of(pages[url_col]).alias("path"))
-    urls = urls.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), lengths))
+    urls = urls.withColumn("keys", candidate_keys(F.col("host"), F.col("path"), lengths, label_counts))
     hashed = lambda k: [_h1(k).alias("h1"), _h2(k).alias("h2")]
     rule_rows = spark.createDataFrame(clean, "key string, verdict string").groupBy("key").agg(
         F.max(F.col("verdict") == "block").alias("block"))
