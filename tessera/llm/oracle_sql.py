@@ -42,10 +42,10 @@ OP1 = rf"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS ws
   FROM documents),
-s AS (
-  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
-                                      WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh
-  FROM w),
+u AS (SELECT doc_id, len(ws) AS n, unnest(ws) AS x, generate_subscripts(ws, 1) AS pos FROM w),
+l AS (SELECT *, lead(x) OVER q AS x2, lead(x, 2) OVER q AS x3, lead(x, 3) OVER q AS x4, lead(x, 4) OVER q AS x5
+      FROM u WINDOW q AS (PARTITION BY doc_id ORDER BY pos)),
+s AS (SELECT DISTINCT doc_id, concat_ws(' ', x, x2, x3, x4, x5) AS sh FROM l WHERE x5 IS NOT NULL OR (n < 5 AND pos = 1)),
 c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2),
 e AS (SELECT x, y FROM p JOIN c cx ON cx.doc_id = x JOIN c cy ON cy.doc_id = y WHERE 100 * k >= 75 * (cx.n + cy.n - k)),
@@ -74,26 +74,34 @@ FROM m LEFT JOIN k ON k.vec_id = m.vec_id
 OP12 = rf"""
 WITH p AS (
   SELECT doc_id, coalesce(lang, 'und') AS lang,
-         unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+         unnest(string_split(regexp_replace(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]', chr(10), 'g'), chr(10))) AS piece
   FROM documents),
-w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
-g AS (
-  SELECT lang, m, unnest(list_transform(range(1, len(ws) - m + 2), lambda i: ws[i:i + m - 1])) AS ph
-  FROM w, (SELECT unnest([1, 2, 3]) AS m) WHERE len(ws) >= m),
-f AS (SELECT lang, m, ph, count(*) AS f FROM g GROUP BY lang, m, ph),
-n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
-c AS (SELECT * FROM f WHERE m > 1 AND f >= 10),
-d AS (
-  SELECT DISTINCT s.lang, s.ph FROM c s JOIN (SELECT lang, f, unnest([ph[1:2], ph[2:3]]) AS part FROM c WHERE m = 3) b
-  ON b.lang = s.lang AND b.part = s.ph WHERE 100 * b.f >= 50 * s.f),
+w AS (SELECT row_number() OVER () AS id, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+u AS (SELECT id, lang, unnest(ws) AS x, generate_subscripts(ws, 1) AS pos FROM w),
+t AS (SELECT lang, x, lead(x) OVER q AS y, lead(x, 2) OVER q AS z FROM u WINDOW q AS (PARTITION BY id ORDER BY pos)),
+f3 AS MATERIALIZED (SELECT lang, x, y, z, count(*) AS f FROM t GROUP BY ALL),
+f1 AS MATERIALIZED (SELECT lang, x, sum(f)::BIGINT AS f FROM f3 GROUP BY lang, x),
+f2 AS MATERIALIZED (SELECT lang, x, y, sum(f)::BIGINT AS f FROM f3 WHERE y IS NOT NULL GROUP BY lang, x, y),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f1 GROUP BY lang),
+c3 AS MATERIALIZED (SELECT * FROM f3 WHERE z IS NOT NULL AND f >= 10),
+longer AS (
+  SELECT lang, x, y, max(f) AS f FROM (SELECT lang, x, y, f FROM c3 UNION ALL SELECT lang, y, z, f FROM c3) GROUP BY lang, x, y),
+c2 AS (
+  SELECT f2.* FROM f2 LEFT JOIN longer b ON b.lang = f2.lang AND b.x = f2.x AND b.y = f2.y
+  WHERE f2.f >= 10 AND 100 * coalesce(b.f, 0) < 50 * f2.f),
+q1 AS MATERIALIZED (SELECT [lang, x] AS k, f FROM f1),
+q2 AS MATERIALIZED (SELECT [lang, x, y] AS k, f FROM f2),
 k AS (
-  SELECT c.lang, c.ph, c.f AS a, cut, a.f AS l, b.f AS r,
-         ((1000000::HUGEINT * c.f * c.f) // (a.f::HUGEINT * b.f))::BIGINT AS score
-  FROM c JOIN (SELECT unnest([1, 2]) AS cut) ON cut < c.m
-  JOIN f a ON a.lang = c.lang AND a.ph = c.ph[1:cut]
-  JOIN f b ON b.lang = c.lang AND b.ph = c.ph[cut + 1:]
-  WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.lang = c.lang AND d.ph = c.ph)),
-b AS (SELECT *, array_to_string(ph, ' ') AS phrase, row_number() OVER (PARTITION BY lang, ph ORDER BY score, cut) AS i FROM k),
+  SELECT c.lang, c.x || ' ' || c.y AS phrase, c.f AS a, 1 AS cut, l.f AS l, r.f AS r
+  FROM c2 c JOIN q1 l ON l.k = [c.lang, c.x] JOIN q1 r ON r.k = [c.lang, c.y]
+  UNION ALL
+  SELECT c.lang, c.x || ' ' || c.y || ' ' || c.z, c.f, 1, l.f, r.f
+  FROM c3 c JOIN q1 l ON l.k = [c.lang, c.x] JOIN q2 r ON r.k = [c.lang, c.y, c.z]
+  UNION ALL
+  SELECT c.lang, c.x || ' ' || c.y || ' ' || c.z, c.f, 2, l.f, r.f
+  FROM c3 c JOIN q2 l ON l.k = [c.lang, c.x, c.y] JOIN q1 r ON r.k = [c.lang, c.z]),
+s AS (SELECT *, ((1000000::HUGEINT * a * a) // (l::HUGEINT * r))::BIGINT AS score FROM k),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS i FROM s),
 o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b WHERE i = 1)
 SELECT o.lang, rank, phrase, a, l, r, n, score FROM o JOIN n ON n.lang = o.lang WHERE rank <= 2000
 """
