@@ -41,6 +41,7 @@ END_ID = 2
 STRIDE = 1000
 STRIPE_BYTES = 16 << 20
 BLOOM_FPP = 0.01
+ROWS_BETWEEN_CHECKS = 200  # how often the writer compares the open stripe with its size
 MAX_SLICES = 20_000
 
 
@@ -85,7 +86,7 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str, end_id: int = EN
     (encode_slices(docs, vocabulary, end_id, slices, id_col, text_col).write.mode("overwrite")
      .option("compression", "zstd")
      .option("orc.create.index", "true").option("orc.row.index.stride", str(stride))
-     .option("orc.stripe.size", str(stripe_bytes))
+     .option("orc.stripe.size", str(stripe_bytes)).option("orc.rows.between.memory.checks", str(ROWS_BETWEEN_CHECKS))
      .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", str(BLOOM_FPP))
      .orc(folder))
     return folder
