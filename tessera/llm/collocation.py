@@ -49,6 +49,7 @@ LONGEST = 3
 LEAST = 10
 TOP = 2000
 INSIDE_PERCENT = 50
+PARTS = 16
 CHUNK = 8 << 20
 SAMPLE_DOCS = 2000
 SAMPLE_KEYS = 50
@@ -460,8 +461,12 @@ def mine_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, to
     text = F.col("key").cast("string")
     named = scored.select(F.substring_index(text, "\t", 1).alias("code"), F.rtrim(F.substring_index(text, "\t", -1)).alias("phrase"),
                           F.col("s.f").alias("a"), "s.l", "s.r", "s.score")
-    best = Window.partitionBy("code").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = named.withColumn("rank", F.row_number().over(best).cast("bigint")).where(F.col("rank") <= top)
+    # the best of each part of a language first, so that one task gets PARTS * top rows at most
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    named = named.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    some = named.withColumn("rank", F.row_number().over(Window.partitionBy("code", "part").orderBy(*order))).where(F.col("rank") <= top)
+    best = Window.partitionBy("code").orderBy(*order)
+    ranked = some.withColumn("rank", F.row_number().over(best).cast("bigint")).where(F.col("rank") <= top).drop("part")
     totals = grams.where(~F.contains(F.col("key"), F.lit(b" "))).select(
         F.substring_index(F.col("key").cast("string"), "\t", 1).alias("code"), F.col("f").alias("n"))
     return ranked.join(totals, "code").select(unescaped(F.col("code")).alias("lang"), "rank", "phrase", "a", "l", "r", "n", "score")
