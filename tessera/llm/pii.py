@@ -13,8 +13,10 @@ Training, in numpy-free Python on the driver, maximises the conditional likeliho
 (segmental forward-backward, AdaGrad) over regions of at most ``TRAIN_TEXTS`` short
 texts picked by hash among those that hold candidate characters. Base spans are the
 known entities. Each is also presented in written variants (a phone number without its
-country code, an e-mail address with a bracketed at, a card number with dots, the ip
-with a port), so the field learns forms that the definitions miss.
+country code, an e-mail address with a bracketed at, a card number with dots, an ip
+with bracketed dots), so the field learns forms that the definitions miss; ``ORDINARY`` sentences of
+ordinary numbers (thousands, decimals, dates, versions, book numbers, tables) teach it what
+to leave alone. Regions of more than ``TRAIN_CHUNKS`` chunks are not trained on.
 
 Scanning is one pass of ``mapInArrow`` with the broadcast weights (bounded by the
 feature set). Spans are code points, end exclusive.
@@ -27,6 +29,7 @@ results. Without training regions the field adds nothing.
 from __future__ import annotations
 
 import math
+import random
 import re
 from bisect import bisect
 from collections import defaultdict
@@ -47,7 +50,7 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 
 MAX_CHUNKS = 5
-TRAIN_TEXTS, TRAIN_CHARS, EPOCHS, RATE = 300, 8000, 6, 0.5
+TRAIN_TEXTS, TRAIN_CHARS, TRAIN_CHUNKS, ORDINARY, EPOCHS, RATE = 300, 8000, 40, 600, 8, 0.5
 OUTSIDE = "-"
 
 
@@ -66,7 +69,7 @@ def _only_digits(s: str) -> str:
 
 
 def _octets(s: str) -> bool:
-    return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in s.split("."))
+    return all(len(n) <= 3 and int(n or "0") <= 255 for n in (p.lstrip("0") for p in s.split(".")))
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -196,6 +199,9 @@ def features(region: Region, a: int, b: int) -> list[str]:
         out.append(f"luhn{luhn(digits)}")
     if s.count(".") == 3 and not letters:
         out.append("dotted" + str(re.fullmatch(r"[0-9]+(\.[0-9]+){3}(:[0-9]+)?", s) is not None and _octets(s.split(":")[0])))
+    if s.count("[.]") == 3 or s.count("(.)") == 3:
+        plain = s.replace("[.]", ".").replace("(.)", ".")
+        out.append("bracketed" + str(re.fullmatch(r"[0-9]+(\.[0-9]+){3}", plain) is not None and _octets(plain)))
     if at:
         out.append("host" + str(re.search(r"(@|[)\]])\s?[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+$", s) is not None))
     if a == 0 and region.before in _HINTS:
@@ -318,7 +324,7 @@ def variants(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, li
         return ".".join(d[j:j + 4] for j in range(0, len(d), 4))
 
     def ip(s, i):
-        return s + ":" + ("80", "8080", "443")[i % 3]
+        return s.replace(".", ("[.]", "(.)")[i % 2])
 
     forms = {0: email, 1: ip, 2: card, 3: phone}
     out = [(text, spans)]
@@ -337,8 +343,37 @@ def variants(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, li
     return out
 
 
+def ordinary_numbers(count: int, seed: int = 11) -> list[str]:
+    """Sentences with numbers that are no personal data: grouped thousands, decimals, dates,
+    times, versions, book numbers, tables, sums of money, plain counts."""
+    rng = random.Random(seed)
+    n = rng.randint
+
+    def digits(k):
+        return "".join(str(n(0, 9)) for _ in range(k))
+
+    def thousands(sep):
+        return sep.join([str(n(1, 999)), *(f"{n(0, 999):03d}" for _ in range(n(1, 4)))])
+
+    makers = [
+        lambda: thousands(" "), lambda: thousands(","), lambda: thousands("."), lambda: f"{n(0, 9999)}.{digits(n(1, 9))}",
+        lambda: f"{n(1900, 2099)}-{n(1, 12):02d}-{n(1, 28):02d}", lambda: f"{n(1, 28):02d}.{n(1, 12):02d}.{n(1900, 2099)}",
+        lambda: f"{n(1, 12)}/{n(1, 28)}/{n(1900, 2099)}", lambda: f"{n(0, 23):02d}:{n(0, 59):02d}:{n(0, 59):02d}",
+        lambda: f"{n(1900, 2099)}-{n(1, 12):02d}-{n(1, 28):02d}T{n(0, 23):02d}:{n(0, 59):02d}:{n(0, 59):02d}",
+        lambda: f"v{n(0, 30)}.{n(0, 30)}.{n(0, 99)}", lambda: f"{n(0, 30)}.{n(0, 30)}.{n(0, 9999)}", lambda: f"{n(1, 9)}.{n(0, 9)}",
+        lambda: f"978-{n(0, 9)}-{digits(n(2, 5))}-{digits(n(3, 5))}-{n(0, 9)}", lambda: "978" + digits(10),
+        lambda: " ".join(str(n(0, 10 ** n(1, 3))) for _ in range(n(3, 9))), lambda: " ".join(f"{n(0, 99)}.{n(0, 99)}" for _ in range(n(2, 6))),
+        lambda: " ".join(digits(n(4, 6)) for _ in range(n(2, 5))), lambda: str(n(1, 10 ** n(1, 11))), lambda: f"{n(1, 999)}%", lambda: f"${n(1, 999)},{digits(3)}.{digits(2)}",
+        lambda: f"{n(1900, 2099)}-{n(1900, 2099)}", lambda: f"{n(1900, 2099)}/{n(0, 99):02d}", lambda: f"#{n(1, 10 ** 6)}", lambda: f"({n(1, 99)})",
+        lambda: f"{digits(2)}-{digits(n(3, 6))}", lambda: f"{n(1, 40)}x{n(1, 40)}", lambda: f"{digits(n(1, 4))}e-{n(1, 9)}"]
+    words = "the sales were about units and total table row version of page order item on at from until build chapter score".split()
+    return [" ".join(part for _ in range(n(1, 3)) for part in (*rng.sample(words, n(1, 4)), rng.choice(makers)())) + rng.choice([" units", ".", "", " in all"])
+            for _ in range(count)]
+
+
 def training_regions(texts: list[str]) -> list[tuple[Region, list]]:
-    """Regions with their known entities; those whose ends are not chunk ends are left out."""
+    """Regions of at most ``TRAIN_CHUNKS`` chunks with their known entities; regions with an
+    entity whose ends are not chunk ends are left out."""
     out = []
     for text in texts:
         for version, spans in variants(text, base_spans(text)):
@@ -355,7 +390,7 @@ def training_regions(texts: list[str]) -> list[tuple[Region, list]]:
                         break
                     gold.append((starts[start], ends[end], KINDS[k]))
                     at = ends[end]
-                if fits and len(region.chunks) <= 40:
+                if fits and len(region.chunks) <= TRAIN_CHUNKS:
                     out.append((region, gold))
     return out
 
@@ -365,6 +400,8 @@ def train(texts: list[str]) -> Field:
     data = training_regions(texts)
     if not any(gold for _, gold in data):
         return field
+    ordinary = [(r, []) for t in ordinary_numbers(ORDINARY) if not base_spans(t) for r in regions(t) if len(r.chunks) <= TRAIN_CHUNKS]
+    data = [x for _, x in sorted([((i + 0.5) / len(part), x) for part in (data, ordinary) for i, x in enumerate(part)], key=lambda x: x[0])]
     seen: dict[tuple, float] = defaultdict(float)
     for _ in range(EPOCHS):
         for region, gold in data:
