@@ -56,8 +56,8 @@ def path_of(url):
 def candidate_keys(host, path, lengths: list[int], label_counts: list[int]):
     """Every rule key that could fit (longest first): host suffixes of as many labels as
     some rule's host has, so a host of very many labels costs no more than a short one."""
-    counts = F.filter(F.array(*[F.lit(n) for n in label_counts]), lambda n: F.size(F.split(host, r"\.", -1)) >= n)
-    suffixes = F.transform(counts, lambda n: F.substring_index(host, ".", -n))
+    labels = F.length(host) - F.length(F.replace(host, F.lit("."), F.lit(""))) + 1
+    suffixes = F.array_compact(F.array(*[F.when(labels >= n, F.substring_index(host, ".", -n)) for n in label_counts]))
     long_enough = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: F.length(path) >= n)
     keys = F.flatten(F.transform(suffixes, lambda s: F.transform(
         long_enough, lambda n: F.concat(s, F.substring(path, F.lit(1), n)))))

@@ -98,3 +98,11 @@ def test_empty_tables(spark):
     assert url_filter.judge_urls(df, RULES).count() == 0
     one = spark.createDataFrame([(1, "http://a.net/")], "page_id bigint, url string")
     assert url_filter.judge_urls(one, []).collect()[0].verdict == "allow"
+
+
+def test_hosts_of_very_many_labels(spark):
+    urls = ["http://" + "a." * 50_000 + "net/x", "http://" + "a." * 20_000 + "example.com/de/y", "http://" + "." * 5_000, "http://İ.NET/"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    rules = [*RULES, ("block", "İ.Net", "/")]
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge_urls(df, rules).collect()}
+    assert [got[i][2:] for i in range(4)] == [("net/", "block"), ("example.com/de/", "block"), (None, "allow"), ("İ.net/", "block")]
