@@ -1,20 +1,24 @@
 """Near-duplicate vectors by hierarchical navigable small-world graphs.
 
 Vectors are compared only under equal labels. Equal vectors of a label are one class;
-the classes of a label are dealt by hash into shards of about ``SHARD`` vectors, and
-every shard is searched with every shard of its label: one task per unordered pair of
-shards builds the graph of one side and queries it with the other, so a hot label
-becomes many tasks of bounded size and no task holds a label.
+the classes of a label are dealt by hash into shards of about ``SHARD`` vectors. One stage
+builds the graph of every shard, once, and writes it with its vectors as one row per
+shard; a second stage reads those rows and queries every graph with every shard of its
+label, one task per unordered pair of shards. A hot label becomes many tasks of bounded
+size and no task holds a label.
 
 A graph's nodes are ordered by falling level, so that each layer is a prefix; layers
 are built from the top in batches (searching the part that stands, comparing a batch
 with itself directly, keeping diverse neighbours). Queries run in batches too: all
-beams of a batch take a step together. An audit compares blocks of ``AUDIT`` queries
-with all vectors of the shard until they have ``AUDIT_LINKS`` true links; if all queries
-are used before, these comparisons are the result. While less than ``RECALL`` of the
-audit's links was found, the beam is doubled and the search repeated; if a beam as large
-as the shard fails, too, the links are counted directly, block by block, as are those of
-a query whose whole beam lies above the threshold (more links than the beam holds).
+beams of a batch take a step together.
+
+The recall of a graph is audited when it is built, however few real links there are:
+``AUDIT`` vectors of the shard are turned by a random angle to a cosine between the
+threshold and 1, and each turned vector must find the one it came from. While less than
+``RECALL`` of them do, the beam is doubled; the beam that passed is stored with the graph.
+Only where a beam as large as the shard fails are links counted directly, block by block,
+as are those of a query whose whole beam lies above the threshold (more links than the
+beam holds).
 
 Every link found is verified by cosine in double precision. A task emits one row per
 vector with its number of links (copies counted) and the smallest id it is united with
@@ -29,6 +33,8 @@ its copies count it. Extra columns are ignored, empty tables give empty results.
 
 from __future__ import annotations
 
+import io
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,9 +44,9 @@ from tessera.session import materialize
 
 THRESHOLD = 0.98
 SHARD = 8192
-NEIGHBOURS, GROUND, BUILD_BEAM, BEAM = 12, 24, 48, 48
+NEIGHBOURS, GROUND, BUILD_BEAM, BEAM = 12, 24, 48, 64
 BATCH = 512
-AUDIT, AUDIT_LINKS, RECALL = 256, 400, 0.995
+AUDIT, RECALL = 256, 0.995
 EXPAND = 4
 #: float32 search keeps what is this close to the threshold; double precision decides.
 SLACK = 1e-4
@@ -189,6 +195,20 @@ class Graph:
             ready[live] = np.take_along_axis(all_ready, top, 1)
         return ids, sims
 
+    def pack(self) -> bytes:
+        """Order and links; the vectors are stored apart."""
+        out = io.BytesIO()
+        np.savez(out, order=self.order, sizes=np.array(self.sizes), **{f"links{k}": v for k, v in enumerate(self.links)})
+        return out.getvalue()
+
+    @classmethod
+    def unpack(cls, data: bytes, vectors: np.ndarray) -> "Graph":
+        self, parts = cls.__new__(cls), np.load(io.BytesIO(data))
+        self.order, self.sizes = parts["order"], parts["sizes"].tolist()
+        self.x = np.ascontiguousarray(vectors[self.order], np.float32)
+        self.links = [parts[f"links{k}"] for k in range(len(self.sizes))]
+        return self
+
     def query(self, q: np.ndarray, beam: int):
         """(original positions, similarities) of the best ``beam`` vectors per query."""
         q = q.astype(np.float32)
@@ -202,55 +222,61 @@ class Graph:
         return np.concatenate(out_ids), np.concatenate(out_sims)
 
 
-def _verified(q: np.ndarray, x: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
-    return np.einsum("nd,nd->n", q[i], x[j]) >= threshold
+def planted(x: np.ndarray, threshold: float, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, queries): a sample of unit vectors and, for each, a vector at a cosine
+    between ``threshold`` and 1 from it, in a random direction."""
+    rng = np.random.default_rng(seed)
+    at = rng.permutation(len(x))[:AUDIT]
+    own = x[at].astype(np.float64)
+    aside = rng.normal(size=own.shape)
+    aside -= (aside * own).sum(1, keepdims=True) * own
+    size = np.sqrt((aside * aside).sum(1, keepdims=True))
+    aside = np.where(size > 1e-9, aside / np.maximum(size, 1e-9), 0)
+    cosine = threshold + (1 - threshold) * rng.random((len(at), 1))
+    return at, unit(cosine * own + np.sqrt(1 - cosine * cosine) * aside)
 
 
-def links_of(q: np.ndarray, x: np.ndarray, same: bool, threshold: float = THRESHOLD, recall: float = RECALL) -> np.ndarray:
-    """Boolean matrix (queries, vectors) of verified links; ``same``: both are one shard."""
+def audited_beam(graph: Graph, x: np.ndarray, threshold: float = THRESHOLD, recall: float = RECALL) -> int:
+    """The smallest beam (doubling from ``BEAM``) with which the planted neighbours are
+    found; 0 where even a beam as large as the shard fails."""
+    at, queries = planted(x, threshold)
+    beam = BEAM
+    while True:
+        ids, _ = graph.query(queries, beam)
+        if (ids == at[:, None]).any(1).sum() >= recall * len(at):
+            return beam
+        if beam >= len(x):
+            return 0
+        beam *= 2
+
+
+def links_of(q: np.ndarray, x: np.ndarray, same: bool, graph: Graph, beam: int, threshold: float = THRESHOLD) -> np.ndarray:
+    """Boolean matrix (queries, vectors) of verified links, found in ``graph`` over ``x`` with
+    its audited ``beam``; ``same``: queries and vectors are one shard."""
     n, m = len(q), len(x)
     out = np.zeros((n, m), bool)
-    if not n or not m:
-        return out
 
-    def count(rows: np.ndarray) -> int:
-        """Links of these queries against every vector, written to ``out``."""
-        out[rows] = q[rows] @ x.T >= threshold
-        if same:
-            out[rows, rows] = False
-        return int(out[rows].sum())
-
-    dealt, seen, links = np.random.default_rng(1).permutation(n), 0, 0
-    while seen < n and links < AUDIT_LINKS:
-        links += count(dealt[seen:seen + AUDIT])
-        seen += AUDIT
-    if seen >= n:
+    def count(rows: np.ndarray) -> None:
+        """Links of these queries against every vector."""
+        for a in range(0, len(rows), AUDIT):
+            out[rows[a:a + AUDIT]] = q[rows[a:a + AUDIT]] @ x.T >= threshold
+
+    if not n or not m:
         return out
-    audit = dealt[:seen]
-    truth = out[audit]
-    graph = Graph(x)
-    beam = BEAM
-    while True:
+    if beam:
         ids, sims = graph.query(q, beam)
         i, k = np.nonzero((ids >= 0) & (sims >= threshold - SLACK))
         j = ids[i, k]
-        out[:] = False
-        ok = _verified(q, x, i, j, threshold)
+        ok = np.einsum("nd,nd->n", q[i], x[j]) >= threshold
         out[i[ok], j[ok]] = True
-        full = np.flatnonzero((sims[:, -1] >= threshold - SLACK) & (ids[:, -1] >= 0))
-        for a in range(0, len(full), AUDIT):  # more links than the beam holds
-            count(full[a:a + AUDIT])
-        if same:
-            np.fill_diagonal(out, False)
-            out |= out.T
-        if (out[audit] & truth).sum() >= recall * truth.sum():
-            out[audit] |= truth
-            return out | out.T if same else out
-        if beam >= m:
-            for a in range(0, n, AUDIT):
-                count(np.arange(a, min(n, a + AUDIT)))
-            return out
-        beam *= 2
+        if beam < m:  # more links than the beam holds
+            count(np.flatnonzero((sims[:, -1] >= threshold - SLACK) & (ids[:, -1] >= 0)))
+    else:
+        count(np.arange(n))
+    if same:
+        np.fill_diagonal(out, False)
+        out |= out.T
+    return out
 
 
 def united(links: np.ndarray, ids_q: np.ndarray, ids_x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -265,24 +291,44 @@ def united(links: np.ndarray, ids_q: np.ndarray, ids_x: np.ndarray) -> tuple[np.
             return name_q, name_x
 
 
-def _task(pdf, threshold: float, recall: float):
+def _build(pdf, threshold: float, recall: float):
+    """One shard's row: its vectors, their ids and sizes, the graph and its beam."""
     import pandas as pd
-    left, right = int(pdf["x"].iloc[0]), int(pdf["y"].iloc[0])
     pdf = pdf.sort_values("rep")
-    one, two = pdf[pdf["shard"] == left], pdf[pdf["shard"] == right]
-    matrix = lambda t: unit(np.stack(t["embedding"].to_numpy())) if len(t) else np.zeros((0, 1))
-    q, ids_q, n_q = matrix(one), one["rep"].to_numpy(), one["n"].to_numpy()
-    if left == right:
-        links = links_of(q, q, True, threshold, recall)
-        a, b = np.nonzero(links)
-        counts = np.bincount(a, weights=n_q[b], minlength=len(q))
-        name, other = united(links, ids_q, ids_q)
-        out = pd.DataFrame({"rep": ids_q, "links": counts.astype(np.int64), "least": np.minimum(name, other)})
+    vectors = np.stack(pdf["embedding"].to_numpy())
+    x = unit(vectors)
+    graph = Graph(x)
+    beam = audited_beam(graph, x, threshold, recall)
+    kind = "f4" if vectors.dtype == np.float32 else "f8"
+    return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "shards": [int(pdf["shards"].iloc[0])], "kind": [kind],
+                         "reps": [pdf["rep"].to_numpy("<i8").tobytes()], "counts": [pdf["n"].to_numpy("<i8").tobytes()],
+                         "vectors": [vectors.astype("<" + kind).tobytes()], "graph": [graph.pack()], "beam": [beam]})
+
+
+def _shard(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(unit vectors, representatives, class sizes) of a stored shard."""
+    reps = np.frombuffer(row["reps"], "<i8")
+    return unit(np.frombuffer(row["vectors"], "<" + row["kind"]).reshape(len(reps), -1)), reps, np.frombuffer(row["counts"], "<i8")
+
+
+def _task(pdf, threshold: float):
+    """Query the graph of the shard ``y`` with the shard ``x``."""
+    import pandas as pd
+    stored = {int(r["shard"]): r for r in pdf.to_dict("records")}
+    left, right = stored.get(int(pdf["x"].iloc[0])), stored.get(int(pdf["y"].iloc[0]))
+    empty = pd.DataFrame({"rep": np.empty(0, np.int64), "links": np.empty(0, np.int64), "least": np.empty(0, np.int64)})
+    if left is None or right is None:  # a shard that got no vectors
+        return empty
+    same = left is right
+    x, ids_x, n_x = _shard(right)
+    q, ids_q, n_q = (x, ids_x, n_x) if same else _shard(left)
+    links = links_of(q, x, same, Graph.unpack(right["graph"], x), int(right["beam"]), threshold)
+    a, b = np.nonzero(links)
+    name_q, name_x = united(links, ids_q, ids_x)
+    if same:
+        out = pd.DataFrame({"rep": ids_q, "links": np.bincount(a, weights=n_q[b], minlength=len(q)).astype(np.int64),
+                            "least": np.minimum(name_q, name_x)})
     else:
-        x, ids_x, n_x = matrix(two), two["rep"].to_numpy(), two["n"].to_numpy()
-        links = links_of(q, x, False, threshold, recall)
-        a, b = np.nonzero(links)
-        name_q, name_x = united(links, ids_q, ids_x)
         out = pd.DataFrame({"rep": np.concatenate([ids_q, ids_x]), "least": np.concatenate([name_q, name_x]),
                             "links": np.concatenate([np.bincount(a, weights=n_x[b], minlength=len(q)),
                                                      np.bincount(b, weights=n_q[a], minlength=len(x))]).astype(np.int64)})
@@ -305,18 +351,25 @@ def near_duplicate_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: st
     classes = materialize(classes.withColumn("dim", F.size("embedding")), "vectors")
     sizes = classes.groupBy("label", "dim").agg(F.ceil(F.count("*") / shard).cast("bigint").alias("shards"))
     dealt = classes.join(sizes, ["label", "dim"]).withColumn("shard", F.pmod(F.xxhash64("rep"), "shards"))
-    paired = (dealt.withColumn("o", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shards") - 1)))
-              .select("label", "dim", F.least("shard", "o").alias("x"), F.greatest("shard", "o").alias("y"), "shard", "rep", "n", "embedding"))
-    found = paired.groupBy("label", "dim", "x", "y").applyInPandas(
-        lambda pdf: _task(pdf, threshold, recall), "rep bigint, links bigint, least bigint")
+    graphs = materialize(dealt.select("label", "dim", "shard", "shards", "rep", "n", "embedding").groupBy("label", "dim", "shard").applyInPandas(
+        lambda key, pdf: _build(pdf, threshold, recall).assign(label=[key[0]], dim=[key[1]]),
+        f"label {dict(dealt.dtypes)['label']}, dim int, shard bigint, shards bigint, kind string, reps binary, counts binary, vectors binary, graph binary, beam int"),
+        "vector-graphs")
+    paired = (graphs.withColumn("o", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shards") - 1)))
+              .withColumns({"x": F.least("shard", "o"), "y": F.greatest("shard", "o")}))
+    # the queried side needs its graph, the other one its vectors only
+    paired = paired.withColumn("graph", F.when(F.col("shard") == F.col("y"), F.col("graph")))
+    found = paired.groupBy("label", "dim", "x", "y").applyInPandas(lambda pdf: _task(pdf, threshold), "rep bigint, links bigint, least bigint")
     found = materialize(found, "links")
     comps = connected_components(found.select(F.col("rep").alias("a"), F.col("least").alias("b")))
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     of_rep = classes.select("label", "k1", "k2", "rep", "n").join(links, "rep", "left").join(
         comps.withColumnRenamed("id", "rep"), "rep", "left")
     named = of_rep.select("label", "k1", "k2", "n", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "rep").alias("comp"))
-    out = keyed.select("vec_id", "label", F.when(F.col("embedding").isNotNull(), F.col("k1")).alias("k1"),
-                       F.when(F.col("embedding").isNotNull(), F.col("k2")).alias("k2")).join(named, ["label", "k1", "k2"], "left")
+    # rows without a sound vector link with nothing; they are split off, not joined on nulls
+    whole = keyed.where("embedding is not null").select("vec_id", "label", "k1", "k2").join(named, ["label", "k1", "k2"], "left")
+    bare = keyed.where("embedding is null").select("vec_id", *[F.lit(None).cast("bigint").alias(c) for c in ("n", "links", "comp")])
+    out = whole.select("vec_id", "n", "links", "comp").unionByName(bare)
     component = F.coalesce("comp", "vec_id")
     return out.select("vec_id", F.coalesce(F.col("links") + F.col("n") - 1, F.lit(0)).alias("n_links"),
                       component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))

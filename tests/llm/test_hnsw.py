@@ -55,13 +55,18 @@ def test_awkward_vectors(spark):
     assert H.near_duplicate_vectors(frame(spark, [])).count() == 0
 
 
+def linked(q, x, same):
+    graph = H.Graph(x)
+    return H.links_of(q, x, same, graph, H.audited_beam(graph, x))
+
+
 def test_dense_group_beyond_the_beam():
     rng = np.random.default_rng(5)
     x = H.unit(np.concatenate([rng.normal(size=12) + 0.01 * rng.normal(size=(300, 12)), rng.normal(size=(500, 12))]))
     truth = x @ x.T >= 0.98
     np.fill_diagonal(truth, False)
     assert truth[:300].sum() > 300 * 290
-    assert np.array_equal(H.links_of(x, x, True), truth)
+    assert np.array_equal(linked(x, x, True), truth)
 
 
 def test_recall_of_the_graph_alone():
@@ -73,34 +78,65 @@ def test_recall_of_the_graph_alone():
 
 
 def test_beam_widens_until_the_audit_passes(monkeypatch):
-    beams = []
-    query = H.Graph.query
-    monkeypatch.setattr(H.Graph, "query", lambda self, q, beam: (beams.append(beam), query(self, q, min(beam, 1) if beam < 150 else beam))[1])
-    x = H.unit(clustered(seed=2, n=200))
-    truth = x @ x.T >= 0.98
-    np.fill_diagonal(truth, False)
-    assert np.array_equal(H.links_of(x, x, True), truth) or len(beams) > 1
-    assert beams == sorted(beams)
+    beams, query = [], H.Graph.query
 
+    def short_sighted(self, q, beam):
+        beams.append(beam)
+        ids, sims = query(self, q, beam)
+        return (ids, sims) if beam >= 200 else (np.full_like(ids, -1), np.full_like(sims, -9))
 
-def blind(monkeypatch):
-    """Searches find nothing."""
-    monkeypatch.setattr(H.Graph, "query", lambda self, q, beam: (np.full((len(q), beam), -1), np.full((len(q), beam), -9.0)))
+    monkeypatch.setattr(H.Graph, "query", short_sighted)
+    x = H.unit(clustered(seed=2, n=600))
+    assert H.audited_beam(H.Graph(x), x) == 256 and beams == [64, 128, 256]
 
 
-def test_audit_draws_until_it_has_seen_links(monkeypatch):
-    blind(monkeypatch)
-    rng = np.random.default_rng(4)
-    q, x = H.unit(rng.normal(size=(1500, 24))), H.unit(rng.normal(size=(1200, 24)))
-    x[:5] = q[701:706]  # five links, in no block of 256 evenly spread queries
-    assert not np.isin(np.arange(701, 706), np.linspace(0, 1499, 256).astype(int)).all()
-    assert np.array_equal(H.links_of(q, x, False), q @ x.T >= 0.98)
+def test_planted_neighbours_lie_above_the_threshold():
+    x = H.unit(clustered(seed=8, n=900, dim=20))
+    at, q = H.planted(x, 0.98)
+    cosine = np.einsum("nd,nd->n", x[at], q)
+    assert len(set(at.tolist())) == H.AUDIT and cosine.min() >= 0.98 - 1e-9 and cosine.max() <= 1 and cosine.std() > 0.003
 
 
 def test_failed_audit_is_counted_directly(monkeypatch):
-    blind(monkeypatch)
+    monkeypatch.setattr(H.Graph, "query", lambda self, q, beam: (np.full((len(q), beam), -1), np.full((len(q), beam), -9.0)))
     x = H.unit(np.concatenate([clustered(seed=6, n=1200, dim=12)] * 2) + 1e-4)
     truth = x @ x.T >= 0.98
-    assert np.array_equal(H.links_of(x, x[:900], False), truth[:, :900])
+    assert H.audited_beam(H.Graph(x), x) == 0
+    assert np.array_equal(linked(x, x[:900], False), truth[:, :900])
+    np.fill_diagonal(truth, False)
+    assert np.array_equal(linked(x, x, True), truth)
+
+
+@pytest.mark.parametrize("noise", [0.02, 1.0])
+def test_recall_of_links_on_dense_and_sparse_shards(noise):
+    """Against brute force: clusters with many links, and random vectors with a few dozen."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(4000, 48))
+    x[2000:2400] = x[:400] + 0.1 * rng.normal(size=(400, 48))
+    if noise < 1:
+        x = x[rng.integers(0, 300, 4000)] + noise * rng.normal(size=x.shape)
+    x = H.unit(x)
+    truth = x @ x.T >= 0.98
     np.fill_diagonal(truth, False)
-    assert np.array_equal(H.links_of(x, x, True), truth)
+    got = linked(x, x, True)
+    assert not (got & ~truth).any() and truth.any()
+    assert (got & truth).sum() >= 0.995 * truth.sum()
+
+
+def test_graph_survives_packing():
+    x = H.unit(clustered(seed=3, n=500))
+    graph = H.Graph(x)
+    again = H.Graph.unpack(graph.pack(), x)
+    assert all(np.array_equal(a, b) for a, b in zip(graph.query(x[:50], 64), again.query(x[:50], 64)))
+
+
+def test_one_graph_per_shard_of_the_given_table(spark, tmp_path):
+    """Every shard's graph is built once and written, sparse tables included."""
+    import glob
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    before = set(glob.glob(f"{spark.sparkContext.getCheckpointDir().removeprefix('file:')}/tables/vector-graphs-*"))
+    H.near_duplicate_vectors(df, shard=100)
+    made = set(glob.glob(f"{spark.sparkContext.getCheckpointDir().removeprefix('file:')}/tables/vector-graphs-*")) - before
+    graphs = spark.read.parquet(made.pop())
+    assert graphs.count() == graphs.select("label", "dim", "shard").distinct().count() > df.select("label").distinct().count()
+    assert graphs.where("beam = 0").count() == 0 and not made
