@@ -50,7 +50,7 @@ LEAST = 10
 TOP = 2000
 INSIDE_PERCENT = 50
 PARTS = 16
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 SAMPLE_DOCS = 2000
 SAMPLE_KEYS = 50
 UNKNOWN = "und"
@@ -64,18 +64,19 @@ WORD_BYTES = ~(BREAKS | byte_class(b" \t"))
 def _chunks(batches) -> Iterator[tuple[list[bytes], list[str]]]:
     """(texts, languages) of about ``CHUNK`` bytes; longer texts are cut at breaks."""
     texts, langs, size = [], [], 0
-    for batch in batches:
-        for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            lang = UNKNOWN if lang is None else lang
-            data = (text or "").encode()
-            while data:
-                part, data = (data, b"") if len(data) <= CHUNK else _cut(data)
-                texts.append(part)
-                langs.append(lang)
-                size += len(part)
-                if size >= CHUNK:
-                    yield texts, langs
-                    texts, langs, size = [], [], 0
+    rows = (r for batch in batches for at in range(0, batch.num_rows, 256)
+            for part in [batch.slice(at, 256)] for r in zip(part.column(0).to_pylist(), part.column(1).to_pylist()))
+    for text, lang in rows:
+        lang = UNKNOWN if lang is None else lang
+        data = (text or "").encode()
+        while data:
+            part, data = (data, b"") if len(data) <= CHUNK else _cut(data)
+            texts.append(part)
+            langs.append(lang)
+            size += len(part)
+            if size >= CHUNK:
+                yield texts, langs
+                texts, langs, size = [], [], 0
     if texts:
         yield texts, langs
 
