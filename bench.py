@@ -6,7 +6,10 @@ Each query is first run on the smallest data set (warm-up of the same code paths
 then timed twice on ``$BENCH_SF_DIR``: plan construction (including the eager size
 checks and materialised intermediates) plus full execution into Spark's ``noop``
 sink. ``queries`` holds the better of the two runs, ``cold_queries`` the first run at
-that scale (it includes JIT compilation of the hot loops). Prints one JSON line.
+that scale (it includes JIT compilation of the hot loops). The silver table that queries
+over cleaned rows land once per session is dropped before every timed run, so each of them
+pays for the whole ETL; ``landed_queries`` times the same queries again over the landed
+table. Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -47,19 +50,24 @@ def main() -> None:
     from tessera.session import build_session
 
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus))
-    timings, cold = {}, {}
+    timings, cold, landed = {}, {}, {}
     for name in names:
         fn = catalog.QUERIES[name]
         if os.path.isdir(WARMUP_DIR):
             run(spark, fn, WARMUP_DIR)
+        catalog._LANDED.clear()
         first = run(spark, fn, sf_dir)
+        catalog._LANDED.clear()
         second = run(spark, fn, sf_dir)
+        if catalog._LANDED:
+            landed[name] = round(run(spark, fn, sf_dir), 3)
         cold[name] = round(first, 3)
         timings[name] = round(min(first, second), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_queries_total_wall", "value": round(sum(timings.values()), 3),
                       "unit": "sec", "queries": timings, "sf": sf, "cpus": cpus,
-                      "cold_queries": cold, "cold_total": round(sum(cold.values()), 3)}))
+                      "cold_queries": cold, "cold_total": round(sum(cold.values()), 3),
+                      "landed_queries": landed}))
     spark.stop()
 
 

@@ -20,7 +20,7 @@ from tessera.schema import ADAPTER_ORDER_COLUMNS, RAW_SCHEMA, STANDARDISED_COLUM
 from tessera.session import materialize, scratch_path
 from tessera.sinks import writers
 from tessera.sinks.versioned import VersionedTable
-from tessera.sources import files
+from tessera.sources import files, quarantine
 from tessera.sources.adapter import ADAPTER_TABLES, raw_transactions
 from tessera.sources.tables import input_state, row_count, scan_table, table
 from tessera.streaming import ingest
@@ -616,6 +616,33 @@ def q_etl_clean_from_csv(spark, sf_dir):
     return cleaned.withColumn("Transaction_Value", round_half_up("Transaction_Value", 4))
 
 
+def _damaged(spark, sf_dir):
+    """A raw CSV in which some lines are cut off and some have an area that is no number;
+    read with the quarantine scan."""
+    raw, schema = _raw(spark, sf_dir, with_order=True), files.raw_schema_with(ORDER_FIELDS)
+    text = raw.select([F.col(f.name).cast("string").alias(f.name) for f in schema])
+    text = text.withColumn("Area_sqm", F.when(F.col("l_partkey").cast("bigint") % 43 == 7, F.lit("12O.5")).otherwise(F.col("Area_sqm")))
+    line = F.to_csv(F.struct(*[f.name for f in schema]), {k: v for k, v in files.CSV_KEEP_BLANKS.items()})
+    path = scratch_path(spark, "damaged-csv")
+    cut = F.col("l_partkey").cast("bigint") % 41 == 5
+    text.select(F.when(cut, F.substring_index(line, ",", 4)).otherwise(line).alias("value")).write.text(path)
+    return quarantine.read_checked(spark, path, schema, scratch_path(spark, "quarantine"), max_share=0.1, header=False)
+
+
+@register("scan_csv_checked")
+def q_scan_csv_checked(spark, sf_dir):
+    return _damaged(spark, sf_dir).kept
+
+
+@register("scan_csv_rejected")
+def q_scan_csv_rejected(spark, sf_dir):
+    """Rejected lines by reason and column, with what was kept and read."""
+    found = _damaged(spark, sf_dir)
+    by = found.rejected.groupBy("reason", F.array_join("bad_columns", ",").alias("bad_columns")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("line_count"), F.count(F.when(F.length("line") > 0, 1)).cast("bigint").alias("with_text"))
+    return by.withColumns({"rows_in": F.lit(found.rows_in).cast("bigint"), "rows_kept": F.lit(found.rows_in - found.rows_rejected).cast("bigint")})
+
+
 @register("scan_bronze")
 def q_scan_bronze(spark, sf_dir):
     return files.register_bronze(_raw(spark, sf_dir))

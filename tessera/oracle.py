@@ -674,6 +674,13 @@ FROM fact, (SELECT avg(price_per_sqm) AS m, stddev_samp(price_per_sqm) AS sd FRO
     order_cols = f"{RAW_COLS}, l_partkey, l_suppkey, l_extendedprice"
     q["scan_csv_typed"] = with_(RAW) + f"SELECT {order_cols} FROM raw"
     q["scan_csv_inferred"] = q["scan_csv_typed"]
+    q["scan_csv_checked"] = q["scan_csv_typed"] + " WHERE l_partkey % 41 <> 5 AND l_partkey % 43 <> 7"
+    q["scan_csv_rejected"] = with_(RAW) + """
+SELECT *, CAST(line_count AS BIGINT) AS with_text, (SELECT count(*) FROM raw) AS rows_in,
+       (SELECT count(*) FROM raw WHERE l_partkey % 41 <> 5 AND l_partkey % 43 <> 7) AS rows_kept
+FROM (SELECT CASE WHEN l_partkey % 41 = 5 THEN 'columns' ELSE 'values' END AS reason,
+             CASE WHEN l_partkey % 41 = 5 THEN NULL ELSE 'Area_sqm' END AS bad_columns, count(*) AS line_count
+      FROM raw WHERE l_partkey % 41 = 5 OR l_partkey % 43 = 7 GROUP BY ALL)"""
     q["union_chunks"] = with_(RAW) + f"SELECT {order_cols} FROM raw"
     q["scan_bronze"] = with_(RAW) + f"SELECT {RAW_COLS} FROM raw"
     q["row_count"] = with_(RAW) + "SELECT CAST(count(*) AS BIGINT) AS row_count FROM raw"

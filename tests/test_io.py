@@ -63,3 +63,40 @@ def test_write_if_any_skips_empty(spark, sample_df):
     assert path is None and n == 0
     path, n = writers.write_if_any(sample_df, scratch_path(spark, "some"))
     assert n == 5 and os.path.isdir(local(path))
+
+
+SMALL = "id string, n bigint, x double, flag boolean"
+
+
+def _lines(spark, text):
+    path = scratch_path(spark, "lines")
+    spark.createDataFrame([(t,) for t in text], "value string").coalesce(1).write.text(path)
+    return path
+
+
+def test_bad_lines_are_kept_apart_with_their_reason(spark):
+    from pyspark.sql import types as T
+    from tessera.sources import quarantine
+    lines = ["id,n,x,flag", "a,1,2.5,true", "b,NA,nan,false", "c,one,2.5,true", "d,1,2.5", "e,1,2.5,true,more", "f,9223372036854775808,x,maybe",
+             '"g,h",2,-1e3,true', ",,,", " i ,3,0,TRUE"]
+    schema = T.StructType.fromDDL(SMALL)
+    path, bad = _lines(spark, lines), scratch_path(spark, "bad")
+    got = quarantine.read_checked(spark, path, schema, bad)
+    assert sorted(map(tuple, got.kept.fillna(-1.0, ["x"]).collect()), key=repr) == sorted(
+        [("a", 1, 2.5, True), ("b", None, -1.0, False), ("g,h", 2, -1000.0, True), (None, None, -1.0, None), (" i ", 3, 0.0, True)], key=repr)
+    by = {r.line.split(",")[0]: (r.reason, r.bad_columns) for r in got.rejected.collect()}
+    assert by == {"c": ("values", ["n"]), "d": ("columns", None), "e": ("columns", None), "f": ("values", ["n", "x", "flag"])}
+    assert (got.rows_in, got.rows_rejected) == (9, 4) and got.kept.count() + got.rejected.count() == got.rows_in
+    assert spark.read.parquet(bad).where("file LIKE '%.txt' AND row >= 0").count() == 4
+
+
+def test_too_many_bad_lines_stop_the_load_but_are_written(spark):
+    import pytest
+    from pyspark.sql import types as T
+    from tessera.sources import quarantine
+    path, bad = _lines(spark, ["id,n,x,flag", "a,1,2,true", "b,z,2,true"]), scratch_path(spark, "bad")
+    with pytest.raises(quarantine.TooManyBadLines):
+        quarantine.read_checked(spark, path, T.StructType.fromDDL(SMALL), bad, max_share=0.4)
+    assert spark.read.parquet(bad).count() == 1
+    empty = quarantine.read_checked(spark, _lines(spark, ["id,n,x,flag"]), T.StructType.fromDDL(SMALL), max_share=0.0)
+    assert empty.kept.count() == 0 and empty.rows_in == 0
