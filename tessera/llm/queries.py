@@ -25,10 +25,11 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write a content-addressed archive of all pages, read it back, one row per page."""
+    """Write a content-addressed archive of all pages, rebuild every record from it, one row
+    per page with the digests of the rebuilt records."""
     folder = scratch_path(spark, "warc")
     warc.write_archive(documents(spark, sf_dir, "pages"), folder)
-    return warc.read_archive(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.digests_of_records(warc.original_records(spark, folder))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,7 +58,7 @@ def write_archive(pages: DataFrame, folder: str, id_col: str = "page_id", url_co
     stored = rows.select(F.sha2("payload", 256).alias("sha256"), "payload")
     stored.groupBy("sha256").agg(F.first("payload").alias("payload")).select(
         "sha256", F.octet_length("payload").cast("bigint").alias("payload_bytes"), "payload"
-    ).write.mode("overwrite").parquet(f"{folder}/payloads")
+    ).write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/payloads")
 
     index = rows.select("page_id", "url", F.sha2("payload", 256).alias("sha256"), base32_sha1(F.col("payload")).alias("sha1"),
                         F.octet_length("payload").cast("bigint").alias("n"))
@@ -109,8 +109,30 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def original_records(spark: SparkSession, folder: str) -> DataFrame:
-    """page_id and the exact bytes of each WARC record (a revisit has no payload)."""
-    body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
+    """The exact bytes of every WARC record (``record``; a revisit has no payload), rebuilt by
+    joining headers and store, with page_id, record_type, refers_to, the number of bytes
+    before the payload and the store's verified figures.
+
+    Only responses need payload bytes, so revisits join narrow rows of the store, however
+    many refer to one payload."""
     crlf = F.lit(b"\r\n")
-    return read_archive(spark, folder).select("page_id", F.concat(
-        F.col("header"), crlf, F.col("http_header"), crlf, body, crlf, crlf).alias("record"))
+
+    def rebuilt(rows: DataFrame, body) -> DataFrame:
+        before = F.concat(F.col("header"), crlf, F.col("http_header"), crlf)
+        return rows.select("page_id", "record_type", "refers_to", "payload_bytes", "payload_digest",
+                           F.octet_length(before).alias("payload_at"), F.concat(before, body, crlf, crlf).alias("record"))
+
+    found = read_archive(spark, folder)
+    response = F.col("record_type") == "response"
+    return rebuilt(found.where(response), F.col("payload")).unionByName(rebuilt(found.where(~response), F.lit(b"")))
+
+
+def digests_of_records(records: DataFrame) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to. The figures of a
+    response are taken from the bytes of its rebuilt record, those of a revisit from the
+    verified payload it shares."""
+    payload = F.substring(F.col("record"), F.col("payload_at") + 1, F.octet_length("record") - F.col("payload_at") - 4)
+    response = F.col("record_type") == "response"
+    return records.select(
+        "page_id", F.when(response, F.octet_length(payload).cast("bigint")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(response, base32_sha1(payload)).otherwise(F.col("payload_digest")).alias("payload_digest"), "record_type", "refers_to")

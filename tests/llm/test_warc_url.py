@@ -2,6 +2,7 @@ import base64
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import url_filter, warc
 from tessera.session import scratch_path
@@ -50,6 +51,21 @@ def test_original_records_and_corruption(spark):
         warc.read_archive(spark, other).collect()
 
 
+def test_digests_come_from_the_rebuilt_records(spark):
+    folder = scratch_path(spark, "warc-test")
+    warc.write_archive(pages(spark, ROWS), folder)
+    records = warc.original_records(spark, folder)
+    cols = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    key = lambda d: sorted((tuple(r) for r in d.select(*cols).collect()), key=repr)
+    assert key(warc.digests_of_records(records)) == key(warc.read_archive(spark, folder))
+    # one byte more in a record's payload shows
+    crlf = F.lit(b"\r\n")
+    longer = records.withColumn("record", F.concat(F.substring(F.col("record"), F.lit(1), F.octet_length("record") - 4), F.lit(b"!"), crlf, crlf))
+    got = {r.page_id: r.payload_bytes for r in warc.digests_of_records(longer).where("record_type = 'response'").collect()}
+    want = {r.page_id: r.payload_bytes + 1 for r in warc.read_archive(spark, folder).where("record_type = 'response'").collect()}
+    assert got == want
+
+
 def test_minimum_payload_and_empty(spark):
     folder = scratch_path(spark, "warc-test")
     warc.write_archive(pages(spark, ROWS), folder, min_bytes=4)
