@@ -22,6 +22,7 @@ from tessera.sinks import writers
 from tessera.sinks.versioned import VersionedTable
 from tessera.sources import files, quarantine
 from tessera.sources.adapter import ADAPTER_TABLES, raw_transactions
+from tessera.sources.statistics import footer_statistics
 from tessera.sources.tables import input_state, row_count, scan_table, table
 from tessera.streaming import ingest
 
@@ -653,6 +654,12 @@ def q_row_count(spark, sf_dir):
     return row_count(_raw(spark, sf_dir))
 
 
+@register("footer_statistics")
+def q_footer_statistics(spark, sf_dir):
+    """Row counts and key ranges of the line items, from the files' footers."""
+    return footer_statistics(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag"])
+
+
 @register("scan_table")
 def q_scan_table(spark, sf_dir):
     path = writers.replace_table(_fact(spark, sf_dir), scratch_path(spark, "fact"))

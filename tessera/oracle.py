@@ -673,6 +673,9 @@ FROM fact, (SELECT avg(price_per_sqm) AS m, stddev_samp(price_per_sqm) AS sd FRO
         "FROM housing WHERE price_per_sqm < 0"
     order_cols = f"{RAW_COLS}, l_partkey, l_suppkey, l_extendedprice"
     q["scan_csv_typed"] = with_(RAW) + f"SELECT {order_cols} FROM raw"
+    q["footer_statistics"] = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS row_count, CAST(min({c}) AS VARCHAR) AS least, CAST(max({c}) AS VARCHAR) AS greatest FROM lineitem"
+        for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag"))
     q["scan_csv_inferred"] = q["scan_csv_typed"]
     q["scan_csv_checked"] = q["scan_csv_typed"] + " WHERE l_partkey % 41 <> 5 AND l_partkey % 43 <> 7"
     q["scan_csv_rejected"] = with_(RAW) + """

@@ -100,3 +100,19 @@ def test_too_many_bad_lines_stop_the_load_but_are_written(spark):
     assert spark.read.parquet(bad).count() == 1
     empty = quarantine.read_checked(spark, _lines(spark, ["id,n,x,flag"]), T.StructType.fromDDL(SMALL), max_share=0.0)
     assert empty.kept.count() == 0 and empty.rows_in == 0
+
+
+def test_footer_statistics_read_no_rows(spark):
+    from tessera.sources import statistics
+    path = scratch_path(spark, "footers")
+    df = spark.createDataFrame([(i, None if i % 3 else i * 2, float("nan") if i == 4 else i / 2, f"t{i}") for i in range(50)],
+                               "a bigint, b int, c double, d string")
+    df.repartition(4).write.parquet(path)
+    got = {r.column_name: (r.row_count, r.least, r.greatest) for r in statistics.footer_statistics(spark, path).collect()}
+    assert got == {"a": (50, "0", "49"), "b": (50, "0", "96"), "c": (50, "0.0", "NaN"), "d": (50, "t0", "t9")}
+    plan = statistics.pushed_aggregation(spark, path, ["a", "b"])
+    assert "PushedAggregation: [COUNT(*), MIN(a), MAX(a), MIN(b), MAX(b)]" in plan
+    assert "PushedAggregation: [" not in statistics.pushed_aggregation(spark, path, ["d"]) or "MIN(d)" not in plan
+    empty = scratch_path(spark, "footers")
+    df.limit(0).write.parquet(empty)
+    assert {tuple(r)[1:] for r in statistics.footer_statistics(spark, empty).collect()} == {(0, None, None)}
