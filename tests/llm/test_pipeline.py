@@ -40,6 +40,6 @@ def test_stages_equal_operators_one_by_one(spark):
 
 def test_registration():
     names = set(queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {n.split("_")[0] + "_" for n in names if n.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {n.split("_")[0] + "_" for n in names if n.startswith("op")}
     assert "pipeline" in names and "pipeline" not in oracle_sql()
     assert len(corpus_pipeline.STAGES) == 5
