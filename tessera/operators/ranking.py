@@ -43,3 +43,24 @@ def global_rank(df: DataFrame, order_col: str, descending: bool = True, out: str
     kind = "int" if before < 2 ** 31 else "bigint"
     return (df.join(ranks, df[order_col].eqNullSafe(F.col("__v")), "left")
               .withColumn(out, F.col("__rank").cast(kind)).drop("__v", "__rank"))
+
+
+def first_rows(df: DataFrame, key: str, n: int, slices: int | None = None) -> DataFrame:
+    """The ``n`` rows with the smallest values of the unique column ``key`` (nulls first), for
+    an ``n`` that is too large to sort in one task together with every other task's first
+    ``n``: the keys alone are dealt out in ranges and written, the counts of the ranges tell
+    in which one the n-th key lies, and only that range is sorted. Rows that share the n-th
+    key all stay. ``df`` is read twice; give a written table."""
+    spark = df.sparkSession
+    if slices is None:
+        slices = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), -(-df.count() // SLICE_VALUES))
+    order = F.col("__k").asc_nulls_first()
+    keys = materialize(df.select(F.col(key).alias("__k")).repartitionByRange(slices, order).withColumn("__slice", F.spark_partition_id()), "first-keys")
+    before = 0
+    for r in sorted(keys.groupBy("__slice").count().collect()):
+        if before + r["count"] >= n:
+            inside = keys.where(F.col("__slice") == r["__slice"]).orderBy(order).limit(n - before)
+            last = inside.agg(F.max("__k")).first()[0]
+            return df.where(F.col(key).isNull()) if last is None else df.where(F.col(key).isNull() | (F.col(key) <= F.lit(last)))
+        before += r["count"]
+    return df

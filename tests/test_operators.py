@@ -189,3 +189,16 @@ def test_dedup_keeps_exactly_one_row_of_tied_rows(spark):
     assert [(i, o) for i, o, _ in got] == [("None", "0"), ("a", "1"), ("b", "5"), ("c", "None")]
     hot = spark.range(0, 20_000).select(F.lit("h").alias("id"), (F.col("id") % 50).alias("o"), F.col("id").alias("v"))
     assert clean.dedup_keep_first(hot, "id", ["o"]).count() == 1
+
+
+@pytest.mark.parametrize("slices", [1, 3, 11])
+def test_first_rows_by_key(spark, slices):
+    from tessera.operators.ranking import first_rows
+    df = spark.range(0, 500, 1, 7).select(F.sha1(F.col("id").cast("string")).alias("k"), "id")
+    want = [r.id for r in df.orderBy("k").collect()]
+    for n in (1, 73, 499, 500, 900):
+        assert sorted(r.id for r in first_rows(df, "k", n, slices).collect()) == sorted(want[:n])
+    assert first_rows(df.limit(0), "k", 5, slices).count() == 0
+    null = df.unionByName(spark.range(1).select(F.lit(None).cast("string").alias("k"), F.lit(-1).cast("bigint").alias("id")))
+    assert {r.id for r in first_rows(null, "k", 2, slices).collect()} == {-1, want[0]}
+    assert [r.id for r in first_rows(null, "k", 1, slices).collect()] == [-1]
