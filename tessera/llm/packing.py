@@ -30,12 +30,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from tessera.llm.common import arrow_schema, pieces
-from tessera.llm.token_pieces import CHUNK, token_ids
+from tessera.llm.token_pieces import token_ids
 
 WINDOW = 2048
 POOL = 1280
 CUT = 512
 END_ID = 1
+CHUNK = 3 << 19  # bytes of text worked on at once
+MEMO_PIECES = 400_000
 
 
 # ---------------------------------------------------------------- differencing
@@ -94,7 +96,8 @@ def token_bytes(texts: list[bytes], path: str, end_id: int = END_ID) -> list[byt
     lower-cases, drops white space and cuts letters, single digits and marks from each
     other, so the ids are gathered from those pieces; the strings of special tokens become
     their ids, as the library does by itself."""
-    ids, offsets = token_ids(texts, path, end_id, spaced=False, lower=True, special_as_text=False)
+    ids, offsets = token_ids(texts, path, end_id, spaced=False, lower=True, special_as_text=False,
+                             memo_pieces=MEMO_PIECES)
     data, at = ids.tobytes(), (4 * offsets).tolist()
     return [data[a:b] for a, b in zip(at, at[1:])]
 

@@ -133,8 +133,18 @@ def _memo(path: str, special_as_text: bool, cap: int) -> PieceMemo:
     if key not in _loaded:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
-        joined, single = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        single.encode_special_tokens = special_as_text
+        joined, literal = Tokenizer.from_file(path), []
+
+        def single() -> Tokenizer:
+            """The tokenizer for pieces that may hold special tokens; rarely needed, so a second
+            one that reads them as text is loaded on first use only."""
+            if not special_as_text:
+                return joined
+            if not literal:
+                literal.append(Tokenizer.from_file(path))
+                literal[0].encode_special_tokens = True
+            return literal[0]
+
         special = {t.content: i for i, t in joined.get_added_tokens_decoder().items()}
         mark = next((c for i, c in sorted((i, c) for c, i in special.items())
                      if not ((t := joined.get_added_tokens_decoder()[i]).lstrip or t.rstrip or t.single_word)), None)
@@ -148,8 +158,9 @@ def _memo(path: str, special_as_text: bool, cap: int) -> PieceMemo:
             texts = [p.decode("utf-8", "replace") for p in pieces]
             alone = {i for i, t in enumerate(texts) if mark is None or any(s in t for s in special)}
             out: list[bytes] = [b""] * len(texts)
-            for i, ids in zip(sorted(alone), ids_of(single, [texts[i] for i in sorted(alone)])):
-                out[i] = ids.tobytes()
+            if alone:
+                for i, ids in zip(sorted(alone), ids_of(single(), [texts[i] for i in sorted(alone)])):
+                    out[i] = ids.tobytes()
             rest = [i for i in range(len(texts)) if i not in alone]
             for s in range(0, len(rest), JOIN):
                 part = rest[s:s + JOIN]
