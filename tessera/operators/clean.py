@@ -38,26 +38,14 @@ def dedup_keep_first(df: DataFrame, key: str, order_cols: list[str]) -> DataFram
     source ordinal). Rows that tie in it are ordered by a hash of all their columns;
     rows that are equal in every column are interchangeable, and one is kept.
 
-    1. the first (order tuple, row hash) per key, from narrow rows with a map-side
-       combined aggregation - a hot key costs one row per map task;
-    2. a left-semi join of the rows with those firsts, hashed on key, order tuple and row
-       hash together, which spreads a hot key's rows over many tasks;
-    3. ``dropDuplicates`` on the same hash, for rows equal throughout: they are in one
-       task already, so nothing is moved again.
-    Matching is null-safe, so a null key or order value behaves like a value (as in
-    pandas ``drop_duplicates``). A ``row_number`` window would instead sort every row of
-    a hot key in one task."""
-    rows = with_tie(df)
-    order = [*order_cols, TIE]
-    firsts = (rows.select(key, *order).groupBy(key)
-                  .agg(F.min(F.struct(*[F.col(c) for c in order])).alias("__o"))
-                  .select(F.col(key).alias("__k"), *[F.col("__o")[c].alias(f"__o_{c}") for c in order]))
-    firsts = firsts.withColumn("__g", F.xxhash64("__k", *[f"__o_{c}" for c in order]))
-    rows = rows.withColumn("__h", F.xxhash64(key, *order))
-    cond = (F.col("__h") == F.col("__g")) & F.col(key).eqNullSafe(F.col("__k"))
-    for c in order:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"__o_{c}"))
-    return rows.join(firsts, cond, "left_semi").dropDuplicates(["__h", key, *order]).drop("__h", TIE)
+    One aggregation whose state is the first row itself: every map task sends at most one row
+    per key, so the rows are shuffled once and a hot key costs one row per map task. A null
+    key or order value behaves like a value (as in pandas ``drop_duplicates``). A
+    ``row_number`` window would instead sort every row of a hot key in one task."""
+    lead = [*dict.fromkeys(c for c in order_cols if c != key), TIE]
+    rest = [c for c in df.columns if c != key and c not in lead]
+    firsts = with_tie(df).groupBy(key).agg(F.min(F.struct(*lead, *rest)).alias("__first"))
+    return firsts.select(*[F.col(c) if c == key else F.col("__first")[c].alias(c) for c in df.columns])
 
 
 def filter_positive(df: DataFrame, cols: tuple[str, ...] = ("Transaction_Value", "Area_sqm")) -> DataFrame:

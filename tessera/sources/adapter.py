@@ -51,12 +51,13 @@ def raw_transactions(spark: SparkSession, sf_dir: str, with_order: bool = True)
 
     # Each join's right side is a base table, so Catalyst's broadcast decision sees
     # that table's own (file-size) statistics; a pre-joined supplier⋈nation⋈region
-    # would be estimated as a product of sizes and never broadcast.
-    j = (li.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    # would be estimated as a product of sizes and never broadcast. orders and part, which
+    # shuffle the line items, come first: the names are not there yet to be shuffled.
+    j = (li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+           .join(part, F.col("l_partkey") == F.col("p_partkey"))
+           .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
            .join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
-           .join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
-           .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-           .join(part, F.col("l_partkey") == F.col("p_partkey")))
+           .join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")))
 
     pk, sk = F.col("l_partkey"), F.col("l_suppkey")
     ship = F.col("l_shipdate").cast("date").cast("string")
