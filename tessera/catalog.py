@@ -384,7 +384,7 @@ for _key, _kind in [("dq_no_nulls", "no_nulls"), ("dq_unique", "unique"), ("dq_v
 @register("dq_summary")
 def q_dq_summary(spark, sf_dir):
     raw = _raw(spark, sf_dir)
-    return quality.summary(quality.run_suite(raw), raw)
+    return quality.summary(quality.run_suite(raw, with_total=True), raw)
 
 
 @register("dq_score")
@@ -412,7 +412,7 @@ def q_dq_report_json(spark, sf_dir):
     """The report as written JSON, read back typed: one row per check with the run's
     figures."""
     raw = _raw(spark, sf_dir)
-    doc = quality.report(quality.run_suite(raw), raw)
+    doc = quality.report(quality.run_suite(raw, with_total=True), raw)
     path = writers.write_json(doc, scratch_path(spark, "dq-report"))
     back = spark.read.schema(doc.schema).json(path)
     made = F.col("run_id").rlike("^run_[0-9]{8}_[0-9]{6}$") & F.col("run_timestamp").try_cast("timestamp").isNotNull()

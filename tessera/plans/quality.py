@@ -223,18 +223,23 @@ def default_suite() -> list[Check]:
     ]
 
 
-def run_suite(df: DataFrame, checks: list[Check] | None = None, kinds: set[str] | None = None) -> DataFrame:
+def run_suite(df: DataFrame, checks: list[Check] | None = None, kinds: set[str] | None = None,
+              with_total: bool = False) -> DataFrame:
     """One row per check (``RESULT_FIELDS``). ``kinds`` restricts to some check kinds
-    (ids keep their position in the full suite)."""
+    (ids keep their position in the full suite). ``with_total`` adds the number of rows of
+    ``df`` as ``total_rows``, counted by the main aggregation, so that ``summary`` needs no
+    pass of its own for it."""
     checks = checks if checks is not None else default_suite()
     chosen = [(i + 1, c) for i, c in enumerate(checks) if kinds is None or c.kind in kinds]
     aggs = [a for i, c in chosen for a in c.aggs(i, df.schema)]
+    total = [F.count(F.lit(1)).cast("bigint").alias("total_rows")] if with_total else []
+    aggs += total
     parts = [df.agg(*aggs)] if aggs else []
     parts += [extra for i, c in chosen if (extra := c.side(df, i)) is not None]
     sets = [(i, c) for i, c in chosen if c.kind == "in_set"]
     if sets:
         parts.append(invalid_values(df, sets))
-    return combine_rows(parts).select(F.inline(F.array(*[c.result(i) for i, c in chosen])))
+    return combine_rows(parts).select(F.inline(F.array(*[c.result(i) for i, c in chosen])), *(["total_rows"] if total else []))
 
 
 def invalid_values(df: DataFrame, sets: list[tuple[int, Check]], most: int = 10) -> DataFrame:
@@ -265,8 +270,11 @@ def combine_rows(parts: list[DataFrame]) -> DataFrame:
 
 
 def summary(results: DataFrame, df: DataFrame | None = None, dataset: str = DATASET_NAME) -> DataFrame:
-    """Counts, score (passed/total*100, 2 places; 0 for an empty suite) and the gate."""
+    """Counts, score (passed/total*100, 2 places; 0 for an empty suite) and the gate. The rows
+    of ``df`` are counted here only if the results do not bring their number along."""
+    counted = df is not None and "total_rows" in results.columns
     s = results.agg(
+        *([F.max("total_rows").alias("total_rows")] if counted else []),
         F.count(F.lit(1)).cast("bigint").alias("total_checks"),
         F.count_if(F.col("passed")).cast("bigint").alias("passed"),
         F.count_if(~F.col("passed")).cast("bigint").alias("failed"),
@@ -276,8 +284,9 @@ def summary(results: DataFrame, df: DataFrame | None = None, dataset: str = DATA
                       * 100.0, 2), F.lit(0.0)))
     s = s.withColumn("gate_passed", F.col("critical_failures") == 0)
     if df is not None:
-        s = combine_rows([s, df.agg(F.count(F.lit(1)).cast("bigint").alias("total_rows"))]) \
-            .withColumn("dataset", F.lit(dataset))
+        if not counted:
+            s = combine_rows([s, df.agg(F.count(F.lit(1)).cast("bigint").alias("total_rows"))])
+        s = s.select(*[c for c in s.columns if c != "total_rows"], "total_rows").withColumn("dataset", F.lit(dataset))
     return s
 
 
