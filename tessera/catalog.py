@@ -611,7 +611,7 @@ def q_etl_clean_from_csv(spark, sf_dir):
     """CSV in, cleaned rows out: the raw file is sorted by the adapter's order, so the
     first row of an ID in the file is the one that keep-first must find."""
     path = scratch_path(spark, "raw-csv-sorted")
-    files.write_csv(_raw(spark, sf_dir, with_order=True).orderBy(*ADAPTER_ORDER_COLUMNS), path)
+    files.write_csv(_raw(spark, sf_dir, with_order=True).orderBy(*ADAPTER_ORDER_COLUMNS), path, compression="gzip")
     source = files.with_source_ordinal(files.scan_csv_typed(spark, path, files.raw_schema_with(ORDER_FIELDS))).drop(*ADAPTER_ORDER_COLUMNS)
     cleaned = etl.etl_clean(source, files.SOURCE_ORDER)
     return cleaned.withColumn("Transaction_Value", round_half_up("Transaction_Value", 4))

@@ -19,9 +19,12 @@ def raw_schema_with(extra: list[T.StructField] | None = None) -> T.StructType:
     return T.StructType(list(RAW_SCHEMA.fields) + list(extra or []))
 
 
-def write_csv(df: DataFrame, path: str, chunk_rows: int | None = None, mode: str = "overwrite") -> str:
-    """CSV with a header; ``chunk_rows`` caps rows per file (the chunks of a chunked read)."""
+def write_csv(df: DataFrame, path: str, chunk_rows: int | None = None, mode: str = "overwrite", compression: str | None = None) -> str:
+    """CSV with a header; ``chunk_rows`` caps rows per file (the chunks of a chunked read).
+    A compressed file is read by one task: for frames of many partitions."""
     w = df.write.mode(mode).option("header", "true").options(**CSV_KEEP_BLANKS)
+    if compression:
+        w = w.option("compression", compression)
     if chunk_rows:
         w = w.option("maxRecordsPerFile", str(chunk_rows))
     w.csv(path)
