@@ -744,12 +744,14 @@ def q_anomaly_csv_roundtrip(spark, sf_dir):
 @register("layers_materialize")
 def q_layers_materialize(spark, sf_dir):
     base = scratch_path(spark, "lake")
-    raw = _raw(spark, sf_dir, with_order=True)
-    e = _etl(spark, sf_dir)
-    layout = {("bronze", "transactions_raw"): raw, ("silver", "transactions_clean"): e}
+    # the joins run once: all later layers read the bronze table
+    path = writers.replace_table(_raw(spark, sf_dir, with_order=True), f"{base}/bronze/transactions_raw")
+    raw = scan_table(spark, path)
+    e = etl.etl_clean(raw)
+    parts = [row_count(raw).select(F.lit("bronze").alias("layer"), F.lit("transactions_raw").alias("table_name"), "row_count")]
+    layout = {("silver", "transactions_clean"): e}
     for name, fn in marts.MARTS.items():
         layout[("gold", name)] = fn(e)
-    parts = []
     for (layer, name), df in layout.items():
         path = writers.replace_table(df, f"{base}/{layer}/{name}")
         parts.append(row_count(scan_table(spark, path)).select(
