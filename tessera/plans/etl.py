@@ -4,10 +4,10 @@ parse dates -> time features -> drop null critical -> dedup (keep first) ->
 positive value/area -> clip value at the 1st/99th percentile -> derived metrics ->
 standardise strings -> high-demand flag vs median -> surrogate keys.
 
-Plan shape: the dedup reads the raw input twice (narrow, then whole rows) and shuffles
-twice (first order tuple per ID, semi-join); the deduplicated rows are written once to
-the shared checkpoint folder (they feed two passes, and the write cuts the lineage so a
-lost executor does not redo the dedup). The statistics pass (exact percentiles of the
+Plan shape: the dedup reads the raw input once and shuffles it once (first row per ID,
+combined by the map tasks); the deduplicated rows are written once to the shared
+checkpoint folder (they feed two passes, and the write cuts the lineage so a lost
+executor does not redo the dedup). The statistics pass (exact percentiles of the
 value and median of demand, from one histogram) yields three numbers that the row pass
 applies as literals.
 """
