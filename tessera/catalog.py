@@ -369,6 +369,13 @@ def _suite(spark, sf_dir, kinds=None):
     return quality.run_suite(_raw(spark, sf_dir), kinds=kinds)
 
 
+def _landed_suite(spark, sf_dir, with_total=False):
+    """The suite over its columns, written once: the tables are joined once, and the three
+    passes read files."""
+    rows = materialize(_raw(spark, sf_dir).select(*quality.checked_columns()), "dq-rows")
+    return quality.run_suite(rows, with_total=with_total), rows
+
+
 @register("dq_suite")
 def q_dq_suite(spark, sf_dir):
     return _suite(spark, sf_dir)
@@ -389,17 +396,17 @@ def q_dq_summary(spark, sf_dir):
 
 @register("dq_score")
 def q_dq_score(spark, sf_dir):
-    return quality.summary(_suite(spark, sf_dir)).select("quality_score")
+    return quality.summary(_landed_suite(spark, sf_dir)[0]).select("quality_score")
 
 
 @register("dq_critical_failures")
 def q_dq_critical_failures(spark, sf_dir):
-    return quality.critical_failures(_suite(spark, sf_dir))
+    return quality.critical_failures(_landed_suite(spark, sf_dir)[0])
 
 
 @register("dq_gate")
 def q_dq_gate(spark, sf_dir):
-    return quality.summary(_suite(spark, sf_dir)).select("gate_passed", "critical_failures")
+    return quality.summary(_landed_suite(spark, sf_dir)[0]).select("gate_passed", "critical_failures")
 
 
 @register("dq_column_profile")
@@ -411,8 +418,7 @@ def q_dq_column_profile(spark, sf_dir):
 def q_dq_report_json(spark, sf_dir):
     """The report as written JSON, read back typed: one row per check with the run's
     figures."""
-    raw = _raw(spark, sf_dir)
-    doc = quality.report(quality.run_suite(raw, with_total=True), raw)
+    doc = quality.report(*_landed_suite(spark, sf_dir, with_total=True))
     path = writers.write_json(doc, scratch_path(spark, "dq-report"))
     back = spark.read.schema(doc.schema).json(path)
     made = F.col("run_id").rlike("^run_[0-9]{8}_[0-9]{6}$") & F.col("run_timestamp").try_cast("timestamp").isNotNull()

@@ -223,6 +223,12 @@ def default_suite() -> list[Check]:
     ]
 
 
+def checked_columns(checks: list[Check] | None = None) -> list[str]:
+    """The columns that the checks look at. Rows that are dear to make are written with these
+    columns before a suite of several passes reads them."""
+    return list(dict.fromkeys(c.column for c in (checks if checks is not None else default_suite()) if c.kind != "row_count"))
+
+
 def run_suite(df: DataFrame, checks: list[Check] | None = None, kinds: set[str] | None = None,
               with_total: bool = False) -> DataFrame:
     """One row per check (``RESULT_FIELDS``). ``kinds`` restricts to some check kinds

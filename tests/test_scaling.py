@@ -63,3 +63,14 @@ def test_only_low_keys_are_ranged(spark):
     assert sorted(r[0] for r in first_rows(keys.withColumnRenamed("__k", "k"), "k", 2_000).collect()) == want
     same = spark.range(3_000).select(F.lit("x").alias("__k"))  # one hash class or none
     assert _low_keys(same, 2_000).count() == 3_000
+
+
+def test_gate_and_score_join_the_tables_once(spark):
+    from tessera.plans import quality
+    for name in ("dq_gate", "dq_score", "dq_critical_failures"):
+        out = catalog.QUERIES[name](spark, SF_SMALL)
+        assert "Join" not in plan_of(out), name  # the passes read written rows
+        suite = quality.run_suite(raw_transactions(spark, SF_SMALL, with_order=False))
+        want = quality.critical_failures(suite) if name == "dq_critical_failures" else quality.summary(suite).select(*out.columns)
+        assert sorted(map(str, out.collect())) == sorted(map(str, want.collect())), name
+    assert {"Transaction_ID", "Vacancy_Rate"} <= set(quality.checked_columns()) and "*" not in quality.checked_columns()
