@@ -72,6 +72,9 @@ def py_strip(col) -> Column:
     return F.btrim(_c(col), F.lit(_WS_CHARS))
 
 
+_PLAIN_WORDS = r"^[A-Za-z ]*+[ -@\[-`{-~]*+\z"
+
+
 def py_title(col) -> Column:
     """Title case as Python's ``str.title``: the first letter of every run of letters
     upper-case, the rest lower-case; anything that is not a letter starts a new word
@@ -79,9 +82,12 @@ def py_title(col) -> Column:
 
     A space is inserted after every non-letter so ``initcap`` sees a word start
     there, then exactly those inserted spaces are removed again — three codegen'd
-    string functions instead of a per-row lambda."""
-    spaced = F.regexp_replace(_c(col), r"([^\p{L}])", "$1 ")
-    return F.regexp_replace(F.initcap(spaced), r"([^\p{L}]) ", "$1")
+    string functions instead of a per-row lambda. ASCII letters and spaces with nothing
+    but printable non-letters behind them need neither: ``initcap`` sees all their words."""
+    x = _c(col)
+    spaced = F.regexp_replace(x, r"([^\p{L}])", "$1 ")
+    full = F.regexp_replace(F.initcap(spaced), r"([^\p{L}]) ", "$1")
+    return F.when(x.rlike(_PLAIN_WORDS), F.initcap(x)).otherwise(full)
 
 
 def standardise(col) -> Column:
@@ -102,14 +108,14 @@ def md5_mod(col, modulus: int = KEY_MODULUS) -> Column:
 def hex_mod(h: Column, modulus: int = KEY_MODULUS) -> Column:
     """A 32-digit hex digest read as a 128-bit integer, modulo ``modulus``.
 
-    The digest is four 32-bit words w0..w3 (big-endian), so the value is
-    sum(w_i * 2^(32*(3-i))); each power of two is reduced modulo ``modulus`` once, in
-    Python, and the sum stays far inside a bigint. Null in, null out."""
-    weights = [pow(2, 32 * (3 - i), modulus) for i in range(4)]
-    total = None
-    for i, w in enumerate(weights):
-        word = F.conv(F.substring(h, 1 + 8 * i, 8), 16, 10).cast("bigint")
-        term = (word % F.lit(modulus)) * F.lit(w)
+    The digest is read as words of 15, 15 and 2 digits (15 are the most that a bigint
+    surely holds), each weighted with the power of 16 of its place; the powers are reduced
+    modulo ``modulus`` once, in Python, and the sum stays far inside a bigint. Null in, null out."""
+    total, at = None, 0
+    for digits in (15, 15, 2):
+        word = F.conv(F.substring(h, 1 + at, digits), 16, 10).cast("bigint")
+        at += digits
+        term = (word % F.lit(modulus)) * F.lit(pow(16, 32 - at, modulus))
         total = term if total is None else total + term
     return (total % F.lit(modulus)).cast("bigint")
 

@@ -74,3 +74,22 @@ def test_gate_and_score_join_the_tables_once(spark):
         want = quality.critical_failures(suite) if name == "dq_critical_failures" else quality.summary(suite).select(*out.columns)
         assert sorted(map(str, out.collect())) == sorted(map(str, want.collect())), name
     assert {"Transaction_ID", "Vacancy_Rate"} <= set(quality.checked_columns()) and "*" not in quality.checked_columns()
+
+
+def test_plain_labels_are_titled_without_the_regular_expressions(spark):
+    import random
+    from tessera.functions.exprs import py_title
+    full = F.regexp_replace(F.initcap(F.regexp_replace("x", r"([^\p{L}])", "$1 ")), r"([^\p{L}]) ", "$1")
+    rnd, odd = random.Random(3), "aBcZz  01_-'&.,/#\t\néßÉΣσςⓐⓐ1ıİŉǆ中~!@[`{"
+    words = ["".join(rnd.choice(odd if i % 2 else "aBz 0_-'.Q") for _ in range(rnd.randint(0, 9))) for i in range(20_000)]
+    df = spark.createDataFrame([(w,) for w in [*words, None, "AL OLAYA", "al-khobar", "nation_7", "o'neil 2b", "abc\n"]], "x string")
+    assert df.where(~py_title("x").eqNullSafe(full)).count() == 0
+    assert "CASE WHEN RLIKE" in plan_of(df.select(py_title("x")))
+
+
+def test_key_of_a_digest_is_the_whole_number(spark):
+    import hashlib
+    from tessera.functions.exprs import md5_mod
+    names = [str(i) for i in range(500)] + ["", "Riyadh", "الرياض"]
+    got = spark.createDataFrame([(n,) for n in names], "n string").select("n", md5_mod("n").alias("k"), md5_mod("n", 97).alias("m")).collect()
+    assert all((r.k, r.m) == tuple(int(hashlib.md5(r.n.encode()).hexdigest(), 16) % m for m in (10**6, 97)) for r in got)
