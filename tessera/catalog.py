@@ -78,7 +78,7 @@ def _silver(spark, sf_dir):
     key, state = (spark.sparkContext.applicationId, sf_dir), input_state(spark, sf_dir, ADAPTER_TABLES)
     landed = _LANDED.get(key)
     if landed is None or landed[0] != state:
-        rows = materialize(etl.silver_rows(_raw(spark, sf_dir, with_order=True)), "silver")
+        rows = etl.landed_silver(_raw(spark, sf_dir, with_order=True))
         _LANDED[key] = state, rows, quantile_values(rows, etl.STATS)
     return _LANDED[key][1:]
 
@@ -675,7 +675,9 @@ def q_scan_table(spark, sf_dir):
 # ── sinks (write, then read back) ─────────────────────────────────────────────
 @register("sink_parquet_partitioned")
 def q_sink_parquet_partitioned(spark, sf_dir):
-    path = writers.write_parquet_city_year(_etl(spark, sf_dir), scratch_path(spark, "processed"))
+    rows, statistics = _silver(spark, sf_dir)
+    path = writers.write_parquet_city_year(rows.drop("month", "quarter", "day_of_week", "year_month"), scratch_path(spark, "processed"),
+                                           lambda d: etl.with_statistics(clean.add_time_features(d), statistics))
     back = spark.read.parquet(path).drop("city").withColumnRenamed("city_name", "City")
     return back.select(*etl.ETL_COLUMNS).withColumn("Transaction_Value", round_half_up("Transaction_Value", 4))
 

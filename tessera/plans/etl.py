@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import clean
 from tessera.operators.quantiles import quantile_values
-from tessera.session import materialize
+from tessera.session import materialize, shuffles_released
 from tessera.schema import ADAPTER_ORDER_COLUMNS, CLIP_HIGH, CLIP_LOW, CRITICAL_COLUMNS, RAW_COLUMNS
 
 ETL_COLUMNS = RAW_COLUMNS + ["year", "month", "quarter", "day_of_week", "year_month", "price_per_sqm",
@@ -66,11 +66,17 @@ def with_statistics(rows: DataFrame, st: dict[str, float | None]) -> DataFrame:
     return out.select(*ETL_COLUMNS)
 
 
+def landed_silver(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS) -> DataFrame:
+    """The silver rows, written; the shuffles of joins and dedup go when they are."""
+    with shuffles_released(raw.sparkSession):
+        return materialize(silver_rows(raw, order_cols), "silver")
+
+
 def etl_clean(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS) -> DataFrame:
     """The whole transform. The silver rows are written once (they feed the statistics
     and the rows); the result is a projection of that table, so whoever reads a few of
     its columns reads a few columns of the silver files."""
-    rows = materialize(silver_rows(raw, order_cols), "silver")
+    rows = landed_silver(raw, order_cols)
     return with_statistics(rows, quantile_values(rows, STATS))
 
 

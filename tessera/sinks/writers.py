@@ -5,10 +5,12 @@ caller passes one; on a cluster that folder must be one that all executors share
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
-from tessera.session import materialize
+from tessera.session import materialize, shuffles_released
 from tessera.sinks.versioned import VersionedTable
 from tessera.sources.files import write_csv
 
@@ -21,20 +23,28 @@ def _write_balanced(df: DataFrame, path: str, cols: list[str]) -> str:
     rows of a directory together and lets AQE split what is larger than the advisory
     partition size: a hot directory gets as many writers as its size asks for, a small
     one a single file."""
-    (df.hint("rebalance", *[F.col(c) for c in cols])
-       .write.mode("overwrite").option("maxRecordsPerFile", str(MAX_FILE_ROWS)).partitionBy(*cols).parquet(path))
+    _partitioned_writer(df.hint("rebalance", *[F.col(c) for c in cols]), cols).parquet(path)
     return path
 
 
-def write_parquet_city_year(df: DataFrame, path: str) -> str:
+def _partitioned_writer(df: DataFrame, cols: list[str]) -> DataFrameWriter:
+    return df.write.mode("overwrite").option("maxRecordsPerFile", str(MAX_FILE_ROWS)).partitionBy(*cols)
+
+
+def write_parquet_city_year(df: DataFrame, path: str, derive: Callable[[DataFrame], DataFrame] | None = None) -> str:
     """Hive-style ``city=<name with _ for spaces>/year=<y>/`` layout; rows with a null
     City or year are skipped. The display name stays inside the files as
     ``city_name`` (a ``city`` partition column next to ``City`` would clash under
-    case-insensitive resolution)."""
-    out = (df.where(F.col("City").isNotNull() & F.col("year").isNotNull())
-             .withColumnRenamed("City", "city_name")
-             .withColumn("city", F.regexp_replace("city_name", " ", "_")))
-    return _write_balanced(out, path, ["city", "year"])
+    case-insensitive resolution). ``derive``: columns that follow from the row alone (City
+    and year stay), added to the rows of a directory after they were brought together, so
+    that they are written but not shuffled."""
+    rows = df.where(F.col("City").isNotNull() & F.col("year").isNotNull()).hint("rebalance", F.col("City"), F.col("year"))
+    out = ((derive(rows) if derive else rows)
+           .withColumnRenamed("City", "city_name")
+           .withColumn("city", F.regexp_replace("city_name", " ", "_")))
+    with shuffles_released(df.sparkSession):
+        _partitioned_writer(out, ["city", "year"]).parquet(path)
+    return path
 
 
 def write_partitioned(df: DataFrame, path: str, cols: list[str]) -> str:

@@ -93,3 +93,55 @@ def test_key_of_a_digest_is_the_whole_number(spark):
     names = [str(i) for i in range(500)] + ["", "Riyadh", "الرياض"]
     got = spark.createDataFrame([(n,) for n in names], "n string").select("n", md5_mod("n").alias("k"), md5_mod("n", 97).alias("m")).collect()
     assert all((r.k, r.m) == tuple(int(hashlib.md5(r.n.encode()).hexdigest(), 16) % m for m in (10**6, 97)) for r in got)
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    found = set()
+    while files.hasNext():
+        found.add(files.next().getName())
+    return {f for f in found if f.startswith("shuffle_")}
+
+
+def _left_behind(spark, work):
+    """Shuffle files that ``work`` made and that are still there a while after it."""
+    import time
+    before, out = _shuffle_files(spark), work()
+    for _ in range(50):
+        if not (left := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    return left, out
+
+
+def test_shuffles_go_with_the_write_that_made_them(spark):
+    from tessera.plans import etl
+    from tessera.session import SHUFFLE_CLEANUP
+    from tessera.sinks import writers
+    setting = spark.conf.get(SHUFFLE_CLEANUP, None)
+    left, rows = _left_behind(spark, lambda: etl.landed_silver(raw_transactions(spark, SF_SMALL)))
+    assert not left and rows.count() > 0
+    path = scratch_path(spark, "released")
+    left, _ = _left_behind(spark, lambda: writers.write_parquet_city_year(rows, path))
+    assert not left and spark.read.parquet(path).count() == rows.where("City IS NOT NULL AND year IS NOT NULL").count()
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+
+
+def test_derived_columns_are_written_but_not_shuffled(spark):
+    from tessera.sinks import writers
+    seen = []
+
+    def derive(d):
+        seen.append(d._jdf.queryExecution().optimizedPlan().toString())
+        return d.withColumn("twice", F.col("v") * 2)
+    df = spark.createDataFrame([("A b", 2020, 1), ("A b", 2021, 2), (None, 2020, 3), ("C", None, 4), ("C", 2020, None)], "City string, year int, v int")
+    path = writers.write_parquet_city_year(df, scratch_path(spark, "derived"), derive)
+    got = spark.read.parquet(path).select("city_name", "city", "year", "v", "twice").collect()
+    assert sorted(map(tuple, got), key=repr) == [("A b", "A_b", 2020, 1, 2), ("A b", "A_b", 2021, 2, 4), ("C", "C", 2020, None, None)]
+    assert "RebalancePartitions" in seen[0] and "twice" not in seen[0]
+
+
+def test_columns_of_one_table_are_derived_before_the_joins(spark):
+    p = raw_transactions(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [m.start() for m in re.finditer(r"\bJoin ", p)]
+    assert min(p.index("cast(l_shipdate"), p.index("l_discount"), p.index("l_returnflag"), p.index("o_totalprice")) > max(joins)
