@@ -17,7 +17,7 @@ from tessera.operators import anomaly, clean, integrity, scd2, scd2_merge
 from tessera.operators.quantiles import quantile_values
 from tessera.plans import dashboard, etl, layers, marts, quality, spark_job, star
 from tessera.schema import ADAPTER_ORDER_COLUMNS, RAW_SCHEMA, STANDARDISED_COLUMNS, VALID_CITIES
-from tessera.session import materialize, scratch_path
+from tessera.session import materialize, scratch_path, shuffles_released
 from tessera.sinks import writers
 from tessera.sinks.versioned import VersionedTable
 from tessera.sources import files, quarantine
@@ -615,11 +615,13 @@ def q_union_chunks(spark, sf_dir):
 @register("etl_clean_from_csv")
 def q_etl_clean_from_csv(spark, sf_dir):
     """CSV in, cleaned rows out: the raw file is sorted by the adapter's order, so the
-    first row of an ID in the file is the one that keep-first must find."""
+    first row of an ID in the file is the one that keep-first must find. The file has the
+    raw record's columns; the order is in the places of its rows."""
     path = scratch_path(spark, "raw-csv-sorted")
-    files.write_csv(_raw(spark, sf_dir, with_order=True).orderBy(*ADAPTER_ORDER_COLUMNS), path, compression="gzip")
-    source = files.with_source_ordinal(files.scan_csv_typed(spark, path, files.raw_schema_with(ORDER_FIELDS))).drop(*ADAPTER_ORDER_COLUMNS)
-    cleaned = etl.etl_clean(source, files.SOURCE_ORDER)
+    with shuffles_released(spark):
+        files.write_csv(raw_transactions(spark, sf_dir, with_order=False, in_order=True), path, compression="gzip")
+    source = files.with_source_ordinal(files.scan_csv_typed(spark, path), whole_paths=False)
+    cleaned = etl.etl_clean(source, files.SOURCE_ORDER, ties=False)
     return cleaned.withColumn("Transaction_Value", round_half_up("Transaction_Value", 4))
 
 

@@ -33,7 +33,7 @@ def with_tie(df: DataFrame) -> DataFrame:
     return df.withColumn(TIE, F.xxhash64(*df.columns))
 
 
-def dedup_keep_first(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
+def dedup_keep_first(df: DataFrame, key: str, order_cols: list[str], ties: bool = True) -> DataFrame:
     """Keep exactly one row per ``key``: the first in the order ``order_cols`` (e.g. a
     source ordinal). Rows that tie in it are ordered by a hash of all their columns;
     rows that are equal in every column are interchangeable, and one is kept.
@@ -41,10 +41,13 @@ def dedup_keep_first(df: DataFrame, key: str, order_cols: list[str]) -> DataFram
     One aggregation whose state is the first row itself: every map task sends at most one row
     per key, so the rows are shuffled once and a hot key costs one row per map task. A null
     key or order value behaves like a value (as in pandas ``drop_duplicates``). A
-    ``row_number`` window would instead sort every row of a hot key in one task."""
-    lead = [*dict.fromkeys(c for c in order_cols if c != key), TIE]
+    ``row_number`` window would instead sort every row of a hot key in one task.
+
+    ``ties=False``: no two rows share their order values (a source ordinal), so no hash is
+    computed and shuffled."""
+    lead = [*dict.fromkeys(c for c in order_cols if c != key), *([TIE] if ties else [])]
     rest = [c for c in df.columns if c != key and c not in lead]
-    firsts = with_tie(df).groupBy(key).agg(F.min(F.struct(*lead, *rest)).alias("__first"))
+    firsts = (with_tie(df) if ties else df).groupBy(key).agg(F.min(F.struct(*lead, *rest)).alias("__first"))
     return firsts.select(*[F.col(c) if c == key else F.col("__first")[c].alias(c) for c in df.columns])
 
 

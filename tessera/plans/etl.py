@@ -28,11 +28,11 @@ ETL_COLUMNS = RAW_COLUMNS + ["year", "month", "quarter", "day_of_week", "year_mo
                              "district_key"]
 
 
-def deduplicated(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS) -> DataFrame:
+def deduplicated(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS, ties: bool = True) -> DataFrame:
     """Steps 1-4: parsed, non-null critical, first row per ID, positive value and area."""
     return (raw.transform(clean.parse_dates)
                .transform(clean.drop_null_critical)
-               .transform(lambda d: clean.dedup_keep_first(d, "Transaction_ID", order_cols))
+               .transform(lambda d: clean.dedup_keep_first(d, "Transaction_ID", order_cols, ties))
                .transform(clean.filter_positive))
 
 
@@ -43,10 +43,10 @@ STATS = {
 }
 
 
-def silver_rows(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS) -> DataFrame:
+def silver_rows(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS, ties: bool = True) -> DataFrame:
     """Deduplicated rows with all row-local work done (labels, hash keys, time features),
     before anything that needs table-wide statistics."""
-    return finished(deduplicated(raw, order_cols), order_cols)
+    return finished(deduplicated(raw, order_cols, ties), order_cols)
 
 
 def finished(rows: DataFrame, order_cols: list[str]) -> DataFrame:
@@ -66,17 +66,17 @@ def with_statistics(rows: DataFrame, st: dict[str, float | None]) -> DataFrame:
     return out.select(*ETL_COLUMNS)
 
 
-def landed_silver(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS) -> DataFrame:
+def landed_silver(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS, ties: bool = True) -> DataFrame:
     """The silver rows, written; the shuffles of joins and dedup go when they are."""
     with shuffles_released(raw.sparkSession):
-        return materialize(silver_rows(raw, order_cols), "silver")
+        return materialize(silver_rows(raw, order_cols, ties), "silver")
 
 
-def etl_clean(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS) -> DataFrame:
+def etl_clean(raw: DataFrame, order_cols: list[str] = ADAPTER_ORDER_COLUMNS, ties: bool = True) -> DataFrame:
     """The whole transform. The silver rows are written once (they feed the statistics
     and the rows); the result is a projection of that table, so whoever reads a few of
     its columns reads a few columns of the silver files."""
-    rows = landed_silver(raw, order_cols)
+    rows = landed_silver(raw, order_cols, ties)
     return with_statistics(rows, quantile_values(rows, STATS))
 
 

@@ -38,9 +38,10 @@ ZERO_AREA_MOD = 79        # Area_sqm = 0
 # ──────────────────────────────────────────────────────────────────────────────
 
 
-def raw_transactions(spark: SparkSession, sf_dir: str, with_order: bool = True) -> DataFrame:
+def raw_transactions(spark: SparkSession, sf_dir: str, with_order: bool = True, in_order: bool = False) -> DataFrame:
     """The raw record (16 columns, in order) plus the input-order columns
-    ``l_partkey, l_suppkey, l_extendedprice`` when ``with_order``."""
+    ``l_partkey, l_suppkey, l_extendedprice`` when ``with_order``. ``in_order``: sorted by
+    them; the rows are dealt in ranges before names and derived columns are there."""
     purpose = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2).otherwise(0).cast("tinyint")
     # integers and small doubles in turn: the zero bytes of neighbours make one run for the compression
     li = spread(table(spark, sf_dir, "lineitem").select(
@@ -59,8 +60,10 @@ def raw_transactions(spark: SparkSession, sf_dir: str, with_order: bool = True)
     # shuffle the line items, come first: the names are not there yet to be shuffled.
     j = (li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
            .join(part, F.col("l_partkey") == F.col("p_partkey"))
-           .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-           .join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
+           .join(supplier, F.col("l_suppkey") == F.col("s_suppkey")))
+    if in_order:
+        j = j.repartitionByRange(*ADAPTER_ORDER_COLUMNS)
+    j = (j.join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
            .join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")))
 
     pk, sk = F.col("l_partkey"), F.col("l_suppkey")
@@ -88,6 +91,10 @@ def raw_transactions(spark: SparkSession, sf_dir: str, with_order: bool = True)
         "Vacancy_Rate": F.round(F.col("p_retailprice") - 900.0, 1) / 500.0,
     }
     out = [cols[c].alias(c) for c in RAW_COLUMNS]
+    if in_order:
+        # a sort before the joins would be optimised away; the ranges hold through them
+        ranked = j.select(*out, *ADAPTER_ORDER_COLUMNS).sortWithinPartitions(*ADAPTER_ORDER_COLUMNS)
+        return ranked if with_order else ranked.drop(*ADAPTER_ORDER_COLUMNS)
     if with_order:
         out += [F.col(c) for c in ADAPTER_ORDER_COLUMNS]
     return j.select(*out)

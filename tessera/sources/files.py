@@ -3,6 +3,8 @@ variant, chunked multi-file reads and the bronze view."""
 
 from __future__ import annotations
 
+import os
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,11 +71,26 @@ def union_chunks(parts: list[DataFrame]) -> DataFrame:
 SOURCE_ORDER = ["_source_file", "_source_block", "_source_row"]
 
 
-def with_source_ordinal(df: DataFrame) -> DataFrame:
+def _own_part(path, paths: list[str]):
+    """What only this path has of ``paths``, of which it is one: without what all of them begin
+    and end with. Where that would not keep their order, the whole path."""
+    lead = os.path.commonprefix(paths)
+    tail = os.path.commonprefix([p[len(lead):][::-1] for p in paths])[::-1]
+    own = [p[len(lead):len(p) - len(tail)] for p in paths]
+    if len({len(o) for o in own}) != 1 or not all(re.fullmatch("[A-Za-z0-9_-]*", o) for o in own):
+        return path
+    # a path may be escaped where it is listed plainly: then none of them fits, and all stay whole
+    fits = path.startswith(lead) & path.endswith(tail) & (F.length(path) == len(paths[0]))
+    return F.when(fits, F.substring(path, len(lead) + 1, len(own[0]))).otherwise(path)
+
+
+def with_source_ordinal(df: DataFrame, whole_paths: bool = True) -> DataFrame:
     """Input order of file rows: (file, offset of its split, row of the split), the order
     that keep-first deduplication needs. ``monotonically_increasing_id`` rises within a
-    split; the split's offset puts the splits of one file in order."""
-    return df.select("*", F.col("_metadata.file_path").alias("_source_file"),
+    split; the split's offset puts the splits of one file in order. Without ``whole_paths``
+    files go by the part of their path that tells them apart, in the same order."""
+    path = F.col("_metadata.file_path")
+    return df.select("*", (path if whole_paths else _own_part(path, df.inputFiles())).alias("_source_file"),
                      F.col("_metadata.file_block_start").alias("_source_block"),
                      F.monotonically_increasing_id().alias("_source_row"))
 

@@ -145,3 +145,66 @@ def test_columns_of_one_table_are_derived_before_the_joins(spark):
     p = raw_transactions(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     joins = [m.start() for m in re.finditer(r"\bJoin ", p)]
     assert min(p.index("cast(l_shipdate"), p.index("l_discount"), p.index("l_returnflag"), p.index("o_totalprice")) > max(joins)
+
+
+def _tables(spark, folder):
+    """The six tables with nulls, twins and odd numbers."""
+    import datetime
+    day, nan = datetime.datetime(2020, 5, 17), float("nan")
+    lines = [(1, 5, 1, 1, 3.0, 9.5, 0.07, 0.02, "A", "O", day), (1, 5, 1, 2, None, None, None, None, "N", "O", None),
+             (2, 3, 2, 1, nan, nan, nan, 0.005, None, "F", day), (2, 3, 2, 1, nan, nan, nan, 0.005, None, "F", day),
+             (9, 3, 2, 1, 1.0, 2.0, 0.1, 0.1, "R", "F", day), (3, 97, 7, 1, 1.0, -2.5, 0.1, 0.1, "R", "F", day)]
+    from tessera.sources.tables import TABLE_SCHEMAS
+    rows = {"lineitem": lines, "orders": [(1, 1, "O", 250.5, day, "x"), (2, 1, "O", None, day, "x"), (3, 1, "O", -1.0, day, "x"), (4, 1, "O", 1e30, day, "x")],
+            "supplier": [(1, "a", 1, 0.0), (2, "b", 2, 0.0), (7, "c", 1, 0.0)], "nation": [(1, "N one", 1), (2, "N two", 2)],
+            "region": [(1, "EAST"), (2, "WEST")],
+            "part": [(5, "p", "b", "TYPE A", 7, 901.5), (3, "p", "b", None, None, None), (97, "p", "b", "TYPE, \"C\"", 9, 900.0)]}
+    for name, values in rows.items():
+        ddl = TABLE_SCHEMAS.get(name, "")
+        spark.createDataFrame(values, ddl).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+def test_rows_in_order_are_dealt_before_names_and_derived_columns(spark):
+    folder = _tables(spark, scratch_path(spark, "odd"))
+    plain, ranked = raw_transactions(spark, folder), raw_transactions(spark, folder, in_order=True)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, ranked.collect())) and ranked.columns == plain.columns
+    assert raw_transactions(spark, folder, with_order=False, in_order=True).columns == raw_transactions(spark, folder, with_order=False).columns
+    got = {r.Transaction_ID: (r.Date, r.Purpose, r.Demand_Score, r.Population_Migration_Inflow) for r in plain.collect()}
+    assert got["EAS-1-1"] == ("2020-05-17", "Sale", 7.0, 2) and got["EAS-1-2"] == (None, "Rent", None, 2) and got["WES-2-1"][1::2] == ("Investment", None)
+    many = raw_transactions(spark, SF_SMALL, in_order=True)
+    keys = [tuple(r) for r in many.select("l_partkey", "l_suppkey", "l_extendedprice").collect()]
+    assert keys == sorted(keys) and len(keys) == raw_transactions(spark, SF_SMALL).count()
+    p = plan_of(many)
+    assert p.count("rangepartitioning") == 1 and p.index("rangepartitioning") > p.index("Join [n_regionkey")
+
+
+def test_sorted_csv_has_the_raw_columns_and_their_order(spark, monkeypatch):
+    from tessera.schema import RAW_COLUMNS
+    paths, write = [], files.write_csv
+    monkeypatch.setattr(files, "write_csv", lambda df, path, **k: paths.append(path) or write(df, path, **k))
+    out = catalog.QUERIES["etl_clean_from_csv"](spark, SF_SMALL)
+    assert spark.read.text(paths[0]).first().value.split(",") == RAW_COLUMNS
+    assert out.exceptAll(catalog.QUERIES["etl_clean"](spark, SF_SMALL).select(*out.columns)).count() == 0
+
+
+def test_files_go_by_what_tells_them_apart(spark):
+    def ordinals(paths, listed=None):
+        df = spark.createDataFrame([(p,) for p in paths], "p string")
+        return [r[0] for r in df.select(files._own_part(F.col("p"), listed or paths)).collect()]
+    names = [f"file:/a/b c/part-{i:05d}-77aa-c000.csv.gz" for i in (3, 12, 140, 99999)]
+    assert ordinals(names) == ["00003", "00012", "00140", "99999"]
+    for odd in ([*names, "file:/a/b c/part-100000-77aa-c000.csv.gz"], ["s3://x/a.b/1", "s3://x/a/c/1"]):
+        assert ordinals(odd) == odd  # without their ends they might sort otherwise
+    escaped = [n.replace(" ", "%20") for n in names]
+    assert ordinals(escaped, names) == escaped
+    assert ordinals(names[:1]) == [""]
+
+
+def test_unique_order_needs_no_tie_hash(spark):
+    df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), (None, 3, "n"), (None, None, "m")], "id string, o long, v string")
+    out = clean.dedup_keep_first(df, "id", ["o"], ties=False)
+    assert "xxhash64" not in plan_of(out) and out.columns == df.columns
+    assert sorted(map(str, out.collect())) == sorted(map(str, clean.dedup_keep_first(df, "id", ["o"]).collect()))
+    p = plan_of(files.with_source_ordinal(spark.read.schema("a int").csv(files.write_csv(df.select("o"), scratch_path(spark, "short"))), whole_paths=False))
+    assert "substring" in p
